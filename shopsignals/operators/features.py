@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from shopsignals.functions.category import entropy_term, top_category
 from shopsignals.functions.numeric import (
     MICROS_PER_DAY,
-    days_between,
     micros,
     minutes_between,
     round_half_even,
@@ -87,10 +86,12 @@ def _count_if(cond):
 
 
 def time_bounds(events: DataFrame) -> DataFrame:
-    """One row: first and last event time over *all* rows, and micros."""
-    return events.agg(F.min("event_time").alias("t_min"), F.max("event_time").alias("t_max")).select(
-        "t_min", "t_max", micros("t_min").alias("t_min_us"), micros("t_max").alias("t_max_us")
-    )
+    """One row: first and last event time over *all* rows, as epoch micros.
+
+    Every branch uses exactly this projection, so Spark computes it once and
+    reuses the broadcast.
+    """
+    return events.agg(micros(F.min("event_time")).alias("t_min_us"), micros(F.max("event_time")).alias("t_max_us"))
 
 
 def with_bounds(df: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -158,7 +159,9 @@ def session_features(
     cutoff_us = F.col("t_max_us") - F.lit(int(horizon_days * MICROS_PER_DAY))
     out = with_bounds(per_user.filter(F.col("total_sessions") > 0), bounds).select(
         "user_id",
-        round_half_even(days_between("last_session", "t_max"), 1).alias("recency_days"),
+        round_half_even(
+            (F.col("t_max_us") - micros("last_session")) / F.lit(1e6) / F.lit(86400.0), 1
+        ).alias("recency_days"),
         "total_sessions",
         round_half_even(F.col("total_sessions") / weeks, 4).alias("sessions_per_week"),
         "total_revenue",
@@ -234,13 +237,23 @@ def temporal_features(events: DataFrame, bounds: DataFrame | None = None) -> Dat
     return agg.select("user_id", *_temporal_columns())
 
 
-def _view_entropy(events: DataFrame) -> DataFrame:
-    """Shannon entropy (bits, +1e-10 inside the log) of viewed top categories."""
-    counts = (
+def _view_counts(events: DataFrame) -> DataFrame:
+    """Views per (user, top category, brand): the shared first level of the
+    entropy and loyalty aggregates (one scan, one partially combined shuffle)."""
+    return (
         events.filter(F.col("user_id").isNotNull() & _is("view"))
-        .groupBy("user_id", top_category("category_code").alias("_top"))
+        .groupBy("user_id", top_category("category_code").alias("_top"), "brand")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+
+
+def _view_entropy(view_counts: DataFrame) -> DataFrame:
+    """Shannon entropy (bits, +1e-10 inside the log) of viewed top categories.
+
+    The share needs the user's total; the window runs over the user's
+    distinct categories only (bounded by the category vocabulary).
+    """
+    counts = view_counts.groupBy("user_id", "_top").agg(F.sum("_n").alias("_n"))
     share = F.col("_n") / F.sum("_n").over(Window.partitionBy("user_id"))
     return (
         counts.withColumn("_term", entropy_term(share))
@@ -249,14 +262,14 @@ def _view_entropy(events: DataFrame) -> DataFrame:
     )
 
 
-def _brand_loyalty(events: DataFrame) -> DataFrame:
+def _brand_loyalty(view_counts: DataFrame) -> DataFrame:
     """Views of the user's most viewed brand / views that have a brand."""
-    counts = (
-        events.filter(F.col("user_id").isNotNull() & _is("view") & F.col("brand").isNotNull())
-        .groupBy("user_id", "brand")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    return counts.groupBy("user_id").agg((F.max("_n") / F.sum("_n")).alias("_loyalty"))
+    # the null-brand condition sits inside the aggregate (not a filter) so the
+    # first-level count subtree stays identical to the entropy branch's and
+    # Spark reuses its shuffle instead of scanning again
+    counts = view_counts.groupBy("user_id", "brand").agg(F.sum("_n").alias("_n"))
+    branded = F.when(F.col("brand").isNotNull(), F.col("_n"))
+    return counts.groupBy("user_id").agg((F.max(branded) / F.sum(branded)).alias("_loyalty"))
 
 
 def onehot_categories(events: DataFrame) -> list[str]:
@@ -308,7 +321,8 @@ def category_features(
 
 def _category_from(agg, events, affinity_categories, onehot, extra=()):
     geo = agg.filter((F.col("_views") > 0) | (F.col("_purchases") > 0))
-    geo = geo.join(_view_entropy(events), "user_id", "left").join(_brand_loyalty(events), "user_id", "left")
+    vc = _view_counts(events)
+    geo = geo.join(_view_entropy(vc), "user_id", "left").join(_brand_loyalty(vc), "user_id", "left")
     return geo.select("user_id", *extra, *_category_columns(affinity_categories, onehot))
 
 

@@ -68,7 +68,7 @@ def sessionize_by_gap(
         .select(user_col, "_blk", F.coalesce("_first_start", "_carry").alias("_block_session"))
     )
 
-    out = rows.join(blocks, [user_col, "_blk"], "inner")
+    out = rows.join(blocks, [user_col, "_blk"], "left")
     start = F.coalesce(F.col("_start_in"), F.col("_block_session"))
     return out.withColumn(
         out_col, F.concat_ws("-", F.col(user_col).cast("string"), start.cast("string"))
