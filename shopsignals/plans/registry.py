@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsignals.functions.numeric import round_half_even
+from shopsignals.session import materialize
 from shopsignals.operators import features as feat
 from shopsignals.operators import reports
 from shopsignals.plans import sql_twins as tw
@@ -214,3 +215,404 @@ def clickstream_user_features(spark, sf) -> DataFrame:
 )
 def q_features_merged(spark, sf):
     return _round_cols(clickstream_user_features(spark, sf), SESSION_FLOATS)
+
+
+# ----------------------------------------------------------------- scoring rules
+
+from shopsignals.functions import rules  # noqa: E402
+from shopsignals.operators import drift, evaluation, scoring  # noqa: E402
+
+SCORE_SQL = "least(1.0, recency_days / 60.0) * 0.7 + cart_abandonment_rate * 0.3"
+
+ARCHETYPE_SQL = """CASE WHEN purchase_conversion_rate > 0.05 THEN 'The Decisive Buyer'
+  WHEN cart_abandonment_rate > 0.7 THEN 'The Cart Abandoner'
+  WHEN weekend_activity_ratio > 0.6 THEN 'The Weekend Binge'
+  WHEN total_sessions <= 2 AND total_purchases = 0 THEN 'The Window Shopper'
+  WHEN payday_activity_ratio > 0.25 THEN 'The Deal Hunter'
+  WHEN brand_loyalty_score > 0.6 THEN 'The Loyal Regular'
+  ELSE 'The Casual Browser' END"""
+
+RISK_SQL = """CASE WHEN p >= 0.85 THEN 'critical' WHEN p >= 0.65 THEN 'high'
+  WHEN p >= 0.40 THEN 'medium' ELSE 'low' END"""
+
+FACTORS_SQL = """coalesce(nullif(array_to_string(list_slice(list_filter([
+    CASE WHEN recency_days > 20 THEN 'High recency; Last seen ' || printf('%.0f', recency_days) || ' days ago; high' END,
+    CASE WHEN cart_abandonment_rate > 0.7 THEN 'Cart abandonment; ' || printf('%.0f', cart_abandonment_rate * 100.0)
+         || '% of cart sessions not purchased; high' END,
+    CASE WHEN activity_trend < -0.1 THEN 'Declining activity; Session frequency dropping over time; medium' END,
+    CASE WHEN total_purchases = 0 THEN 'No purchase history; User has never completed a purchase; high' END,
+    CASE WHEN sessions_per_week < 0.5 THEN 'Low engagement; Only ' || printf('%.1f', sessions_per_week)
+         || ' sessions per week; medium' END
+  ], lambda x: x IS NOT NULL), 1, 3), ' | '), ''), 'Healthy engagement; No significant risk signals; low')"""
+
+
+def _recommendation_sql(col: str) -> str:
+    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in rules.RECOMMENDATIONS.items())
+    return f"CASE {whens} ELSE '{rules.DEFAULT_RECOMMENDATION}' END"
+
+
+SCORED_SQL = f"""{USER_FEATURES_SQL},
+    scored_in AS (SELECT *, {SCORE_SQL} AS p FROM user_features),
+    scored AS (
+      SELECT user_id, round_even(p, 4) AS churn_probability, p >= 0.5 AS churn_prediction,
+             {RISK_SQL} AS risk_level, {ARCHETYPE_SQL} AS archetype, {FACTORS_SQL} AS risk_factors
+      FROM scored_in)"""
+
+
+def clickstream_scored(spark, sf) -> DataFrame:
+    feats = scoring.rule_score(clickstream_user_features(spark, sf))
+    return scoring.score_users(feats, "churn_proba")
+
+
+@register(
+    "scoring_batch",
+    SCORED_SQL + f"""
+    SELECT *, {_recommendation_sql('archetype')} AS recommendation FROM scored""",
+    "M12 F15-F20 F25 O6 J9 D8",
+)
+def q_scoring_batch(spark, sf):
+    s = clickstream_scored(spark, sf)
+    return s.select(
+        "user_id", "churn_probability", "churn_prediction", "risk_level", "archetype",
+        rules.factors_text("top_risk_factors").alias("risk_factors"), "recommendation",
+    )
+
+
+@register(
+    "scoring_summary",
+    SCORED_SQL + """
+    SELECT count(*) AS total_users, count(CASE WHEN churn_prediction THEN 1 END) AS predicted_churners,
+           round_even(avg(churn_probability), 4) AS avg_churn_probability,
+           count(CASE WHEN risk_level IN ('high', 'critical') THEN 1 END) AS high_risk_users
+    FROM scored""",
+    "A30 D9",
+)
+def q_scoring_summary(spark, sf):
+    return scoring.batch_summary(clickstream_scored(spark, sf))
+
+
+@register(
+    "scoring_archetypes",
+    SCORED_SQL + " SELECT archetype, count(*) AS users FROM scored GROUP BY archetype",
+    "A30 archetype counts",
+)
+def q_scoring_archetypes(spark, sf):
+    return scoring.archetype_distribution(clickstream_scored(spark, sf))
+
+
+def _validation_sql() -> str:
+    parts = []
+    for name, integral, lo, hi, default in scoring.FEATURE_REQUEST_SCHEMA:
+        v = f"coalesce(CAST({name} AS DOUBLE), {float(default)})" if default is not None else f"CAST({name} AS DOUBLE)"
+        if default is None:
+            parts.append(f"CASE WHEN {name} IS NULL THEN '{name}: field required' END")
+        if integral:
+            parts.append(f"CASE WHEN {v} <> floor({v}) THEN '{name}: not an integer' END")
+        if lo is not None:
+            parts.append(f"CASE WHEN {v} < {lo} THEN '{name}: below {lo}' END")
+        if hi is not None:
+            parts.append(f"CASE WHEN {v} > {hi} THEN '{name}: above {hi}' END")
+    arr = "list_filter([" + ", ".join(parts) + "], lambda x: x IS NOT NULL)"
+    return f"""{USER_FEATURES_SQL}
+    SELECT user_id, len({arr}) = 0 AS is_valid, array_to_string({arr}, '; ') AS rejection_reasons
+    FROM user_features"""
+
+
+@register("scoring_validation", _validation_sql(), "P14 F24")
+def q_scoring_validation(spark, sf):
+    v = scoring.validate_features(clickstream_user_features(spark, sf))
+    return v.select("user_id", "is_valid", F.array_join("rejection_reasons", "; ").alias("rejection_reasons"))
+
+
+def _persona_sql() -> str:
+    stats = " || chr(10) || ".join(
+        f"'- {name.replace('_', ' ').title()}: ' || CAST({name} AS VARCHAR)" for name in scoring.PERSONA_STATS
+    )
+    factors = FACTORS_SQL.replace("'High recency; ", "'- High recency: ").replace(" days ago; high'", " days ago (impact: high)'")
+    head = scoring.PERSONA_TEMPLATE_HEAD.replace("'", "''")
+    tail = scoring.PERSONA_TEMPLATE_TAIL.replace("'", "''")
+    # the factor lines are rebuilt in the same text form as the Spark side
+    factor_lines = """array_to_string(list_transform(string_split(risk_factors, ' | '), lambda f:
+        '- ' || split_part(f, '; ', 1) || ': ' || split_part(f, '; ', 2) || ' (impact: ' || split_part(f, '; ', 3) || ')'), chr(10))"""
+    del factors
+    return f"""{SCORED_SQL}
+    SELECT s.user_id,
+      '{head}' || 'Archetype: ' || archetype || chr(10)
+      || 'Churn probability: ' || printf('%.1f', churn_probability * 100.0) || '%' || chr(10)
+      || 'Risk level: ' || risk_level || chr(10)
+      || chr(10) || 'Key behavioral signals:' || chr(10) || {stats} || chr(10)
+      || chr(10) || 'Risk factors identified:' || chr(10) || {factor_lines} || chr(10)
+      || chr(10) || 'Recommended intervention: ' || {_recommendation_sql('archetype')} || chr(10)
+      || '{tail}' AS prompt
+    FROM scored s JOIN user_features f USING (user_id)"""
+
+
+@register("scoring_persona_prompts", _persona_sql(), "F21 F20")
+def q_scoring_persona_prompts(spark, sf):
+    feats = scoring.rule_score(clickstream_user_features(spark, sf))
+    scored = scoring.score_users(feats, "churn_proba", keep=["user_id", *scoring.PERSONA_STATS])
+    return scoring.persona_prompts(scored)
+
+
+# ----------------------------------------------------------------- evaluation tables
+
+EVAL_SQL = f"""WITH {ORDER_CTE}, {tw.session_features_ctes(ad.ORDERS_HORIZON_DAYS)},
+    scored AS (SELECT user_id, churned AS label, round_even({SCORE_SQL}, 2) AS score FROM session_features),
+    counts AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY score),
+    sw AS (
+      SELECT score, pos, neg,
+             sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+             sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+             sum(pos) OVER () AS P, sum(neg) OVER () AS N
+      FROM counts)"""
+
+
+def order_scores(spark, sf) -> DataFrame:
+    feats = feat.session_features(_orders(spark, sf), horizon_days=ad.ORDERS_HORIZON_DAYS)
+    s = scoring.rule_score(feats, "score")
+    return s.select("user_id", F.col("churned").alias("label"), round_half_even("score", 2).alias("score"))
+
+
+@register(
+    "eval_roc_curve",
+    EVAL_SQL + " SELECT score AS threshold, round_even(fp / N, 6) AS fpr, round_even(tp / P, 6) AS tpr FROM sw",
+    "E1 W3",
+)
+def q_eval_roc_curve(spark, sf):
+    r = evaluation.roc_curve(order_scores(spark, sf))
+    return _round_cols(r, ["fpr", "tpr"])
+
+
+@register(
+    "eval_auc_ap",
+    EVAL_SQL + """
+    SELECT round_even(sum(neg / N * ((tp - pos) + tp) / P / 2.0), 4) AS roc_auc,
+           round_even(sum(pos / P * (tp / (tp + fp))), 4) AS average_precision,
+           round_even(max(P) / (max(P) + max(N)), 6) AS positive_rate
+    FROM sw""",
+    "E1 E2",
+)
+def q_eval_auc_ap(spark, sf):
+    s = order_scores(spark, sf)
+    auc = evaluation.roc_auc(s)
+    ap = evaluation.average_precision(s)
+    out = auc.crossJoin(ap)
+    return out.select(
+        round_half_even("roc_auc", 4).alias("roc_auc"),
+        round_half_even("average_precision", 4).alias("average_precision"),
+        round_half_even("positive_rate", 6).alias("positive_rate"),
+    )
+
+
+@register(
+    "eval_pr_curve",
+    EVAL_SQL + " SELECT score AS threshold, round_even(tp / (tp + fp), 6) AS precision, round_even(tp / P, 6) AS recall FROM sw",
+    "E2 W3",
+)
+def q_eval_pr_curve(spark, sf):
+    return _round_cols(evaluation.pr_curve(order_scores(spark, sf)), ["precision", "recall"])
+
+
+GRID_SQL = EVAL_SQL.split(",\n    counts AS")[0] + """,
+    grid AS (
+      SELECT count(CASE WHEN label = 1 AND score >= 0.5 THEN 1 END) AS tp,
+             count(CASE WHEN label = 0 AND score >= 0.5 THEN 1 END) AS fp,
+             count(CASE WHEN label = 1 AND score < 0.5 THEN 1 END) AS fn,
+             count(CASE WHEN label = 0 AND score < 0.5 THEN 1 END) AS tn
+      FROM scored)"""
+
+
+@register(
+    "eval_threshold_metrics",
+    GRID_SQL + """
+    SELECT round_even(coalesce(tp / nullif(tp + fp, 0), 0.0), 4) AS precision,
+           round_even(coalesce(tp / nullif(tp + fn, 0), 0.0), 4) AS recall,
+           round_even(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0), 4) AS f1,
+           tp, fp, fn, tn
+    FROM grid""",
+    "E3",
+)
+def q_eval_threshold_metrics(spark, sf):
+    return evaluation.threshold_metrics(order_scores(spark, sf))
+
+
+@register(
+    "eval_confusion_matrix",
+    GRID_SQL + """
+    SELECT 0 AS actual, 0 AS predicted, tn AS n FROM grid UNION ALL
+    SELECT 0, 1, fp FROM grid UNION ALL SELECT 1, 0, fn FROM grid UNION ALL SELECT 1, 1, tp FROM grid""",
+    "E4",
+)
+def q_eval_confusion_matrix(spark, sf):
+    return evaluation.confusion_matrix(order_scores(spark, sf))
+
+
+@register(
+    "eval_classification_report",
+    GRID_SQL + """,
+    per_class AS (
+      SELECT 'not churned' AS class, coalesce(tn / nullif(tn + fn, 0), 0.0) AS precision,
+             coalesce(tn / nullif(tn + fp, 0), 0.0) AS recall,
+             coalesce(2.0 * tn / nullif(2 * tn + fn + fp, 0), 0.0) AS f1, tn + fp AS support FROM grid
+      UNION ALL
+      SELECT 'churned', coalesce(tp / nullif(tp + fp, 0), 0.0), coalesce(tp / nullif(tp + fn, 0), 0.0),
+             coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0), tp + fn FROM grid),
+    rep AS (
+      SELECT * FROM per_class
+      UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM per_class
+      UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                       sum(f1 * support) / sum(support), sum(support) FROM per_class)
+    SELECT class, round_even(precision, 4) AS precision, round_even(recall, 4) AS recall,
+           round_even(f1, 4) AS f1, CAST(support AS BIGINT) AS support FROM rep""",
+    "E5",
+)
+def q_eval_classification_report(spark, sf):
+    return evaluation.classification_report(order_scores(spark, sf))
+
+
+@register(
+    "eval_score_histogram",
+    EVAL_SQL.split(",\n    counts AS")[0] + """,
+    h AS (SELECT label, CAST(least(floor(score * 49.0), 48) AS INTEGER) AS bin, count(*) AS n
+          FROM scored WHERE score BETWEEN 0.0 AND 1.0 GROUP BY 1, 2)
+    SELECT label, bin, bin * (1.0 / 49) AS lower, n,
+           round_even(n / (1.0 / 49) / sum(n) OVER (PARTITION BY label), 6) AS density FROM h""",
+    "E6",
+)
+def q_eval_score_histogram(spark, sf):
+    h = evaluation.score_histogram(order_scores(spark, sf))
+    return _round_cols(h, ["density"])
+
+
+# ----------------------------------------------------------------- drift report
+
+_MON = drift.MONITOR_FEATURES
+_MON_LIST = ", ".join(_MON)
+_MON_ARRAY = "[" + ", ".join(f"'{f}'" for f in _MON) + "]"
+
+SPLIT_SQL = f"""{USER_FEATURES_SQL},
+    pos AS (SELECT *, row_number() OVER (ORDER BY user_id) AS rn, count(*) OVER () AS n FROM user_features),
+    sides AS (SELECT *, CASE WHEN rn <= floor(n * 0.8) THEN 0 ELSE 1 END AS side FROM pos),
+    long AS (
+      SELECT side, feature, value FROM (
+        UNPIVOT (SELECT side, {", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in _MON)} FROM sides)
+        ON {_MON_LIST} INTO NAME feature VALUE value)
+      WHERE value IS NOT NULL),
+    totals AS (
+      SELECT feature, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS total_ref,
+             sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS total_cur,
+             avg(CASE WHEN side = 0 THEN value END) AS ref_mean_raw,
+             avg(CASE WHEN side = 1 THEN value END) AS cur_mean_raw
+      FROM long GROUP BY feature),
+    vcounts AS (
+      SELECT feature, value, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS n_ref,
+             sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS n_cur
+      FROM long GROUP BY feature, value),
+    cum AS (
+      SELECT feature, value,
+             sum(n_ref) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS c_ref,
+             sum(n_cur) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS c_cur
+      FROM vcounts),
+    ks AS (
+      SELECT c.feature, max(abs(c_ref / t.total_ref - c_cur / t.total_cur)) AS ks_raw
+      FROM cum c JOIN totals t USING (feature) GROUP BY c.feature),
+    lam AS (
+      SELECT t.*, k.ks_raw,
+             k.ks_raw * sqrt(CAST(total_ref AS DOUBLE) * CAST(total_cur AS DOUBLE)
+                             / (CAST(total_ref AS DOUBLE) + CAST(total_cur AS DOUBLE))) AS lam
+      FROM totals t JOIN ks k USING (feature) WHERE total_ref > 0 AND total_cur > 0),
+    details AS (
+      SELECT feature, list_position({_MON_ARRAY}, feature) AS feature_order,
+             round_even(ks_raw, 4) AS ks_statistic,
+             CASE WHEN lam < {drift.KS_SMALL_LAMBDA} THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_reduce(
+               list_transform(range(1, {drift.KS_SERIES_TERMS + 1}),
+                 lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * lam * lam)),
+               lambda a, b: a + b))) END AS p_raw,
+             round_even(ref_mean_raw, 4) AS ref_mean, round_even(cur_mean_raw, 4) AS cur_mean,
+             round_even(abs(cur_mean_raw - ref_mean_raw) / (abs(ref_mean_raw) + 1e-10) * 100.0, 2) AS mean_shift_pct,
+             CAST(total_ref AS BIGINT) AS n_ref, CAST(total_cur AS BIGINT) AS n_cur
+      FROM lam),
+    det AS (SELECT * EXCLUDE (p_raw), round_even(p_raw, 6) AS p_value, p_raw < {drift.DEFAULT_ALPHA} AS drift_detected FROM details)"""
+
+
+def clickstream_monitored_features(spark, sf) -> DataFrame:
+    """Feature table consumed by ranking, counts and both sides: materialised once."""
+    return materialize(clickstream_user_features(spark, sf))
+
+
+def clickstream_drift_details(spark, sf) -> DataFrame:
+    feats = clickstream_monitored_features(spark, sf)
+    base, cur = drift.positional_split(feats, "user_id", 0.8)
+    return drift.ks_details(base, cur, drift.available_features(feats))
+
+
+@register(
+    "drift_ks",
+    SPLIT_SQL + " SELECT * FROM det",
+    "R1-R4 W2 W4 U3 F13",
+)
+def q_drift_ks(spark, sf):
+    return clickstream_drift_details(spark, sf)
+
+
+@register(
+    "drift_verdict",
+    SPLIT_SQL + """
+    SELECT avg(CASE WHEN drift_detected THEN 1.0 ELSE 0.0 END) > 0.5 AS dataset_drift_detected,
+           round_even(avg(CASE WHEN drift_detected THEN 1.0 ELSE 0.0 END), 4) AS drift_share,
+           count(CASE WHEN drift_detected THEN 1 END) AS n_drifted_features,
+           count(CASE WHEN NOT drift_detected THEN 1 END) AS n_stable_features,
+           count(*) AS n_total_features,
+           coalesce(string_agg(CASE WHEN drift_detected THEN feature END, ',' ORDER BY feature_order), '') AS drifted_features,
+           coalesce(string_agg(CASE WHEN NOT drift_detected THEN feature END, ',' ORDER BY feature_order), '') AS stable_features
+    FROM det""",
+    "R5",
+)
+def q_drift_verdict(spark, sf):
+    v = drift.drift_verdict(clickstream_drift_details(spark, sf))
+    return v.select(
+        "dataset_drift_detected", "drift_share", "n_drifted_features", "n_stable_features", "n_total_features",
+        F.array_join("drifted_features", ",").alias("drifted_features"),
+        F.array_join("stable_features", ",").alias("stable_features"),
+    )
+
+
+@register(
+    "drift_alerts",
+    SPLIT_SQL + " SELECT feature, ks_statistic, p_value, mean_shift_pct FROM det WHERE drift_detected ORDER BY ks_statistic DESC, feature",
+    "R7",
+)
+def q_drift_alerts(spark, sf):
+    return drift.drift_alerts(clickstream_drift_details(spark, sf))
+
+
+@register(
+    "drift_overlay",
+    SPLIT_SQL + f""",
+    top AS (SELECT feature FROM det ORDER BY ks_statistic DESC, feature_order LIMIT {drift.OVERLAY_TOP}),
+    rng AS (SELECT feature, min(value) AS lo, max(value) AS hi,
+                   sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS n0, sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS n1
+            FROM long GROUP BY feature),
+    b0 AS (SELECT l.*, r.lo, r.hi, r.n0, r.n1, (r.hi - r.lo) / {float(drift.OVERLAY_EDGES - 1)} AS step,
+                  CASE WHEN r.hi = r.lo THEN 0 ELSE least(CAST(floor((l.value - r.lo) / (r.hi - r.lo) * {float(drift.OVERLAY_EDGES - 1)}) AS INTEGER), {drift.OVERLAY_EDGES - 2}) END AS i0
+           FROM long l JOIN rng r USING (feature) WHERE feature IN (SELECT feature FROM top)),
+    b1 AS (SELECT *, CASE WHEN value < (CASE WHEN i0 >= {drift.OVERLAY_EDGES - 1} THEN hi ELSE lo + i0 * step END) THEN i0 - 1 ELSE i0 END AS i1 FROM b0),
+    b2 AS (SELECT *, CASE WHEN value >= (CASE WHEN i1 + 1 >= {drift.OVERLAY_EDGES - 1} THEN hi ELSE lo + (i1 + 1) * step END)
+                           AND i1 <> {drift.OVERLAY_EDGES - 2} THEN i1 + 1 ELSE i1 END AS bin FROM b1),
+    c AS (SELECT feature, bin, lo, hi, n0, n1, step, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS c0,
+                 sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS c1 FROM b2 GROUP BY ALL),
+    e AS (SELECT *, CASE WHEN bin >= {drift.OVERLAY_EDGES - 1} THEN hi ELSE lo + bin * step END AS lower,
+                    CASE WHEN bin + 1 >= {drift.OVERLAY_EDGES - 1} THEN hi ELSE lo + (bin + 1) * step END AS upper FROM c)
+    SELECT feature, bin, round_even(lower, 6) AS lower, round_even(upper, 6) AS upper,
+           round_even(c0 / (upper - lower) / n0, 6) AS baseline_density,
+           round_even(c1 / (upper - lower) / n1, 6) AS current_density
+    FROM e""",
+    "R6",
+)
+def q_drift_overlay(spark, sf):
+    feats = clickstream_monitored_features(spark, sf)
+    base, cur = drift.positional_split(feats, "user_id", 0.8)
+    features = drift.available_features(feats)
+    details = drift.ks_details(base, cur, features)
+    ov = drift.distribution_overlay(base, cur, features).join(drift.top_shifted(details), "feature", "left_semi")
+    return _round_cols(ov, ["lower", "upper", "baseline_density", "current_density"])

@@ -86,3 +86,14 @@ def local_session_for_tests(cpus: int | None = None) -> SparkSession:
         shuffle_partitions=cpus,
         extra_conf={"spark.driver.memory": "8g"},
     )
+
+
+def materialize(df):
+    """Cut lineage of an intermediate that several branches consume.
+
+    Reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir`` (never
+    ``localCheckpoint``): the data survives the loss of the executors that
+    computed it, and downstream branches read it instead of recomputing.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
