@@ -55,17 +55,19 @@ def running_totals(
     descending: bool = False,
     prefix: str = "cum_",
     resolution: int = DEFAULT_RESOLUTION,
+    tiebreak_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Adds ``cum_<c>`` = sum of ``c`` over rows of the group with order value
-    <= (or >= when ``descending``) the row's, inclusive."""
+    <= (or >= when ``descending``) the row's, inclusive.  ``tiebreak_cols``
+    complete the order when ``order_col`` is not unique within a group."""
     group_cols = list(group_cols)
     blk = order_block(order_col, resolution)
     if descending:
         blk = -blk
     d = df.withColumn("_blk", blk)
-    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c in [order_col, *tiebreak_cols]]
 
-    local_w = Window.partitionBy(*group_cols, "_blk").orderBy(order).rowsBetween(
+    local_w = Window.partitionBy(*group_cols, "_blk").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     d = d.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sum_cols])

@@ -616,3 +616,245 @@ def q_drift_overlay(spark, sf):
     details = drift.ks_details(base, cur, features)
     ov = drift.distribution_overlay(base, cur, features).join(drift.top_shifted(details), "feature", "left_semi")
     return _round_cols(ov, ["lower", "upper", "baseline_density", "current_density"])
+
+
+# ----------------------------------------------------------------- profiles and statistics
+
+from shopsignals.operators import profiles  # noqa: E402
+
+_CF = [c for c in profiles.CLUSTER_FEATURES]
+_RULE_ID_SQL = "CASE " + " ".join(
+    f"WHEN ({ARCHETYPE_SQL}) = '{name}' THEN {cid}" for cid, name in rules.ARCHETYPE_NAMES.items()
+) + " END"
+
+
+def clickstream_rule_clusters(spark, sf) -> DataFrame:
+    df, _cols, _missing = profiles.clustering_input(clickstream_user_features(spark, sf))
+    return df.withColumn("cluster", profiles.rule_cluster_id())
+
+
+PROFILE_SQL = f"""{USER_FEATURES_SQL},
+    cin AS (SELECT * FROM user_features WHERE total_sessions >= 2),
+    cl AS (SELECT *, {_RULE_ID_SQL} AS cluster FROM cin),
+    prof AS (
+      SELECT cluster, count(*) AS user_count,
+             {", ".join(f"avg({c}) AS {c}" for c in _CF)}, avg(churned) AS churn_rate
+      FROM cl GROUP BY cluster),
+    profiles AS (
+      SELECT cluster,
+             CASE {" ".join(f"WHEN cluster = {k} THEN '{v}'" for k, v in rules.ARCHETYPE_NAMES.items())}
+                  ELSE 'Cluster ' || CAST(cluster AS VARCHAR) END AS archetype,
+             user_count, round_even(user_count / sum(user_count) OVER () * 100.0, 1) AS pct_of_sample,
+             {", ".join(f"round_even({c}, 4) AS {c}" for c in _CF)}, round_even(churn_rate, 4) AS churn_rate
+      FROM prof)"""
+
+
+@register("profiles_clusters", PROFILE_SQL + " SELECT * FROM profiles", "A26 A31 P7 P11 P13 M9 J9 D7")
+def q_profiles_clusters(spark, sf):
+    return profiles.cluster_profiles(clickstream_rule_clusters(spark, sf), "cluster", _CF)
+
+
+@register(
+    "profiles_cluster_prompt",
+    PROFILE_SQL + f"""
+    SELECT '{scoring.CLUSTER_PROMPT_HEAD.replace("'", "''")}'
+      || string_agg(chr(10) || archetype || ':' || chr(10)
+         || '  - ' || format('{{:,}}', user_count) || ' users (' || CAST(pct_of_sample AS VARCHAR) || '% of sample)' || chr(10)
+         || CASE WHEN churn_rate IS NOT NULL AND churn_rate <> 0
+                 THEN '  - Churn rate: ' || printf('%.1f', churn_rate * 100.0) || '%' || chr(10) ELSE '' END
+         || {" || ".join(f"'  - {c.replace('_', ' ')}: ' || CAST({c} AS VARCHAR) || chr(10)" for c in _CF[:4])},
+         '' ORDER BY cluster)
+      || '{scoring.CLUSTER_PROMPT_TAIL.replace("'", "''")}' AS prompt
+    FROM profiles WHERE cluster <> -1""",
+    "F22",
+)
+def q_profiles_cluster_prompt(spark, sf):
+    prof = profiles.cluster_profiles(clickstream_rule_clusters(spark, sf), "cluster", _CF)
+    return scoring.cluster_prompt(prof, _CF)
+
+
+@register(
+    "profiles_cluster_sizes",
+    PROFILE_SQL + """
+    SELECT cluster, user_count AS users, round_even(user_count / sum(user_count) OVER (), 4) AS share,
+           round_even(coalesce(sum(CASE WHEN cluster = -1 THEN user_count END) OVER (), 0) / sum(user_count) OVER (), 4) AS noise_share
+    FROM profiles""",
+    "A27",
+)
+def q_profiles_cluster_sizes(spark, sf):
+    return profiles.cluster_sizes(clickstream_rule_clusters(spark, sf))
+
+
+@register(
+    "profiles_class_balance",
+    f"""WITH {ORDER_CTE}, {tw.session_features_ctes(ad.ORDERS_HORIZON_DAYS)}
+    SELECT count(CASE WHEN churned = 0 THEN 1 END) AS negatives, count(CASE WHEN churned = 1 THEN 1 END) AS positives,
+           CAST(count(CASE WHEN churned = 0 THEN 1 END) AS DOUBLE) / nullif(count(CASE WHEN churned = 1 THEN 1 END), 0)
+             AS scale_pos_weight
+    FROM session_features""",
+    "A28 M3",
+)
+def q_profiles_class_balance(spark, sf):
+    feats = feat.session_features(_orders(spark, sf), horizon_days=ad.ORDERS_HORIZON_DAYS)
+    return profiles.class_balance(feats)
+
+
+@register(
+    "profiles_dataset_means",
+    USER_FEATURES_SQL + " SELECT count(*) AS users, round_even(avg(churned), 4) AS churn_rate FROM user_features",
+    "A24",
+)
+def q_profiles_dataset_means(spark, sf):
+    return profiles.dataset_means(clickstream_user_features(spark, sf))
+
+
+_DESCRIBE = drift.MONITOR_FEATURES
+
+
+@register(
+    "profiles_describe",
+    USER_FEATURES_SQL + f""",
+    long AS (
+      SELECT feature, value FROM (
+        UNPIVOT (SELECT {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _DESCRIBE)}
+                 FROM (SELECT * REPLACE ({_sql_round(SESSION_FLOATS)}) FROM user_features))
+        ON {", ".join(_DESCRIBE)} INTO NAME feature VALUE value) WHERE value IS NOT NULL)
+    SELECT feature, count(*) AS count, round_even(avg(value), 6) AS mean, round_even(stddev_samp(value), 6) AS std,
+           min(value) AS min, round_even(quantile_cont(value, 0.25), 6) AS p25,
+           round_even(quantile_cont(value, 0.5), 6) AS p50, round_even(quantile_cont(value, 0.75), 6) AS p75,
+           max(value) AS max
+    FROM long GROUP BY feature""",
+    "A25",
+)
+def q_profiles_describe(spark, sf):
+    feats = materialize(_round_cols(clickstream_user_features(spark, sf), SESSION_FLOATS))
+    d = profiles.describe(feats, _DESCRIBE)
+    return _round_cols(d, ["mean", "std", "p25", "p50", "p75"])
+
+
+@register(
+    "sample_stratified_split",
+    f"""WITH {ORDER_CTE}, {tw.session_features_ctes(ad.ORDERS_HORIZON_DAYS)},
+    sizes AS (SELECT churned, count(*) AS n FROM session_features GROUP BY churned)
+    SELECT churned, false AS is_test, CAST(floor(n * 0.8) AS BIGINT) AS users FROM sizes WHERE floor(n * 0.8) > 0
+    UNION ALL
+    SELECT churned, true, CAST(n - floor(n * 0.8) AS BIGINT) FROM sizes WHERE n - floor(n * 0.8) > 0""",
+    "O9",
+)
+def q_sample_stratified_split(spark, sf):
+    feats = feat.session_features(_orders(spark, sf), horizon_days=ad.ORDERS_HORIZON_DAYS)
+    s = profiles.stratified_split(feats, "churned", 0.8, 42)
+    return s.groupBy("churned", "is_test").agg(F.count(F.lit(1)).alias("users"))
+
+
+@register("sample_users", None, "O8 (hash-ordered sample; engines hash differently → rows-only)")
+def q_sample_users(spark, sf):
+    feats = feat.session_features(_orders(spark, sf), horizon_days=ad.ORDERS_HORIZON_DAYS)
+    return drift.hash_sample(feats, 200, seed=42)
+
+
+@register(
+    "drift_positional_split",
+    USER_FEATURES_SQL + """,
+    pos AS (SELECT user_id, row_number() OVER (ORDER BY user_id) AS rn, count(*) OVER () AS n FROM user_features)
+    SELECT CASE WHEN rn <= floor(n * 0.8) THEN 'baseline' ELSE 'current' END AS side, count(*) AS users,
+           min(user_id) AS first_user, max(user_id) AS last_user
+    FROM pos GROUP BY 1""",
+    "W4 R1",
+)
+def q_drift_positional_split(spark, sf):
+    base, cur = drift.positional_split(clickstream_user_features(spark, sf), "user_id", 0.8)
+    tagged = base.select("user_id", F.lit("baseline").alias("side")).unionByName(
+        cur.select("user_id", F.lit("current").alias("side"))
+    )
+    return tagged.groupBy("side").agg(
+        F.count(F.lit(1)).alias("users"), F.min("user_id").alias("first_user"), F.max("user_id").alias("last_user")
+    )
+
+
+# ----------------------------------------------------------------- models (rows-only checks)
+
+from shopsignals.models import churn as churn_model  # noqa: E402
+from shopsignals.models import clusters as cluster_model  # noqa: E402
+
+
+def order_user_features(spark, sf) -> DataFrame:
+    """Merged features from the order data (14-day label), for the models."""
+    return feat.user_features(
+        _orders(spark, sf),
+        horizon_days=ad.ORDERS_HORIZON_DAYS,
+        affinity_categories=ad.CLICKSTREAM_CATEGORIES,
+        onehot=CLICKSTREAM_ONEHOT,
+    )
+
+
+def _trained(spark, sf):
+    feats = materialize(order_user_features(spark, sf))
+    model, prepared = churn_model.train(feats)
+    return feats, model, prepared
+
+
+@register("model_churn_scores", None, "M1 M2 M3 M4 M12")
+def q_model_churn_scores(spark, sf):
+    feats, model, _ = _trained(spark, sf)
+    scored = churn_model.score(model, feats)
+    return scoring.score_users(scored, "churn_proba").select(
+        "user_id", "churn_probability", "churn_prediction", "risk_level", "archetype",
+        rules.factors_text("top_risk_factors").alias("risk_factors"), "recommendation",
+    )
+
+
+@register("model_churn_metrics", None, "E3 E1 E2 on model scores (test split)")
+def q_model_churn_metrics(spark, sf):
+    _feats, model, prepared = _trained(spark, sf)
+    test = churn_model.score(model, prepared.filter("is_test")).select(
+        F.col("churned").alias("label"), F.col("churn_proba").alias("score")
+    )
+    m = evaluation.threshold_metrics(test)
+    return m.crossJoin(evaluation.roc_auc(test)).crossJoin(evaluation.average_precision(test))
+
+
+@register("model_feature_importance", None, "M10 O3")
+def q_model_feature_importance(spark, sf):
+    _f, model, _p = _trained(spark, sf)
+    return churn_model.feature_importance(model, 10)
+
+
+@register("model_info", None, "M13")
+def q_model_info(spark, sf):
+    _f, model, _p = _trained(spark, sf)
+    return churn_model.model_info(model)
+
+
+@register("model_attributions", None, "M11 A29 O4 (exact linear attributions)")
+def q_model_attributions(spark, sf):
+    feats = materialize(order_user_features(spark, sf))
+    attrs, _cols = churn_model.linear_attributions(feats)
+    return profiles.mean_abs_attribution(attrs, top=15)
+
+
+def _clustered(spark, sf):
+    feats = materialize(clickstream_user_features(spark, sf))
+    model, labelled = cluster_model.fit(feats)
+    return feats, model, labelled
+
+
+@register("model_clusters", None, "M5 M6 M7 M8 M9 S14")
+def q_model_clusters(spark, sf):
+    _f, _m, labelled = _clustered(spark, sf)
+    prof = profiles.cluster_profiles(labelled, "cluster", _CF + ["total_purchases"])
+    names = cluster_model.name_clusters(prof)
+    return labelled.join(F.broadcast(names), "cluster", "left").select("user_id", "cluster", "archetype")
+
+
+@register("model_cluster_profiles", None, "A26 on model clusters")
+def q_model_cluster_profiles(spark, sf):
+    _f, _m, labelled = _clustered(spark, sf)
+    prof = profiles.cluster_profiles(labelled, "cluster", _CF + ["total_purchases"])
+    return prof
+
+
+@register("model_silhouette", None, "E7")
+def q_model_silhouette(spark, sf):
+    _f, _m, labelled = _clustered(spark, sf)
+    return cluster_model.silhouette(labelled)
