@@ -194,16 +194,19 @@ def _activity_aggregate(events: DataFrame, bounds: DataFrame, affinity_categorie
     )
     two_t = F.lit(2) * micros("event_time")
     mid2 = F.col("t_min_us") + F.col("t_max_us")
+    # Modes of hour and weekday as fixed-width counters (24 + 7 sums) and an
+    # argmax: stays in the code-generated hash aggregate, with a bounded
+    # buffer per user; the first maximum is the lowest value, as ties need.
+    hour, day = hour_of_day("event_time"), day_of_week("event_time")
     aggs = [
-        F.mode(hour_of_day("event_time"), True).alias("_pref_hour"),
-        F.mode(day_of_week("event_time"), True).alias("_pref_day"),
+        F.array(*[_count_if(hour == h) for h in range(24)]).alias("_hour_counts"),
+        F.array(*[_count_if(day == d) for d in range(7)]).alias("_day_counts"),
         F.avg(F.when(is_weekend("event_time"), 1.0).otherwise(0.0)).alias("_weekend"),
         F.avg(F.when(is_night("event_time"), 1.0).otherwise(0.0)).alias("_night"),
         F.avg(F.when(is_payday_window("event_time"), 1.0).otherwise(0.0)).alias("_payday"),
         _count_if(two_t <= mid2).alias("_first_half"),
         _count_if(two_t > mid2).alias("_second_half"),
         # category / price family (views and purchases)
-        F.mode(F.when(view, F.col("_top")), True).alias("top_category"),
         _count_if(view).alias("_views"),
         _count_if(purchase).alias("_purchases"),
         F.avg(F.when(purchase, F.col("price"))).alias("_avg_purchase_price"),
@@ -211,7 +214,19 @@ def _activity_aggregate(events: DataFrame, bounds: DataFrame, affinity_categorie
         F.avg(F.when(view, F.col("price"))).alias("_avg_view_price"),
     ]
     aggs += [_count_if(view & (F.col("_top") == F.lit(c))).alias(f"_n_{i}") for i, c in enumerate(affinity_categories)]
-    return ev.groupBy("user_id").agg(*aggs)
+    return (
+        ev.groupBy("user_id")
+        .agg(*aggs)
+        .withColumn("_pref_hour", _argmax_position("_hour_counts"))
+        .withColumn("_pref_day", _argmax_position("_day_counts"))
+        .drop("_hour_counts", "_day_counts")
+    )
+
+
+def _argmax_position(counts: str):
+    """0-based index of the first maximum; null when every counter is 0."""
+    c = F.col(counts)
+    return F.when(F.array_max(c) > 0, F.array_position(c, F.array_max(c)) - 1)
 
 
 def _temporal_columns() -> list:
@@ -248,7 +263,8 @@ def _view_counts(events: DataFrame) -> DataFrame:
 
 
 def _view_entropy(view_counts: DataFrame) -> DataFrame:
-    """Shannon entropy (bits, +1e-10 inside the log) of viewed top categories.
+    """Shannon entropy (bits, +1e-10 inside the log) of viewed top categories,
+    and the most viewed top category (ties → lowest name).
 
     The share needs the user's total; the window runs over the user's
     distinct categories only (bounded by the category vocabulary).
@@ -258,7 +274,10 @@ def _view_entropy(view_counts: DataFrame) -> DataFrame:
     return (
         counts.withColumn("_term", entropy_term(share))
         .groupBy("user_id")
-        .agg(F.sum("_term").alias("_entropy"))
+        .agg(
+            F.sum("_term").alias("_entropy"),
+            F.min_by("_top", F.struct((-F.col("_n")).alias("n"), F.col("_top").alias("t"))).alias("top_category"),
+        )
     )
 
 
