@@ -50,6 +50,11 @@ class ClusterModel:
         self.model.write().overwrite().save(f"{path}/pipeline")
         self.thresholds.write.mode("overwrite").parquet(f"{path}/thresholds")
 
+    @staticmethod
+    def load(spark, path: str) -> "ClusterModel":
+        model = PipelineModel.load(f"{path}/pipeline")
+        return ClusterModel(model, model.stages[0].getInputCols(), spark.read.parquet(f"{path}/thresholds"))
+
 
 def _pipeline(feature_cols: Sequence[str], k: int, components: int) -> Pipeline:
     return Pipeline(

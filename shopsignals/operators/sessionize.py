@@ -30,9 +30,17 @@ def sessionize_by_gap(
     time_col: str = "event_time",
     tiebreak_cols: tuple[str, ...] = (),
     gap_seconds: int = 12 * 3600,
-    block_seconds: int = 86400,
+    block_seconds: int = 60,
     out_col: str = "user_session",
 ) -> DataFrame:
+    """Adds ``out_col`` (session id) to every row.
+
+    ``block_seconds`` bounds the work per task: one (user, block) window holds
+    at most one block-width of a single user's events (a user with a third
+    of 100 TB over two months is about 0.4 GB per one-minute block), and the
+    per-user window over blocks holds at most span / block-width rows
+    (86,400 for 60 days of one-minute blocks), whatever the event volume.
+    """
     gap_us = int(gap_seconds) * 1_000_000
     block_us = int(block_seconds) * 1_000_000
     rows = df.withColumn("_us", F.unix_micros(F.col(time_col))).withColumn(

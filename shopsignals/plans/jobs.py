@@ -123,6 +123,28 @@ def monitor_job(spark: SparkSession, out: str, baseline_path: str | None = None,
     sinks.save_table(overlay, f"{out}/drift_overlay")
 
 
+def monitor_windows_job(
+    spark: SparkSession,
+    events_root: str,
+    out: str,
+    baseline: tuple[str, str],
+    current: tuple[str, str],
+    horizon_days: float = features.DEFAULT_HORIZON_DAYS,
+    affinity_categories=features.DEFAULT_AFFINITY_CATEGORIES,
+) -> None:
+    """Shift report between two time windows of the event log ([start, end)
+    as timestamps): features are built per window, then compared.  A
+    scheduler runs this weekly with the last two weeks; scheduling itself is
+    left to the caller."""
+    ev = load_events(spark, events_root)
+    for name, (start, end) in (("baseline", baseline), ("current", current)):
+        win = ev.filter((F.col("event_time") >= F.lit(start).cast("timestamp")) & (F.col("event_time") < F.lit(end).cast("timestamp")))
+        sinks.save_table(
+            features.user_features(win, horizon_days, affinity_categories), f"{out}/features_{name}"
+        )
+    monitor_job(spark, out, f"{out}/features_baseline", f"{out}/features_current")
+
+
 def main(argv=None):
     ap = argparse.ArgumentParser(prog="shopsignals")
     ap.add_argument("stage", choices=["features", "train", "cluster", "score", "monitor"])

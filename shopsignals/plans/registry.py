@@ -858,3 +858,51 @@ def q_model_cluster_profiles(spark, sf):
 def q_model_silhouette(spark, sf):
     _f, _m, labelled = _clustered(spark, sf)
     return cluster_model.silhouette(labelled)
+
+
+@register(
+    "model_class_weights",
+    f"""WITH {ORDER_CTE}, {tw.session_features_ctes(ad.ORDERS_HORIZON_DAYS)},
+    bal AS (SELECT CAST(count(CASE WHEN churned = 0 THEN 1 END) AS DOUBLE)
+                   / nullif(count(CASE WHEN churned = 1 THEN 1 END), 0) AS w FROM session_features)
+    SELECT user_id, churned, round_even(CASE WHEN churned = 1 THEN coalesce(w, 1.0) ELSE 1.0 END, 6) AS weight
+    FROM session_features CROSS JOIN bal""",
+    "M3",
+)
+def q_model_class_weights(spark, sf):
+    feats = feat.session_features(_orders(spark, sf), horizon_days=ad.ORDERS_HORIZON_DAYS)
+    w = profiles.with_class_weight(feats, "churned", "weight")
+    return _round_cols(w.select("user_id", "churned", "weight"), ["weight"])
+
+
+# ----------------------------------------------------------------- streaming (rows-only)
+
+def _replayed_stream(spark, sf, build, name):
+    """Replay the clickstream events as a file stream into the shared
+    checkpoint folder, run the streaming plan to completion (availableNow),
+    and read the appended result back as a table."""
+    import uuid
+
+    from shopsignals.session import checkpoint_dir
+    from shopsignals.streaming import sessions as st
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+    ev = ad.clickstream_events(spark, sf, sessionize=False).drop("event_id")
+    ev.write.mode("overwrite").parquet(f"{root}/source")
+    q = st.start_to_parquet(build(st.read_event_stream(spark, f"{root}/source")), f"{root}/out", f"{root}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_sessions", None, "T1 (closed session windows; open ones stay in state)")
+def q_stream_sessions(spark, sf):
+    from shopsignals.streaming.sessions import session_stream
+
+    return _replayed_stream(spark, sf, session_stream, "sessions")
+
+
+@register("stream_daily_active_users", None, "T2 (HyperLogLog distinct users per closed day)")
+def q_stream_dau(spark, sf):
+    from shopsignals.streaming.sessions import dau_stream
+
+    return _replayed_stream(spark, sf, dau_stream, "dau")

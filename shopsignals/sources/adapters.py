@@ -52,7 +52,7 @@ def clickstream_events(spark: SparkSession, sf_dir: str, sessionize: bool = True
     ensure_utc(spark)
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    product = F.regexp_extract("props", "[0-9]+", 0).cast("int")
+    product = F.regexp_extract("props", "[0-9]+", 0).try_cast("int")
     base = ev.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("event_time"),
@@ -117,7 +117,7 @@ def clickstream_events_sql() -> str:
     base = f"""
       SELECT e.event_id, CAST(e.ts AS TIMESTAMP) AS event_time,
              CASE WHEN e.event_type = 'click' THEN 'cart' ELSE e.event_type END AS event_type,
-             CAST(regexp_extract(e.props, '[0-9]+', 0) AS INTEGER) AS product_id,
+             TRY_CAST(regexp_extract(e.props, '[0-9]+', 0) AS INTEGER) AS product_id,
              e.value AS price, e.user_id
       FROM events e"""
     joined = f"""(
