@@ -43,44 +43,42 @@ def sessionize_by_gap(
     """
     gap_us = int(gap_seconds) * 1_000_000
     block_us = int(block_seconds) * 1_000_000
-    rows = df.withColumn("_us", F.unix_micros(F.col(time_col))).withColumn(
-        "_blk", F.floor(F.col("_us") / F.lit(block_us))
-    )
+    us = F.unix_micros(F.col(time_col))
+    rows = df.withColumns({"_us": us, "_blk": F.floor(us / F.lit(block_us))})
     in_block = Window.partitionBy(user_col, "_blk").orderBy("_us", *tiebreak_cols)
-    rows = rows.withColumn("_prev", F.lag("_us").over(in_block))
-    rows = rows.withColumn(
-        "_inner",
-        F.when(F.col("_prev").isNotNull() & ((F.col("_us") - F.col("_prev")) > F.lit(gap_us)), F.col("_us")),
-    )
+    prev = F.lag("_us").over(in_block)
     rows = rows.withColumn(
+        "_inner", F.when(prev.isNotNull() & ((F.col("_us") - prev) > F.lit(gap_us)), F.col("_us"))
+    ).withColumn(
         "_start_in", F.max("_inner").over(in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
 
     over_blocks = Window.partitionBy(user_col).orderBy("_blk")
+    prev_bmax = F.lag("_bmax").over(over_blocks)
+    first_start = F.when(
+        prev_bmax.isNull() | ((F.col("_bmin") - prev_bmax) > F.lit(gap_us)), F.col("_bmin")
+    )
     blocks = (
         rows.groupBy(user_col, "_blk")
         .agg(F.min("_us").alias("_bmin"), F.max("_us").alias("_bmax"), F.max("_inner").alias("_binner"))
-        .withColumn("_prev_bmax", F.lag("_bmax").over(over_blocks))
-        .withColumn(
-            "_first_start",
-            F.when(
-                F.col("_prev_bmax").isNull() | ((F.col("_bmin") - F.col("_prev_bmax")) > F.lit(gap_us)),
-                F.col("_bmin"),
-            ),
-        )
-        .withColumn("_last_start", F.coalesce("_binner", "_first_start"))
-        .withColumn(
-            "_carry",
-            F.max("_last_start").over(over_blocks.rowsBetween(Window.unboundedPreceding, -1)),
+        .select(user_col, "_blk", first_start.alias("_first_start"), F.coalesce("_binner", first_start).alias("_last_start"))
+        .select(
+            user_col,
+            "_blk",
+            F.coalesce(
+                "_first_start",
+                F.max("_last_start").over(over_blocks.rowsBetween(Window.unboundedPreceding, -1)),
+            ).alias("_block_session"),
         )
-        .select(user_col, "_blk", F.coalesce("_first_start", "_carry").alias("_block_session"))
     )
 
+    # left join: when no caller reads the session column, Catalyst drops the
+    # whole sessionisation subtree
     out = rows.join(blocks, [user_col, "_blk"], "left")
     start = F.coalesce(F.col("_start_in"), F.col("_block_session"))
-    return out.withColumn(
-        out_col, F.concat_ws("-", F.col(user_col).cast("string"), start.cast("string"))
-    ).drop("_us", "_blk", "_prev", "_inner", "_start_in", "_block_session")
+    session = F.concat_ws("-", F.col(user_col).cast("string"), start.cast("string"))
+    keep = [c for c in df.columns]
+    return out.select(*keep, session.alias(out_col))
 
 
 def sessionize_sql(

@@ -50,9 +50,7 @@ def register(name: str, sql: str | None, ids: str = ""):
 
 
 def _round_cols(df: DataFrame, cols, digits: int = FLOAT_DIGITS) -> DataFrame:
-    for c in cols:
-        df = df.withColumn(c, round_half_even(c, digits))
-    return df
+    return df.withColumns({c: round_half_even(c, digits) for c in cols})
 
 
 def _sql_round(cols, digits: int = FLOAT_DIGITS) -> str:
