@@ -31,7 +31,7 @@ HEADLINE = [
     "features_merged",
     "scoring_batch",
     "eval_auc_ap",
-    "drift_ks",
+    "shift_ks",
 ]
 
 

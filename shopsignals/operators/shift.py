@@ -123,7 +123,7 @@ def ks_details(
     )
 
 
-def drift_verdict(details: DataFrame, alpha: float = DEFAULT_ALPHA) -> DataFrame:
+def shift_verdict(details: DataFrame, alpha: float = DEFAULT_ALPHA) -> DataFrame:
     """One row: share of drifted features, decision (> 0.5), counts, name lists.
 
     ``details`` has one row per feature, so the name lists are bounded.
@@ -149,7 +149,7 @@ def drift_verdict(details: DataFrame, alpha: float = DEFAULT_ALPHA) -> DataFrame
     )
 
 
-def drift_alerts(details: DataFrame) -> DataFrame:
+def shift_alerts(details: DataFrame) -> DataFrame:
     """Drifted features, largest KS first."""
     return details.filter("drift_detected").select(
         "feature", "ks_statistic", "p_value", "mean_shift_pct"

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from shopsignals.models import churn as churn_model
 from shopsignals.models import clusters as cluster_model
-from shopsignals.operators import drift, evaluation, features, profiles, scoring
+from shopsignals.operators import shift, evaluation, features, profiles, scoring
 from shopsignals.session import build_session
 from shopsignals.sources import sinks
 from shopsignals.sources.events import load_events
@@ -113,14 +113,14 @@ def monitor_job(spark: SparkSession, out: str, baseline_path: str | None = None,
     if baseline_path and current_path:
         base, cur = sinks.read_features(spark, baseline_path), sinks.read_features(spark, current_path)
     else:
-        base, cur = drift.positional_split(sinks.read_features(spark, f"{out}/features_merged"))
-    feats = drift.available_features(base)
-    details = drift.ks_details(base, cur, feats)
-    sinks.save_table(details, f"{out}/drift_details")
-    details = sinks.read_features(spark, f"{out}/drift_details")
-    sinks.save_json(drift.drift_verdict(details), f"{out}/drift_summary")
-    overlay = drift.distribution_overlay(base, cur, feats).join(drift.top_shifted(details), "feature", "left_semi")
-    sinks.save_table(overlay, f"{out}/drift_overlay")
+        base, cur = shift.positional_split(sinks.read_features(spark, f"{out}/features_merged"))
+    feats = shift.available_features(base)
+    details = shift.ks_details(base, cur, feats)
+    sinks.save_table(details, f"{out}/shift_details")
+    details = sinks.read_features(spark, f"{out}/shift_details")
+    sinks.save_json(shift.shift_verdict(details), f"{out}/shift_summary")
+    overlay = shift.distribution_overlay(base, cur, feats).join(shift.top_shifted(details), "feature", "left_semi")
+    sinks.save_table(overlay, f"{out}/shift_overlay")
 
 
 def monitor_windows_job(

@@ -218,7 +218,7 @@ def q_features_merged(spark, sf):
 # ----------------------------------------------------------------- scoring rules
 
 from shopsignals.functions import rules  # noqa: E402
-from shopsignals.operators import drift, evaluation, scoring  # noqa: E402
+from shopsignals.operators import shift, evaluation, scoring  # noqa: E402
 
 SCORE_SQL = "least(1.0, recency_days / 60.0) * 0.7 + cart_abandonment_rate * 0.3"
 
@@ -482,9 +482,9 @@ def q_eval_score_histogram(spark, sf):
     return _round_cols(h, ["density"])
 
 
-# ----------------------------------------------------------------- drift report
+# ----------------------------------------------------------------- distribution-shift report
 
-_MON = drift.MONITOR_FEATURES
+_MON = shift.MONITOR_FEATURES
 _MON_LIST = ", ".join(_MON)
 _MON_ARRAY = "[" + ", ".join(f"'{f}'" for f in _MON) + "]"
 
@@ -522,15 +522,15 @@ SPLIT_SQL = f"""{USER_FEATURES_SQL},
     details AS (
       SELECT feature, list_position({_MON_ARRAY}, feature) AS feature_order,
              round_even(ks_raw, 4) AS ks_statistic,
-             CASE WHEN lam < {drift.KS_SMALL_LAMBDA} THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_reduce(
-               list_transform(range(1, {drift.KS_SERIES_TERMS + 1}),
+             CASE WHEN lam < {shift.KS_SMALL_LAMBDA} THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_reduce(
+               list_transform(range(1, {shift.KS_SERIES_TERMS + 1}),
                  lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * lam * lam)),
                lambda a, b: a + b))) END AS p_raw,
              round_even(ref_mean_raw, 4) AS ref_mean, round_even(cur_mean_raw, 4) AS cur_mean,
              round_even(abs(cur_mean_raw - ref_mean_raw) / (abs(ref_mean_raw) + 1e-10) * 100.0, 2) AS mean_shift_pct,
              CAST(total_ref AS BIGINT) AS n_ref, CAST(total_cur AS BIGINT) AS n_cur
       FROM lam),
-    det AS (SELECT * EXCLUDE (p_raw), round_even(p_raw, 6) AS p_value, p_raw < {drift.DEFAULT_ALPHA} AS drift_detected FROM details)"""
+    det AS (SELECT * EXCLUDE (p_raw), round_even(p_raw, 6) AS p_value, p_raw < {shift.DEFAULT_ALPHA} AS drift_detected FROM details)"""
 
 
 def clickstream_monitored_features(spark, sf) -> DataFrame:
@@ -538,23 +538,23 @@ def clickstream_monitored_features(spark, sf) -> DataFrame:
     return materialize(clickstream_user_features(spark, sf))
 
 
-def clickstream_drift_details(spark, sf) -> DataFrame:
+def clickstream_shift_details(spark, sf) -> DataFrame:
     feats = clickstream_monitored_features(spark, sf)
-    base, cur = drift.positional_split(feats, "user_id", 0.8)
-    return drift.ks_details(base, cur, drift.available_features(feats))
+    base, cur = shift.positional_split(feats, "user_id", 0.8)
+    return shift.ks_details(base, cur, shift.available_features(feats))
 
 
 @register(
-    "drift_ks",
+    "shift_ks",
     SPLIT_SQL + " SELECT * FROM det",
     "R1-R4 W2 W4 U3 F13",
 )
-def q_drift_ks(spark, sf):
-    return clickstream_drift_details(spark, sf)
+def q_shift_ks(spark, sf):
+    return clickstream_shift_details(spark, sf)
 
 
 @register(
-    "drift_verdict",
+    "shift_verdict",
     SPLIT_SQL + """
     SELECT avg(CASE WHEN drift_detected THEN 1.0 ELSE 0.0 END) > 0.5 AS dataset_drift_detected,
            round_even(avg(CASE WHEN drift_detected THEN 1.0 ELSE 0.0 END), 4) AS drift_share,
@@ -566,8 +566,8 @@ def q_drift_ks(spark, sf):
     FROM det""",
     "R5",
 )
-def q_drift_verdict(spark, sf):
-    v = drift.drift_verdict(clickstream_drift_details(spark, sf))
+def q_shift_verdict(spark, sf):
+    v = shift.shift_verdict(clickstream_shift_details(spark, sf))
     return v.select(
         "dataset_drift_detected", "drift_share", "n_drifted_features", "n_stable_features", "n_total_features",
         F.array_join("drifted_features", ",").alias("drifted_features"),
@@ -576,43 +576,43 @@ def q_drift_verdict(spark, sf):
 
 
 @register(
-    "drift_alerts",
+    "shift_alerts",
     SPLIT_SQL + " SELECT feature, ks_statistic, p_value, mean_shift_pct FROM det WHERE drift_detected ORDER BY ks_statistic DESC, feature",
     "R7",
 )
-def q_drift_alerts(spark, sf):
-    return drift.drift_alerts(clickstream_drift_details(spark, sf))
+def q_shift_alerts(spark, sf):
+    return shift.shift_alerts(clickstream_shift_details(spark, sf))
 
 
 @register(
-    "drift_overlay",
+    "shift_overlay",
     SPLIT_SQL + f""",
-    top AS (SELECT feature FROM det ORDER BY ks_statistic DESC, feature_order LIMIT {drift.OVERLAY_TOP}),
+    top AS (SELECT feature FROM det ORDER BY ks_statistic DESC, feature_order LIMIT {shift.OVERLAY_TOP}),
     rng AS (SELECT feature, min(value) AS lo, max(value) AS hi,
                    sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS n0, sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS n1
             FROM long GROUP BY feature),
-    b0 AS (SELECT l.*, r.lo, r.hi, r.n0, r.n1, (r.hi - r.lo) / {float(drift.OVERLAY_EDGES - 1)} AS step,
-                  CASE WHEN r.hi = r.lo THEN 0 ELSE least(CAST(floor((l.value - r.lo) / (r.hi - r.lo) * {float(drift.OVERLAY_EDGES - 1)}) AS INTEGER), {drift.OVERLAY_EDGES - 2}) END AS i0
+    b0 AS (SELECT l.*, r.lo, r.hi, r.n0, r.n1, (r.hi - r.lo) / {float(shift.OVERLAY_EDGES - 1)} AS step,
+                  CASE WHEN r.hi = r.lo THEN 0 ELSE least(CAST(floor((l.value - r.lo) / (r.hi - r.lo) * {float(shift.OVERLAY_EDGES - 1)}) AS INTEGER), {shift.OVERLAY_EDGES - 2}) END AS i0
            FROM long l JOIN rng r USING (feature) WHERE feature IN (SELECT feature FROM top)),
-    b1 AS (SELECT *, CASE WHEN value < (CASE WHEN i0 >= {drift.OVERLAY_EDGES - 1} THEN hi ELSE lo + i0 * step END) THEN i0 - 1 ELSE i0 END AS i1 FROM b0),
-    b2 AS (SELECT *, CASE WHEN value >= (CASE WHEN i1 + 1 >= {drift.OVERLAY_EDGES - 1} THEN hi ELSE lo + (i1 + 1) * step END)
-                           AND i1 <> {drift.OVERLAY_EDGES - 2} THEN i1 + 1 ELSE i1 END AS bin FROM b1),
+    b1 AS (SELECT *, CASE WHEN value < (CASE WHEN i0 >= {shift.OVERLAY_EDGES - 1} THEN hi ELSE lo + i0 * step END) THEN i0 - 1 ELSE i0 END AS i1 FROM b0),
+    b2 AS (SELECT *, CASE WHEN value >= (CASE WHEN i1 + 1 >= {shift.OVERLAY_EDGES - 1} THEN hi ELSE lo + (i1 + 1) * step END)
+                           AND i1 <> {shift.OVERLAY_EDGES - 2} THEN i1 + 1 ELSE i1 END AS bin FROM b1),
     c AS (SELECT feature, bin, lo, hi, n0, n1, step, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS c0,
                  sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS c1 FROM b2 GROUP BY ALL),
-    e AS (SELECT *, CASE WHEN bin >= {drift.OVERLAY_EDGES - 1} THEN hi ELSE lo + bin * step END AS lower,
-                    CASE WHEN bin + 1 >= {drift.OVERLAY_EDGES - 1} THEN hi ELSE lo + (bin + 1) * step END AS upper FROM c)
+    e AS (SELECT *, CASE WHEN bin >= {shift.OVERLAY_EDGES - 1} THEN hi ELSE lo + bin * step END AS lower,
+                    CASE WHEN bin + 1 >= {shift.OVERLAY_EDGES - 1} THEN hi ELSE lo + (bin + 1) * step END AS upper FROM c)
     SELECT feature, bin, round_even(lower, 6) AS lower, round_even(upper, 6) AS upper,
            round_even(c0 / (upper - lower) / n0, 6) AS baseline_density,
            round_even(c1 / (upper - lower) / n1, 6) AS current_density
     FROM e""",
     "R6",
 )
-def q_drift_overlay(spark, sf):
+def q_shift_overlay(spark, sf):
     feats = clickstream_monitored_features(spark, sf)
-    base, cur = drift.positional_split(feats, "user_id", 0.8)
-    features = drift.available_features(feats)
-    details = drift.ks_details(base, cur, features)
-    ov = drift.distribution_overlay(base, cur, features).join(drift.top_shifted(details), "feature", "left_semi")
+    base, cur = shift.positional_split(feats, "user_id", 0.8)
+    features = shift.available_features(feats)
+    details = shift.ks_details(base, cur, features)
+    ov = shift.distribution_overlay(base, cur, features).join(shift.top_shifted(details), "feature", "left_semi")
     return _round_cols(ov, ["lower", "upper", "baseline_density", "current_density"])
 
 
@@ -706,7 +706,7 @@ def q_profiles_dataset_means(spark, sf):
     return profiles.dataset_means(clickstream_user_features(spark, sf))
 
 
-_DESCRIBE = drift.MONITOR_FEATURES
+_DESCRIBE = shift.MONITOR_FEATURES
 
 
 @register(
@@ -748,11 +748,11 @@ def q_sample_stratified_split(spark, sf):
 @register("sample_users", None, "O8 (hash-ordered sample; engines hash differently → rows-only)")
 def q_sample_users(spark, sf):
     feats = feat.session_features(_orders(spark, sf), horizon_days=ad.ORDERS_HORIZON_DAYS)
-    return drift.hash_sample(feats, 200, seed=42)
+    return shift.hash_sample(feats, 200, seed=42)
 
 
 @register(
-    "drift_positional_split",
+    "shift_positional_split",
     USER_FEATURES_SQL + """,
     pos AS (SELECT user_id, row_number() OVER (ORDER BY user_id) AS rn, count(*) OVER () AS n FROM user_features)
     SELECT CASE WHEN rn <= floor(n * 0.8) THEN 'baseline' ELSE 'current' END AS side, count(*) AS users,
@@ -760,8 +760,8 @@ def q_sample_users(spark, sf):
     FROM pos GROUP BY 1""",
     "W4 R1",
 )
-def q_drift_positional_split(spark, sf):
-    base, cur = drift.positional_split(clickstream_user_features(spark, sf), "user_id", 0.8)
+def q_shift_positional_split(spark, sf):
+    base, cur = shift.positional_split(clickstream_user_features(spark, sf), "user_id", 0.8)
     tagged = base.select("user_id", F.lit("baseline").alias("side")).unionByName(
         cur.select("user_id", F.lit("current").alias("side"))
     )

@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shopsignals.operators import drift, evaluation, profiles
+from shopsignals.operators import shift, evaluation, profiles
 from shopsignals.operators.running import global_rank, order_block, running_totals
 from shopsignals.operators.sessionize import sessionize_by_gap
 
@@ -96,7 +96,7 @@ def test_ks_statistic_against_brute_force(spark):
     rng = np.random.default_rng(4)
     base = pd.DataFrame({"x": rng.normal(0, 1, 800).round(2), "y": rng.integers(0, 5, 800).astype(float)})
     cur = pd.DataFrame({"x": rng.normal(0.3, 1, 300).round(2), "y": rng.integers(0, 6, 300).astype(float)})
-    det = {r["feature"]: r for r in drift.ks_details(spark.createDataFrame(base), spark.createDataFrame(cur), ["x", "y"]).collect()}
+    det = {r["feature"]: r for r in shift.ks_details(spark.createDataFrame(base), spark.createDataFrame(cur), ["x", "y"]).collect()}
     for f in ["x", "y"]:
         d = _ks_brute(base[f].values, cur[f].values)
         assert det[f]["ks_statistic"] == pytest.approx(np.round(d, 4))
@@ -110,9 +110,9 @@ def test_ks_statistic_against_brute_force(spark):
 def test_ks_identical_and_disjoint(spark):
     a = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
     b = spark.createDataFrame([(float(i + 1000),) for i in range(50)], "x double")
-    same = drift.ks_details(a, a, ["x"]).collect()[0]
+    same = shift.ks_details(a, a, ["x"]).collect()[0]
     assert same["ks_statistic"] == 0.0 and same["p_value"] == 1.0 and not same["drift_detected"]
-    apart = drift.ks_details(a, b, ["x"]).collect()[0]
+    apart = shift.ks_details(a, b, ["x"]).collect()[0]
     assert apart["ks_statistic"] == 1.0 and apart["drift_detected"]
 
 
@@ -122,7 +122,7 @@ def test_overlay_matches_numpy_histogram(spark):
     b = rng.gamma(2.5, 3.0, 200).round(3)
     da = spark.createDataFrame([(float(x),) for x in a], "x double")
     db = spark.createDataFrame([(float(x),) for x in b], "x double")
-    got = drift.distribution_overlay(da, db, ["x"]).toPandas().set_index("bin").sort_index()
+    got = shift.distribution_overlay(da, db, ["x"]).toPandas().set_index("bin").sort_index()
     bins = np.linspace(min(a.min(), b.min()), max(a.max(), b.max()), 40)
     ha, _ = np.histogram(a, bins=bins, density=True)
     hb, _ = np.histogram(b, bins=bins, density=True)

@@ -115,6 +115,6 @@ def test_models_and_jobs(spark, scratch, event_root):
     labels = spark.read.parquet(f"{out}/cluster_labels")
     assert labels.count() == merged.filter("total_sessions >= 2").count()
     jobs.monitor_job(spark, out)
-    summary = json.loads(open([os.path.join(f"{out}/drift_summary", f) for f in os.listdir(f"{out}/drift_summary") if f.endswith(".json")][0]).readline())
+    summary = json.loads(open([os.path.join(f"{out}/shift_summary", f) for f in os.listdir(f"{out}/shift_summary") if f.endswith(".json")][0]).readline())
     assert summary["n_total_features"] == 18
     assert summary["test"] == "Kolmogorov-Smirnov"
