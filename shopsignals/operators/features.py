@@ -4,7 +4,7 @@ Input: an event table (``event_time, event_type, product_id, category_id,
 category_code, brand, price, user_id, user_session``).  Output: one row per
 user.  Every family is a fixed, static plan:
 
-* global time bounds are one tiny aggregate, broadcast as a single row;
+* global time bounds are one tiny aggregate, used as scalar sub-queries;
 * per-session work is one ``groupBy(user_id, user_session)``;
 * everything per user is a single ``groupBy(user_id)`` of conditional
   aggregates (no per-category loop, no outer joins of Series);
@@ -95,8 +95,11 @@ def time_bounds(events: DataFrame) -> DataFrame:
 
 
 def with_bounds(df: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Attach the one-row bounds to every row (broadcast; size is one row)."""
-    return df.crossJoin(F.broadcast(bounds))
+    """Attach the global bounds as scalar sub-queries (computed once per
+    query; Spark merges the two into one aggregate over the events)."""
+    return df.withColumns(
+        {"t_min_us": bounds.select("t_min_us").scalar(), "t_max_us": bounds.select("t_max_us").scalar()}
+    )
 
 
 # ------------------------------------------------------------------ sessions

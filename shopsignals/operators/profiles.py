@@ -108,10 +108,10 @@ def class_balance(df: DataFrame, label_col: str = "churned") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label_col: str = "churned", weight_col: str = "weight") -> DataFrame:
-    """Row weight: neg/pos for positives, 1 for negatives (one-row broadcast)."""
-    bal = class_balance(df, label_col).select("scale_pos_weight")
-    w = F.when(F.col(label_col) == 1, F.coalesce(F.col("scale_pos_weight"), F.lit(1.0))).otherwise(F.lit(1.0))
-    return df.crossJoin(F.broadcast(bal)).withColumn(weight_col, w).drop("scale_pos_weight")
+    """Row weight: neg/pos for positives, 1 for negatives (a scalar sub-query)."""
+    ratio = class_balance(df, label_col).select("scale_pos_weight").scalar()
+    w = F.when(F.col(label_col) == 1, F.coalesce(ratio, F.lit(1.0))).otherwise(F.lit(1.0))
+    return df.withColumn(weight_col, w)
 
 
 def dataset_means(df: DataFrame, label_col: str = "churned") -> DataFrame:

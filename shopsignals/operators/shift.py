@@ -216,11 +216,9 @@ def positional_split(df: DataFrame, order_col: str = "user_id", fraction: float
     ``row_number``; the cut is ``int(n * fraction)`` as in slicing.
     """
     ranked = global_rank(df, order_col, "_pos")
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    cut = F.floor(F.col("_n") * F.lit(fraction))
-    tagged = ranked.crossJoin(F.broadcast(n))  # one row
-    base = tagged.filter(F.col("_pos") <= cut).drop("_pos", "_n")
-    cur = tagged.filter(F.col("_pos") > cut).drop("_pos", "_n")
+    cut = F.floor(df.agg(F.count(F.lit(1))).scalar() * F.lit(fraction))
+    base = ranked.filter(F.col("_pos") <= cut).drop("_pos")
+    cur = ranked.filter(F.col("_pos") > cut).drop("_pos")
     return base, cur
 
 

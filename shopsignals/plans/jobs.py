@@ -65,10 +65,10 @@ def train_job(spark: SparkSession, out: str, params: dict | None = None) -> str:
         s = churn_model.score(model, prepared.filter(cond)).select(
             F.col("churned").alias("label"), F.col("churn_proba").alias("score")
         )
+        ap = evaluation.average_precision(s).select("average_precision")
         row = (
             evaluation.threshold_metrics(s)
-            .crossJoin(evaluation.roc_auc(s))
-            .crossJoin(evaluation.average_precision(s))
+            .withColumns({"roc_auc": evaluation.roc_auc(s).scalar(), "average_precision": ap.scalar()})
             .first()
             .asDict()
         )
@@ -104,7 +104,9 @@ def score_job(spark: SparkSession, out: str, csv_path: str | None = None) -> Dat
     scored = scoring.score_users(scored_in, "churn_proba")
     sinks.save_json(scored, f"{out}/scored")
     sinks.save_table(checked.filter(~F.col("is_valid")).select("user_id", "rejection_reasons"), f"{out}/rejected")
-    summary = scoring.batch_summary(scored).crossJoin(scoring.archetype_map(scored))
+    summary = scoring.batch_summary(scored).withColumn(
+        "archetype_distribution", scoring.archetype_map(scored).scalar()
+    )
     sinks.save_json(summary, f"{out}/score_summary")
     return scored
 

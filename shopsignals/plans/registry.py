@@ -394,9 +394,8 @@ def q_eval_auc_ap(spark, sf):
     s = order_scores(spark, sf)
     auc = evaluation.roc_auc(s)
     ap = evaluation.average_precision(s)
-    out = auc.crossJoin(ap)
-    return out.select(
-        round_half_even("roc_auc", 4).alias("roc_auc"),
+    return ap.select(
+        round_half_even(auc.scalar(), 4).alias("roc_auc"),
         round_half_even("average_precision", 4).alias("average_precision"),
         round_half_even("positive_rate", 6).alias("positive_rate"),
     )
@@ -809,7 +808,8 @@ def q_model_churn_metrics(spark, sf):
         F.col("churned").alias("label"), F.col("churn_proba").alias("score")
     )
     m = evaluation.threshold_metrics(test)
-    return m.crossJoin(evaluation.roc_auc(test)).crossJoin(evaluation.average_precision(test))
+    ap = evaluation.average_precision(test).select("average_precision")
+    return m.withColumns({"roc_auc": evaluation.roc_auc(test).scalar(), "average_precision": ap.scalar()})
 
 
 @register("model_feature_importance", None, "M10 O3")
