@@ -65,10 +65,12 @@ def train_job(spark: SparkSession, out: str, params: dict | None = None) -> str:
         s = churn_model.score(model, prepared.filter(cond)).select(
             F.col("churned").alias("label"), F.col("churn_proba").alias("score")
         )
-        ap = evaluation.average_precision(s).select("average_precision")
+        curves = evaluation.summary_curves(s)
         row = (
             evaluation.threshold_metrics(s)
-            .withColumns({"roc_auc": evaluation.roc_auc(s).scalar(), "average_precision": ap.scalar()})
+            .withColumns(
+                {"roc_auc": curves.select("roc_auc").scalar(), "average_precision": curves.select("average_precision").scalar()}
+            )
             .first()
             .asDict()
         )

@@ -384,18 +384,16 @@ def q_eval_roc_curve(spark, sf):
 @register(
     "eval_auc_ap",
     EVAL_SQL + """
-    SELECT round_even(sum(neg / N * ((tp - pos) + tp) / P / 2.0), 4) AS roc_auc,
-           round_even(sum(pos / P * (tp / (tp + fp))), 4) AS average_precision,
-           round_even(max(P) / (max(P) + max(N)), 6) AS positive_rate
+    SELECT round_even(sum(neg * (2 * tp - pos)) / (2.0 * sum(pos) * sum(neg)), 4) AS roc_auc,
+           round_even(sum(pos * (tp / (tp + fp))) / sum(pos), 4) AS average_precision,
+           round_even(sum(pos) / (sum(pos) + sum(neg)), 6) AS positive_rate
     FROM sw""",
     "E1 E2",
 )
 def q_eval_auc_ap(spark, sf):
-    s = order_scores(spark, sf)
-    auc = evaluation.roc_auc(s)
-    ap = evaluation.average_precision(s)
-    return ap.select(
-        round_half_even(auc.scalar(), 4).alias("roc_auc"),
+    out = evaluation.summary_curves(order_scores(spark, sf))
+    return out.select(
+        round_half_even("roc_auc", 4).alias("roc_auc"),
         round_half_even("average_precision", 4).alias("average_precision"),
         round_half_even("positive_rate", 6).alias("positive_rate"),
     )
@@ -808,8 +806,10 @@ def q_model_churn_metrics(spark, sf):
         F.col("churned").alias("label"), F.col("churn_proba").alias("score")
     )
     m = evaluation.threshold_metrics(test)
-    ap = evaluation.average_precision(test).select("average_precision")
-    return m.withColumns({"roc_auc": evaluation.roc_auc(test).scalar(), "average_precision": ap.scalar()})
+    curves = evaluation.summary_curves(test)
+    return m.withColumns(
+        {"roc_auc": curves.select("roc_auc").scalar(), "average_precision": curves.select("average_precision").scalar()}
+    )
 
 
 @register("model_feature_importance", None, "M10 O3")
