@@ -30,6 +30,13 @@ def round_half_up(c, digits: int) -> Column:
     return F.round(_col(c), digits)
 
 
+def exact_avg(c, scale: int = 12) -> Column:
+    """Mean over an exact decimal sum: independent of summation order, so a
+    mean that lands on a rounding tie rounds the same way on every engine
+    and partitioning (a double sum's last bit depends on the order)."""
+    return F.avg(_col(c).cast(f"decimal(38,{scale})")).cast("double")
+
+
 def safe_ratio(num, den, default: float = 0.0) -> Column:
     """num / den; ``default`` when den is 0 or null (pandas replace(0, nan) + fillna)."""
     return F.coalesce(F.try_divide(_col(num).cast("double"), _col(den)), F.lit(default))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopsignals.functions import rules
-from shopsignals.functions.numeric import round_half_even
+from shopsignals.functions.numeric import exact_avg, round_half_even
 from shopsignals.operators.running import running_totals
 
 # Behavioural signals used for clustering (not the label).
@@ -64,7 +64,7 @@ def cluster_profiles(
     only (one row per cluster)."""
     feats = [c for c in feature_cols if c in df.columns]
     aggs = [F.count(F.lit(1)).alias("user_count")]
-    aggs += [F.avg(c).alias(c) for c in feats]
+    aggs += [exact_avg(c).alias(c) for c in feats]
     if label_col in df.columns:
         aggs.append(F.avg(label_col).alias("churn_rate"))
     keys = [cluster_col] + ([archetype_col] if archetype_col else [])
@@ -137,7 +137,7 @@ def describe(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.
     )
     stats = long.groupBy("feature").agg(
         F.count(F.lit(1)).alias("count"),
-        F.avg("value").alias("mean"),
+        exact_avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),

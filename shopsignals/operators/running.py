@@ -96,3 +96,26 @@ def global_rank(df: DataFrame, order_col: str, out_col: str = "row_pos", resolut
     ones = df.withColumn("_one", F.lit(1).cast("long")).withColumn("_g", F.lit(0))
     ranked = running_totals(ones, ["_g"], order_col, ["_one"], prefix="_cum", resolution=resolution)
     return ranked.withColumnRenamed("_cum_one", out_col).drop("_one", "_g")
+
+
+def kth_smallest(df: DataFrame, col: str, k, resolution: int = DEFAULT_RESOLUTION):
+    """The k-th smallest value (1-based) of a unique column, as a scalar
+    sub-query column; null when k < 1 or k > rows.
+
+    Distributed selection: count rows per order block (one row per non-empty
+    block), find the block holding position k with a running sum over the
+    block counts, then rank only that block's rows.  No step sees more than
+    one block of rows or the block table.
+    """
+    k = F.lit(k) if isinstance(k, int) else k
+    blk = order_block(col, resolution)
+    counts = df.groupBy(blk.alias("_blk")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(
+        F.sum("_n").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    target = counts.withColumn("_before", before).filter((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k))
+    target_blk = target.select("_blk").scalar()
+    offset = target.select("_before").scalar()
+    in_block = df.filter(blk == target_blk).select(col)
+    ranked = in_block.withColumn("_r", F.row_number().over(Window.orderBy(col)))
+    return ranked.filter(F.col("_r") == k - offset).select(col).scalar()

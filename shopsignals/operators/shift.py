@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopsignals.functions.numeric import relative_shift_pct, round_half_even
-from shopsignals.operators.running import global_rank, running_totals
+from shopsignals.functions.numeric import exact_avg, relative_shift_pct, round_half_even
+from shopsignals.operators.running import kth_smallest, running_totals
 
 # Monitored features, test level, series length, overlay shape.
 MONITOR_FEATURES = [
@@ -96,8 +96,8 @@ def ks_details(
     totals = stacked.groupBy("feature").agg(
         F.sum(is_ref).alias("total_ref"),
         F.sum(is_cur).alias("total_cur"),
-        F.avg(F.when(F.col("side") == 0, F.col("value"))).alias("ref_mean_raw"),
-        F.avg(F.when(F.col("side") == 1, F.col("value"))).alias("cur_mean_raw"),
+        exact_avg(F.when(F.col("side") == 0, F.col("value"))).alias("ref_mean_raw"),
+        exact_avg(F.when(F.col("side") == 1, F.col("value"))).alias("cur_mean_raw"),
     )
     cum = running_totals(counts, ["feature"], "value", ["n_ref", "n_cur"])
     # totals has one row per feature: a proven, tiny broadcast
@@ -212,13 +212,14 @@ def distribution_overlay(
 def positional_split(df: DataFrame, order_col: str = "user_id", fraction: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """First ``fraction`` of rows by ``order_col`` vs the rest (order_col unique).
 
-    Positions come from blocked running totals, not a one-partition
-    ``row_number``; the cut is ``int(n * fraction)`` as in slicing.
+    The cut key is found by distributed selection (``kth_smallest``), not a
+    one-partition ``row_number``; the cut is ``int(n * fraction)`` as in
+    slicing.  Both sides are then plain filters of the input.
     """
-    ranked = global_rank(df, order_col, "_pos")
-    cut = F.floor(df.agg(F.count(F.lit(1))).scalar() * F.lit(fraction))
-    base = ranked.filter(F.col("_pos") <= cut).drop("_pos")
-    cur = ranked.filter(F.col("_pos") > cut).drop("_pos")
+    k = F.floor(df.agg(F.count(F.lit(1))).scalar() * F.lit(fraction)).cast("long")
+    cut = kth_smallest(df, order_col, k)  # the last baseline row's key
+    base = df.filter(F.col(order_col) <= cut)
+    cur = df.filter(F.coalesce(F.col(order_col) > cut, F.lit(True)))
     return base, cur
 
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopsignals.operators import shift, evaluation, profiles
-from shopsignals.operators.running import global_rank, order_block, running_totals
+from shopsignals.operators.running import global_rank, kth_smallest, order_block, running_totals
 from shopsignals.operators.sessionize import sessionize_by_gap
 
 
@@ -190,3 +190,16 @@ def test_describe_quartiles_match_numpy(spark):
     for q, name in [(25, "p25"), (50, "p50"), (75, "p75")]:
         assert r[name] == pytest.approx(np.percentile(x, q))
     assert r["std"] == pytest.approx(np.std(x, ddof=1))
+
+
+def test_kth_smallest_and_positional_split(spark):
+    ids = random.Random(12).sample(range(-5000, 10_000_000), 997)
+    df = spark.createDataFrame([(i,) for i in ids], "user_id long")
+    srt = sorted(ids)
+    for k in (1, 2, 500, 797, 997):
+        assert df.select(kth_smallest(df, "user_id", k).alias("v")).first()["v"] == srt[k - 1]
+    assert df.select(kth_smallest(df, "user_id", 0).alias("v")).first()["v"] is None
+    base, cur = shift.positional_split(df, "user_id", 0.8)
+    cut = int(len(ids) * 0.8)
+    assert sorted(r[0] for r in base.collect()) == srt[:cut]
+    assert sorted(r[0] for r in cur.collect()) == srt[cut:]
