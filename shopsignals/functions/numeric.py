@@ -30,11 +30,21 @@ def round_half_up(c, digits: int) -> Column:
     return F.round(_col(c), digits)
 
 
-def exact_avg(c, scale: int = 12) -> Column:
-    """Mean over an exact decimal sum: independent of summation order, so a
-    mean that lands on a rounding tie rounds the same way on every engine
-    and partitioning (a double sum's last bit depends on the order)."""
-    return F.avg(_col(c).cast(f"decimal(38,{scale})")).cast("double")
+EXACT_SCALE = 12
+
+
+def exact_sum(c, scale: int = EXACT_SCALE) -> Column:
+    """Sum as a decimal: exact, so independent of summation order (a double
+    sum's last bits depend on partitioning and retries)."""
+    return F.sum(_col(c).cast(f"decimal(38,{scale})"))
+
+
+def exact_avg(c, scale: int = EXACT_SCALE) -> Column:
+    """Mean = (exact decimal sum, as the nearest double) / count.
+
+    Order-independent, so a mean that lands on a rounding tie rounds the same
+    way on every engine, partitioning and retry."""
+    return exact_sum(c, scale).cast("double") / F.count(_col(c))
 
 
 def safe_ratio(num, den, default: float = 0.0) -> Column:
@@ -51,6 +61,10 @@ def seconds_between(start, end) -> Column:
     return (micros(end) - micros(start)) / F.lit(float(MICROS_PER_SECOND))
 
 
+def micros_between(start, end) -> Column:
+    return micros(end) - micros(start)
+
+
 def minutes_between(start, end) -> Column:
     return seconds_between(start, end) / F.lit(60.0)
 

@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 from shopsignals.functions.category import entropy_term, top_category
 from shopsignals.functions.numeric import (
     MICROS_PER_DAY,
+    exact_avg,
+    exact_sum,
     micros,
-    minutes_between,
+    micros_between,
     round_half_even,
     safe_ratio,
 )
@@ -108,7 +110,9 @@ def session_aggregate(events: DataFrame) -> DataFrame:
     """Per (user, session): span, event counts, purchase revenue, last purchase.
 
     ``total_events`` counts non-null event types.  Null sessions stay as their
-    own group here (they feed the last-purchase time only).
+    own group here (they feed the last-purchase time only).  Revenue is an
+    exact decimal sum and the duration integer microseconds, so the user
+    roll-up does not depend on summation order.
     """
     purchase = _is("purchase")
     return (
@@ -121,12 +125,12 @@ def session_aggregate(events: DataFrame) -> DataFrame:
             _count_if(_is("view")).alias("views"),
             _count_if(_is("cart")).alias("cart_adds"),
             _count_if(purchase).alias("purchases"),
-            F.coalesce(F.sum(F.when(purchase, F.col("price"))), F.lit(0.0)).alias("session_revenue"),
+            F.coalesce(exact_sum(F.when(purchase, F.col("price"))), F.lit(0).cast("decimal(38,12)")).alias(
+                "session_revenue"
+            ),
             F.max(F.when(purchase, F.col("event_time"))).alias("last_purchase_time"),
         )
-        .withColumn(
-            "duration_min", F.greatest(minutes_between("session_start", "session_end"), F.lit(0.0))
-        )
+        .withColumn("duration_us", F.greatest(micros_between("session_start", "session_end"), F.lit(0)))
     )
 
 
@@ -146,10 +150,10 @@ def session_features(
     per_user = sess.groupBy("user_id").agg(
         F.max(s("session_end")).alias("last_session"),
         F.count(s(F.lit(1))).alias("total_sessions"),
-        F.sum(s("session_revenue")).alias("total_revenue"),
-        F.avg(s("session_revenue")).alias("avg_session_revenue"),
+        F.sum(s("session_revenue")).cast("double").alias("total_revenue"),
+        (F.sum(s("session_revenue")).cast("double") / F.count(s("session_revenue"))).alias("avg_session_revenue"),
         F.avg(s("total_events")).alias("avg_events_per_session"),
-        F.avg(s("duration_min")).alias("avg_duration_min"),
+        (exact_avg(s("duration_us"), 0) / F.lit(1e6) / F.lit(60.0)).alias("avg_duration_min"),
         F.sum(s("views")).alias("total_views"),
         F.sum(s("cart_adds")).alias("total_cart_adds"),
         F.sum(s("purchases")).alias("total_purchases"),

@@ -280,7 +280,7 @@ def q_scoring_batch(spark, sf):
     "scoring_summary",
     SCORED_SQL + """
     SELECT count(*) AS total_users, count(CASE WHEN churn_prediction THEN 1 END) AS predicted_churners,
-           round_even(CAST(avg(CAST(churn_probability AS DECIMAL(38,12))) AS DOUBLE), 4) AS avg_churn_probability,
+           round_even((CAST(sum(CAST(churn_probability AS DECIMAL(38,12))) AS DOUBLE) / count(churn_probability)), 4) AS avg_churn_probability,
            count(CASE WHEN risk_level IN ('high', 'critical') THEN 1 END) AS high_risk_users
     FROM scored""",
     "A30 D9",
@@ -496,8 +496,8 @@ SPLIT_SQL = f"""{USER_FEATURES_SQL},
     totals AS (
       SELECT feature, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS total_ref,
              sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS total_cur,
-             CAST(avg(CAST(CASE WHEN side = 0 THEN value END AS DECIMAL(38,12))) AS DOUBLE) AS ref_mean_raw,
-             CAST(avg(CAST(CASE WHEN side = 1 THEN value END AS DECIMAL(38,12))) AS DOUBLE) AS cur_mean_raw
+             (CAST(sum(CAST(CASE WHEN side = 0 THEN value END AS DECIMAL(38,12))) AS DOUBLE) / count(CASE WHEN side = 0 THEN value END)) AS ref_mean_raw,
+             (CAST(sum(CAST(CASE WHEN side = 1 THEN value END AS DECIMAL(38,12))) AS DOUBLE) / count(CASE WHEN side = 1 THEN value END)) AS cur_mean_raw
       FROM long GROUP BY feature),
     vcounts AS (
       SELECT feature, value, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS n_ref,
@@ -633,7 +633,7 @@ PROFILE_SQL = f"""{USER_FEATURES_SQL},
     cl AS (SELECT *, {_RULE_ID_SQL} AS cluster FROM cin),
     prof AS (
       SELECT cluster, count(*) AS user_count,
-             {", ".join(f"CAST(avg(CAST({c} AS DECIMAL(38,12))) AS DOUBLE) AS {c}" for c in _CF)}, avg(churned) AS churn_rate
+             {", ".join(f"(CAST(sum(CAST({c} AS DECIMAL(38,12))) AS DOUBLE) / count({c})) AS {c}" for c in _CF)}, avg(churned) AS churn_rate
       FROM cl GROUP BY cluster),
     profiles AS (
       SELECT cluster,
@@ -714,7 +714,7 @@ _DESCRIBE = shift.MONITOR_FEATURES
         UNPIVOT (SELECT {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _DESCRIBE)}
                  FROM (SELECT * REPLACE ({_sql_round(SESSION_FLOATS)}) FROM user_features))
         ON {", ".join(_DESCRIBE)} INTO NAME feature VALUE value) WHERE value IS NOT NULL)
-    SELECT feature, count(*) AS count, round_even(CAST(avg(CAST(value AS DECIMAL(38,12))) AS DOUBLE), 6) AS mean, round_even(stddev_samp(value), 6) AS std,
+    SELECT feature, count(*) AS count, round_even((CAST(sum(CAST(value AS DECIMAL(38,12))) AS DOUBLE) / count(value)), 6) AS mean, round_even(stddev_samp(value), 6) AS std,
            min(value) AS min, round_even(quantile_cont(value, 0.25), 6) AS p25,
            round_even(quantile_cont(value, 0.5), 6) AS p50, round_even(quantile_cont(value, 0.75), 6) AS p75,
            max(value) AS max

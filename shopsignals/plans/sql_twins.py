@@ -29,19 +29,22 @@ def session_features_ctes(horizon_days: float) -> str:
              sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS views,
              sum(CASE WHEN event_type = 'cart' THEN 1 ELSE 0 END) AS cart_adds,
              sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS purchases,
-             coalesce(sum(CASE WHEN event_type = 'purchase' THEN price END), 0.0) AS session_revenue,
+             coalesce(sum(CAST(CASE WHEN event_type = 'purchase' THEN price END AS DECIMAL(38,12))),
+                      CAST(0 AS DECIMAL(38,12))) AS session_revenue,
              max(CASE WHEN event_type = 'purchase' THEN event_time END) AS last_purchase_time,
-             greatest((epoch_us(max(event_time)) - epoch_us(min(event_time))) / 1e6 / 60.0, 0.0) AS duration_min
+             greatest(epoch_us(max(event_time)) - epoch_us(min(event_time)), 0) AS duration_us
       FROM ev WHERE user_id IS NOT NULL
       GROUP BY user_id, user_session),
     su AS (
       SELECT user_id,
              max(CASE WHEN user_session IS NOT NULL THEN session_end END) AS last_session,
              count(CASE WHEN user_session IS NOT NULL THEN 1 END) AS total_sessions,
-             sum(CASE WHEN user_session IS NOT NULL THEN session_revenue END) AS total_revenue,
-             avg(CASE WHEN user_session IS NOT NULL THEN session_revenue END) AS avg_session_revenue,
+             CAST(sum(CASE WHEN user_session IS NOT NULL THEN session_revenue END) AS DOUBLE) AS total_revenue,
+             CAST(sum(CASE WHEN user_session IS NOT NULL THEN session_revenue END) AS DOUBLE)
+               / count(CASE WHEN user_session IS NOT NULL THEN session_revenue END) AS avg_session_revenue,
              avg(CASE WHEN user_session IS NOT NULL THEN total_events END) AS avg_events_per_session,
-             avg(CASE WHEN user_session IS NOT NULL THEN duration_min END) AS avg_duration_min,
+             CAST(sum(CAST(CASE WHEN user_session IS NOT NULL THEN duration_us END AS DECIMAL(38,0))) AS DOUBLE)
+               / count(CASE WHEN user_session IS NOT NULL THEN duration_us END) / 1e6 / 60.0 AS avg_duration_min,
              CAST(sum(CASE WHEN user_session IS NOT NULL THEN views END) AS BIGINT) AS total_views,
              CAST(sum(CASE WHEN user_session IS NOT NULL THEN cart_adds END) AS BIGINT) AS total_cart_adds,
              CAST(sum(CASE WHEN user_session IS NOT NULL THEN purchases END) AS BIGINT) AS total_purchases,
