@@ -103,7 +103,9 @@ def ks_details(
     # totals has one row per feature: a proven, tiny broadcast
     gaps = cum.join(F.broadcast(totals.select("feature", "total_ref", "total_cur")), "feature").select(
         "feature",
-        F.abs(F.col("cum_n_ref") / F.col("total_ref") - F.col("cum_n_cur") / F.col("total_cur")).alias("gap"),
+        F.abs(
+            F.try_divide(F.col("cum_n_ref"), F.col("total_ref")) - F.try_divide(F.col("cum_n_cur"), F.col("total_cur"))
+        ).alias("gap"),
     )
     ks = gaps.groupBy("feature").agg(F.max("gap").alias("ks_raw"))
     out = totals.filter((F.col("total_ref") > 0) & (F.col("total_cur") > 0)).join(ks, "feature")
@@ -204,8 +206,9 @@ def distribution_overlay(
         F.col("_i").alias("bin"),
         edge(F.col("_i")).alias("lower"),
         edge(F.col("_i") + 1).alias("upper"),
-        (F.col("c0") / width / F.col("n0")).alias("baseline_density"),
-        (F.col("c1") / width / F.col("n1")).alias("current_density"),
+        # a constant feature has zero-width bins: density is undefined (null)
+        F.try_divide(F.try_divide(F.col("c0"), width), F.col("n0")).alias("baseline_density"),
+        F.try_divide(F.try_divide(F.col("c1"), width), F.col("n1")).alias("current_density"),
     )
 
 

@@ -203,3 +203,17 @@ def test_kth_smallest_and_positional_split(spark):
     cut = int(len(ids) * 0.8)
     assert sorted(r[0] for r in base.collect()) == srt[:cut]
     assert sorted(r[0] for r in cur.collect()) == srt[cut:]
+
+
+def test_degenerate_inputs_do_not_fail(spark):
+    # one class only; a constant feature; a feature empty on one side
+    one_class = spark.createDataFrame([(1, 0.3), (1, 0.7)], "label int, score double")
+    r = evaluation.summary_curves(one_class).first()
+    assert r["roc_auc"] is None and r["average_precision"] == 1.0
+    assert all(p["fpr"] is None for p in evaluation.roc_curve(one_class).collect())
+    a = spark.createDataFrame([(1.0, None), (1.0, None)], "x double, y double")
+    b = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double")
+    det = {r["feature"]: r for r in shift.ks_details(a, b, ["x", "y"]).collect()}
+    assert det["x"]["ks_statistic"] == 0.0 and "y" not in det
+    ov = shift.distribution_overlay(a, b, ["x"]).collect()
+    assert ov and ov[0]["baseline_density"] is None
