@@ -82,6 +82,11 @@ def session_summary(events: DataFrame, ordered: bool = True) -> DataFrame:
     return out.orderBy("user_id", "session_start") if ordered else out
 
 
+def preview(df: DataFrame, n: int = 5, order_by: str = "user_id") -> DataFrame:
+    """First ``n`` rows in key order (a top-n, not an arbitrary sample)."""
+    return df.orderBy(order_by).limit(n)
+
+
 def session_durations(sessions: DataFrame) -> DataFrame:
     """Adds duration in minutes (floor 0) to a session summary."""
     return sessions.withColumn(
@@ -89,27 +94,9 @@ def session_durations(sessions: DataFrame) -> DataFrame:
     )
 
 
-def describe_features(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Summary table: count, mean, std, min, exact quartiles, max per column.
-
-    Long form (one row per column) built from one aggregate; the exact
-    ``percentile`` keeps a per-column value list per partition, so for very
-    large tables pass ``exact=False`` semantics via ``describe_features_approx``.
-    """
-    stacked = _stack(df, columns)
-    return stacked.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.percentile("value", 0.25).alias("p25"),
-        F.percentile("value", 0.5).alias("p50"),
-        F.percentile("value", 0.75).alias("p75"),
-        F.max("value").alias("max"),
-    )
-
-
 def describe_features_approx(df: DataFrame, columns: list[str], accuracy: int = 10000) -> DataFrame:
+    """Summary table with sketch quartiles (bounded memory per column); the
+    exact form is ``operators.profiles.describe``."""
     stacked = _stack(df, columns)
     q = F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy)
     return (

@@ -904,3 +904,12 @@ def q_stream_dau(spark, sf):
     from shopsignals.streaming.sessions import dau_stream
 
     return _replayed_stream(spark, sf, dau_stream, "dau")
+
+
+@register(
+    "report_feature_preview",
+    USER_FEATURES_SQL + f" SELECT * REPLACE ({_sql_round(SESSION_FLOATS)}) FROM user_features ORDER BY user_id LIMIT 5",
+    "O7",
+)
+def q_report_feature_preview(spark, sf):
+    return _round_cols(reports.preview(clickstream_user_features(spark, sf), 5), SESSION_FLOATS)

@@ -54,8 +54,12 @@ def test_ingest_round_trip_and_partition_pruning(spark, event_root):
 
 
 def test_missing_input_message(spark, scratch):
+    from shopsignals.sources.events import read_events_csv
+
     with pytest.raises(MissingInputError, match="ingest"):
         load_events(spark, f"{scratch}/does-not-exist")
+    with pytest.raises(MissingInputError, match="download"):
+        read_events_csv(spark, f"{scratch}/no-such-folder/*.csv")
 
 
 def test_catalog_table_repair_and_reports(spark, event_root):
