@@ -133,9 +133,9 @@ def shift_verdict(details: DataFrame, alpha: float = DEFAULT_ALPHA) -> DataFrame
     ordered = F.array_sort(F.collect_list(F.struct("feature_order", "feature", "drift_detected")))
     return details.agg(ordered.alias("_f")).select(
         (F.size(F.filter("_f", lambda r: r["drift_detected"])) / F.greatest(F.size("_f"), F.lit(1))).alias("_share"),
-        F.size(F.filter("_f", lambda r: r["drift_detected"])).alias("n_drifted_features"),
-        F.size(F.filter("_f", lambda r: ~r["drift_detected"])).alias("n_stable_features"),
-        F.size("_f").alias("n_total_features"),
+        F.size(F.filter("_f", lambda r: r["drift_detected"])).cast("long").alias("n_drifted_features"),
+        F.size(F.filter("_f", lambda r: ~r["drift_detected"])).cast("long").alias("n_stable_features"),
+        F.size("_f").cast("long").alias("n_total_features"),
         F.transform(F.filter("_f", lambda r: r["drift_detected"]), lambda r: r["feature"]).alias("drifted_features"),
         F.transform(F.filter("_f", lambda r: ~r["drift_detected"]), lambda r: r["feature"]).alias("stable_features"),
     ).select(

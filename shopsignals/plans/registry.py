@@ -76,7 +76,7 @@ SESSION_FLOATS = ["total_revenue", "avg_session_revenue", "avg_duration_min"]
 @register(
     "report_rows_per_month",
     f"""WITH {ORDER_CTE}
-    SELECT year(event_time) AS year, month(event_time) AS month, count(*) AS row_count
+    SELECT CAST(year(event_time) AS INTEGER) AS year, CAST(month(event_time) AS INTEGER) AS month, count(*) AS row_count
     FROM ev GROUP BY 1, 2 ORDER BY 1, 2""",
     "A20 O1 F4",
 )
@@ -517,7 +517,7 @@ SPLIT_SQL = f"""{USER_FEATURES_SQL},
                              / (CAST(total_ref AS DOUBLE) + CAST(total_cur AS DOUBLE))) AS lam
       FROM totals t JOIN ks k USING (feature) WHERE total_ref > 0 AND total_cur > 0),
     details AS (
-      SELECT feature, list_position({_MON_ARRAY}, feature) AS feature_order,
+      SELECT feature, CAST(list_position({_MON_ARRAY}, feature) AS BIGINT) AS feature_order,
              round_even(ks_raw, 4) AS ks_statistic,
              CASE WHEN lam < {shift.KS_SMALL_LAMBDA} THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_reduce(
                list_transform(range(1, {shift.KS_SERIES_TERMS + 1}),

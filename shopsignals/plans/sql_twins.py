@@ -120,7 +120,7 @@ def category_features_ctes(affinity: Sequence[str], onehot: Sequence[str]) -> st
         for i, c in enumerate(affinity)
     )
     hot_cols = ",\n".join(
-        f"CASE WHEN tm.top = '{c}' THEN 1.0 ELSE 0.0 END AS topcategory_{c}" for c in sorted(onehot)
+        f"CAST(CASE WHEN tm.top = '{c}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS topcategory_{c}" for c in sorted(onehot)
     )
     return f"""ctop AS (
       SELECT *, coalesce(split_part(category_code, '.', 1), 'unknown') AS top
