@@ -298,9 +298,27 @@ def _brand_loyalty(view_counts: DataFrame) -> DataFrame:
     return counts.groupBy("user_id").agg((F.max(branded) / F.sum(branded)).alias("_loyalty"))
 
 
-def onehot_categories(events: DataFrame) -> list[str]:
-    """Distinct top categories (sorted); a small, vocabulary-bounded list."""
-    rows = events.select(top_category("category_code").alias("c")).distinct().orderBy("c").collect()
+#: one-hot columns are a projection list, so the vocabulary must stay small
+MAX_ONEHOT_CATEGORIES = 1000
+
+
+def onehot_categories(events: DataFrame, max_categories: int = MAX_ONEHOT_CATEGORIES) -> list[str]:
+    """Distinct top categories (sorted); a small, vocabulary-bounded list.
+
+    At most ``max_categories + 1`` values reach the driver; a larger
+    vocabulary is an error (pass an explicit list instead) rather than a
+    silently truncated encoding."""
+    rows = (
+        events.select(top_category("category_code").alias("c"))
+        .distinct()
+        .orderBy("c")
+        .limit(max_categories + 1)
+        .collect()
+    )
+    if len(rows) > max_categories:
+        raise ValueError(
+            f"more than {max_categories} top categories: pass the one-hot vocabulary explicitly"
+        )
     return [r["c"] for r in rows]
 
 

@@ -913,3 +913,51 @@ def q_stream_dau(spark, sf):
 )
 def q_report_feature_preview(spark, sf):
     return _round_cols(reports.preview(clickstream_user_features(spark, sf), 5), SESSION_FLOATS)
+
+
+# ----------------------------------------------------------------- ingest round trip
+
+INGEST_SQL = f"""WITH {ORDER_CTE}
+    SELECT CAST(year(event_time) AS INTEGER) AS year, CAST(month(event_time) AS INTEGER) AS month,
+           count(*) AS row_count, count(DISTINCT user_id) AS users, count(DISTINCT user_session) AS sessions,
+           count(CASE WHEN event_type = 'purchase' THEN 1 END) AS purchases,
+           min(event_time) AS first_event, max(event_time) AS last_event,
+           round_even(CAST(sum(CAST(CAST(CAST(price AS FLOAT) AS DOUBLE) AS DECIMAL(38,12))) AS DOUBLE), 2) AS revenue
+    FROM ev GROUP BY 1, 2 ORDER BY 1, 2"""
+
+
+def ingested_order_events(spark, sf) -> DataFrame:
+    """The order adapter's events written as raw monthly-style CSV into the
+    shared checkpoint folder, then ingested the production way: CSV scan with
+    the declared schema, UTC parse of the zone-suffixed text, float price,
+    ``year=/month=`` Parquet, partitioned read of all months."""
+    import uuid
+
+    from shopsignals.session import checkpoint_dir
+    from shopsignals.sources import events as ev
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/ingest/{uuid.uuid4().hex}"
+    ev.write_events_csv(_orders(spark, sf), f"{root}/raw")
+    ev.ingest_csv(spark, f"{root}/raw/*.csv", f"{root}/events", mode="overwrite")
+    return ev.load_events(spark, f"{root}/events")
+
+
+@register("ingest_events_roundtrip", INGEST_SQL, "S1 S2 S3 S4 S5 S7 S13 U1 F4 F24 A20")
+def q_ingest_events_roundtrip(spark, sf):
+    from shopsignals.functions.numeric import exact_sum
+
+    purchase = F.col("event_type") == F.lit("purchase")
+    return (
+        ingested_order_events(spark, sf)
+        .groupBy("year", "month")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.countDistinct("user_id").alias("users"),
+            F.countDistinct("user_session").alias("sessions"),
+            F.count(F.when(purchase, F.lit(1))).alias("purchases"),
+            F.min("event_time").alias("first_event"),
+            F.max("event_time").alias("last_event"),
+            round_half_even(exact_sum("price").cast("double"), 2).alias("revenue"),
+        )
+        .orderBy("year", "month")
+    )

@@ -63,14 +63,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
     Uses ``spark.checkpoint.dir`` when the cluster sets it; only when it is
-    unset (local runs, tests) a fresh folder under the system temp dir is
-    created and recorded in the session.
+    unset on a local master (local runs, tests) a fresh folder under the
+    system temp dir is created and recorded in the session; on a cluster an
+    unset folder is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to the other executors
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a shared folder "
+                "(HDFS / object store) before running on a cluster."
+            )
         configured = tempfile.mkdtemp(prefix="shopsignals-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc.getCheckpointDir() is None:

@@ -63,6 +63,16 @@ def typed_events(raw: DataFrame) -> DataFrame:
     )
 
 
+def write_events_csv(events: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Raw layout of the monthly event files: header, the nine columns in
+    order, ``event_time`` as text with the zone suffix (``2019-10-01 00:00:00
+    UTC``).  A distributed write; one file per task."""
+    events.select(
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("event_time"),
+        *EVENT_COLUMNS[1:],
+    ).write.mode(mode).option("header", True).csv(path)
+
+
 def with_partition_columns(events: DataFrame) -> DataFrame:
     return events.withColumn("year", F.year("event_time")).withColumn("month", F.month("event_time"))
 

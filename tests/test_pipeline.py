@@ -12,7 +12,7 @@ from shopsignals.operators import features as feat
 from shopsignals.operators import reports
 from shopsignals.sources import adapters as ad
 from shopsignals.sources import catalog
-from shopsignals.sources.events import EVENT_COLUMNS, MissingInputError, ingest_csv, load_events
+from shopsignals.sources.events import EVENT_COLUMNS, MissingInputError, ingest_csv, load_events, write_events_csv
 from tests.conftest import SF_SMALL
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables not present")
@@ -28,14 +28,7 @@ def event_root(spark, scratch):
     """Order-data events as raw CSV text → ingest → partitioned Parquet."""
     ev = ad.order_events(spark, SF_SMALL)
     csv_dir = f"{scratch}/csv"
-    (
-        ev.select(
-            F.date_format("event_time", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("event_time"),
-            *[c for c in EVENT_COLUMNS if c != "event_time"],
-        )
-        .write.option("header", True)
-        .csv(csv_dir)
-    )
+    write_events_csv(ev, csv_dir)
     root = f"{scratch}/events"
     ingest_csv(spark, f"{csv_dir}/*.csv", root, mode="overwrite")
     return root
@@ -122,3 +115,19 @@ def test_models_and_jobs(spark, scratch, event_root):
     summary = json.loads(open([os.path.join(f"{out}/shift_summary", f) for f in os.listdir(f"{out}/shift_summary") if f.endswith(".json")][0]).readline())
     assert summary["n_total_features"] == 18
     assert summary["test"] == "Kolmogorov-Smirnov"
+
+
+def test_raw_csv_text_layout(spark, scratch, event_root):
+    """The raw files carry the zone-suffixed time text and the nine columns."""
+    csv_dir = f"{scratch}/csv"
+    raw = spark.read.option("header", True).csv(csv_dir)
+    assert raw.columns == EVENT_COLUMNS
+    assert raw.filter(~F.col("event_time").rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2} UTC$")).count() == 0
+
+
+def test_onehot_vocabulary_is_bounded(spark):
+    ev = ad.order_events(spark, SF_SMALL)
+    cats = feat.onehot_categories(ev)
+    assert cats == sorted(cats) and len(cats) > 1
+    with pytest.raises(ValueError):
+        feat.onehot_categories(ev, max_categories=1)
