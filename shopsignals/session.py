@@ -28,6 +28,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.ui.enabled": "false",
+    # call-site capture for error messages costs two JVM round trips per
+    # DataFrame / Column call while a plan is built; plans here are large
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -98,9 +101,17 @@ def local_session_for_tests(cpus: int | None = None) -> SparkSession:
 def materialize(df):
     """Cut lineage of an intermediate that several branches consume.
 
-    Reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir`` (never
-    ``localCheckpoint``): the data survives the loss of the executors that
-    computed it, and downstream branches read it instead of recomputing.
+    The rows are written once as a Parquet table under the shared
+    ``spark.checkpoint.dir`` (never ``localCheckpoint``) and read back: the
+    data survives the loss of the executors that computed it, downstream
+    branches read it instead of recomputing, and the read gets column
+    pruning and filter pushdown.  (An eager ``checkpoint()`` of an
+    unpersisted plan would compute it twice: once for the count, once for
+    the checkpoint write.)
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
