@@ -77,11 +77,20 @@ def summarize(plan: str) -> dict:
             cols = m.group(1).split(",")
             name = re.search(r"Location: \w+\(\d+ paths?\)\[file:[^\]]*/([a-z_]+)\.parquet", ln)
             out["scans"].append(
-                (name.group(1) if name else "?", len(cols), m.group(2)[:80])
+                (name.group(1) if name else _derived_table(ln), len(cols), m.group(2)[:80])
             )
     return out
 
 
+def _derived_table(scan_line: str) -> str:
+    """Name of a scan that is not a test table: tables the plan wrote into
+    the checkpoint folder (materialised intermediates, ingest, streams)."""
+    for kind in ("tables", "ingest", "streams"):
+        if f"/{kind}/" in scan_line:
+            return {"tables": "materialised", "ingest": "ingested", "streams": "stream-out"}[kind]
+    return "?"
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from shopsignals.plans.registry import REGISTRY
@@ -138,6 +147,12 @@ NOTES = """
 * Model queries show few exchanges because training runs in Spark ML jobs
   outside the returned DataFrame's plan; streaming queries read their
   appended output table.
+* **materialised** scans read an intermediate that several branches share
+  (the monitored feature table, model inputs, cluster thresholds), written
+  once as Parquet into `spark.checkpoint.dir`: lineage is cut, and the
+  branches read it with column pruning and pushed filters (the positional
+  cut `user_id <= k-th key`, the activity filter `total_sessions >= 2`).
+  **ingested** is the partitioned table written by the CSV ingest query.
 """
 
 
