@@ -485,7 +485,7 @@ _MON = shift.MONITOR_FEATURES
 _MON_LIST = ", ".join(_MON)
 _MON_ARRAY = "[" + ", ".join(f"'{f}'" for f in _MON) + "]"
 
-SPLIT_SQL = f"""{USER_FEATURES_SQL},
+SPLIT_SQL = f"""{USER_FEATURES_SQL.replace("WITH ", "WITH RECURSIVE ", 1)},
     pos AS (SELECT *, row_number() OVER (ORDER BY user_id) AS rn, count(*) OVER () AS n FROM user_features),
     sides AS (SELECT *, CASE WHEN rn <= floor(n * 0.8) THEN 0 ELSE 1 END AS side FROM pos),
     long AS (
@@ -516,10 +516,36 @@ SPLIT_SQL = f"""{USER_FEATURES_SQL},
              k.ks_raw * sqrt(CAST(total_ref AS DOUBLE) * CAST(total_cur AS DOUBLE)
                              / (CAST(total_ref AS DOUBLE) + CAST(total_cur AS DOUBLE))) AS lam
       FROM totals t JOIN ks k USING (feature) WHERE total_ref > 0 AND total_cur > 0),
+    exact_in AS (
+      SELECT feature, CAST(total_ref AS BIGINT) AS m, CAST(total_cur AS BIGINT) AS n,
+             CAST(round(ks_raw * CAST(total_ref AS DOUBLE) * CAST(total_cur AS DOUBLE)) AS BIGINT) AS h
+      FROM lam WHERE greatest(total_ref, total_cur) <= {shift.KS_EXACT_MAX_N}),
+    paths(feature, m, n, h, k, cur, outside) AS (
+      SELECT feature, m, n, h, 0,
+             list_transform(range(m + 1), lambda i: CASE WHEN i = 0 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END),
+             CAST(0.0 AS DOUBLE)
+      FROM exact_in WHERE h > 0
+      UNION ALL
+      SELECT feature, m, n, h, k,
+             list_transform(range(m + 1), lambda i: CASE WHEN leaves[i + 1] THEN CAST(0.0 AS DOUBLE) ELSE raw[i + 1] END),
+             outside + list_sum(list_transform(range(m + 1), lambda i: CASE WHEN leaves[i + 1] THEN raw[i + 1] ELSE CAST(0.0 AS DOUBLE) END))
+      FROM (
+        SELECT feature, m, n, h, k + 1 AS k, outside, raw,
+               list_transform(range(m + 1), lambda i: (k + 1 - i) BETWEEN 0 AND n AND abs(i * n - (k + 1 - i) * m) >= h) AS leaves
+        FROM (
+          SELECT *, list_transform(range(m + 1), lambda i:
+                   cur[i + 1] * CASE WHEN (k - i) BETWEEN 0 AND n THEN CAST(n - (k - i) AS DOUBLE) / CAST(m + n - k AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
+                   + CASE WHEN i > 0 AND (k - i + 1) BETWEEN 0 AND n
+                          THEN cur[i] * (CAST(m - i + 1 AS DOUBLE) / CAST(m + n - k AS DOUBLE)) ELSE CAST(0.0 AS DOUBLE) END) AS raw
+          FROM paths WHERE k < m + n) step) step2),
+    exact AS (
+      SELECT e.feature, coalesce(least(1.0, p.outside), 1.0) AS p_exact
+      FROM exact_in e LEFT JOIN paths p ON p.feature = e.feature AND p.k = p.m + p.n),
     details AS (
       SELECT feature, CAST(list_position({_MON_ARRAY}, feature) AS BIGINT) AS feature_order,
              round_even(ks_raw, 4) AS ks_statistic,
-             CASE WHEN lam < {shift.KS_SMALL_LAMBDA} THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_reduce(
+             CASE WHEN greatest(total_ref, total_cur) <= {shift.KS_EXACT_MAX_N} THEN (SELECT p_exact FROM exact x WHERE x.feature = lam.feature)
+                  WHEN lam < {shift.KS_SMALL_LAMBDA} THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_reduce(
                list_transform(range(1, {shift.KS_SERIES_TERMS + 1}),
                  lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * lam * lam)),
                lambda a, b: a + b))) END AS p_raw,

@@ -101,12 +101,43 @@ def test_ks_statistic_against_brute_force(spark):
         d = _ks_brute(base[f].values, cur[f].values)
         assert det[f]["ks_statistic"] == pytest.approx(np.round(d, 4))
         n, m = len(base), len(cur)
-        lam = d * np.sqrt(n * m / (n + m))
-        p = 1.0 if lam < 0.2 else min(1.0, max(0.0, 2 * sum((-1) ** (k - 1) * np.exp(-2 * k * k * lam * lam) for k in range(1, 101))))
+        p = shift.ks_exact_sf(n, m, int(round(d * n * m)))  # both samples <= the exact limit
         assert det[f]["p_value"] == pytest.approx(round(p, 6), abs=1e-6)
         assert det[f]["ref_mean"] == pytest.approx(np.round(base[f].mean(), 4))
 
 
+def test_ks_series_above_exact_limit(spark, monkeypatch):
+    monkeypatch.setattr(shift, "KS_EXACT_MAX_N", 100)
+    rng = np.random.default_rng(5)
+    base = pd.DataFrame({"x": rng.normal(0, 1, 800).round(2)})
+    cur = pd.DataFrame({"x": rng.normal(0.2, 1, 300).round(2)})
+    got = shift.ks_details(spark.createDataFrame(base), spark.createDataFrame(cur), ["x"]).collect()[0]
+    d = _ks_brute(base["x"].values, cur["x"].values)
+    n, m = len(base), len(cur)
+    lam = d * np.sqrt(n * m / (n + m))
+    p = 1.0 if lam < 0.2 else min(1.0, max(0.0, 2 * sum((-1) ** (k - 1) * np.exp(-2 * k * k * lam * lam) for k in range(1, 101))))
+    assert got["p_value"] == pytest.approx(round(p, 6), abs=1e-6)
+
+
+def test_ks_exact_distribution_against_enumeration():
+    """P(D >= d) from the path DP == share of all C(m+n, m) interleavings."""
+    import itertools
+
+    for m in range(1, 7):
+        for n in range(1, 7):
+            stats = []
+            for ref_pos in itertools.combinations(range(m + n), m):
+                ref_pos, i, j, best = set(ref_pos), 0, 0, 0
+                for t in range(m + n):
+                    i, j = (i + 1, j) if t in ref_pos else (i, j + 1)
+                    best = max(best, abs(i * n - j * m))
+                stats.append(best)
+            for h in sorted(set(stats)):
+                want = sum(s >= h for s in stats) / len(stats)
+                assert shift.ks_exact_sf(m, n, h) == pytest.approx(want, abs=1e-12)
+    assert shift.ks_exact_sf(5, 7, 0) == 1.0
+
+
 def test_ks_identical_and_disjoint(spark):
     a = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
     b = spark.createDataFrame([(float(i + 1000),) for i in range(50)], "x double")
