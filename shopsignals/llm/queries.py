@@ -7,6 +7,7 @@ whole intended table.
 from __future__ import annotations
 
 from shopsignals.llm import quality_rules as rules
+from shopsignals.llm import token_count as tokens
 from shopsignals.llm.common import documents
 
 QUERIES: dict = {}
@@ -21,3 +22,8 @@ def query(fn):
 @query
 def op1_quality_rules(spark, sf_dir):
     return rules.quality_rules(documents(spark, sf_dir))
+
+
+@query
+def op9_token_counts(spark, sf_dir):
+    return tokens.token_counts(documents(spark, sf_dir))
