@@ -7,6 +7,7 @@ whole intended table.
 from __future__ import annotations
 
 from shopsignals.llm import quality_rules as rules
+from shopsignals.llm import packing
 from shopsignals.llm import token_count as tokens
 from shopsignals.llm.common import documents
 
@@ -27,3 +28,8 @@ def op1_quality_rules(spark, sf_dir):
 @query
 def op9_token_counts(spark, sf_dir):
     return tokens.token_counts(documents(spark, sf_dir))
+
+
+@query
+def op3_best_fit_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir))
