@@ -7,9 +7,10 @@ whole intended table.
 from __future__ import annotations
 
 from shopsignals.llm import quality_rules as rules
-from shopsignals.llm import packing
+from shopsignals.llm import mixing, packing
 from shopsignals.llm import token_count as tokens
-from shopsignals.llm.common import documents
+from shopsignals.llm import toxicity as tox
+from shopsignals.llm.common import documents, labels
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -33,3 +34,13 @@ def op9_token_counts(spark, sf_dir):
 @query
 def op3_best_fit_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
+
+
+@query
+def op8_source_mixing(spark, sf_dir):
+    return mixing.mix(documents(spark, sf_dir))
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    return tox.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
