@@ -6,6 +6,7 @@ whole intended table.
 
 from __future__ import annotations
 
+from shopsignals.llm import quality_crf as crf
 from shopsignals.llm import quality_rules as rules
 from shopsignals.llm import mixing, packing
 from shopsignals.llm import token_count as tokens
@@ -44,3 +45,8 @@ def op8_source_mixing(spark, sf_dir):
 @query
 def op2_toxicity(spark, sf_dir):
     return tox.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query
+def op5_line_crf_quality(spark, sf_dir):
+    return crf.quality(documents(spark, sf_dir), labels(spark, sf_dir))
