@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from shopsignals.llm import wordbpe
 from shopsignals.llm.common import arrow_rows, materialize, per_process, small_batches
 
-CACHE = 300_000
+CACHE = 500_000
 
 
 @dataclass(frozen=True)
@@ -113,13 +113,13 @@ def vector_best_fit(lengths: np.ndarray, counts: np.ndarray, cap: Capacities) ->
 
 
 class WordIds:
-    """Ids of texts as bytes (little-endian unsigned 32 bit), word by word from a cache."""
+    """Ids of texts as bytes (little-endian unsigned 32 bit), chunk by chunk from a cache."""
 
     def __init__(self, path: str):
         self.library, self.cache = wordbpe.load_tokenizer(path), {}
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        split = [wordbpe.split_plain(t) if t and wordbpe.plain(t) else None for t in texts]
+        split = [wordbpe.chunks_plain(t) if t and wordbpe.plain(t) else None for t in texts]
         if len(self.cache) > CACHE:
             self.cache.clear()
         cache = self.cache

@@ -127,32 +127,36 @@ def _pretokens(text: str, library, alphabet_back: dict[str, int]) -> tuple[list[
 
 
 class Counter:
-    """Counts of texts with a cache of pre-tokens."""
+    """Counts of texts, with caches of counted pre-tokens and of pieces between white space."""
 
     def __init__(self, path: str):
         self.merges, self.library = Merges(path), wordbpe.load_tokenizer(path)
         self.back = {c: b for b, c in byte_alphabet().items()}
-        self.cache: dict = {}
+        self.pretokens: dict = {}
+        self.chunks: dict = {}
 
-    def count(self, texts: list[str | None]) -> list[int]:
-        split, extra = [], []
-        for t in texts:
-            if not t:
-                words, specials = [], 0
-            elif wordbpe.plain(t):
-                words, specials = wordbpe.split_plain(t), 0
-            else:
-                words, specials = _pretokens(t, self.library, self.back)
-            split.append(words)
-            extra.append(specials)
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        cache = self.cache
-        missing = list({w for words in split for w in words if w not in cache})
+    def _learn(self, words: set) -> None:
+        missing = [w for w in words if w not in self.pretokens]
         if missing:
             as_bytes = [w if isinstance(w, bytes) else w.encode() for w in missing]
-            cache.update(zip(missing, self.merges.count(as_bytes).tolist()))
-        return [sum(map(cache.__getitem__, words)) + e for words, e in zip(split, extra)]
+            self.pretokens.update(zip(missing, self.merges.count(as_bytes).tolist()))
+
+    def count(self, texts: list[str | None]) -> list[int]:
+        for cache in (self.pretokens, self.chunks):
+            if len(cache) > CACHE:
+                cache.clear()
+        chunks = self.chunks
+        split = [wordbpe.chunks_plain(t) if t and wordbpe.plain(t) else None for t in texts]
+        new = {c for s in split if s for c in s if c not in chunks}
+        parts = {c: wordbpe.split_chunk(c) for c in new}
+        other = [_pretokens(t, self.library, self.back) if t and s is None else ((), 0) for t, s in zip(texts, split)]
+        self._learn({w for p in parts.values() for w in p} | {w for words, _ in other for w in words})
+        lookup = self.pretokens.__getitem__
+        chunks.update((c, sum(map(lookup, p))) for c, p in parts.items())
+        return [
+            sum(map(chunks.__getitem__, s)) if s is not None else sum(map(lookup, words)) + specials
+            for s, (words, specials) in zip(split, other)
+        ]
 
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])

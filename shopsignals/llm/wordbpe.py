@@ -29,9 +29,14 @@ def plain(text: str) -> bool:
     return _NOT_PLAIN.search(text) is None and "<|" not in text
 
 
-def split_plain(text: str) -> list[str]:
-    """Pre-tokens of a plain text: lower-cased pieces, before the byte alphabet."""
-    return _SPLIT.findall(text.lower())
+def chunks_plain(text: str) -> list[str]:
+    """Lower-cased pieces of a plain text between white space; no pre-token spans two of them."""
+    return text.lower().split()
+
+
+def split_chunk(chunk: str) -> list[str]:
+    """Pre-tokens of such a piece, before the byte alphabet."""
+    return _SPLIT.findall(chunk)
 
 
 def load_tokenizer(path: str):
