@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from shopsignals.llm import quality_crf as crf
 from shopsignals.llm import quality_rules as rules
-from shopsignals.llm import mixing, near_dup, packing
+from shopsignals.llm import line_dedup, mixing, near_dup, packing
 from shopsignals.llm import token_count as tokens
 from shopsignals.llm import toxicity as tox
 from shopsignals.llm.common import documents, labels
@@ -55,3 +55,8 @@ def op5_line_crf_quality(spark, sf_dir):
 @query
 def op7_bottom_k_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(documents(spark, sf_dir), size=4, threshold=80)
+
+
+@query
+def op6_template_line_dedup(spark, sf_dir):
+    return line_dedup.line_dedup(documents(spark, sf_dir))
