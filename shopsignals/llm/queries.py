@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from shopsignals.llm import quality_crf as crf
 from shopsignals.llm import quality_rules as rules
-from shopsignals.llm import line_dedup, mixing, near_dup, packing
+from shopsignals.llm import embedding_dup, line_dedup, mixing, near_dup, packing
 from shopsignals.llm import token_count as tokens
 from shopsignals.llm import toxicity as tox
 from shopsignals.llm.common import documents, labels
@@ -60,3 +60,8 @@ def op7_bottom_k_near_dup(spark, sf_dir):
 @query
 def op6_template_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(documents(spark, sf_dir))
+
+
+@query
+def op10_nn_descent_near_dup(spark, sf_dir):
+    return embedding_dup.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
