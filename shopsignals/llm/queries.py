@@ -6,6 +6,7 @@ whole intended table.
 
 from __future__ import annotations
 
+from shopsignals.llm import lm_scoring as lm
 from shopsignals.llm import quality_crf as crf
 from shopsignals.llm import quality_rules as rules
 from shopsignals.llm import embedding_dup, line_dedup, mixing, near_dup, packing
@@ -65,3 +66,8 @@ def op6_template_line_dedup(spark, sf_dir):
 @query
 def op10_nn_descent_near_dup(spark, sf_dir):
     return embedding_dup.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op4_log_bilinear_scores(spark, sf_dir):
+    return lm.lm_scores(documents(spark, sf_dir))
