@@ -6,12 +6,12 @@ is rounded by pivotal pairing: two fractional partners exchange words (the
 one's probability times size rises by what the other's falls) until one of
 them is taken or not taken for certain.  The direction is drawn so that
 expectations stay, and every exchange keeps the sum of words, so a source ends
-within one document of its target.
+within half a document of its target, mostly a short one.
 
 The pairing runs as a distributed reduction tree.  Documents are hashed into
 small buckets of a source; a fold over each bucket's array pairs each document
 with the pool of the shorter ones behind it and settles all but one; those left form the next level's buckets, until one per source is
-left, which is drawn alone.  All levels are DataFrame functions; a bucket holds
+left, which is rounded to the nearer side.  All levels are DataFrame functions; a bucket holds
 about ``fan_in`` documents whatever the source's size, so a source with a third
 of all rows has just more buckets.  The draws are hashes of id, copy number and
 seed, so reruns agree.
@@ -142,7 +142,8 @@ def pivotal(items: DataFrame, largest: int, fan_in: int = 64, seed: int = 0) ->
         done = folded.select("group", F.explode("done").alias("d")).select("group", "d.key", "d.up")
         settled = done if settled is None else settled.unionByName(done)
         rest = folded.where("left.key IS NOT NULL").select("group", "left.key", "left.size", "left.p")
-    last = rest.select("group", "key", (_uniform(seed, F.col("key")) < F.col("p")).alias("up"))
+    # the last one goes to the nearer side: half a document off at most
+    last = rest.select("group", "key", (F.col("p") >= 0.5).alias("up"))
     return settled.unionByName(last)
 
 
