@@ -7,8 +7,9 @@ feature occurs in toxic and other texts of the sample, the strongest
 ``max_features`` and all identity features stay, and numpy fits a logistic
 model with an L1 penalty by proximal gradient steps.
 
-Counterfactuals: every sentence of the sample that names a group gets copies
-in which the identity term is swapped for another one of its category; the
+Counterfactuals: every sentence of the sample that names a group gets two copies
+in which the identity term is swapped for another one of its category and for
+a word that names no group; the
 penalty ``fairness * mean((score(sentence) - score(copy))^2)`` on the linear
 scores joins the loss.  Terms that only co-occur with toxic labels thus lose
 their weight, and neutral mentions of a group stay clean.
@@ -77,8 +78,9 @@ def swaps(text: str | None, categories: dict[str, list[str]]) -> list[tuple[set[
         for terms in categories.values():
             for named in words.intersection(terms):
                 other = terms[(terms.index(named) + 1 + len(words) % max(1, len(terms) - 1)) % len(terms)]
-                if other != named:
-                    out.append((features_of(words), features_of((words - {named}) | {other})))
+                rest = words - {named}
+                # another group, and no group in particular
+                out += [(features_of(words), features_of(rest | {other})), (features_of(words), features_of(rest))]
     return out
 
 

@@ -8,13 +8,13 @@ from tests.llm import helpers as h
 INSULTS = ["zorkface", "blargwit", "snurfhead"]
 
 
-def labelled(spark, n=600, seed=1, mention=lambda rng, toxic: ""):
+def labelled(spark, n=600, seed=1, mention=lambda rng, toxic: "", insulting=1.0):
     rng = random.Random(seed)
     docs, labels = [], []
     for i in range(n):
         toxic = int(rng.random() < 0.25)
         words = h.sentence(rng, 40).split()
-        if toxic:
+        if toxic and rng.random() < insulting:
             words.insert(rng.randrange(40), rng.choice(INSULTS) + rng.choice(["", "s", "ing"]))
         docs.append(h.row(i, mention(rng, toxic) + " ".join(words)))
         labels.append((i, 1, toxic))
@@ -43,17 +43,18 @@ def test_labels_of_held_out_rows_are_not_read(spark):
 def test_counterfactual_penalty_spares_neutral_mentions(spark):
     """Group names that mostly occur in toxic training texts."""
     mention = lambda rng, toxic: rng.choice(["muslims ", "women "]) if rng.random() < (0.7 if toxic else 0.02) else ""
-    docs, labels = labelled(spark, 600, 3, mention)
+    docs, labels = labelled(spark, 600, 3, mention, insulting=0.5)
     slim = docs.select("doc_id", "text")
     plain = tox.train(slim, labels, fairness=0.0)
     fair = tox.train(slim, labels, fairness=20.0)
     rng = random.Random(9)
     neutral = ["the muslims and women of the town " + h.sentence(rng, 30) for _ in range(20)]
     score = lambda m: np.mean([m.score(t, {}) for t in neutral])
-    assert score(fair) < score(plain)
+    assert score(fair) < 0.5 * score(plain)
     gap = lambda m: abs(m.linear({"muslims"}, {}) - m.linear({"christians"}, {}))
     assert gap(fair) < 0.5 * gap(plain)
-    assert all(fair.score("muslims are " + w + " " + h.sentence(rng, 30), {}) >= 0.3 for w in INSULTS)
+    insulted = [fair.score("muslims are " + w + " " + h.sentence(rng, 30), {}) for w in INSULTS]
+    assert min(insulted) > 2 * score(fair)
 
 
 def test_awkward_rows(spark):
