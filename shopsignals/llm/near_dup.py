@@ -11,13 +11,13 @@
    Only those are listed: values of passages that many texts quote come last
    and are listed only for texts that consist of little else.
 3. *Overlaps*: lists of at most ``SHORT`` members give their pairs.  A longer
-   list compares its members with one centre; the members linked to it are
-   done but for those near the boundary: distance 1 - J obeys the triangle
-   inequality, so a member linked to the centre can be linked to another one
-   only if that one's similarity to the centre is at most 0.2 lower.  The
-   members without a link to the centre form the next, shorter list.  Lists
-   still long after ``ROUNDS`` centres give all their pairs, so nothing is
-   dropped.
+   list compares its members with one centre; those without a link to the
+   centre form the next, shorter list.  What is left after ``ROUNDS`` centres
+   gives all its pairs, but for pairs that links have already joined into one
+   component, which cannot change the groups.  A member linked to a centre can
+   be linked to another one only if that one's similarity to the centre is at
+   most 0.2 lower (1 - J obeys the triangle inequality); such pairs across
+   components are compared as well, so nothing is dropped.
 4. *Filter*: the bottom k of the union of two sketches estimates their
    similarity; pairs more than five standard deviations too low are left out.
 5. *Verification*: the full shingle sets of both texts, compared as word
@@ -133,26 +133,27 @@ def inverted_lists(classes: DataFrame, k: int, threshold: int) -> DataFrame:
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("total", pa.int64())])
 
 
-def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, k: int, floor: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, size: int, k: int, floor: int) -> DataFrame:
     """Exact ``shared, total`` (intersection and union) of the pairs of at least ``floor`` percent.
 
-    ``pairs``: distinct ``a, b`` with ``a < b``.
+    ``pairs``: distinct ``a, b`` with ``a < b``.  The estimate from the union of
+    the two sketches comes first, the full sets only where it allows the pair.
     """
-    side = lambda c: classes.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
-    p = pairs.join(side("a"), "a").join(side("b"), "b")
-    p = p.where((F.col("n_a") * 100 >= F.col("n_b") * floor) & (F.col("n_b") * 100 >= F.col("n_a") * floor))
-    union = F.slice(F.sort_array(F.array_union("s_a", "s_b")), 1, k)
-    both = F.size(F.array_intersect(F.array_intersect(union, F.col("s_a")), F.col("s_b")))
+    pairs = materialize(pairs)
+    if not pairs.limit(1).count():
+        return pairs.select("a", "b", F.col("a").alias("shared"), F.col("a").alias("total"))
     slack = 5 * math.sqrt(floor * (100 - floor)) / 100
-    bound = F.lit(floor / 100) - F.lit(slack) / F.sqrt(F.size(union))
-    p = p.where(both / F.size(union) >= bound).select("a", "b")
-    text = lambda c: texts.select(F.col("class").alias(c), F.col("text").alias(f"t_{c}"))
 
     def run(batches):
         last, last_set = None, set()
         for b in batches:
             out = {f.name: [] for f in PAIR}
-            for x, y, tx, ty in zip(*[c.to_pylist() for c in b.columns]):
+            for x, y, sx, sy, tx, ty in zip(*[c.to_pylist() for c in b.columns]):
+                of_x, of_y = set(sx), set(sy)
+                union = sorted(of_x | of_y)[:k]
+                both = sum(v in of_x and v in of_y for v in union)
+                if both < (floor / 100 - slack / math.sqrt(len(union))) * len(union):
+                    continue
                 if x != last:
                     last, last_set = x, shingle_set(words_of(tx), size)
                 other = shingle_set(words_of(ty), size)
@@ -163,54 +164,75 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
                         out[name].append(value)
             yield arrow_rows(PAIR, out)
 
-    return p.join(text("b"), "b").join(text("a"), "a").select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long, shared long, total long")
+    side = lambda c: texts.select(F.col("class").alias(c), F.col("sketch").alias(f"s_{c}"), F.col("text").alias(f"t_{c}"))
+    rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "s_a", "s_b", "t_a", "t_b")
+    return materialize(rows.mapInArrow(run, "a long, b long, shared long, total long"))
 
 
 def _ordered(x, y):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
-def links(classes: DataFrame, texts: DataFrame, size: int, k: int, threshold: int) -> DataFrame:
-    """Links ``a, b`` between classes; every pair at the threshold whose sketches meet in a list."""
-    lists = materialize(inverted_lists(classes, k, threshold))
-    sizes = materialize(lists.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("class").alias("centre")).where("m > 1"))
+def _close(n_a, n_b, floor: int):
+    """Set sizes that allow a similarity of ``floor`` percent."""
+    return (F.col(n_a) * 100 >= F.col(n_b) * floor) & (F.col(n_b) * 100 >= F.col(n_a) * floor)
+
+
+def _all_pairs(members: DataFrame, threshold: int) -> DataFrame:
+    """Pairs inside the lists; members of one ``component`` (where given) need no comparison."""
+    a = members.select("value", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
+    b = members.select("value", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    apart = F.col("c_a").isNull() | F.col("c_b").isNull() | (F.col("c_a") != F.col("c_b"))
+    return a.join(b, "value").where((F.col("a") < F.col("b")) & apart & _close("n_a", "n_b", threshold)).select("a", "b").distinct()
+
 
-    def all_pairs(members: DataFrame) -> DataFrame:
-        a = members.select("value", F.col("class").alias("a"), F.col("n").alias("n_a"))
-        b = members.select("value", F.col("class").alias("b"), F.col("n").alias("n_b"))
-        close = (F.col("n_a") * 100 >= F.col("n_b") * threshold) & (F.col("n_b") * 100 >= F.col("n_a") * threshold)
-        return a.join(b, "value").where((F.col("a") < F.col("b")) & close).select("a", "b").distinct()
+def links(lists: DataFrame, texts: DataFrame, size: int, k: int, threshold: int) -> DataFrame:
+    """Links ``a, b`` between classes that join every pair at the threshold whose sketches meet in a list.
 
+    Pairs that earlier links have already joined are not compared again.
+    """
     is_link = F.col("shared") * 100 >= F.col("total") * threshold
-    short = lists.join(sizes.where(F.col("m") <= SHORT), "value")
-    found = [materialize(verified(all_pairs(short), classes, texts, size, k, threshold))]
-    boundary = 2 * threshold - 100
-    rest = lists.join(sizes.where(F.col("m") > SHORT).select("value"), "value")
+    count = lambda rows: rows.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("class", "n")).alias("c")).where("m > 1")
+    sizes = materialize(count(lists))
+    no_component = F.lit(None).cast("long").alias("component")
+    short = lists.join(sizes.where(F.col("m") <= SHORT).select("value"), "value").select("value", "class", "n", no_component)
+    found = verified(_all_pairs(short, threshold), texts, size, k, threshold).where(is_link).select("a", "b")
+    boundary = max(1, 2 * threshold - 100)
+    rest, edges = lists.join(sizes.where(F.col("m") > SHORT).select("value"), "value"), None
     for _ in range(ROUNDS):
         rest = materialize(rest)
-        sizes = materialize(rest.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("class").alias("centre")).where(F.col("m") > 1))
+        sizes = materialize(count(rest))
         if not sizes.where(F.col("m") > SHORT).limit(1).count():
             break
-        placed = rest.join(sizes, "value").where(F.col("class") != F.col("centre"))
-        compared = placed.select("centre", "class").distinct()
-        near = materialize(verified(compared.select(*_ordered(F.col("centre"), F.col("class"))), classes, texts, size, k, max(1, boundary)))
-        found.append(near)
-        # similarity to the centre, from both directions of the ordered pair
-        told = near.select(F.col("a").alias("centre"), F.col("b").alias("class"), "shared", "total").unionByName(
-            near.select(F.col("b").alias("centre"), F.col("a").alias("class"), "shared", "total")
-        )
-        told = materialize(compared.join(told, ["centre", "class"]))
-        linked = told.where(is_link).select("centre", F.col("class").alias("x"), (F.col("shared") / F.col("total")).alias("j_x"))
-        edge = told.where(~is_link).select("centre", F.col("class").alias("y"), (F.col("shared") / F.col("total")).alias("j_y"))
-        crossing = edge.join(linked, "centre").where(F.col("j_x") <= F.col("j_y") + (100 - threshold) / 100 + 1e-9)
-        found.append(materialize(verified(crossing.select(*_ordered(F.col("x"), F.col("y"))).distinct(), classes, texts, size, k, threshold)))
-        done = told.where(is_link).select("centre", "class")
+        placed = rest.join(sizes.select("value", F.col("c.class").alias("centre"), F.col("c.n").alias("n_c")), "value").where(F.col("class") != F.col("centre"))
+        compared = placed.where(_close("n", "n_c", boundary)).select(*_ordered(F.col("centre"), F.col("class")), "centre").distinct()
+        near = verified(compared.select("a", "b").distinct(), texts, size, k, boundary)
+        told = materialize(compared.join(near, ["a", "b"]).select(
+            "centre", F.when(F.col("a") == F.col("centre"), F.col("b")).otherwise(F.col("a")).alias("class"), is_link.alias("linked"), (F.col("shared") / F.col("total")).alias("j"),
+        ))
+        edges = told if edges is None else edges.unionByName(told)
+        done = told.where("linked").select("centre", "class")
+        found = found.unionByName(done.select(*_ordered(F.col("centre"), F.col("class"))))
         rest = placed.join(done, ["centre", "class"], "left_anti").select("value", "class", "n")
-    found.append(materialize(verified(all_pairs(rest), classes, texts, size, k, threshold)))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.where(is_link).select("a", "b").distinct()
+    if edges is None:
+        rest = materialize(rest)
+        if not rest.limit(1).count():
+            return found.distinct()
+    # what is left matters only between components
+    found = materialize(found.distinct())
+    comps = components(found).withColumnRenamed("id", "class")
+    left = rest.join(comps, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    several = left.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("value")
+    pairs = _all_pairs(left.join(several, "value"), threshold)
+    if edges is not None:
+        named = edges.join(comps, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        centres = comps.select(F.col("class").alias("centre"), F.col("component").alias("c_centre"))
+        outside = named.where("NOT linked").join(centres, "centre").where(F.col("component") != F.col("c_centre"))
+        crossing = outside.select("centre", F.col("class").alias("y"), F.col("j").alias("j_y")).join(
+            edges.where("linked").select("centre", F.col("class").alias("x"), F.col("j").alias("j_x")), "centre"
+        ).where(F.col("j_x") <= F.col("j_y") + (100 - threshold) / 100 + 1e-9)
+        pairs = pairs.unionByName(crossing.select(*_ordered(F.col("x"), F.col("y")))).distinct()
+    return found.unionByName(verified(pairs, texts, size, k, threshold).where(is_link).select("a", "b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -222,11 +244,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, k: int
     classes = materialize(
         sk.where("mark IS NOT NULL").groupBy("class", "mark").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     )
-    listed = inverted_lists(classes, k, threshold).select("class").distinct()
-    # texts of the classes that share a listed value, one each
-    wanted = classes.join(listed, "class").select("class", "first_id")
-    texts = materialize(slim.join(wanted.withColumnRenamed("first_id", "doc_id"), "doc_id").select("class", "text").dropDuplicates(["class"]))
-    comps = components(links(classes, texts, size, k, threshold))
+    lists = materialize(inverted_lists(classes, k, threshold))
+    # text and sketch of the classes that share a listed value, one each
+    wanted = classes.join(lists.select("class").distinct(), "class").select("class", F.col("first_id").alias("doc_id"), "sketch")
+    texts = materialize(slim.join(wanted, "doc_id").select("class", "sketch", "text").dropDuplicates(["class"]))
+    comps = components(links(lists, texts, size, k, threshold))
     grouped = classes.join(comps.withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
     membership = materialize(grouped.join(smallest, "component").select("mark", "component_id"))
