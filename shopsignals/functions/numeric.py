@@ -40,11 +40,15 @@ def exact_sum(c, scale: int = EXACT_SCALE) -> Column:
 
 
 def exact_avg(c, scale: int = EXACT_SCALE) -> Column:
-    """Mean = (exact decimal sum, as the nearest double) / count.
-
-    Order-independent, so a mean that lands on a rounding tie rounds the same
-    way on every engine, partitioning and retry."""
-    return exact_sum(c, scale).cast("double") / F.count(_col(c))
+    """Mean = (decimal sum of the values at ``scale`` decimals, as the nearest double) / count.
+
+    NaN counts as missing, in the sum and in the count.  Order-independent, so
+    a mean that lands on a rounding tie rounds the same way on every engine,
+    partitioning and retry; values with more than ``scale`` decimals are
+    rounded to that scale first."""
+    value = _col(c).cast("double")
+    value = F.when(~F.isnan(value), value)
+    return exact_sum(value, scale).cast("double") / F.count(value)
 
 
 def safe_ratio(num, den, default: float = 0.0) -> Column:

@@ -53,14 +53,24 @@ def format_thousands(n) -> Column:
 
 
 def python_str(x) -> Column:
-    """``str(v)`` for ints and doubles in the usual feature ranges.
+    """``str(v)`` of integers and doubles.
 
-    Spark prints the same shortest digits as Python but switches to
-    E-notation below 1e-3; Python does so only below 1e-4.
+    Spark prints the same shortest digits as Python but takes the E-notation
+    below 1e-3 and from 1e7; Python does below 1e-4 and from 1e16.
     """
     col = _col(x)
     s = col.cast("string")
-    small = F.regexp_replace(
-        F.regexp_replace(s, r"^(-?)(\d)\.0E-4$", "$10.000$2"), r"^(-?)(\d)\.(\d+)E-4$", "$10.000$2$3"
+    exponent = F.coalesce(F.regexp_extract(s, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0))
+    mantissa = F.regexp_replace(F.regexp_replace(s, r"E-?\d+$", ""), r"\.0$", "")
+    power = F.format_string("%02d", F.abs(exponent))
+    scientific = F.concat(mantissa, F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")), power)
+    # plain digits: the shortest digits fit a decimal between the two limits
+    digits = F.regexp_replace(s.try_cast("decimal(38,21)").cast("string"), r"0+$", "")
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    return (
+        F.when(s == "NaN", F.lit("nan"))
+        .when(s.endswith("Infinity"), F.regexp_replace(s, "Infinity", "inf"))
+        .when(~s.contains("E"), s)
+        .when((exponent >= 16) | (exponent < -4), scientific)
+        .otherwise(plain)
     )
-    return small

@@ -2,9 +2,8 @@
 
 The five reporting statements of the event warehouse: rows per month,
 event-type distribution with distinct users and share of total, daily active
-users, top brands by purchase revenue and the per-session summary.  The same
-text also runs unchanged through ``spark.sql`` against a registered table
-(see ``sources.catalog``).
+users, top brands by purchase revenue and the per-session summary.  They take
+any event DataFrame, a registered table included (see ``sources.catalog``).
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopsignals.functions.numeric import minutes_between, round_half_up
+from shopsignals.functions.numeric import exact_sum, round_half_up
 
 
 def rows_per_month(events: DataFrame) -> DataFrame:
@@ -57,7 +56,7 @@ def top_brands_by_revenue(events: DataFrame, n: int = 20) -> DataFrame:
     return (
         events.filter((F.col("event_type") == "purchase") & F.col("brand").isNotNull())
         .groupBy("brand")
-        .agg(F.count(F.lit(1)).alias("purchases"), round_half_up(F.sum("price"), 2).alias("total_revenue"))
+        .agg(F.count(F.lit(1)).alias("purchases"), round_half_up(exact_sum("price").cast("double"), 2).alias("total_revenue"))
         .orderBy(F.desc("total_revenue"), "brand")
         .limit(n)
     )
@@ -77,7 +76,7 @@ def session_summary(events: DataFrame, ordered: bool = True) -> DataFrame:
         count_type("view").alias("views"),
         count_type("cart").alias("cart_adds"),
         count_type("purchase").alias("purchases"),
-        F.sum(F.when(purchase, F.col("price")).otherwise(F.lit(0.0))).alias("session_revenue"),
+        exact_sum(F.when(purchase, F.col("price")).otherwise(F.lit(0.0))).cast("double").alias("session_revenue"),
     )
     return out.orderBy("user_id", "session_start") if ordered else out
 
@@ -87,34 +86,11 @@ def preview(df: DataFrame, n: int = 5, order_by: str = "user_id") -> DataFrame:
     return df.orderBy(order_by).limit(n)
 
 
-def session_durations(sessions: DataFrame) -> DataFrame:
-    """Adds duration in minutes (floor 0) to a session summary."""
-    return sessions.withColumn(
-        "duration_min", F.greatest(minutes_between("session_start", "session_end"), F.lit(0.0))
-    )
-
-
-def describe_features_approx(df: DataFrame, columns: list[str], accuracy: int = 10000) -> DataFrame:
-    """Summary table with sketch quartiles (bounded memory per column); the
-    exact form is ``operators.profiles.describe``."""
-    stacked = _stack(df, columns)
-    q = F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy)
-    return (
-        stacked.groupBy("feature")
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            q.alias("_q"),
-            F.max("value").alias("max"),
-        )
-        .select("feature", "count", "mean", "std", "min",
-                F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
-    )
-
-
-def _stack(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Wide → long (feature, value) with ``unpivot``; values as double."""
-    casted = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return casted.unpivot([], columns, "feature", "value")
+#: the reports by name, as ``sources.catalog.run_report`` offers them
+REPORTS = {
+    "rows_per_month": rows_per_month,
+    "event_type_distribution": event_type_distribution,
+    "daily_active_users": daily_active_users,
+    "top_brands_by_revenue": top_brands_by_revenue,
+    "session_summary": session_summary,
+}

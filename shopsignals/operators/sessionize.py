@@ -76,7 +76,7 @@ def sessionize_by_gap(
     # whole sessionisation subtree
     out = rows.join(blocks, [user_col, "_blk"], "left")
     start = F.coalesce(F.col("_start_in"), F.col("_block_session"))
-    session = F.concat_ws("-", F.col(user_col).cast("string"), start.cast("string"))
+    session = F.concat(F.col(user_col).cast("string"), F.lit("-"), start.cast("string"))
     keep = [c for c in df.columns]
     return out.select(*keep, session.alias(out_col))
 

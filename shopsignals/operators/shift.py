@@ -6,19 +6,16 @@ overlays.  Both inputs are whole DataFrames (no sampling needed); the
 statistic is computed from counts per distinct (feature, value) with the
 blocked running totals of ``operators.running``.
 
-p-value: when both samples have at most ``KS_EXACT_MAX_N`` values, the exact
-null distribution of D (``ks_exact_sf``); above that the asymptotic
-Kolmogorov series 2·Σ(−1)^(k−1)·exp(−2k²λ²), λ = D·sqrt(n·m/(n+m)), 100
-terms, as one column expression; 1 for λ < 0.2 (where the truncated series is
-not meaningful).  The exact value is computed per feature on the one-row-per-
-feature table, so its cost is bounded by the sample-size limit, not the data.
+p-value, at every sample size: the asymptotic Kolmogorov series
+2·Σ(−1)^(k−1)·exp(−2k²λ²), λ = D·sqrt(n·m/(n+m)), 100 terms, as one column
+expression; 1 for λ < 0.2 (where the truncated series is not meaningful).
+Missing feature values count as 0, as in the feature table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,12 +56,11 @@ def available_features(df: DataFrame, features: Sequence[str] = MONITOR_FEATURES
 
 
 def stack_sides(baseline: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, value, side) rows; nulls dropped; ``side`` 0 = baseline."""
+    """(feature, value, side) rows; null and NaN count as 0; ``side`` 0 = baseline."""
     def long(df, side):
         return (
-            df.select(*[F.col(f).cast("double").alias(f) for f in features])
+            df.select(*[F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(f) for f in features])
             .unpivot([], list(features), "feature", "value")
-            .filter(F.col("value").isNotNull())
             .withColumn("side", F.lit(side))
         )
 
@@ -84,77 +80,6 @@ def ks_pvalue(d, n, m):
     return F.when(lam < F.lit(KS_SMALL_LAMBDA), F.lit(1.0)).otherwise(p)
 
 
-#: largest sample (either side) that gets the exact two-sample p-value
-KS_EXACT_MAX_N = 10000
-
-
-def ks_exact_sf(m: int, n: int, h: int) -> float:
-    """Exact P(D ≥ h / (m·n)) for two samples of sizes m and n under the null.
-
-    Under the null every interleaving of the m + n sorted values is equally
-    likely: a lattice path from (0, 0) to (m, n) where step (i, j) → (i+1, j)
-    has probability (m−i)/(m+n−i−j).  D·m·n = max |i·n − j·m| along the path.
-    The DP runs over anti-diagonals i + j = k with the probability mass of
-    paths still inside the band |i·n − j·m| < h; the mass that reaches the
-    band's edge is added to the result directly, so small p-values keep
-    their precision.  O((m + n)·m) time, O(m) memory.
-    """
-    import numpy as np
-
-    if h <= 0:
-        return 1.0
-    idx = np.arange(m + 1)
-    cur = np.zeros(m + 1)
-    cur[0] = 1.0
-    outside = 0.0
-    for k in range(1, m + n + 1):
-        rem = float(m + n - (k - 1))
-        # cells (i, k-1-i) of the previous diagonal that exist
-        lo, hi = max(0, k - 1 - n), min(k - 1, m)
-        ip = idx[lo : hi + 1]
-        c = cur[lo : hi + 1]
-        nxt = np.zeros(m + 1)
-        nxt[lo : hi + 1] = c * ((n - ((k - 1) - ip)) / rem)  # next value from the current sample
-        top = min(hi + 1, m)
-        nxt[lo + 1 : top + 1] += (c * ((m - ip) / rem))[: top - lo]  # next from the reference
-        lo2, hi2 = max(0, k - n), min(k, m)
-        i_new = idx[lo2 : hi2 + 1]
-        leaves = np.abs(i_new * n - (k - i_new) * m) >= h
-        if leaves.any():
-            # at most the two band edges per diagonal: the sum is order-free
-            out_cells = nxt[lo2 : hi2 + 1][leaves]
-            outside += float(np.cumsum(out_cells)[-1])
-            nxt[lo2 : hi2 + 1][leaves] = 0.0
-        cur = nxt
-    return min(1.0, outside)
-
-
-def _ks_exact_column(d, m, n):
-    """Exact p-value column (null above ``KS_EXACT_MAX_N``): an Arrow-batched
-    pandas UDF over the one-row-per-feature table."""
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("double")
-    def exact(d: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
-        out = []
-        for dv, mv, nv in zip(d, m, n):
-            mi, ni = int(mv), int(nv)
-            if pd.isna(dv) or mi <= 0 or ni <= 0 or max(mi, ni) > KS_EXACT_MAX_N:
-                out.append(None)
-            else:
-                out.append(ks_exact_sf(mi, ni, int(round(float(dv) * mi * ni))))
-        return pd.Series(out, dtype="float64")
-
-    return exact(d, m, n)
-
-
-def ks_pvalue_auto(d, n, m):
-    """Exact p-value when both samples have at most ``KS_EXACT_MAX_N`` values,
-    the asymptotic series otherwise."""
-    small = F.greatest(n, m) <= F.lit(KS_EXACT_MAX_N)
-    return F.when(small, _ks_exact_column(d, n, m)).otherwise(ks_pvalue(d, n.cast("double"), m.cast("double")))
-
-
 def ks_details(
     baseline: DataFrame,
     current: DataFrame,
@@ -183,18 +108,14 @@ def ks_details(
     )
     ks = gaps.groupBy("feature").agg(F.max("gap").alias("ks_raw"))
     out = totals.filter((F.col("total_ref") > 0) & (F.col("total_cur") > 0)).join(ks, "feature")
-    # one row per feature: spread them over tasks so the exact p-values (up
-    # to a few seconds each at the size limit) run in parallel; an explicit
-    # count, so AQE does not coalesce the tiny partitions back into one
-    out = out.repartition(max(1, len(features)), "feature")
-    p = ks_pvalue_auto(F.col("ks_raw"), F.col("total_ref"), F.col("total_cur"))
+    p = ks_pvalue(F.col("ks_raw"), F.col("total_ref").cast("double"), F.col("total_cur").cast("double"))
     order = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature"))
     return out.select(
         "feature",
         order.alias("feature_order"),
         round_half_even("ks_raw", 4).alias("ks_statistic"),
         round_half_even(p, 6).alias("p_value"),
-        (p < F.lit(alpha)).alias("drift_detected"),
+        (p < F.lit(alpha)).alias("shift_detected"),
         round_half_even("ref_mean_raw", 4).alias("ref_mean"),
         round_half_even("cur_mean_raw", 4).alias("cur_mean"),
         round_half_even(relative_shift_pct("ref_mean_raw", "cur_mean_raw"), 2).alias("mean_shift_pct"),
@@ -204,25 +125,25 @@ def ks_details(
 
 
 def shift_verdict(details: DataFrame, alpha: float = DEFAULT_ALPHA) -> DataFrame:
-    """One row: share of drifted features, decision (> 0.5), counts, name lists.
+    """One row: share of shifted features, decision (> 0.5), counts, name lists.
 
     ``details`` has one row per feature, so the name lists are bounded.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("feature_order", "feature", "drift_detected")))
+    ordered = F.array_sort(F.collect_list(F.struct("feature_order", "feature", "shift_detected")))
     return details.agg(ordered.alias("_f")).select(
-        (F.size(F.filter("_f", lambda r: r["drift_detected"])) / F.greatest(F.size("_f"), F.lit(1))).alias("_share"),
-        F.size(F.filter("_f", lambda r: r["drift_detected"])).cast("long").alias("n_drifted_features"),
-        F.size(F.filter("_f", lambda r: ~r["drift_detected"])).cast("long").alias("n_stable_features"),
+        (F.size(F.filter("_f", lambda r: r["shift_detected"])) / F.greatest(F.size("_f"), F.lit(1))).alias("_share"),
+        F.size(F.filter("_f", lambda r: r["shift_detected"])).cast("long").alias("n_shifted_features"),
+        F.size(F.filter("_f", lambda r: ~r["shift_detected"])).cast("long").alias("n_stable_features"),
         F.size("_f").cast("long").alias("n_total_features"),
-        F.transform(F.filter("_f", lambda r: r["drift_detected"]), lambda r: r["feature"]).alias("drifted_features"),
-        F.transform(F.filter("_f", lambda r: ~r["drift_detected"]), lambda r: r["feature"]).alias("stable_features"),
+        F.transform(F.filter("_f", lambda r: r["shift_detected"]), lambda r: r["feature"]).alias("shifted_features"),
+        F.transform(F.filter("_f", lambda r: ~r["shift_detected"]), lambda r: r["feature"]).alias("stable_features"),
     ).select(
-        (F.col("_share") > F.lit(0.5)).alias("dataset_drift_detected"),
-        round_half_even("_share", 4).alias("drift_share"),
-        "n_drifted_features",
+        (F.col("_share") > F.lit(0.5)).alias("dataset_shift_detected"),
+        round_half_even("_share", 4).alias("shift_share"),
+        "n_shifted_features",
         "n_stable_features",
         "n_total_features",
-        "drifted_features",
+        "shifted_features",
         "stable_features",
         F.lit(alpha).alias("alpha"),
         F.lit("Kolmogorov-Smirnov").alias("test"),
@@ -230,8 +151,8 @@ def shift_verdict(details: DataFrame, alpha: float = DEFAULT_ALPHA) -> DataFrame
 
 
 def shift_alerts(details: DataFrame) -> DataFrame:
-    """Drifted features, largest KS first."""
-    return details.filter("drift_detected").select(
+    """Shifted features, largest KS first."""
+    return details.filter("shift_detected").select(
         "feature", "ks_statistic", "p_value", "mean_shift_pct"
     ).orderBy(F.desc("ks_statistic"), "feature")
 
@@ -245,15 +166,19 @@ def distribution_overlay(
     current: DataFrame,
     features: Sequence[str],
     n_edges: int = OVERLAY_EDGES,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Density histograms of both sides on shared equal-width bins.
 
     Bins as ``numpy.histogram`` with ``linspace(lo, hi, n_edges)`` edges over
     the joint range (last bin closed).  Output: feature, bin, lower, upper,
     baseline_density, current_density (bins without rows are omitted).
+    ``wanted`` (a few feature names) limits the rows before they are binned.
     """
     nb = n_edges - 1
     stacked = stack_sides(baseline, current, features)
+    if wanted is not None:
+        stacked = stacked.join(F.broadcast(wanted), "feature", "left_semi")
     rng = stacked.groupBy("feature").agg(
         F.min("value").alias("lo"),
         F.max("value").alias("hi"),

@@ -490,9 +490,8 @@ SPLIT_SQL = f"""{USER_FEATURES_SQL.replace("WITH ", "WITH RECURSIVE ", 1)},
     sides AS (SELECT *, CASE WHEN rn <= floor(n * 0.8) THEN 0 ELSE 1 END AS side FROM pos),
     long AS (
       SELECT side, feature, value FROM (
-        UNPIVOT (SELECT side, {", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in _MON)} FROM sides)
-        ON {_MON_LIST} INTO NAME feature VALUE value)
-      WHERE value IS NOT NULL),
+        UNPIVOT (SELECT side, {", ".join(f"coalesce(CAST({f} AS DOUBLE), 0.0) AS {f}" for f in _MON)} FROM sides)
+        ON {_MON_LIST} INTO NAME feature VALUE value)),
     totals AS (
       SELECT feature, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS total_ref,
              sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS total_cur,
@@ -516,36 +515,10 @@ SPLIT_SQL = f"""{USER_FEATURES_SQL.replace("WITH ", "WITH RECURSIVE ", 1)},
              k.ks_raw * sqrt(CAST(total_ref AS DOUBLE) * CAST(total_cur AS DOUBLE)
                              / (CAST(total_ref AS DOUBLE) + CAST(total_cur AS DOUBLE))) AS lam
       FROM totals t JOIN ks k USING (feature) WHERE total_ref > 0 AND total_cur > 0),
-    exact_in AS (
-      SELECT feature, CAST(total_ref AS BIGINT) AS m, CAST(total_cur AS BIGINT) AS n,
-             CAST(round(ks_raw * CAST(total_ref AS DOUBLE) * CAST(total_cur AS DOUBLE)) AS BIGINT) AS h
-      FROM lam WHERE greatest(total_ref, total_cur) <= {shift.KS_EXACT_MAX_N}),
-    paths(feature, m, n, h, k, cur, outside) AS (
-      SELECT feature, m, n, h, 0,
-             list_transform(range(m + 1), lambda i: CASE WHEN i = 0 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END),
-             CAST(0.0 AS DOUBLE)
-      FROM exact_in WHERE h > 0
-      UNION ALL
-      SELECT feature, m, n, h, k,
-             list_transform(range(m + 1), lambda i: CASE WHEN leaves[i + 1] THEN CAST(0.0 AS DOUBLE) ELSE raw[i + 1] END),
-             outside + list_sum(list_transform(range(m + 1), lambda i: CASE WHEN leaves[i + 1] THEN raw[i + 1] ELSE CAST(0.0 AS DOUBLE) END))
-      FROM (
-        SELECT feature, m, n, h, k + 1 AS k, outside, raw,
-               list_transform(range(m + 1), lambda i: (k + 1 - i) BETWEEN 0 AND n AND abs(i * n - (k + 1 - i) * m) >= h) AS leaves
-        FROM (
-          SELECT *, list_transform(range(m + 1), lambda i:
-                   cur[i + 1] * CASE WHEN (k - i) BETWEEN 0 AND n THEN CAST(n - (k - i) AS DOUBLE) / CAST(m + n - k AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
-                   + CASE WHEN i > 0 AND (k - i + 1) BETWEEN 0 AND n
-                          THEN cur[i] * (CAST(m - i + 1 AS DOUBLE) / CAST(m + n - k AS DOUBLE)) ELSE CAST(0.0 AS DOUBLE) END) AS raw
-          FROM paths WHERE k < m + n) step) step2),
-    exact AS (
-      SELECT e.feature, coalesce(least(1.0, p.outside), 1.0) AS p_exact
-      FROM exact_in e LEFT JOIN paths p ON p.feature = e.feature AND p.k = p.m + p.n),
     details AS (
       SELECT feature, CAST(list_position({_MON_ARRAY}, feature) AS BIGINT) AS feature_order,
              round_even(ks_raw, 4) AS ks_statistic,
-             CASE WHEN greatest(total_ref, total_cur) <= {shift.KS_EXACT_MAX_N} THEN (SELECT p_exact FROM exact x WHERE x.feature = lam.feature)
-                  WHEN lam < {shift.KS_SMALL_LAMBDA} THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_reduce(
+             CASE WHEN lam < {shift.KS_SMALL_LAMBDA} THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_reduce(
                list_transform(range(1, {shift.KS_SERIES_TERMS + 1}),
                  lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * lam * lam)),
                lambda a, b: a + b))) END AS p_raw,
@@ -553,7 +526,7 @@ SPLIT_SQL = f"""{USER_FEATURES_SQL.replace("WITH ", "WITH RECURSIVE ", 1)},
              round_even(abs(cur_mean_raw - ref_mean_raw) / (abs(ref_mean_raw) + 1e-10) * 100.0, 2) AS mean_shift_pct,
              CAST(total_ref AS BIGINT) AS n_ref, CAST(total_cur AS BIGINT) AS n_cur
       FROM lam),
-    det AS (SELECT * EXCLUDE (p_raw), round_even(p_raw, 6) AS p_value, p_raw < {shift.DEFAULT_ALPHA} AS drift_detected FROM details)"""
+    det AS (SELECT * EXCLUDE (p_raw), round_even(p_raw, 6) AS p_value, p_raw < {shift.DEFAULT_ALPHA} AS shift_detected FROM details)"""
 
 
 def clickstream_monitored_features(spark, sf) -> DataFrame:
@@ -579,34 +552,68 @@ def q_shift_ks(spark, sf):
 @register(
     "shift_verdict",
     SPLIT_SQL + """
-    SELECT avg(CASE WHEN drift_detected THEN 1.0 ELSE 0.0 END) > 0.5 AS dataset_drift_detected,
-           round_even(avg(CASE WHEN drift_detected THEN 1.0 ELSE 0.0 END), 4) AS drift_share,
-           count(CASE WHEN drift_detected THEN 1 END) AS n_drifted_features,
-           count(CASE WHEN NOT drift_detected THEN 1 END) AS n_stable_features,
+    SELECT avg(CASE WHEN shift_detected THEN 1.0 ELSE 0.0 END) > 0.5 AS dataset_shift_detected,
+           round_even(avg(CASE WHEN shift_detected THEN 1.0 ELSE 0.0 END), 4) AS shift_share,
+           count(CASE WHEN shift_detected THEN 1 END) AS n_shifted_features,
+           count(CASE WHEN NOT shift_detected THEN 1 END) AS n_stable_features,
            count(*) AS n_total_features,
-           coalesce(string_agg(CASE WHEN drift_detected THEN feature END, ',' ORDER BY feature_order), '') AS drifted_features,
-           coalesce(string_agg(CASE WHEN NOT drift_detected THEN feature END, ',' ORDER BY feature_order), '') AS stable_features
+           coalesce(string_agg(CASE WHEN shift_detected THEN feature END, ',' ORDER BY feature_order), '') AS shifted_features,
+           coalesce(string_agg(CASE WHEN NOT shift_detected THEN feature END, ',' ORDER BY feature_order), '') AS stable_features
     FROM det""",
     "R5",
 )
 def q_shift_verdict(spark, sf):
     v = shift.shift_verdict(clickstream_shift_details(spark, sf))
     return v.select(
-        "dataset_drift_detected", "drift_share", "n_drifted_features", "n_stable_features", "n_total_features",
-        F.array_join("drifted_features", ",").alias("drifted_features"),
+        "dataset_shift_detected", "shift_share", "n_shifted_features", "n_stable_features", "n_total_features",
+        F.array_join("shifted_features", ",").alias("shifted_features"),
         F.array_join("stable_features", ",").alias("stable_features"),
     )
 
 
 @register(
     "shift_alerts",
-    SPLIT_SQL + " SELECT feature, ks_statistic, p_value, mean_shift_pct FROM det WHERE drift_detected ORDER BY ks_statistic DESC, feature",
+    SPLIT_SQL + " SELECT feature, ks_statistic, p_value, mean_shift_pct FROM det WHERE shift_detected ORDER BY ks_statistic DESC, feature",
     "R7",
 )
 def q_shift_alerts(spark, sf):
     return shift.shift_alerts(clickstream_shift_details(spark, sf))
 
 
+#: orders of the first half of the period against those of the second half
+_ORDER_SHIFT = ["order_age_days", "o_totalprice", "o_shippriority"]
+
+
+@register(
+    "shift_alerts_orders",
+    """WITH o AS (
+      SELECT CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_shippriority AS DOUBLE) AS o_shippriority,
+             CAST(date_diff('day', CAST(o_orderdate AS DATE), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) AS DOUBLE) AS order_age_days,
+             date_diff('day', (SELECT min(CAST(o_orderdate AS DATE)) FROM orders), CAST(o_orderdate AS DATE)) * 2
+               > date_diff('day', (SELECT min(CAST(o_orderdate AS DATE)) FROM orders), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) AS late
+      FROM orders),
+    long AS (SELECT late, feature, coalesce(value, 0.0) AS value FROM o UNPIVOT (value FOR feature IN (order_age_days, o_totalprice, o_shippriority))),
+    tot AS (SELECT feature, sum(CASE WHEN late THEN 0.0 ELSE 1.0 END) AS n0, sum(CASE WHEN late THEN 1.0 ELSE 0.0 END) AS n1,
+                   avg(CASE WHEN NOT late THEN CAST(value AS DECIMAL(38,12)) END) AS m0, avg(CASE WHEN late THEN CAST(value AS DECIMAL(38,12)) END) AS m1 FROM long GROUP BY 1),
+    cdf AS (SELECT feature, value, sum(sum(CASE WHEN late THEN 0.0 ELSE 1.0 END)) OVER w AS c0, sum(sum(CASE WHEN late THEN 1.0 ELSE 0.0 END)) OVER w AS c1
+            FROM long GROUP BY feature, value WINDOW w AS (PARTITION BY feature ORDER BY value)),
+    ks AS (SELECT feature, max(abs(c0 / n0 - c1 / n1)) AS d FROM cdf JOIN tot USING (feature) GROUP BY 1),
+    p AS (SELECT *, d * sqrt(n0 * n1 / (n0 + n1)) AS lam FROM ks JOIN tot USING (feature)),
+    pv AS (SELECT *, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_sum(list_transform(range(1, 101),
+             lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * lam * lam))))) END AS pr FROM p)
+    SELECT feature, round_even(d, 4) AS ks_statistic, round_even(pr, 6) AS p_value,
+           round_even(abs(m1 - m0) / (abs(m0) + 1e-10) * 100.0, 2) AS mean_shift_pct FROM pv WHERE pr < 0.05""",
+    "R7",
+)
+def q_shift_alerts_orders(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet").withColumn("day", F.to_date("o_orderdate"))
+    # one row: the period's two ends
+    ends = orders.agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    aged = orders.join(F.broadcast(ends)).withColumn("order_age_days", F.datediff("last_day", "day").cast("double"))
+    late = F.datediff("day", "first_day") * 2 > F.datediff("last_day", "first_day")
+    return shift.shift_alerts(shift.ks_details(aged.where(~late), aged.where(late), _ORDER_SHIFT))
+
+
 @register(
     "shift_overlay",
     SPLIT_SQL + f""",
@@ -635,7 +642,7 @@ def q_shift_overlay(spark, sf):
     base, cur = shift.positional_split(feats, "user_id", 0.8)
     features = shift.available_features(feats)
     details = shift.ks_details(base, cur, features)
-    ov = shift.distribution_overlay(base, cur, features).join(shift.top_shifted(details), "feature", "left_semi")
+    ov = shift.distribution_overlay(base, cur, features, wanted=shift.top_shifted(details))
     return _round_cols(ov, ["lower", "upper", "baseline_density", "current_density"])
 
 
@@ -811,10 +818,16 @@ def order_user_features(spark, sf) -> DataFrame:
     )
 
 
+_TRAINED: dict = {}
+
+
 def _trained(spark, sf):
-    feats = materialize(order_user_features(spark, sf))
-    model, prepared = churn_model.train(feats)
-    return feats, model, prepared
+    """Features, model and prepared rows; trained once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        feats = materialize(order_user_features(spark, sf))
+        _TRAINED[key] = (feats, *churn_model.train(feats))
+    return _TRAINED[key]
 
 
 @register("model_churn_scores", None, "M1 M2 M3 M4 M12")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopsignals.functions.category import top_category
-from shopsignals.functions.numeric import round_half_even
+from shopsignals.functions.numeric import exact_avg, exact_sum, round_half_even
 from shopsignals.functions.text import format_fixed, format_percent, python_str
 from shopsignals.functions.timeparts import cyclical_encode
 
@@ -17,61 +17,31 @@ def _one_col(spark, values, ddl="x double"):
     return spark.createDataFrame([(v,) for v in values], ddl)
 
 
-def test_cyclical_encode_hour(spark):
-    df = _one_col(spark, [0, 6, 12, 18, 23], "x int")
-    s, c = cyclical_encode("x", 24)
-    rows = df.select(s.alias("s"), c.alias("c")).collect()
-    assert len(rows) == 5
-    assert abs(rows[0]["s"]) < 1e-10
-    assert abs(rows[0]["c"] - 1.0) < 1e-10
+@pytest.mark.parametrize("period", [5, 7, 24, 31])
+def test_cyclical_encode_lies_on_the_circle(spark, period):
+    df = _one_col(spark, list(range(-2, 2 * period)), "x int")
+    s, c = cyclical_encode("x", period)
+    for r in df.select("x", s.alias("s"), c.alias("c")).collect():
+        assert r["s"] ** 2 + r["c"] ** 2 == pytest.approx(1.0, abs=1e-9)
+        assert r["s"] == pytest.approx(math.sin(2 * math.pi * r["x"] / period), abs=1e-9)
+        assert r["c"] == pytest.approx(math.cos(2 * math.pi * (r["x"] + period) / period), abs=1e-9)
 
 
-def test_cyclical_encode_range(spark):
-    df = _one_col(spark, list(range(24)), "x int")
-    s, c = cyclical_encode("x", 24)
-    for r in df.select(s.alias("s"), c.alias("c")).collect():
-        assert -1 <= r["s"] <= 1 and -1 <= r["c"] <= 1
-
-
-def test_cyclical_encode_day(spark):
-    df = _one_col(spark, [0, 7], "x int")
-    s, c = cyclical_encode("x", 7)
-    r = df.select(s.alias("s"), c.alias("c")).collect()
-    assert abs(r[0]["s"] - r[1]["s"]) < 1e-10
-    assert abs(r[0]["c"] - r[1]["c"]) < 1e-10
-
-
-def _entropy(spark, values):
+@pytest.mark.parametrize("counts", [[7], [3, 3], [1, 2, 4], [10, 1, 1, 1, 1], [5] * 8])
+def test_view_entropy(spark, counts):
     from shopsignals.operators.features import _view_entropy
 
-    df = spark.createDataFrame([(1, v, None, 1) for v in values], "user_id long, _top string, brand string, _n long")
-    return _view_entropy(df).collect()[0]["_entropy"]
-
-
-def test_shannon_entropy_uniform(spark):
-    assert _entropy(spark, ["a", "b", "c", "d"]) > 0
-    assert abs(_entropy(spark, ["a", "b", "c", "d"]) - 2.0) < 1e-6
-
-
-def test_shannon_entropy_single(spark):
-    assert _entropy(spark, ["a", "a", "a", "a"]) < 0.01
-
-
-def test_shannon_entropy_non_negative_after_rounding(spark):
-    rng = random.Random(7)
-    for _ in range(5):
-        vals = [rng.choice("xyz") for _ in range(50)]
-        h = _entropy(spark, vals)
-        # the 1e-10 inside the log makes a one-category value about -1.4e-10
-        assert round(h, 4) >= 0
+    rows = [(1, f"shelf{i}", None, n) for i, n in enumerate(counts)]
+    got = _view_entropy(spark.createDataFrame(rows, "user_id long, _top string, brand string, _n long")).first()["_entropy"]
+    share = np.array(counts) / sum(counts)
+    assert got == pytest.approx(-(share * np.log2(share)).sum(), abs=1e-8)
+    assert round(got, 4) >= 0
 
 
-def test_extract_top_category(spark):
-    df = _one_col(
-        spark, ["electronics.smartphone", "apparel.shoes", "appliances.kitchen", None, "electronics"], "x string"
-    )
-    got = [r[0] for r in df.select(top_category("x")).collect()]
-    assert got == ["electronics", "apparel", "appliances", "unknown", "electronics"]
+def test_top_category_is_the_first_path_step(spark):
+    paths = {"garden.tools.rake": "garden", "garden": "garden", ".odd": "", "a.b.c.d": "a", None: "unknown"}
+    df = _one_col(spark, list(paths), "x string")
+    assert {r["x"]: r["t"] for r in df.select("x", top_category("x").alias("t")).collect()} == paths
 
 
 def test_round_half_even_matches_numpy(spark):
@@ -104,8 +74,34 @@ def test_format_fixed_matches_python(spark):
         assert r["p1"] == f"{x:.1%}", x
 
 
-def test_python_str_small_values(spark):
-    vals = [0.0005, 0.00015, 0.2333, 22.0, 1.5, 0.001, 0.0]
-    df = _one_col(spark, vals)
-    got = [r[0] for r in df.select(python_str("x")).collect()]
+def test_python_str(spark):
+    rng = random.Random(17)
+    vals = [0.0, 0.001, 0.0005, 0.00015, 1e-4, 9.99e-5, 5e-05, 1.25e-7, 1e7, 1e7 + 0.5, 12345678.9, 1e15, 1e16, 1.5e16, 1e300, 1.0, -1e7, -3e-6, 22.0]
+    vals += [rng.uniform(-1, 1) * 10 ** rng.randrange(-9, 19) for _ in range(300)] + [float("nan"), float("inf"), float("-inf")]
+    got = [r[0] for r in _one_col(spark, vals).select(python_str("x")).collect()]
     assert got == [str(v) for v in vals]
+    ints = _one_col(spark, [0, -5, 12345678901], "x long")
+    assert [r[0] for r in ints.select(python_str("x")).collect()] == ["0", "-5", "12345678901"]
+
+
+def test_exact_avg_leaves_out_nan_and_null(spark):
+    df = _one_col(spark, [1.0, float("nan"), 3.0, None])
+    assert df.agg(exact_avg("x")).first()[0] == 2.0
+    assert df.where("isnan(x)").agg(exact_avg("x")).first()[0] is None
+
+
+def test_exact_sum_does_not_depend_on_the_order(spark):
+    vals = [0.1] * 1000 + [1e9, -1e9]
+    sums = {_one_col(spark, v).agg(exact_sum("x").cast("double")).first()[0] for v in (vals, vals[::-1], vals[500:] + vals[:500])}
+    assert sums == {100.0}
+
+
+def test_session_of_null_user_or_time_is_null(spark):
+    from datetime import datetime
+
+    from shopsignals.operators.sessionize import sessionize_by_gap
+
+    at = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, at, 1), (None, at, 2), (1, None, 3)], "user_id long, event_time timestamp, event_id long")
+    got = {r["event_id"]: r["user_session"] for r in sessionize_by_gap(df, "user_id", "event_time", ("event_id",)).collect()}
+    assert got[1] is not None and got[2] is None and got[3] is None

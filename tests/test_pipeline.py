@@ -64,8 +64,9 @@ def test_catalog_table_repair_and_reports(spark, event_root):
     rpm = catalog.run_report(spark, "rows_per_month", "shopsignals_test.events").collect()
     ref = reports.rows_per_month(load_events(spark, event_root)).collect()
     assert [tuple(r) for r in rpm] == [tuple(r) for r in ref]
-    for name in catalog.REPORT_SQL:
-        assert catalog.run_report(spark, name, "shopsignals_test.events").count() >= 0
+    for name, report in reports.REPORTS.items():
+        got = catalog.run_report(spark, name, "shopsignals_test.events").collect()
+        assert sorted(map(str, got)) == sorted(map(str, report(load_events(spark, event_root)).collect())) and got
 
 
 def test_session_stream_matches_batch(spark, scratch):
@@ -90,7 +91,9 @@ def test_session_stream_matches_batch(spark, scratch):
         assert batch[(r["user_id"], r["session_start"])] == r["total_events"]
     q2 = start_to_parquet(dau_stream(read_event_stream(spark, src)), f"{scratch}/dau_out", f"{scratch}/dau_ck")
     q2.awaitTermination(300)
-    assert spark.read.parquet(f"{scratch}/dau_out").count() >= 0
+    days = {r["event_date"]: r["dau"] for r in spark.read.parquet(f"{scratch}/dau_out").collect()}
+    batch_days = {r["event_date"]: r["dau"] for r in reports.daily_active_users(ev).collect()}
+    assert days and all(batch_days[d] == n for d, n in days.items())
 
 
 def test_models_and_jobs(spark, scratch, event_root):
@@ -103,6 +106,8 @@ def test_models_and_jobs(spark, scratch, event_root):
     run_id = jobs.train_job(spark, out, params={"maxIter": 20})
     runs = spark.read.parquet(f"{out}/runs").filter(F.col("run_id") == run_id)
     assert runs.filter("kind = 'metric'").count() == 10
+    facts = {r["name"]: r["value"] for r in runs.filter("kind = 'param'").collect()}
+    assert 1 <= int(facts["trees"]) <= int(facts["rounds_trained"]) <= 20
     scored = jobs.score_job(spark, out)
     probs = [r["churn_probability"] for r in scored.collect()]
     assert probs and all(0.0 <= p <= 1.0 for p in probs)
@@ -131,3 +136,26 @@ def test_onehot_vocabulary_is_bounded(spark):
     assert cats == sorted(cats) and len(cats) > 1
     with pytest.raises(ValueError):
         feat.onehot_categories(ev, max_categories=1)
+
+
+def test_training_ends_by_the_stopping_rule(spark):
+    """The label follows a noisy rule: loss stops falling, and the kept trees are those up to the best round."""
+    from shopsignals.models import churn
+
+    assert churn.best_round([3.0, 2.0, 1.0, 1.5, 1.6], 2) == (3, True)
+    assert churn.best_round([3.0, 2.0, 1.0, 1.5], 2) == (3, False)
+    df = spark.range(3000).selectExpr(
+        "id AS user_id", "cast(hash(id, 1) % 100 AS double) AS a", "cast(hash(id, 2) % 100 AS double) AS b",
+        "cast(CASE WHEN hash(id, 3) % 5 = 0 THEN hash(id, 4) % 2 = 0 ELSE hash(id, 1) % 100 > 0 END AS int) AS churned",
+    )
+    model, prepared = churn.train(df, ["a", "b"], params={"maxIter": 60, "maxDepth": 3, "stepSize": 0.5}, patience=3)
+    facts = model.params
+    assert facts["stopped_by_patience"] and facts["trees"] <= facts["rounds_trained"] - 3
+    assert model.model.stages[-1].getNumTrees == facts["trees"]
+    assert churn.model_info(model).first()["n_trees"] == facts["trees"]
+    scored = churn.score(model, prepared.where("is_test"))
+    ones, zeros = (scored.where(f"churned = {c}").agg(F.avg("churn_proba")).first()[0] for c in (1, 0))
+    assert ones > zeros + 0.3
+    balance = prepared.where("NOT is_test").groupBy("churned").count().collect()
+    n = {r["churned"]: r["count"] for r in balance}
+    assert prepared.where("churned = 1").first()["weight"] == pytest.approx(n[0] / n[1])
