@@ -17,7 +17,9 @@ tokens, and lines without a word, stay.
 Plan: lines travel as hashes of the line, leaf and tokens.  Counts are plain
 aggregates (combined before the shuffle), so a line in a third of all
 documents is one row per task; tokens are exploded only for leaves that hold
-several different lines of several documents.
+several different lines of several documents.  The tables of those leaves and
+of the dropped lines are broadcast while a count proves them small, and joined
+by shuffle otherwise.
 
 Defined results: null and empty texts stay as they are and have no lines; a
 document with a null id takes no part; rows that repeat an id are one document
@@ -39,10 +41,13 @@ SIMILARITY = 0.8
 MIN_TOKENS = 3
 
 
-def _masked(line: Column) -> Column:
-    """Words of a line separated by single spaces, those with a digit masked."""
-    plain = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
-    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(plain)
+def masked_lines(text: Column) -> Column:
+    """The lines of a text: words separated by single spaces, those with a digit masked."""
+    for c in "\t\x0b\x0c\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    text = F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " +", " ")).otherwise(text)
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.trim(x))
+    return F.transform(lines, lambda x: F.when(x.rlike("[0-9]"), F.regexp_replace(x, r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(x))
 
 
 def _tokens(masked: Column) -> Column:
@@ -57,9 +62,19 @@ def _leaf(masked: Column, n: Column, depth: int) -> Column:
     return F.xxhash64(n, F.substring_index(masked, " ", depth))
 
 
+#: joins with more rows than these shuffle both sides instead of broadcasting the smaller one
+WIDE_ROWS = 1_000_000
+DROP_ROWS = 500_000
+
+
+def _broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """A written table, marked for broadcasting if a count proves that it is small."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def document_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``doc_id, masked, n, key, leaf``: the distinct masked lines of each document."""
-    lines = F.array_distinct(F.transform(F.split("text", "\n", -1), _masked))
+    lines = F.array_distinct(masked_lines(F.col("text")))
     d = docs.where("doc_id IS NOT NULL").select("doc_id", F.explode(lines).alias("masked")).where(F.col("masked") != "")
     d = d.withColumn("n", _tokens(F.col("masked"))).where(F.col("n") >= min_tokens)
     return d.withColumns({"key": _key(F.col("masked")), "leaf": _leaf(F.col("masked"), F.col("n"), depth)})
@@ -76,10 +91,12 @@ def recurring(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARIT
         F.count(F.lit(1)).alias("keys"), F.sum("docs").alias("lines"), F.min("first").alias("lo"), F.max("first").alias("hi"), F.max("docs").alias("most"),
     )
     wide = materialize(wide.where((F.col("keys") > 1) & ((F.col("hi") > F.col("lo")) | (F.col("most") > 1))).select("leaf", "lines"))
+    wide = _broadcast_up_to(wide, WIDE_ROWS)
     behind = F.slice(F.split("masked", " "), depth + 1, 1 << 30)
-    candidates = with_text.where(F.col("n") > depth).select("key", "leaf", F.transform(behind, lambda t: F.xxhash64(t)).alias("tokens"))
+    wanted = with_text.where(F.col("n") > depth).join(wide, "leaf")
+    candidates = wanted.select("key", "leaf", "lines", F.transform(behind, lambda t: F.xxhash64(t)).alias("tokens"))
     # one row per different line: its tokens, and how many documents hold it
-    candidates = candidates.join(wide, "leaf").dropDuplicates(["leaf", "key"]).join(distinct, ["leaf", "key"])
+    candidates = candidates.groupBy("leaf", "key").agg(F.first("lines").alias("lines"), F.first("tokens").alias("tokens")).join(distinct, ["leaf", "key"])
     cells = materialize(candidates.select("leaf", "lines", "key", "docs", F.posexplode("tokens").alias("pos", "token")))
     constant = (
         cells.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("held"), F.first("lines").alias("lines"))
@@ -106,11 +123,10 @@ def dropped_lines(docs: DataFrame, **options) -> DataFrame:
 def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents with the lines of recurring templates taken out; adds ``_l_lines``, ``_l_dropped`` (line numbers from 0)."""
     drops = dropped_lines(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), **options)
-    d = docs.join(drops, F.col(id_col) == F.col("_l_id"), "left")
+    d = docs.join(_broadcast_up_to(drops, DROP_ROWS), F.col(id_col) == F.col("_l_id"), "left")
     d = d.withColumn("_l_all", F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1))
-    lost = F.filter(
-        F.transform("_l_all", lambda x, i: F.when(F.array_contains("_l_drop", _key(_masked(x))), i)), lambda i: i.isNotNull()
-    )
+    hashes = lambda text: F.transform(masked_lines(text), lambda x, i: F.struct(_key(x).alias("h"), i.alias("i")))
+    lost = F.transform(F.filter(hashes(F.col(text_col)), lambda z: F.array_contains("_l_drop", z["h"])), lambda z: z["i"])
     d = d.withColumn("_l_dropped", F.when(F.col("_l_drop").isNull(), F.array().cast("array<int>")).otherwise(lost))
     left = F.filter("_l_all", lambda x, i: ~F.array_contains("_l_dropped", i))
     text = F.when(F.size("_l_dropped") == 0, F.col(text_col)).otherwise(F.array_join(left, "\n"))

@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from shopsignals.llm import wordbpe
 from shopsignals.llm.common import arrow_rows, materialize, per_process, small_batches
 
-CACHE = 500_000
+#: entries of a worker's word caches; they are emptied beyond it (a matter of speed only)
+CACHE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -113,24 +114,34 @@ def vector_best_fit(lengths: np.ndarray, counts: np.ndarray, cap: Capacities) ->
 
 
 class WordIds:
-    """Ids of texts as bytes (little-endian unsigned 32 bit), chunk by chunk from a cache."""
+    """Ids of texts as bytes (little-endian unsigned 32 bit), word by word from a cache."""
 
     def __init__(self, path: str):
-        self.library, self.cache = wordbpe.load_tokenizer(path), {}
+        self.library, self.words, self.chunks = wordbpe.load_tokenizer(path), {}, {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Bytes of new pieces between white space, from the bytes of their pre-tokens."""
+        parts = {c: (c,) if c.isalpha() else wordbpe.split_chunk(c) for c in chunks}
+        words = self.words
+        missing = list({w for p in parts.values() for w in p if w not in words})
+        words.update(zip(missing, self._encode(missing)))
+        self.chunks.update((c, b"".join(map(words.__getitem__, p))) for c, p in parts.items())
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.words) > CACHE:
+            self.words.clear()
+        if len(self.chunks) > CACHE:
+            self.chunks.clear()
         split = [wordbpe.chunks_plain(t) if t and wordbpe.plain(t) else None for t in texts]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        cache = self.cache
-        missing = list({w for words in split if words for w in words if w not in cache})
-        if missing:
-            for w, e in zip(missing, self.library.encode_batch(missing, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
+        chunks = self.chunks
+        self._learn({c for s in split if s for c in s if c not in chunks})
         return [
-            b"".join(map(cache.__getitem__, words)) if words is not None
-            else np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if t else b""
-            for t, words in zip(texts, split)
+            b"".join(map(chunks.__getitem__, s)) if s is not None else self._encode([t])[0] if t else b""
+            for t, s in zip(texts, split)
         ]
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from shopsignals.llm import wordbpe
 from shopsignals.llm.common import arrow_rows, per_process, small_batches
 
-CACHE = 400_000
+CACHE = 1_000_000
 #: pre-tokens longer than this are merged in a batch of their own
 CHUNK_SYMBOLS = 2_000_000
 
