@@ -581,18 +581,18 @@ def q_shift_alerts(spark, sf):
 
 
 #: orders of the first half of the period against those of the second half
-_ORDER_SHIFT = ["order_age_days", "o_totalprice", "o_shippriority"]
+_ORDER_SHIFT = ["order_age_days", "o_totalprice", "o_custkey"]
 
 
 @register(
     "shift_alerts_orders",
     """WITH o AS (
-      SELECT CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_shippriority AS DOUBLE) AS o_shippriority,
+      SELECT CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_custkey AS DOUBLE) AS o_custkey,
              CAST(date_diff('day', CAST(o_orderdate AS DATE), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) AS DOUBLE) AS order_age_days,
              date_diff('day', (SELECT min(CAST(o_orderdate AS DATE)) FROM orders), CAST(o_orderdate AS DATE)) * 2
                > date_diff('day', (SELECT min(CAST(o_orderdate AS DATE)) FROM orders), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) AS late
       FROM orders),
-    long AS (SELECT late, feature, coalesce(value, 0.0) AS value FROM o UNPIVOT (value FOR feature IN (order_age_days, o_totalprice, o_shippriority))),
+    long AS (SELECT late, feature, coalesce(value, 0.0) AS value FROM o UNPIVOT (value FOR feature IN (order_age_days, o_totalprice, o_custkey))),
     tot AS (SELECT feature, sum(CASE WHEN late THEN 0.0 ELSE 1.0 END) AS n0, sum(CASE WHEN late THEN 1.0 ELSE 0.0 END) AS n1,
                    avg(CASE WHEN NOT late THEN CAST(value AS DECIMAL(38,12)) END) AS m0, avg(CASE WHEN late THEN CAST(value AS DECIMAL(38,12)) END) AS m1 FROM long GROUP BY 1),
     cdf AS (SELECT feature, value, sum(sum(CASE WHEN late THEN 0.0 ELSE 1.0 END)) OVER w AS c0, sum(sum(CASE WHEN late THEN 1.0 ELSE 0.0 END)) OVER w AS c1
@@ -928,23 +928,40 @@ def _replayed_stream(spark, sf, build, name):
     root = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
     ev = ad.clickstream_events(spark, sf, sessionize=False).drop("event_id")
     ev.write.mode("overwrite").parquet(f"{root}/source")
+    st.closing_event(ev).write.mode("append").parquet(f"{root}/source")
     q = st.start_to_parquet(build(st.read_event_stream(spark, f"{root}/source")), f"{root}/out", f"{root}/checkpoint")
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 
-@register("stream_sessions", None, "T1 (closed session windows; open ones stay in state)")
+@register(
+    "stream_sessions",
+    f"""WITH {CLICK_CTE}
+    SELECT user_id, min(event_time) AS session_start, max(event_time) AS session_end, count(*) AS total_events,
+           CAST(count(CASE WHEN event_type = 'view' THEN 1 END) AS BIGINT) AS views,
+           CAST(count(CASE WHEN event_type = 'cart' THEN 1 END) AS BIGINT) AS cart_adds,
+           CAST(count(CASE WHEN event_type = 'purchase' THEN 1 END) AS BIGINT) AS purchases,
+           round_even(CAST(sum(CAST(CASE WHEN event_type = 'purchase' THEN price ELSE 0 END AS DECIMAL(38,12))) AS DOUBLE), {FLOAT_DIGITS}) AS session_revenue
+    FROM ev WHERE user_id IS NOT NULL GROUP BY user_id, user_session""",
+    "T1",
+)
 def q_stream_sessions(spark, sf):
     from shopsignals.streaming.sessions import session_stream
 
-    return _replayed_stream(spark, sf, session_stream, "sessions")
+    return _round_cols(_replayed_stream(spark, sf, session_stream, "sessions"), ["session_revenue"])
 
 
-@register("stream_daily_active_users", None, "T2 (HyperLogLog distinct users per closed day)")
+@register(
+    "stream_daily_active_users",
+    f"""WITH {CLICK_CTE}
+    SELECT strftime(CAST(event_time AS DATE), '%Y-%m-%d') AS event_date, count(DISTINCT user_id) AS dau FROM ev GROUP BY 1""",
+    "T2",
+)
 def q_stream_dau(spark, sf):
     from shopsignals.streaming.sessions import dau_stream
 
-    return _replayed_stream(spark, sf, dau_stream, "dau")
+    days = _replayed_stream(spark, sf, dau_stream, "dau")
+    return days.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd"))
 
 
 @register(
@@ -1002,3 +1019,6 @@ def q_ingest_events_roundtrip(spark, sf):
         )
         .orderBy("year", "month")
     )
+
+
+from shopsignals.plans import varied  # noqa: E402,F401  registers the branch checks

@@ -2,12 +2,13 @@
 
 * ``session_stream``: per user, gap-based session windows with a watermark;
   append mode emits a session once the watermark passes its end, so state
-  stays bounded.  (A session window closes when the next event is at least
-  ``gap`` later; the batch sessioniser starts a new session when the silence
-  is longer than ``gap`` — the two differ only for a silence of exactly
-  ``gap``.)
-* ``dau_stream``: daily windows with HyperLogLog distinct users (exact
-  distinct counts are not supported on streams).
+  stays bounded.  Windows that touch are merged, so a silence of exactly the
+  gap stays inside a session, as in the batch rule.
+* ``dau_stream``: users are de-duplicated per day, then counted per day, both
+  under the watermark, so the counts are exact.
+* ``closing_event``: a finite replay ends with one event far in the future; it
+  moves the watermark past every open window, so the result is complete.  Its
+  own window stays in state and is never written.
 
 Rows later than the watermark are dropped, as Structured Streaming does.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shopsignals.functions.numeric import exact_sum
 from shopsignals.sources.events import EVENT_SCHEMA
 from pyspark.sql import types as T
 
@@ -53,21 +55,38 @@ def session_stream(events: DataFrame, gap: str = "12 hours", watermark: str = "1
             count_type("view").alias("views"),
             count_type("cart").alias("cart_adds"),
             count_type("purchase").alias("purchases"),
-            F.sum(F.when(purchase, F.col("price")).otherwise(F.lit(0.0))).alias("session_revenue"),
+            exact_sum(F.when(purchase, F.col("price")).otherwise(F.lit(0.0))).cast("double").alias("session_revenue"),
         )
         .drop("session")
     )
 
 
 def dau_stream(events: DataFrame, watermark: str = "1 day") -> DataFrame:
+    """Exact distinct users per day; rows without a user or a time do not count."""
     return (
         events.withWatermark("event_time", watermark)
-        .groupBy(F.window("event_time", "1 day").alias("day"))
-        .agg(F.approx_count_distinct("user_id").alias("dau"))
+        .where("user_id IS NOT NULL")
+        .select("user_id", F.window("event_time", "1 day").alias("day"))
+        .dropDuplicates(["user_id", "day"])
+        .groupBy("day")
+        .agg(F.count(F.lit(1)).alias("dau"))
         .select(F.to_date(F.col("day.start")).alias("event_date"), "dau")
     )
 
 
+def closing_event(events: DataFrame, after: str = "3650 days") -> DataFrame:
+    """One row of the events' schema, ``after`` the last event, with every other column null but a user id."""
+    last = events.agg((F.max("event_time") + F.expr(f"INTERVAL {after}")).alias("event_time"))
+    return last.select(
+        *[
+            F.col("event_time") if f.name == "event_time"
+            else F.lit(-1).cast(f.dataType).alias(f.name) if f.name == "user_id"
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in events.schema
+        ]
+    )
+
+
 def start_to_parquet(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Append results to Parquet with a checkpoint in the shared folder, so a
     restarted query resumes where it stopped (exactly-once file sink)."""

@@ -69,31 +69,30 @@ def test_catalog_table_repair_and_reports(spark, event_root):
         assert sorted(map(str, got)) == sorted(map(str, report(load_events(spark, event_root)).collect())) and got
 
 
-def test_session_stream_matches_batch(spark, scratch):
-    from shopsignals.streaming.sessions import dau_stream, read_event_stream, session_stream, start_to_parquet
-
-    ev = ad.clickstream_events(spark, SF_SMALL).drop("event_id")
+def test_streams_end_complete_and_equal_the_batch(spark, scratch):
+    """Silences of exactly the gap, of a microsecond more, and users active over midnight."""
+    from datetime import datetime, timedelta
+
+    from shopsignals.operators.sessionize import sessionize_by_gap
+    from shopsignals.streaming.sessions import closing_event, dau_stream, read_event_stream, session_stream, start_to_parquet
+    from tests.conftest import events_df
+
+    t0, half = datetime(2022, 5, 1, 3), timedelta(hours=12)
+    times = {1: [t0, t0 + half, t0 + 2 * half], 2: [t0, t0 + half + timedelta(microseconds=1)], 3: [t0 + timedelta(hours=20, minutes=m) for m in range(0, 120, 30)]}
+    rows = [{"event_time": at, "event_type": "view", "price": 1.5, "user_id": u} for u, all_times in times.items() for at in all_times]
+    ev = events_df(spark, rows)
     src = f"{scratch}/stream_src"
-    ev.drop("user_session").repartition(4).write.mode("overwrite").parquet(src)
-    stream = read_event_stream(spark, src)
-    out, ck = f"{scratch}/stream_out", f"{scratch}/stream_ck"
-    q = start_to_parquet(session_stream(stream), out, ck)
-    q.awaitTermination(300)
-    # append mode emits closed sessions only; the last one of each user stays
-    # in state until later data moves the watermark, so compare the closed set
-    streamed = spark.read.parquet(out).select("user_id", "session_start", "total_events").collect()
-    batch = {
-        (r["user_id"], r["session_start"]): r["total_events"]
-        for r in reports.session_summary(ev, ordered=False).collect()
-    }
-    assert len(streamed) > 0
-    for r in streamed:
-        assert batch[(r["user_id"], r["session_start"])] == r["total_events"]
-    q2 = start_to_parquet(dau_stream(read_event_stream(spark, src)), f"{scratch}/dau_out", f"{scratch}/dau_ck")
-    q2.awaitTermination(300)
-    days = {r["event_date"]: r["dau"] for r in spark.read.parquet(f"{scratch}/dau_out").collect()}
-    batch_days = {r["event_date"]: r["dau"] for r in reports.daily_active_users(ev).collect()}
-    assert days and all(batch_days[d] == n for d, n in days.items())
+    ev.drop("user_session").repartition(3).write.mode("overwrite").parquet(src)
+    closing_event(ev.drop("user_session")).write.mode("append").parquet(src)
+    for name, build in (("sessions", session_stream), ("days", dau_stream)):
+        start_to_parquet(build(read_event_stream(spark, src)), f"{scratch}/{name}", f"{scratch}/{name}_ck").awaitTermination(300)
+    batch = reports.session_summary(sessionize_by_gap(ev.drop("user_session"), tiebreak_cols=("event_type",)), ordered=False)
+    key = lambda df: sorted((r["user_id"], r["session_start"], r["session_end"], r["total_events"]) for r in df.collect())
+    assert key(spark.read.parquet(f"{scratch}/sessions")) == key(batch)
+    assert batch.groupBy("user_id").count().where("user_id = 1").first()["count"] == 1
+    assert batch.groupBy("user_id").count().where("user_id = 2").first()["count"] == 2
+    days = lambda df: sorted((r["event_date"], r["dau"]) for r in df.collect())
+    assert days(spark.read.parquet(f"{scratch}/days")) == days(reports.daily_active_users(ev))
 
 
 def test_models_and_jobs(spark, scratch, event_root):
