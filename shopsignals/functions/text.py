@@ -55,8 +55,9 @@ def format_thousands(n) -> Column:
 def python_str(x) -> Column:
     """``str(v)`` of integers and doubles.
 
-    Spark prints the same shortest digits as Python but takes the E-notation
-    below 1e-3 and from 1e7; Python does below 1e-4 and from 1e16.
+    Spark takes the E-notation below 1e-3 and from 1e7; Python does below 1e-4
+    and from 1e16.  The digits are the JVM's: up to 15 significant ones they
+    are Python's, beyond that JVMs before 19 may print one more than needed.
     """
     col = _col(x)
     s = col.cast("string")

