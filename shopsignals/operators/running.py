@@ -9,14 +9,16 @@ no partition ids):
     block(v) = sign(v) · (floor(log2|v| · R) + offset),   block(0) = 0
 
 so ``v1 < v2`` implies ``block(v1) <= block(v2)``, with ``R`` blocks per
-doubling of |v|.  Then
+doubling of |v|.  Values from a narrow range share few such blocks, so a block
+that holds more rows than ``target`` is cut again, into equal steps between
+its own smallest and largest value, as many as its count asks for
+(deterministic, from the counts).  Then
 
-1. a local running sum is taken per (group, block) — bounded by the rows
-   that fall into one block;
-2. block totals (one row per non-empty block) get an exclusive running sum
-   per group — bounded by the number of blocks, i.e. by the dynamic range of
-   the values, not by the row count;
-3. an equi-join on (group, block) adds the offset to the local sums.
+1. a local running sum is taken per (group, block, part) — about ``target``
+   rows at most;
+2. their totals (one row per non-empty part) get an exclusive running sum per
+   group;
+3. an equi-join on (group, block, part) adds the offset to the local sums.
 
 The input must have one row per (group, value) — aggregate first — so the
 order is total and the result is deterministic.
@@ -47,6 +49,31 @@ def order_block(value, resolution: int = DEFAULT_RESOLUTION) -> Column:
     )
 
 
+#: rows of a block above which it is cut into parts
+TARGET_ROWS = 100_000
+
+
+def _part(value, lo, hi, rows, target: int) -> Column:
+    """Which of the equal steps between ``lo`` and ``hi`` a value falls into; as many as ``rows`` needs."""
+    parts = F.ceil(F.lit(2.0) * rows / F.lit(float(target)))
+    at = F.floor((value - lo) / (hi - lo) * parts)
+    return F.when((rows > target) & (hi > lo), F.least(at, parts - 1)).otherwise(F.lit(0)).cast("long")
+
+
+def with_blocks(
+    df: DataFrame, group_cols: Sequence[str], order_col: str, resolution: int = DEFAULT_RESOLUTION, target: int = TARGET_ROWS
+) -> DataFrame:
+    """Adds ``_blk`` and ``_part``: an order-preserving cut with about ``target`` rows per part."""
+    keys = [*group_cols, "_blk"]
+    d = df.withColumn("_blk", order_block(order_col, resolution))
+    value = F.col(order_col).cast("double")
+    sizes = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    # null values have the null block: they join with nothing and stay in part 0
+    d = d.join(sizes, keys, "left")
+    part = F.coalesce(_part(value, F.col("_lo"), F.col("_hi"), F.col("_rows"), target), F.lit(0))
+    return d.withColumn("_part", part).drop("_rows", "_lo", "_hi")
+
+
 def running_totals(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -56,39 +83,33 @@ def running_totals(
     prefix: str = "cum_",
     resolution: int = DEFAULT_RESOLUTION,
     tiebreak_cols: Sequence[str] = (),
+    target: int = TARGET_ROWS,
 ) -> DataFrame:
     """Adds ``cum_<c>`` = sum of ``c`` over rows of the group with order value
     <= (or >= when ``descending``) the row's, inclusive.  ``tiebreak_cols``
     complete the order when ``order_col`` is not unique within a group."""
     group_cols = list(group_cols)
-    blk = order_block(order_col, resolution)
+    cut = with_blocks(df, group_cols, order_col, resolution, target)
     if descending:
-        blk = -blk
-    d = df.withColumn("_blk", blk)
+        cut = cut.withColumns({"_blk": -F.col("_blk"), "_part": -F.col("_part")})
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in [order_col, *tiebreak_cols]]
 
-    local_w = Window.partitionBy(*group_cols, "_blk").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    d = d.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sum_cols])
+    keys = [*group_cols, "_blk", "_part"]
+    local_w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = cut.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sum_cols])
 
-    blocks_w = Window.partitionBy(*group_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks_w = Window.partitionBy(*group_cols).orderBy("_blk", "_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.withColumn("_blk", blk)
-        .groupBy(*group_cols, "_blk")
+        cut.groupBy(*keys)
         .agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
-        .select(
-            *group_cols,
-            "_blk",
-            *[F.coalesce(F.sum(f"_bt_{c}").over(blocks_w), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
-        )
+        .select(*keys, *[F.coalesce(F.sum(f"_bt_{c}").over(blocks_w), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
     )
-    # offsets has one row per non-empty block; AQE broadcasts it when it is
-    # small at run time, otherwise it is a shuffle join on (group, block).
-    out = d.join(offsets, [*group_cols, "_blk"], "inner")
+    # offsets has one row per non-empty part; AQE broadcasts it when it is
+    # small at run time, otherwise it is a shuffle join
+    out = d.join(offsets, keys, "inner")
     for c in sum_cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_loc_{c}") + F.col(f"_off_{c}"))
-    return out.drop("_blk", *[f"_loc_{c}" for c in sum_cols], *[f"_off_{c}" for c in sum_cols])
+    return out.drop("_blk", "_part", *[f"_loc_{c}" for c in sum_cols], *[f"_off_{c}" for c in sum_cols])
 
 
 def global_rank(df: DataFrame, order_col: str, out_col: str = "row_pos", resolution: int = DEFAULT_RESOLUTION) -> DataFrame:
@@ -98,24 +119,29 @@ def global_rank(df: DataFrame, order_col: str, out_col: str = "row_pos", resolut
     return ranked.withColumnRenamed("_cum_one", out_col).drop("_one", "_g")
 
 
-def kth_smallest(df: DataFrame, col: str, k, resolution: int = DEFAULT_RESOLUTION):
+def _holding(counts: DataFrame, key: str, k) -> DataFrame:
+    """The one row of ``key, _n`` whose span of positions holds ``k``, with the rows before it."""
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return counts.withColumn("_before", before).filter((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k))
+
+
+def kth_smallest(df: DataFrame, col: str, k, resolution: int = DEFAULT_RESOLUTION, target: int = TARGET_ROWS):
     """The k-th smallest value (1-based) of a unique column, as a scalar
     sub-query column; null when k < 1 or k > rows.
 
     Distributed selection: count rows per order block (one row per non-empty
     block), find the block holding position k with a running sum over the
-    block counts, then rank only that block's rows.  No step sees more than
-    one block of rows or the block table.
+    block counts, do the same for the parts of that block, then rank only the
+    rows of one part, about ``target`` at most.
     """
     k = F.lit(k) if isinstance(k, int) else k
-    blk = order_block(col, resolution)
-    counts = df.groupBy(blk.alias("_blk")).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(
-        F.sum("_n").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    target = counts.withColumn("_before", before).filter((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k))
-    target_blk = target.select("_blk").scalar()
-    offset = target.select("_before").scalar()
-    in_block = df.filter(blk == target_blk).select(col)
-    ranked = in_block.withColumn("_r", F.row_number().over(Window.orderBy(col)))
-    return ranked.filter(F.col("_r") == k - offset).select(col).scalar()
+    value, blk = F.col(col).cast("double"), order_block(col, resolution)
+    blocks = df.groupBy(blk.alias("_blk")).agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    found = _holding(blocks, "_blk", k)
+    get = lambda c: found.select(c).scalar()
+    in_block = df.filter(blk == get("_blk")).select(col).withColumn("_part", _part(value, get("_lo"), get("_hi"), get("_n"), target))
+    k_in_block = k - get("_before")
+    part = _holding(in_block.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")), "_part", k_in_block)
+    in_part = in_block.filter(F.col("_part") == part.select("_part").scalar())
+    ranked = in_part.withColumn("_r", F.row_number().over(Window.orderBy(col)))
+    return ranked.filter(F.col("_r") == k_in_block - part.select("_before").scalar()).select(col).scalar()

@@ -231,7 +231,7 @@ def positional_split(df: DataFrame, order_col: str = "user_id", fraction: float
 
 def hash_sample(df: DataFrame, n: int, seed: int = 42, key: str = "user_id") -> DataFrame:
     """Fixed-size, repeatable sample without replacement: the ``n`` rows with
-    the smallest ``xxhash64(key, seed)``; a top-k, so each task keeps at most
+    the smallest ``md5('<key>-<seed>')``; a top-k, so each task keeps at most
     ``n`` rows before the merge."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")).cast("binary"))
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")

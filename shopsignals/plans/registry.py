@@ -775,10 +775,16 @@ def q_sample_stratified_split(spark, sf):
     return s.groupBy("churned", "is_test").agg(F.count(F.lit(1)).alias("users"))
 
 
-@register("sample_users", None, "O8 (hash-ordered sample; engines hash differently → rows-only)")
+@register(
+    "sample_users",
+    f"""WITH {ORDER_CTE}, {tw.session_features_ctes(ad.ORDERS_HORIZON_DAYS)}
+    SELECT user_id, total_sessions, total_purchases, churned FROM session_features
+    ORDER BY md5(CAST(user_id AS VARCHAR) || '-42'), user_id LIMIT 200""",
+    "O8",
+)
 def q_sample_users(spark, sf):
     feats = feat.session_features(_orders(spark, sf), horizon_days=ad.ORDERS_HORIZON_DAYS)
-    return shift.hash_sample(feats, 200, seed=42)
+    return shift.hash_sample(feats, 200, seed=42).select("user_id", "total_sessions", "total_purchases", "churned")
 
 
 @register(

@@ -226,6 +226,24 @@ def test_kth_smallest_and_positional_split(spark):
     assert sorted(r[0] for r in cur.collect()) == srt[cut:]
 
 
+def test_blocks_fit_narrow_ranges(spark):
+    """A million ids of one narrow range and scores in 0.9-1.0: no part above the target."""
+    from shopsignals.operators.running import with_blocks
+
+    ids = spark.range(1_000_000).select((F.col("id") * 7 + 512_000_000).alias("v"), F.lit(1).alias("n"))
+    scores = spark.range(200_000).select((F.lit(0.9) + F.col("id") / 2_000_000).alias("v"), F.lit(1).alias("n"))
+    for df, target in ((ids, 10_000), (scores, 5_000)):
+        cut = with_blocks(df, [], "v", target=target)
+        sizes = cut.groupBy("_blk", "_part").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        rows = sizes.orderBy("_blk", "_part").collect()
+        assert max(r["n"] for r in rows) <= target
+        assert all(a["hi"] < b["lo"] for a, b in zip(rows, rows[1:]))
+    total = running_totals(ids, [], "v", ["n"], target=10_000).agg(F.max("cum_n"), F.sum("cum_n")).first()
+    assert tuple(total) == (1_000_000, 1_000_000 * 1_000_001 // 2)
+    for k in (1, 123_456, 1_000_000):
+        assert ids.select(kth_smallest(ids, "v", k, target=10_000).alias("x")).first()["x"] == (k - 1) * 7 + 512_000_000
+
+
 def test_degenerate_inputs_do_not_fail(spark):
     # one class only; a constant feature; a feature empty on one side
     one_class = spark.createDataFrame([(1, 0.3), (1, 0.7)], "label int, score double")
