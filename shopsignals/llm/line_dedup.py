@@ -134,12 +134,12 @@ def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def line_dedup(docs: DataFrame, **options) -> DataFrame:
-    """Per document: number of lines, numbers of the dropped ones, characters and CRC-32 of what stays."""
+    """Per document: number of lines, numbers of the dropped ones (as text), characters and MD5 of what stays."""
     d = without_recurring_lines(docs.select("doc_id", "text"), **options)
     text = F.coalesce(F.col("text"), F.lit(""))
     return d.select(
         "doc_id", F.col("_l_lines").alias("n_lines"), F.size("_l_dropped").cast("long").alias("n_dropped"),
-        F.col("_l_dropped").alias("dropped"), F.length(text).cast("long").alias("n_chars_left"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"),
+        F.array_join("_l_dropped", ",").alias("dropped"), F.length(text).cast("long").alias("n_chars_left"), F.md5(F.encode(text, "utf-8")).alias("text_md5"),
     )
 
 

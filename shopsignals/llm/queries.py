@@ -12,10 +12,11 @@ from shopsignals.llm import quality_rules as rules
 from shopsignals.llm import embedding_dup, line_dedup, mixing, near_dup, packing
 from shopsignals.llm import token_count as tokens
 from shopsignals.llm import toxicity as tox
+from shopsignals.llm import twins
 from shopsignals.llm.common import documents, labels
 
 QUERIES: dict = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_quality_rules": twins.QUALITY_RULES, "op6_template_line_dedup": twins.LINE_DEDUP}
 
 
 def query(fn):
