@@ -11,17 +11,23 @@ from pyspark.sql import functions as F
 
 from shopsignals.session import materialize
 
-__all__ = ["WORD", "WORD_RE", "arrow_rows", "bucket_of", "documents", "materialize", "per_process", "small_batches", "word_array"]
+__all__ = ["WORD", "WORD_RE", "arrow_rows", "bucket_of", "documents", "materialize", "per_process", "small_batches", "word_array", "words_in"]
 
 #: a word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: characters at which ``str.split`` cuts and a word does not end
+_ODD = "\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def words_in(text: str) -> list[str]:
+    """The words of a text; a plain split where no odd separator occurs."""
+    return WORD_RE.findall(text) if any(c in text for c in _ODD) else text.split()
 
 
 def ascii_lower(text: str) -> str:
     """Lower-case A-Z and nothing else."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+    return text.lower() if text.isascii() else text.encode().lower().decode()
 
 
 def ascii_lower_column(text: Column) -> Column:

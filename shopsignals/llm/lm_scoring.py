@@ -10,13 +10,15 @@ characters.  The vector of the next outcome is predicted as the sum of
 position-weighted vectors of the two outcomes before it, and scores are its
 products with the output vectors plus a bias.  Training is numpy: each task
 runs noise-contrastive updates (noise: the counted unigram shares) over
-its own part of the corpus, taking every ``STRIDE``-th block of positions, and
-the tasks' parameters are averaged by Spark, weighted by positions, after each
-of ``PASSES`` passes.
-
-Scoring: matrix products over all outcomes give the normaliser of each pair of
-preceding outcomes (kept in a table of pairs), so a token's log-probability is
-normalised.  A token of a class has the class's probability times
+its own part of the corpus, and the tasks' parameters are averaged by Spark,
+weighted by positions, after each of ``PASSES`` passes.  Pass ``i`` takes the
+whole texts of every ``STRIDE``-th training document (hash class ``i``), so what
+it learns from grows with the corpus.
+
+Scoring: a score is a sum of one product per preceding outcome, so two matrix
+products give all of them, and a third (of their exponentials) the normaliser
+of every pair of preceding outcomes; a token's normalised log-probability is
+then four table lookups.  A token of a class has the class's probability times
 ``(c + 1) / (N_class + V_class + 1)``; summed over the class's known tokens and
 one unknown one that is 1, so the score is a proper log10 probability.
 
@@ -41,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopsignals.llm.common import WORD_RE, arrow_rows, ascii_lower, bucket_of, materialize, small_batches
+from shopsignals.llm.common import arrow_rows, ascii_lower, bucket_of, materialize, small_batches, words_in
 
 TOP = 704
 CLASSES = 64
@@ -56,7 +58,7 @@ END = " "
 
 
 def tokens_of(text: str | None) -> list[str]:
-    words = WORD_RE.findall(ascii_lower(text)) if text else []
+    words = words_in(ascii_lower(text)) if text else []
     words.append(END)
     return words
 
@@ -165,14 +167,15 @@ class LogBilinear:
             s += g.astype(np.float32) ** 2
             getattr(self, name)[...] += (rate * g / np.sqrt(s)).astype(np.float32)
 
-    def pair_normalisers(self, before: np.ndarray) -> np.ndarray:
-        """Log normaliser over all outcomes for each row of ``before``."""
-        out = np.empty(len(before), np.float32)
-        for lo in range(0, len(before), 4096):
-            z = self.predicted(before[lo : lo + 4096]) @ self.q.T + self.bias
-            top = z.max(1, keepdims=True)
-            out[lo : lo + 4096] = (top + np.log(np.exp(z - top).sum(1, keepdims=True)))[:, 0]
-        return out
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(near, far, log_z): an outcome ``w`` after ``a`` (nearest) and ``b`` has the
+        log-probability ``near[a, w] + far[b, w] - log_z[a, b]``."""
+        q = self.q.astype(np.float64).T
+        near = (self.r * self.position[0]).astype(np.float64) @ q + self.bias
+        far = (self.r * self.position[1]).astype(np.float64) @ q
+        top_near, top_far = near.max(1, keepdims=True), far.max(1, keepdims=True)
+        log_z = np.log(np.exp(near - top_near) @ np.exp(far - top_far).T) + top_near + top_far.T
+        return near, far, log_z
 
 
 def _contexts(ids: np.ndarray, start: int) -> np.ndarray:
@@ -195,21 +198,17 @@ def train(training: DataFrame, top: list[str], noise: np.ndarray) -> LogBilinear
             own.load(start)
             rng = np.random.default_rng([epoch, TaskContext.get().partitionId()])
             state: dict = {}
-            seen, number, held, size = 0, epoch * (STRIDE // 2), [], 0
-            steps = 0
+            seen, held, size = 0, [], 0
             for b in batches:
                 for text in b.column(0).to_pylist():
                     ids = outcomes.ids(tokens_of(text))
-                    before = _contexts(ids, len(noise))
-                    for lo in range(0, len(ids), 256):
-                        if number % STRIDE == 0:
-                            held.append((before[lo : lo + 256], ids[lo : lo + 256]))
-                            size += len(held[-1][1])
-                        number += 1
+                    held.append((_contexts(ids, len(noise)), ids))
+                    size += len(ids)
                     if size >= BLOCK:
                         x, y = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-                        own.step(x, y, rng, 0.12 / (1 + epoch), state)
-                        seen, held, size, steps = seen + len(y), [], 0, steps + 1
+                        for lo in range(0, size, BLOCK):
+                            own.step(x[lo : lo + BLOCK], y[lo : lo + BLOCK], rng, 0.12 / (1 + epoch), state)
+                        seen, held, size = seen + size, [], 0
             if held:
                 x, y = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
                 own.step(x, y, rng, 0.12 / (1 + epoch), state)
@@ -218,7 +217,8 @@ def train(training: DataFrame, top: list[str], noise: np.ndarray) -> LogBilinear
                 rows = own.rows()
                 yield arrow_rows(PARAMS, {"row": np.arange(len(rows)), "weight": np.full(len(rows), float(seen)), "values": list(rows)})
 
-        told = training.select("text").mapInArrow(run, "row int, weight double, values array<float>")
+        texts = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(STRIDE)) == epoch % STRIDE).select("text")
+        told = texts.mapInArrow(run, "row int, weight double, values array<float>")
         each = told.select("row", "weight", F.posexplode("values").alias("col", "x"))
         mean = each.groupBy("row", "col").agg((F.sum(F.col("x") * F.col("weight")) / F.sum("weight")).alias("x"))
         rows = mean.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("col", "x"))).alias("values")).select("row", "values.x").collect()
@@ -256,15 +256,12 @@ def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2, id_col: str = "
     shares = np.r_[[c for _, c in frequent[:TOP]], class_n] + 1.0
     noise = shares / shares.sum()
     model = train(training, top, noise)
-    shared = spark.sparkContext.broadcast((dict(frequent), model.rows()))
+    shared = spark.sparkContext.broadcast((dict(frequent), *model.tables()))
     class_size = np.log10(class_n + class_v + 1)
 
     def run(batches):
-        common, params = shared.value
-        own, outcomes = LogBilinear(noise), Outcomes(top)
-        own.load(params)
-        start = len(noise)
-        known_pairs = np.full((start + 1) ** 2, np.nan, np.float32)
+        common, near, far, log_z = shared.value
+        outcomes, start = Outcomes(top), len(noise)
         log_common = {w: np.log10(c + 1) for w, c in common.items()}
         row = TaskContext.get().partitionId() << 40
         for b in batches:
@@ -272,13 +269,7 @@ def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2, id_col: str = "
             ids = [outcomes.ids(t) for t in tokens]
             before = np.concatenate([_contexts(i, start) for i in ids])
             flat = np.concatenate(ids)
-            pair = before[:, 0].astype(np.int64) * (start + 1) + before[:, 1]
-            new = np.unique(pair[np.isnan(known_pairs[pair])])
-            known_pairs[new] = own.pair_normalisers(np.stack([new // (start + 1), new % (start + 1)], 1))
-            log_p = np.empty(len(flat))
-            for lo in range(0, len(flat), 65_536):
-                s = slice(lo, lo + 65_536)
-                log_p[s] = (own.predicted(before[s]) * own.q[flat[s]]).sum(1) + own.bias[flat[s]] - known_pairs[pair[s]]
+            log_p = near[before[:, 0], flat] + far[before[:, 1], flat] - log_z[before[:, 0], before[:, 1]]
             log_p /= np.log(10)
             in_class = flat >= len(top)
             log_p[in_class] -= class_size[flat[in_class] - len(top)]

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopsignals.llm.common import WORD_RE, arrow_rows, ascii_lower, materialize, small_batches
+from shopsignals.llm.common import arrow_rows, ascii_lower, materialize, small_batches, words_in
 from shopsignals.llm.components import components
 
 K = 32
@@ -53,7 +53,7 @@ _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E377
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD_RE.findall(ascii_lower(text)) if text else []
+    return words_in(ascii_lower(text)) if text else []
 
 
 def shingle_set(words: list[str], size: int) -> set[tuple]:

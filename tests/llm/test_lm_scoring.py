@@ -60,10 +60,12 @@ def test_outcome_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     for _ in range(20):
         model.step(rng.integers(0, 41, (64, 2)), rng.integers(0, 40, 64), rng, 0.1, {})
+    near, far, log_z = model.tables()
     before = rng.integers(0, 41, (7, 2))
     z = model.predicted(before) @ model.q.T + model.bias
-    p = np.exp(z - model.pair_normalisers(before)[:, None])
-    assert np.allclose(p.sum(1), 1, atol=1e-4)
+    p = np.exp(near[before[:, 0]] + far[before[:, 1]] - log_z[before[:, 0], before[:, 1]][:, None])
+    assert np.allclose(p.sum(1), 1)
+    assert np.allclose(p, np.exp(z) / np.exp(z).sum(1, keepdims=True), atol=1e-5)
 
 
 def test_training_lifts_likelihood():
@@ -75,8 +77,8 @@ def test_training_lifts_likelihood():
     outcome = ((before[:, 0] + 1) % 10).astype(np.int32)
 
     def mean_log():
-        z = model.predicted(before) @ model.q.T + model.bias
-        return (z[np.arange(len(z)), outcome] - model.pair_normalisers(before)).mean()
+        near, far, log_z = model.tables()
+        return (near[before[:, 0], outcome] + far[before[:, 1], outcome] - log_z[before[:, 0], before[:, 1]]).mean()
 
     first = mean_log()
     for _ in range(60):
