@@ -1,23 +1,28 @@
 """End-to-end jobs: the stages a user runs, each one distributed job.
 
+    ingest    raw CSV files → events (partitioned Parquet)
     features  events (partitioned Parquet) → session / temporal / category
               families and the merged table, written as Parquet
     train     merged features → churn model, importances, attributions,
               metrics appended to a run table
     cluster   merged features → cluster model, labels, profiles (JSON)
     score     merged features or an uploaded CSV → scored rows + summary
-    monitor   merged features (or two tables) → KS details, verdict, overlay
+    monitor   merged features (or two time windows of the events) → KS
+              details, verdict, overlay
 
 Stage outputs are tables in ``out``; later stages read them, so a stage can
 be re-run on its own and intermediate results survive executor loss.
 
 Usage: python -m shopsignals.plans.jobs <stage> --events DIR --out DIR
+       [--csv GLOB] [--months 2019-10,2019-11] [--horizon DAYS]
+       [--baseline START,END --current START,END] [--predictions DIR]
 """
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +31,7 @@ from shopsignals.models import clusters as cluster_model
 from shopsignals.operators import shift, evaluation, features, profiles, scoring
 from shopsignals.session import build_session
 from shopsignals.sources import sinks
-from shopsignals.sources.events import load_events
+from shopsignals.sources.events import in_window, ingest_csv, load_events, path_exists
 
 
 def features_job(
@@ -89,23 +94,45 @@ def cluster_job(spark: SparkSession, out: str) -> None:
         f"{out}/cluster_labels",
     )
     sinks.save_json(prof.drop("archetype").join(names, "cluster"), f"{out}/cluster_profiles")
+    sinks.save_table(names, f"{out}/cluster_names")
 
 
-def score_job(spark: SparkSession, out: str, csv_path: str | None = None) -> DataFrame:
-    feats = sinks.read_scoring_csv(spark, csv_path) if csv_path else sinks.read_features(spark, f"{out}/features_merged")
-    checked = scoring.validate_features(feats)
-    valid = checked.filter("is_valid").drop("rejection_reasons", "is_valid")
-    for c in scoring.REQUEST_FIELDS:  # CSV text → numbers; other columns kept
-        if c in valid.columns:
-            valid = valid.withColumn(c, F.col(c).cast("double"))
-    from pyspark.ml import PipelineModel
+def score_job(spark: SparkSession, out: str, csv_path: str | None = None, predictions_csv: str | None = None) -> DataFrame:
+    """Score the feature table or an uploaded CSV; written once, summarised from what was written.
 
+    Columns of the model are cast to numbers and padded by the model's own
+    list.  Rows may lack an id.  With a trained cluster model the archetype is
+    that of the user's cluster, otherwise that of the rules.
+    """
+    feats = sinks.read_scoring_csv(spark, csv_path) if csv_path else sinks.read_features(spark, f"{out}/features_merged")
+    if "user_id" not in feats.columns:
+        feats = feats.withColumn("user_id", F.lit(None).cast("long"))
+    sinks.save_table(scoring.validate_features(feats), f"{out}/checked")
+    checked = sinks.read_features(spark, f"{out}/checked")
+    sinks.save_table(checked.filter(~F.col("is_valid")).select("user_id", "rejection_reasons"), f"{out}/rejected")
     pm = PipelineModel.load(f"{out}/churn_model")
-    cols = pm.stages[0].getInputCols()
-    scored_in = churn_model.score(churn_model.ChurnModel(pm, cols), valid)
-    scored = scoring.score_users(scored_in, "churn_proba")
+    cols = list(pm.stages[0].getInputCols())
+    clusters = cluster_model.ClusterModel.load(spark, f"{out}/cluster_model") if path_exists(spark, f"{out}/cluster_model") else None
+    wanted = list(dict.fromkeys([*cols, *scoring.REQUEST_FIELDS, *(clusters.feature_cols if clusters else [])]))
+    valid = checked.filter("is_valid")
+    numbers = valid.select(
+        "user_id", *[F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)).alias(c) for c in wanted if c in valid.columns]
+    )
+    padded = scoring.pad_features(numbers, wanted, keep=["user_id"])
+    scored_in = churn_model.score(churn_model.ChurnModel(pm, cols), padded)
+    archetype = None
+    if clusters:
+        names = sinks.read_features(spark, f"{out}/cluster_names")  # one row per cluster
+        assigned = cluster_model.assign(clusters, scored_in).drop("pca")
+        scored_in = assigned.join(F.broadcast(names.withColumnRenamed("archetype", "_archetype")), "cluster", "left").withColumn(
+            "cluster_archetype", F.coalesce("_archetype", F.concat(F.lit("Cluster "), F.col("cluster").cast("string")))
+        )
+        archetype = "cluster_archetype"
+    sinks.save_table(scoring.score_users(scored_in, "churn_proba", archetype), f"{out}/scored_table")
+    scored = sinks.read_features(spark, f"{out}/scored_table")
     sinks.save_json(scored, f"{out}/scored")
-    sinks.save_table(checked.filter(~F.col("is_valid")).select("user_id", "rejection_reasons"), f"{out}/rejected")
+    if predictions_csv:
+        sinks.write_scoring_csv(scored, predictions_csv)
     summary = scoring.batch_summary(scored).withColumn(
         "archetype_distribution", scoring.archetype_map(scored).scalar()
     )
@@ -123,7 +150,7 @@ def monitor_job(spark: SparkSession, out: str, baseline_path: str | None = None,
     sinks.save_table(details, f"{out}/shift_details")
     details = sinks.read_features(spark, f"{out}/shift_details")
     sinks.save_json(shift.shift_verdict(details), f"{out}/shift_summary")
-    overlay = shift.distribution_overlay(base, cur, feats).join(shift.top_shifted(details), "feature", "left_semi")
+    overlay = shift.distribution_overlay(base, cur, feats, wanted=shift.top_shifted(details))
     sinks.save_table(overlay, f"{out}/shift_overlay")
 
 
@@ -142,30 +169,49 @@ def monitor_windows_job(
     left to the caller."""
     ev = load_events(spark, events_root)
     for name, (start, end) in (("baseline", baseline), ("current", current)):
-        win = ev.filter((F.col("event_time") >= F.lit(start).cast("timestamp")) & (F.col("event_time") < F.lit(end).cast("timestamp")))
+        win = in_window(ev, start, end)
         sinks.save_table(
             features.user_features(win, horizon_days, affinity_categories), f"{out}/features_{name}"
         )
     monitor_job(spark, out, f"{out}/features_baseline", f"{out}/features_current")
 
 
+def _months(text: str | None) -> list[tuple[int, int]] | None:
+    """``2019-10,2019-11`` as (year, month) pairs."""
+    return [tuple(int(x) for x in m.split("-")) for m in text.split(",")] if text else None
+
+
+def _window(text: str) -> tuple[str, str]:
+    start, end = text.split(",")
+    return start, end
+
+
 def main(argv=None):
     ap = argparse.ArgumentParser(prog="shopsignals")
-    ap.add_argument("stage", choices=["features", "train", "cluster", "score", "monitor"])
-    ap.add_argument("--events")
-    ap.add_argument("--out", required=True)
-    ap.add_argument("--csv")
+    ap.add_argument("stage", choices=["ingest", "features", "train", "cluster", "score", "monitor"])
+    ap.add_argument("--events", help="folder of the event table")
+    ap.add_argument("--out", help="folder of the stage outputs")
+    ap.add_argument("--csv", help="ingest: raw files; score: uploaded rows")
+    ap.add_argument("--predictions", help="score: folder for the scored rows as CSV")
+    ap.add_argument("--months", help="features: 2019-10,2019-11")
+    ap.add_argument("--horizon", type=float, default=features.DEFAULT_HORIZON_DAYS, help="days without a purchase")
+    ap.add_argument("--baseline", type=_window, help="monitor: start,end of the first window")
+    ap.add_argument("--current", type=_window, help="monitor: start,end of the second window")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
     spark = build_session("shopsignals-" + args.stage, master=args.master)
-    if args.stage == "features":
-        features_job(spark, args.events, args.out)
+    if args.stage == "ingest":
+        ingest_csv(spark, args.csv, args.events)
+    elif args.stage == "features":
+        features_job(spark, args.events, args.out, _months(args.months), args.horizon)
     elif args.stage == "train":
         print(train_job(spark, args.out))
     elif args.stage == "cluster":
         cluster_job(spark, args.out)
     elif args.stage == "score":
-        score_job(spark, args.out, args.csv)
+        score_job(spark, args.out, args.csv, args.predictions)
+    elif args.baseline and args.current:
+        monitor_windows_job(spark, args.events, args.out, args.baseline, args.current, args.horizon)
     else:
         monitor_job(spark, args.out)
 

@@ -131,9 +131,29 @@ def load_events(
     return df
 
 
+def in_window(events: DataFrame, start: str, end: str) -> DataFrame:
+    """Rows with start <= event_time < end (UTC text or timestamps).
+
+    The months of the window are a predicate on the partition columns as well,
+    so only their folders are read.
+    """
+    lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    out = events.filter((F.col("event_time") >= lo) & (F.col("event_time") < hi))
+    if {"year", "month"} <= set(events.columns):
+        ym = F.col("year") * 100 + F.col("month")
+        out = out.filter((ym >= F.year(lo) * 100 + F.month(lo)) & (ym <= F.year(hi) * 100 + F.month(hi)))
+    return out
+
+
 def load_table(spark: SparkSession, path: str, produced_by: str = "the step that writes it") -> DataFrame:
     """Parquet scan of a derived table with a clear hint when it is missing."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as exc:
         raise MissingInputError(f"{path} not found. Run {produced_by} first.") from exc
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's file system has the path (any store, not only local)."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

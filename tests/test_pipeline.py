@@ -108,13 +108,23 @@ def test_models_and_jobs(spark, scratch, event_root):
     facts = {r["name"]: r["value"] for r in runs.filter("kind = 'param'").collect()}
     assert 1 <= int(facts["trees"]) <= int(facts["rounds_trained"]) <= 20
     scored = jobs.score_job(spark, out)
-    probs = [r["churn_probability"] for r in scored.collect()]
+    rows = scored.collect()
+    probs, rule_archetypes = [r["churn_probability"] for r in rows], {r["archetype"] for r in rows}
     assert probs and all(0.0 <= p <= 1.0 for p in probs)
     again = [r["churn_probability"] for r in jobs.score_job(spark, out).collect()]
     assert sorted(again) == sorted(probs)
     jobs.cluster_job(spark, out)
     labels = spark.read.parquet(f"{out}/cluster_labels")
     assert labels.count() == merged.filter("total_sessions >= 2").count()
+    # with a cluster model the archetype is that of the cluster; rows come from an uploaded CSV without ids
+    named = {r["archetype"] for r in spark.read.parquet(f"{out}/cluster_names").collect()} | {"Outlier"}
+    upload = merged.drop("user_id", "weekend_activity_ratio").withColumn("weekend_activity_ratio", F.lit("0.25"))
+    upload.select([F.col(c).cast("string") for c in upload.columns]).write.option("header", True).csv(f"{out}/upload")
+    from_csv = jobs.score_job(spark, out, f"{out}/upload", f"{out}/predictions")
+    assert from_csv.count() == merged.count() and from_csv.where("user_id IS NOT NULL").count() == 0
+    assert {r["archetype"] for r in from_csv.collect()} <= named and rule_archetypes
+    back = spark.read.option("header", True).csv(f"{out}/predictions")
+    assert back.count() == merged.count() and "top_risk_factors" in back.columns
     jobs.monitor_job(spark, out)
     summary = json.loads(open([os.path.join(f"{out}/shift_summary", f) for f in os.listdir(f"{out}/shift_summary") if f.endswith(".json")][0]).readline())
     assert summary["n_total_features"] == 18
@@ -158,3 +168,23 @@ def test_training_ends_by_the_stopping_rule(spark):
     balance = prepared.where("NOT is_test").groupBy("churned").count().collect()
     n = {r["churned"]: r["count"] for r in balance}
     assert prepared.where("churned = 1").first()["weight"] == pytest.approx(n[0] / n[1])
+
+
+def test_windows_prune_folders_and_are_compared(spark, scratch, event_root):
+    from shopsignals.plans import jobs
+    from shopsignals.sources.events import in_window
+
+    events = load_events(spark, event_root)
+    lo, hi = events.agg(F.min("event_time"), F.max("event_time")).first()
+    middle = lo + (hi - lo) / 2
+    early = in_window(events, str(lo), str(middle))
+    plan = early._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "year" in filters and "month" in filters
+    late = in_window(events, str(middle), "2100-01-01")
+    assert early.count() + late.count() == events.count()
+    out = f"{scratch}/windows"
+    jobs.monitor_windows_job(spark, event_root, out, (str(lo), str(middle)), (str(middle), "2100-01-01"), affinity_categories=ad.CLICKSTREAM_CATEGORIES)
+    assert spark.read.parquet(f"{out}/shift_details").count() == 18
+    assert jobs._months("2019-10,2019-11") == [(2019, 10), (2019, 11)]
+    assert jobs._window("2020-01-01,2020-02-01") == ("2020-01-01", "2020-02-01")
