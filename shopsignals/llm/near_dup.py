@@ -92,7 +92,7 @@ class Hasher:
 
 
 SKETCH = pa.schema([
-    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64()), ("mark", pa.string()), ("sketch", pa.list_(pa.int64())),
+    ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64()), ("mark", pa.string()), ("sketch", pa.list_(pa.int64())),
 ])
 
 
@@ -103,7 +103,7 @@ def sketches(docs: DataFrame, size: int, k: int = K) -> DataFrame:
         hasher = Hasher(size)
         for b in batches:
             out = {f.name: [] for f in SKETCH}
-            out["doc_id"] = b.column(0)
+            out["doc_id"], out["text_hash"] = b.column(0), b.column(2)
             for text in b.column(1).to_pylist():
                 v = hasher.values(words_of(text))
                 digest = hashlib.blake2b(v.tobytes(), digest_size=16).digest() if len(v) else None
@@ -113,7 +113,7 @@ def sketches(docs: DataFrame, size: int, k: int = K) -> DataFrame:
                 out["sketch"].append(v[:k])
             yield arrow_rows(SKETCH, out)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class long, mark string, sketch array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, class long, mark string, sketch array<long>")
 
 
 def inverted_lists(classes: DataFrame, k: int, threshold: int) -> DataFrame:
@@ -238,16 +238,19 @@ def links(lists: DataFrame, texts: DataFrame, size: int, k: int, threshold: int)
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row; ``threshold`` in percent."""
     small_batches(docs.sparkSession, 512)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
     sk = materialize(sketches(slim, size, k))
     # one row per distinct set: its smallest id and its sketch
     classes = materialize(
-        sk.where("mark IS NOT NULL").groupBy("class", "mark").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        sk.where("mark IS NOT NULL").groupBy("class", "mark").agg(
+            F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
+        )
     )
     lists = materialize(inverted_lists(classes, k, threshold))
-    # text and sketch of the classes that share a listed value, one each
-    wanted = classes.join(lists.select("class").distinct(), "class").select("class", F.col("first_id").alias("doc_id"), "sketch")
-    texts = materialize(slim.join(wanted, "doc_id").select("class", "sketch", "text").dropDuplicates(["class"]))
+    # text and sketch of the classes that share a listed value, one each; an id alone may name several texts
+    wanted = classes.join(lists.select("class").distinct(), "class").select("class", "sketch", F.col("row.doc_id").alias("row_id"), F.col("row.text_hash").alias("row_hash"))
+    same_row = F.col("doc_id").eqNullSafe(F.col("row_id")) & (F.col("text_hash") == F.col("row_hash"))
+    texts = materialize(slim.join(wanted, same_row).select("class", "sketch", "text").dropDuplicates(["class"]))
     comps = components(links(lists, texts, size, k, threshold))
     grouped = classes.join(comps.withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))

@@ -89,6 +89,15 @@ def test_awkward_rows(spark):
     assert stage.columns == df.columns and sorted(str(r["doc_id"]) for r in stage.collect()).count("7") == 0
 
 
+def test_ids_that_name_several_texts_and_null_ids(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    near = [*words[:30], "zz", *words[31:]]
+    other = [f"v{rng.randrange(999)}" for _ in range(60)]
+    rows = [h.row(7, " ".join(words)), h.row(7, " ".join(other)), h.row(None, " ".join(near)), h.row(9, " ".join(near[:-1])), h.row(8, " ".join([*other[:-1], "q"]))]
+    check(spark, rows, 4)
+
+
 def test_components_of_paths_and_loops(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(60)] + [(200, 100 + i) for i in range(30)] + [(300, 300), (None, 4)]
