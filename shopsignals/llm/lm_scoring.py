@@ -48,6 +48,7 @@ from shopsignals.llm.common import arrow_rows, ascii_lower, bucket_of, materiali
 TOP = 704
 CLASSES = 64
 FREQUENT = 100_000
+TOP_TASKS = 4
 DIM = 24
 NOISE = 12
 STRIDE = 8
@@ -91,6 +92,26 @@ def word_counts(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def most_frequent(counts: DataFrame, n: int) -> list[tuple[str, int]]:
+    """The ``n`` words of highest count (ties by word).
+
+    A histogram of counts (16 steps a doubling, so about a thousand rows at
+    most) tells which words can be among them; those go to ``TOP_TASKS`` tasks,
+    each of which sends at most ``n`` rows however many tasks hold the table.
+    """
+    step = F.floor(F.log2("c") * 16)
+    sizes = sorted(((r["s"], r["n"]) for r in counts.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    least, total = None, 0
+    for s, size in sizes:
+        if total >= n:
+            break
+        least, total = s, total + size
+    if least is None:
+        return []
+    rows = counts.where(step >= least).repartition(TOP_TASKS).orderBy(F.desc("c"), "word").limit(n).collect()
+    return [(r["word"], r["c"]) for r in rows]
+
+
 class Outcomes:
     """Outcome ids of tokens; unseen ones are remembered in a bounded cache."""
 
@@ -246,8 +267,7 @@ def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2, id_col: str = "
     counts = materialize(word_counts(training))
     totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).head()
     n_all, v_all = int(totals["n"] or 0), int(totals["v"])
-    # bounded by FREQUENT words
-    frequent = [(r["word"], r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()]
+    frequent = most_frequent(counts, FREQUENT)
     top = [w for w, _ in frequent[:TOP]]
     rest = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in top], "word string")), "word", "left_anti")
     per_class = {r["k"]: (r["n"], r["v"]) for r in rest.groupBy(class_column(F.col("word")).alias("k")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}

@@ -54,6 +54,15 @@ def test_awkward_rows(spark):
     assert lm.lm_scores(h.empty(spark)).count() == 0
 
 
+def test_most_frequent_words(spark):
+    rows = [(f"w{i}", 1 + i % 7 if i % 50 else 1000 + i) for i in range(400)]
+    df = spark.createDataFrame(rows, "word string, c long").repartition(6)
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for n in (1, 5, 8, 60, 399, 1000):
+        assert lm.most_frequent(df, n) == want[:n]
+    assert lm.most_frequent(df.limit(0), 5) == []
+
+
 def test_outcome_probabilities_sum_to_one():
     noise = np.full(40, 1 / 40)
     model = lm.LogBilinear(noise)
