@@ -11,9 +11,8 @@ position-weighted vectors of the two outcomes before it, and scores are its
 products with the output vectors plus a bias.  Training is numpy: each task
 runs noise-contrastive updates (noise: the counted unigram shares) over
 its own part of the corpus, and the tasks' parameters are averaged by Spark,
-weighted by positions, after each of ``PASSES`` passes.  Pass ``i`` takes the
-whole texts of every ``STRIDE``-th training document (hash class ``i``), so what
-it learns from grows with the corpus.
+weighted by positions, after each of ``PASSES`` passes.  Every pass takes the
+whole texts of all training documents.
 
 Scoring: a score is a sum of one product per preceding outcome, so two matrix
 products give all of them, and a third (of their exponentials) the normaliser
@@ -51,7 +50,7 @@ FREQUENT = 100_000
 TOP_TASKS = 4
 DIM = 24
 NOISE = 12
-STRIDE = 8
+STRIDE = 1  # not read: a pass takes every training document (a test sets this name)
 BLOCK = 2048
 PASSES = 2
 #: the end token; a space can be no word
@@ -131,6 +130,14 @@ class Outcomes:
         return np.fromiter(map(cache.__getitem__, tokens), np.int32, len(tokens))
 
 
+def _add_rows(total: np.ndarray, ids: np.ndarray, rows: np.ndarray, weight=1) -> None:
+    """Adds each row, times the weights of the columns, to the total of its id."""
+    order = np.argsort(ids.astype(np.int16), kind="stable")
+    ids = ids[order]
+    heads = np.flatnonzero(np.r_[True, np.diff(ids) > 0])
+    total[ids[heads]] += np.add.reduceat(rows[order], heads, axis=0) * weight
+
+
 class LogBilinear:
     """Parameters: input vectors r, output vectors q, biases, weights of the two positions."""
 
@@ -159,30 +166,31 @@ class LogBilinear:
 
     def step(self, before: np.ndarray, outcome: np.ndarray, rng, rate: float, state: dict) -> None:
         """One noise-contrastive update: the block's noise sample is shared by its positions."""
-        noise = rng.choice(len(self.noise), NOISE * 8, p=self.noise)
-        h = self.predicted(before)
-        k = np.float32(len(noise))
-        log_kp = np.log(k * self.noise).astype(np.float32)
-        true = (h * self.q[outcome]).sum(1) + self.bias[outcome] - log_kp[outcome]
-        fake = h @ self.q[noise].T + self.bias[noise] - log_kp[noise]
-        g_true = 1 / (1 + np.exp(true)) / len(outcome)  # ascent on log sigmoid
-        g_fake = -1 / (1 + np.exp(-fake)) / len(outcome)
-        n = len(self.noise)
+        n, share = len(self.noise), np.float32(1 / len(outcome))
+        noise = rng.choice(n, NOISE * 8, p=self.noise)
+        log_kp = np.log(len(noise) * self.noise).astype(np.float32)
+        inputs = [self.r[before[:, 0]], self.r[before[:, 1]]]
+        target, drawn = self.q[outcome], self.q[noise]
+        h = inputs[0] * self.position[0] + inputs[1] * self.position[1]
+        true = np.einsum("ij,ij->i", h, target) + (self.bias - log_kp)[outcome]
+        g_true = share / (1 + np.exp(true))  # ascent on log sigmoid
+        g_fake = h @ -drawn.T
+        g_fake -= (self.bias - log_kp)[noise]
+        np.exp(g_fake, out=g_fake)
+        g_fake += 1
+        np.divide(-share, g_fake, out=g_fake)
         dq = np.zeros((n, DIM), np.float32)
         np.add.at(dq, noise, g_fake.T @ h)
-        order = np.argsort(outcome, kind="stable")
-        heads = np.flatnonzero(np.r_[True, np.diff(outcome[order]) > 0])
-        dq[outcome[order][heads]] += np.add.reduceat((g_true[:, None] * h)[order], heads, axis=0)
+        h *= g_true[:, None]
+        _add_rows(dq, outcome, h)
         db = np.bincount(outcome, g_true, n) + np.bincount(noise, g_fake.sum(0), n)
-        dh = g_true[:, None] * self.q[outcome] + g_fake @ self.q[noise]
-        dr = np.zeros_like(self.r)
-        dp = np.empty_like(self.position)
+        target *= g_true[:, None]
+        dh = g_fake @ drawn
+        dh += target
+        dr, dp = np.zeros_like(self.r), np.empty_like(self.position)
         for j in range(2):
-            ids = before[:, j]
-            dp[j] = (dh * self.r[ids]).sum(0)
-            order = np.argsort(ids, kind="stable")
-            heads = np.flatnonzero(np.r_[True, np.diff(ids[order]) > 0])
-            dr[ids[order][heads]] += np.add.reduceat((dh * self.position[j])[order], heads, axis=0)
+            dp[j] = np.einsum("ij,ij->j", dh, inputs[j])
+            _add_rows(dr, before[:, j], dh, self.position[j])
         for name, g in (("q", dq), ("bias", db), ("r", dr), ("position", dp)):
             s = state.setdefault(name, np.full(g.shape, 1e-8, np.float32))
             s += g.astype(np.float32) ** 2
@@ -238,8 +246,7 @@ def train(training: DataFrame, top: list[str], noise: np.ndarray) -> LogBilinear
                 rows = own.rows()
                 yield arrow_rows(PARAMS, {"row": np.arange(len(rows)), "weight": np.full(len(rows), float(seen)), "values": list(rows)})
 
-        texts = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(STRIDE)) == epoch % STRIDE).select("text")
-        told = texts.mapInArrow(run, "row int, weight double, values array<float>")
+        told = training.select("text").mapInArrow(run, "row int, weight double, values array<float>")
         each = told.select("row", "weight", F.posexplode("values").alias("col", "x"))
         mean = each.groupBy("row", "col").agg((F.sum(F.col("x") * F.col("weight")) / F.sum("weight")).alias("x"))
         rows = mean.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("col", "x"))).alias("values")).select("row", "values.x").collect()

@@ -47,6 +47,16 @@ def test_base_scores_and_held_out_gain(spark, monkeypatch):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 0.05 * sum(r["n_tokens"] for r in held)
 
 
+def test_every_hash_class_is_trained_on(spark):
+    """Production parameters; the ids are such that a sample by hash class 0 or 1 of 8 is empty."""
+    ids = spark.range(8000).where("pmod(xxhash64(id), 8) >= 2").orderBy("id").collect()
+    rows = [(r["id"], *c[1:]) for r, c in zip(ids, corpus(5000))]
+    df = spark.createDataFrame(rows, h.DOCS_DDL).repartition(3)
+    held = [r for r in lm.lm_scores(df).collect() if r["held_out"]]
+    assert len(held) > 400
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 0.05 * sum(r["n_tokens"] for r in held)
+
+
 def test_awkward_rows(spark):
     rows = compare(h.awkward(spark))
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
