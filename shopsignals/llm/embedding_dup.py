@@ -14,10 +14,13 @@ Equal vectors are one class with a count; only classes go on.
    in their component of threshold edges: components are compared
    completely, cut into blocks of ``BLOCK`` vectors whose pairs are spread over
    tasks; a pair of blocks emits counts per vector, not pairs.
-4. *Audit*: ``audit`` vectors (lowest hashes, a bounded query set) are
-   compared with all rows; if the graph has fewer than ``recall`` of their
-   links, another start with new hyperplanes joins the graph and 2 to 4 run
-   again, at most ``RETRIES`` times.
+4. *Audit*: ``audit`` vectors (lowest hashes, more while fewer than
+   ``ENOUGH`` of them have one or two linked vectors, at most ``QUERIES``) are
+   compared with all rows.  Each has a share of its links that the graph found;
+   if the mean of the shares, of those with one or two linked vectors or of the
+   others, is below ``recall``, another start with new hyperplanes joins the
+   graph and 2 to 4 run again, at most ``RETRIES`` times.  If the audit still
+   fails, all vectors are compared with all, ``CHUNK`` at a time.
 
 Cosines are computed in double precision and every link that counts was
 computed so.  Defined results: vectors that are null, empty, zero, or hold null
@@ -44,6 +47,9 @@ BUCKET = 400
 BLOCK = 512
 SETTLED = 0.002
 RETRIES = 3
+ENOUGH = 100
+QUERIES = 3500
+CHUNK = 4096
 EDGES = pa.schema([("id", pa.int64()), ("nbr", pa.int64()), ("sim", pa.float64())])
 
 
@@ -109,7 +115,7 @@ def start_graph(classes: DataFrame, n: int, dim: int, k: int, seed: int) -> Data
     need = F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("m") / F.lit(float(BUCKET))))).cast("int")
     fine = F.least(need, F.lit(24))
     keyed = coded.join(size.withColumn("fine", fine), ["t", "code"]).select(
-        "cls", F.xxhash64("t", "code", F.col("extra") % F.expr("shiftleft(1L, fine)")).alias("bucket")
+        "cls", F.xxhash64("t", "code", F.col("extra") % F.expr("shiftleft(1L, fine)"), F.lit(seed)).alias("bucket")
     )
 
     def pairs(batches):
@@ -129,8 +135,9 @@ def start_graph(classes: DataFrame, n: int, dim: int, k: int, seed: int) -> Data
 
         yield from _stream_groups(batches, best)
 
-    rows = keyed.join(classes.select("cls", "v"), "cls").select("bucket", "cls", "v")
-    return _sorted_by(rows, "bucket", "cls").mapInArrow(pairs, "id long, nbr long, sim double")
+    # a bucket still over the bound is sliced in an order of its own, so each table has other slices
+    rows = keyed.join(classes.select("cls", "v"), "cls").select("bucket", "cls", "v", F.xxhash64("cls", "bucket").alias("order"))
+    return _sorted_by(rows, "bucket", "order").mapInArrow(pairs, "id long, nbr long, sim double")
 
 
 def _best(edges: DataFrame, k: int) -> DataFrame:
@@ -203,25 +210,90 @@ def complete(members: DataFrame, threshold: float) -> DataFrame:
     return _sorted_by(m, "unit", "low", "cls").mapInArrow(count, "cls long, links long").groupBy("cls").agg(F.sum("links").alias("links"))
 
 
-def _audit(classes: DataFrame, counted: DataFrame, threshold: float, queries: int) -> float:
-    """Share of the true links of a bounded query set that the counts have."""
-    sample = classes.orderBy(F.xxhash64("cls", F.lit(7)), "cls").limit(queries).select("cls", "v").collect()
-    if not sample:
-        return 1.0
-    ids = np.array([r["cls"] for r in sample])
-    q = np.array([r["v"] for r in sample], np.float64)
-    q /= np.linalg.norm(q, axis=1, keepdims=True)
+TRUTH = pa.schema([("cls", pa.int64()), ("links", pa.int64()), ("others", pa.int64())])
+
+
+def _true_links(classes: DataFrame, threshold: float, first: int, last: int) -> list:
+    """``cls, links, others``: linked rows and linked classes of the vectors first to last by hash."""
+    sample = classes.orderBy(F.xxhash64("cls", F.lit(7)), "cls").limit(last).select("cls", "v").toArrow().slice(first).combine_chunks()
+    if not len(sample):
+        return []
+    ids, q = sample.column(0).to_numpy(), _matrix(sample.column(1).combine_chunks())
 
     def links(batches):
-        total = np.zeros(len(ids), np.int64)
+        total, others = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
         for b in batches:
-            hit = (_matrix(b.column(2)) @ q.T >= threshold) & (b.column(0).to_numpy()[:, None] != ids[None])
-            total += b.column(1).to_numpy() @ hit
-        yield arrow_rows(COUNTS, {"cls": ids, "links": total})
+            cls, n = b.column(0).to_numpy(), b.column(1).to_numpy()
+            row, at = np.nonzero(_matrix(b.column(2)) @ q.T >= threshold)
+            other = cls[row] != ids[at]
+            total += np.bincount(at[other], n[row[other]], len(ids)).astype(np.int64)
+            others += np.bincount(at[other], minlength=len(ids))
+        yield arrow_rows(TRUTH, {"cls": ids, "links": total, "others": others})
+
+    truth = classes.select("cls", "n", "v").mapInArrow(links, "cls long, links long, others long")
+    return truth.groupBy("cls").agg(F.sum("links").alias("links"), F.sum("others").alias("others")).where("others > 0").collect()
+
+
+def audit_set(classes: DataFrame, n: int, threshold: float, queries: int) -> list:
+    """The true links of the audited vectors; more vectors until enough have one or two linked classes."""
+    truth, first, last = [], 0, queries
+    while True:
+        truth += _true_links(classes, threshold, first, last)
+        if last >= min(n, QUERIES) or sum(r["others"] <= 2 for r in truth) >= ENOUGH:
+            return truth
+        first, last = last, min(3 * last, QUERIES)
+
+
+def recall_of(truth: list, counted: DataFrame) -> float:
+    """Mean share of a vector's links that the counts have: of vectors in small or in larger groups, whichever is lower."""
+    if not truth:
+        return 1.0
+    want = counted.sparkSession.createDataFrame([tuple(r) for r in truth], "cls long, true long, others long")
+    both = F.broadcast(want).join(counted, "cls").select("cls", "links").collect()
+    found = {r["cls"]: r["links"] for r in both}
+    small, large = ([found.get(r["cls"], 0) / r["links"] for r in truth if (r["others"] <= 2) == s] for s in (True, False))
+    return min(float(np.mean(x)) for x in (small, large) if x)
 
-    truth = classes.select("cls", "n", "v").mapInArrow(links, "cls long, links long").groupBy("cls").agg(F.sum("links").alias("true"))
-    both = truth.join(counted, "cls", "left").agg(F.sum("true"), F.sum(F.coalesce("links", F.lit(0)))).head()
-    return 1.0 if not both[0] else both[1] / both[0]
+
+def all_pairs(classes: DataFrame, n: int, threshold: float) -> DataFrame:
+    """``id, nbr``: links that join all linked classes, from comparing each vector with every other.
+
+    ``CHUNK`` vectors at a time go to all tasks; a task sends one link per
+    vector, and those that join vectors of the chunk not yet joined there.
+    """
+    chunks, edges = -(-n // CHUNK), None
+    for i in range(chunks):
+        part = classes.where(F.pmod(F.xxhash64("cls", F.lit(11)), F.lit(chunks)) == i).select("cls", "v").toArrow()
+        if not len(part):
+            continue
+        ids, q = part.column(0).to_numpy(), _matrix(part.column(1).combine_chunks())
+
+        def links(batches, ids=ids, q=q):
+            label = np.arange(len(ids))
+            for b in batches:
+                cls, a, z = b.column(0).to_numpy(), [], []
+                row, at = np.nonzero(_matrix(b.column(1)) @ q.T >= threshold)
+                keep = cls[row] != ids[at]
+                row, at = row[keep], at[keep]
+                cuts = np.flatnonzero(np.r_[True, np.diff(row) > 0, True]) if len(row) else [0]
+                for lo, hi in zip(cuts[:-1], cuts[1:]):
+                    hits, me = at[lo:hi], cls[row[lo]]
+                    joined, head = np.unique(label[hits], return_index=True)
+                    a += [me] * len(joined)
+                    z += list(ids[hits[head]])
+                    label[np.isin(label, joined[1:])] = joined[0]
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["id", "nbr"])
+
+        found = materialize(classes.select("cls", "v").mapInArrow(links, "id long, nbr long"))
+        edges = found if edges is None else edges.unionByName(found)
+    return edges
+
+
+def _counted(near: DataFrame, classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(components ``id, component``; ``cls, links`` inside them) of a graph's links."""
+    comps = materialize(components(near, "id", "nbr"))
+    members = comps.select(F.col("id").alias("cls"), "component").join(classes, "cls").select("component", "cls", "n", "v")
+    return comps, materialize(complete(members, threshold))
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, k: int = 10, rounds: int = 6, recall: float = 0.98, audit: int = 500, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -232,16 +304,15 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, k: int =
     first = classes.select("v").head()
     counted = comps = None
     if n > 1:
-        graph = None
+        graph, truth = None, audit_set(classes, n, threshold, audit)
         for attempt in range(RETRIES + 1):
             fresh = start_graph(classes, n, len(first["v"]), k, seed=101 + attempt)
             graph = descend(fresh if graph is None else graph.unionByName(fresh), classes, k, rounds)
-            near = graph.where(F.col("sim") >= threshold - 1e-12)
-            comps = materialize(components(near, "id", "nbr"))
-            members = comps.select(F.col("id").alias("cls"), "component").join(classes, "cls").select("component", "cls", "n", "v")
-            counted = materialize(complete(members, threshold))
-            if _audit(classes, counted, threshold, audit) >= recall:
+            comps, counted = _counted(graph.where(F.col("sim") >= threshold - 1e-12), classes, threshold)
+            if recall_of(truth, counted) >= recall:
                 break
+        else:
+            comps, counted = _counted(all_pairs(classes, n, threshold), classes, threshold)
     grouped = classes.select("cls", "first_id", "n", "v")
     if counted is not None:
         grouped = grouped.join(counted, "cls", "left").join(comps.withColumnRenamed("id", "cls"), "cls", "left")

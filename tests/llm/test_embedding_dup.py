@@ -59,6 +59,26 @@ def test_matches_all_pairs(spark, monkeypatch):
     assert max(n for _, n, _ in want) > 100
 
 
+def test_missed_pairs_are_noticed_and_found(spark, monkeypatch):
+    """A graph that has every link of the large groups and none of the small ones."""
+    descend, starts = ed.descend, []
+
+    def without_small(graph, classes, k, rounds):
+        starts.append(1)
+        out = descend(graph, classes, k, rounds)
+        large = out.where("sim >= 0.95").groupBy("id").count().where("count >= 10").select("id")
+        return out.join(large, "id", "left_semi").select("id", "nbr", "sim")
+
+    rows = corpus(3)
+    df = spark.createDataFrame(rows, DDL).repartition(4)
+    monkeypatch.setattr(ed, "descend", without_small)
+    monkeypatch.setattr(ed, "RETRIES", 1)
+    monkeypatch.setattr(ed, "CHUNK", 100)
+    monkeypatch.setattr(ed, "ENOUGH", 30)
+    assert got(df) == brute(rows)
+    assert len(starts) == 2
+
+
 def test_awkward_rows(spark):
     one = [1.0] + [0.0] * 15
     rows = [
