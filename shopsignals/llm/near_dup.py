@@ -19,7 +19,8 @@
    most 0.2 lower (1 - J obeys the triangle inequality); such pairs across
    components are compared as well, so nothing is dropped.
 4. *Filter*: the bottom k of the union of two sketches estimates their
-   similarity; pairs more than five standard deviations too low are left out.
+   similarity; pairs more than five standard deviations too low, and below
+   ``OVERLAP`` common values, are left out.
 5. *Verification*: the full shingle sets of both texts, compared as word
    tuples, give the exact similarity.
 6. Connected components of the links (``components``) give the groups.
@@ -28,7 +29,10 @@ Defined results: a null text, or one without words, has 0 shingles and is
 linked with nothing; fewer words than a shingle make one shingle; rows that
 repeat an id are separate rows with the same id; null ids never become a
 component id while the group has another; an empty table gives an empty
-result.  Other columns are not read.
+result.  Other columns are not read.  The stage works by row: of a group it
+keeps one row of the smallest id that is not null (ties: smallest text hash;
+among rows of equal id and text, the smallest row hash), whatever else that id
+names; rows without words stay.
 """
 
 from __future__ import annotations
@@ -152,7 +156,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, k: int, floor: int)
                 of_x, of_y = set(sx), set(sy)
                 union = sorted(of_x | of_y)[:k]
                 both = sum(v in of_x and v in of_y for v in union)
-                if both < (floor / 100 - slack / math.sqrt(len(union))) * len(union):
+                if both < min(OVERLAP, (floor / 100 - slack / math.sqrt(len(union))) * len(union)):
                     continue
                 if x != last:
                     last, last_set = x, shingle_set(words_of(tx), size)
@@ -235,15 +239,16 @@ def links(lists: DataFrame, texts: DataFrame, size: int, k: int, threshold: int)
     return found.unionByName(verified(pairs, texts, size, k, threshold).where(is_link).select("a", "b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row; ``threshold`` in percent."""
+def _groups(docs: DataFrame, size: int = 5, threshold: int = 80, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(sketches per row, ``mark, component_id, keeper``): the group of each set and the row that it keeps."""
     small_batches(docs.sparkSession, 512)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
     sk = materialize(sketches(slim, size, k))
     # one row per distinct set: its smallest id and its sketch
     classes = materialize(
         sk.where("mark IS NOT NULL").groupBy("class", "mark").agg(
-            F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
+            F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
         )
     )
     lists = materialize(inverted_lists(classes, k, threshold))
@@ -253,14 +258,31 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, k: int
     texts = materialize(slim.join(wanted, same_row).select("class", "sketch", "text").dropDuplicates(["class"]))
     comps = components(links(lists, texts, size, k, threshold))
     grouped = classes.join(comps.withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    membership = materialize(grouped.join(smallest, "component").select("mark", "component_id"))
-    out = sk.select("doc_id", "n_shingles", "mark").join(membership, "mark", "left")
+    smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"), F.min("best").alias("keeper"))
+    return sk, materialize(grouped.join(smallest, "component").select("mark", "component_id", "keeper"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row; ``threshold`` in percent."""
+    sk, membership = _groups(docs, size, threshold, k, id_col, text_col)
+    out = sk.select("doc_id", "n_shingles", "mark").join(membership.select("mark", "component_id"), "mark", "left")
     own = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The documents with one of each group of near duplicates, with their columns."""
-    dropped = near_duplicates(docs, **options).where("NOT kept").select(F.col("doc_id").alias("_d_id")).distinct()
-    return docs.join(dropped, F.col(options.get("id_col", "doc_id")) == F.col("_d_id"), "left_anti")
+    """The documents with one row of each group of near duplicates, with their columns."""
+    sk, membership = _groups(docs, **options)
+    is_keeper = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash"))
+    texts = sk.where("mark IS NOT NULL").groupBy("doc_id", "text_hash", "mark").agg(F.count(F.lit(1)).alias("m")).join(membership, "mark")
+    texts = materialize(texts.select(F.col("doc_id").alias("_d_id"), F.col("text_hash").alias("_d_hash"), "m", is_keeper.alias("keeps")))
+    rows = docs.withColumns({"_d_row_id": F.col(options.get("id_col", "doc_id")).cast("long"), "_d_row_hash": F.xxhash64(options.get("text_col", "text"))})
+    same = F.col("_d_row_id").eqNullSafe(F.col("_d_id")) & (F.col("_d_row_hash") == F.col("_d_hash"))
+    out = rows.join(texts.where("NOT keeps OR m > 1").select("_d_id", "_d_hash"), same, "left_anti").select(docs.columns)
+    repeated = texts.where("keeps AND m > 1").select("_d_id", "_d_hash")
+    if not repeated.limit(1).count():
+        return out
+    again = rows.join(repeated, same, "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = again.groupBy("_d_row_id", "_d_row_hash").agg(F.min_by(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("_d_row"))
+    return out.unionByName(one.select("_d_row.*"))

@@ -98,6 +98,22 @@ def test_ids_that_name_several_texts_and_null_ids(spark):
     check(spark, rows, 4)
 
 
+def test_the_stage_keeps_one_row_of_each_group(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:30], "zz", *words[31:]])
+    alone = " ".join(f"v{i}" for i in range(60))
+    nameless = " ".join(f"u{i}" for i in range(60))
+    rows = [
+        h.row(3, " ".join(words)), h.row(3, " ".join(words), "b"), h.row(7, near), h.row(7, alone), h.row(None, near),
+        h.row(None, nameless), h.row(None, nameless), h.row(None, nameless + " x"), h.row(8, ""), h.row(8, ""), h.row(None, None),
+    ]
+    out = nd.without_near_duplicates(spark.createDataFrame(rows, h.DOCS_DDL).repartition(3)).collect()
+    got = sorted(((r["doc_id"], r["text"]) for r in out), key=str)
+    group = [r for r in got if r[0] is None and r[1]]
+    assert len(group) == 1 and group[0][1].startswith(nameless)
+    assert [r for r in got if r not in group] == sorted([(3, " ".join(words)), (7, alone), (8, ""), (8, ""), (None, None)], key=str)
+
+
 def test_components_of_paths_and_loops(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(60)] + [(200, 100 + i) for i in range(30)] + [(300, 300), (None, 4)]
