@@ -9,7 +9,7 @@ from __future__ import annotations
 from shopsignals.llm import lm_scoring as lm
 from shopsignals.llm import quality_crf as crf
 from shopsignals.llm import quality_rules as rules
-from shopsignals.llm import embedding_dup, line_dedup, mixing, near_dup, packing
+from shopsignals.llm import chat_format, embedding_dup, line_dedup, merkle, mixing, near_dup, packing, whitening
 from shopsignals.llm import token_count as tokens
 from shopsignals.llm import toxicity as tox
 from shopsignals.llm import twins
@@ -72,3 +72,18 @@ def op10_nn_descent_near_dup(spark, sf_dir):
 @query
 def op4_log_bilinear_scores(spark, sf_dir):
     return lm.lm_scores(documents(spark, sf_dir))
+
+
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.document_manifest(documents(spark, sf_dir))
+
+
+@query
+def op13_chat_formatting(spark, sf_dir):
+    return chat_format.chat_formatting(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
