@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 import sys
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsignals.session import materialize
 
-__all__ = ["WORD", "WORD_RE", "arrow_rows", "bucket_of", "documents", "materialize", "per_process", "small_batches", "word_array", "words_in"]
+__all__ = ["WORD", "WORD_RE", "arrow_rows", "bucket_of", "documents", "materialize", "per_process", "quoted", "small_batches", "stream_groups", "unused", "word_array", "words_in"]
 
 #: a word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,6 +53,23 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def quoted(column: str) -> str:
+    """A column's name as a reference, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """Work names like ``names`` that no column has (names are compared without case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        made = f"_{name}"
+        while made.lower() in taken:
+            made = "_" + made
+        taken.add(made.lower())
+        out.append(made)
+    return out
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bound the Arrow batches handed to Python: whole texts can be long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -70,3 +88,19 @@ def per_process(key, make):
 
 def arrow_rows(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+
+
+def stream_groups(batches, make):
+    """Calls ``make(key, table)`` for each run of equal first columns of sorted batches."""
+    held, key = [], None
+    for b in batches:
+        keys = b.column(0).to_numpy()
+        cuts = np.r_[0, np.flatnonzero(np.diff(keys)) + 1, len(keys)] if len(keys) else [0]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if held and keys[lo] != key:
+                yield from make(pa.Table.from_batches(held).combine_chunks())
+                held = []
+            key = keys[lo]
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield from make(pa.Table.from_batches(held).combine_chunks())

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pytest
+
 from shopsignals.llm import components as cc
 from shopsignals.llm import near_dup as nd
 from tests.llm import helpers as h
@@ -68,12 +71,71 @@ def test_matches_all_pairs(spark):
     check(spark, corpus(), 4)
 
 
-def test_long_lists_match_all_pairs(spark, monkeypatch):
-    """Every list counts as long, so centres, boundary pairs and the last step are used."""
-    monkeypatch.setattr(nd, "SHORT", 2)
-    check(spark, corpus(2), 5)
-    monkeypatch.setattr(nd, "ROUNDS", 1)
-    check(spark, corpus(3)[:70], 4)
+@pytest.mark.parametrize("block", [2, 5])
+def test_long_lists_match_all_pairs(spark, monkeypatch, block):
+    """Superlists of many blocks, so hubs, contraction and the last units are used."""
+    monkeypatch.setattr(nd, "BLOCK", block)
+    check(spark, corpus(block), 9 - block)
+
+
+def star(n, seed=8):
+    """Copies of one text with different edits: any similarity from 0.4 to 1, most pairs near the threshold."""
+    rng = random.Random(seed)
+    base, rows = [f"b{i}" for i in range(120)], []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 5, 8, 12])):
+            copy[rng.randrange(120)] = f"e{rng.randrange(40)}"
+        rows.append(h.row(1000 + i, " ".join(copy)))
+    return rows
+
+
+def test_one_large_group_of_near_copies(spark):
+    """Groups by the product of the whole incidence matrix; the rows that the operator makes grow with members."""
+    rows = star(3000)
+    sets = [nd.shingle_set(nd.words_of(r[1]), 5) for r in rows]
+    column = {v: k for k, v in enumerate({v for s in sets for v in s})}
+    m = np.zeros((len(sets), len(column)), np.float32)
+    for i, s in enumerate(sets):
+        m[i, [column[v] for v in s]] = 1
+    size = m.sum(axis=1)
+    shared = m @ m.T
+    near = 100 * shared >= 80 * (size[:, None] + size[None, :] - shared)
+    label = np.arange(len(sets))
+    while True:
+        now = np.array([label[row].min() for row in near])
+        if (now == label).all():
+            break
+        label = now
+    out = {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(spark.createDataFrame(rows, h.DOCS_DDL).repartition(8), size=5).collect()}
+    assert [out[r[0]] for r in rows] == [1000 + int(x) for x in label] and 1 < len(set(label.tolist())) < 2500
+
+
+def test_large_sets_are_compared_completely(monkeypatch):
+    """Sets beyond the sketch: estimates choose the pairs, whole sets decide."""
+    monkeypatch.setattr(nd, "DEEP", 64)
+    monkeypatch.setattr(nd, "COLUMNS", 50)
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(12):
+        base = rng.integers(-(2**62), 2**62, 400)
+        for lost in (0, 20, 44, 60, 90):
+            sets.append(np.unique(np.r_[base[lost:], rng.integers(-(2**62), 2**62, lost)]))
+    sets += [np.unique(rng.integers(0, 2**62, 9)) for _ in range(5)] * 2
+    want = np.arange(len(sets))
+    for i in range(len(sets)):
+        for j in range(i):
+            k = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * k >= 80 * (len(sets[i]) + len(sets[j]) - k):
+                want[want == want[i]] = want[j]
+    same = lambda g: {tuple(np.flatnonzero(g == x)) for x in g}
+    whole = nd.Joiner(sets, np.arange(len(sets)), 80)
+    whole.compare(np.arange(len(sets)), np.arange(len(sets)))
+    parts = nd.Joiner(sets, np.arange(len(sets)), 80)
+    half = np.arange(len(sets)) % 2 == 0
+    for x, y in ((half, half), (~half, ~half), (half, ~half)):
+        parts.compare(np.flatnonzero(x), np.flatnonzero(y))
+    assert same(whole.group) == same(parts.group) == same(want)
 
 
 def test_awkward_rows(spark):
