@@ -2,43 +2,53 @@
 
 Every line walks a tree of fixed depth: number of tokens, then the first
 ``depth`` tokens (a token with a digit counts as a variable field, ``<*>``).
-The leaf generalises its remaining positions: a token is constant there if at
-least two lines of the leaf, and a tenth of them, hold it at that position;
-everything else is a variable field.  A line is an instance of the leaf's
-template if at least ``similarity`` of its remaining tokens are constant.
-A line (with its fields masked) that occurs in several documents is a template
-without further fields.
-
-A template that recurs in at least two documents is dropped from all of them
-but the first (smallest id), so a passage that documents share is kept once
-and a group of copies does not vanish.  Lines of fewer than ``min_tokens``
-tokens, and lines without a word, stay.
-
-Plan: lines travel as hashes of the line, leaf and tokens.  Counts are plain
-aggregates (combined before the shuffle), so a line in a third of all
-documents is one row per task; tokens are exploded only for leaves that hold
-several different lines of several documents.  The tables of those leaves and
-of the dropped lines are broadcast while a count proves them small, and joined
-by shuffle otherwise.
+Behind them, a leaf holds as many templates as its lines have:
+
+1. The *support* of a token at a position is the number of lines of the leaf
+   that hold it there.
+2. A line orders its remaining positions by support, highest first.  Its
+   *candidates* are its own text with the last 0, 1, 2, ... of these positions
+   as variable fields, as long as ``similarity`` of the remaining tokens stay.
+   A constant token of a template is held by all its lines, a field's value by
+   fewer, so fields come last whatever else the leaf holds.
+3. A line's template is the candidate that most lines of the leaf have in
+   common (ties: the one with fewest fields).  No share of the leaf is asked
+   for, so unrelated lines in the leaf, however many, hide no template.
+
+A template whose lines come from at least two documents is dropped from all of
+them but the first (smallest id), so a passage that documents share is kept
+once, different templates of a leaf each have their own first document, and a
+group of copies does not vanish.  Lines without a word, lines of variable
+fields only and lines of fewer than ``min_tokens`` tokens stay.
+
+Plan: the distinct masked lines of each document are written once; from then on
+lines travel as hashes.  Counts are plain aggregates (combined before the
+shuffle), so a line in a third of all documents is one row per task; tokens are
+exploded only for leaves that hold several different lines of several
+documents, and candidates only for lines that have enough tokens in common with
+others.  Candidates are running XORs of token hashes in the order of support, so
+a line gives at most one row per token.  The tables of those leaves and of the
+dropped lines are broadcast while their counted bytes prove them small, and
+joined by shuffle otherwise.
 
 Defined results: null and empty texts stay as they are and have no lines; a
 document with a null id takes no part; rows that repeat an id are one document
-for the counting and are cleaned alike; a document whose lines all go keeps an
-empty text; an empty table gives an empty result; other columns pass through
-(``_l_`` prefixes the work columns).
+when documents are compared (their lines count one by one as support) and are
+cleaned alike; a document whose lines all go keeps an empty text; an empty
+table gives an empty result; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopsignals.llm.common import materialize
+from shopsignals.llm.common import materialize, quoted, unused
 
 FIELD = "<*>"
 DEPTH = 4
 SIMILARITY = 0.8
-MIN_TOKENS = 3
+MIN_TOKENS = 1
 
 
 def masked_lines(text: Column) -> Column:
@@ -62,90 +72,102 @@ def _leaf(masked: Column, n: Column, depth: int) -> Column:
     return F.xxhash64(n, F.substring_index(masked, " ", depth))
 
 
-#: joins with more rows than these shuffle both sides instead of broadcasting the smaller one
-WIDE_ROWS = 1_000_000
-DROP_ROWS = 500_000
+#: joins with a larger table than this shuffle both sides instead of broadcasting it
+BROADCAST_BYTES = 32 << 20
 
 
-def _broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
-    """A written table, marked for broadcasting if a count proves that it is small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _small(df: DataFrame, bytes_of: Column) -> DataFrame:
+    """A written table, marked for broadcasting if its counted bytes prove that it is small."""
+    return F.broadcast(df) if (df.agg(F.sum(bytes_of)).head()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def document_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``doc_id, masked, n, key, leaf``: the distinct masked lines of each document."""
     lines = F.array_distinct(masked_lines(F.col("text")))
-    d = docs.where("doc_id IS NOT NULL").select("doc_id", F.explode(lines).alias("masked")).where(F.col("masked") != "")
+    d = docs.where("doc_id IS NOT NULL").select("doc_id", F.explode(lines).alias("masked"))
+    # a constant token is left when fields and spaces are taken out
+    d = d.where((F.col("masked") != "") & ~F.col("masked").rlike(r"^<\*>(?: <\*>)*$"))
     d = d.withColumn("n", _tokens(F.col("masked"))).where(F.col("n") >= min_tokens)
     return d.withColumns({"key": _key(F.col("masked")), "leaf": _leaf(F.col("masked"), F.col("n"), depth)})
 
 
-def recurring(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS) -> tuple[DataFrame, DataFrame]:
-    """(lines ``doc_id, key``, templates ``key, keeper``): what recurs, and the document that keeps it."""
-    slim = docs.select(F.col("doc_id"), F.col("text"))
-    with_text = document_lines(slim, depth, min_tokens)
-    lines = materialize(with_text.select("doc_id", "key", "leaf").distinct())
-    distinct = materialize(lines.groupBy("leaf", "key").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first")))
+def templates(lines: DataFrame, distinct: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """``leaf, key, family``: the template with fields of the lines that have one."""
     # leaves where generalising can join different lines of different documents
-    wide = distinct.groupBy("leaf").agg(
-        F.count(F.lit(1)).alias("keys"), F.sum("docs").alias("lines"), F.min("first").alias("lo"), F.max("first").alias("hi"), F.max("docs").alias("most"),
+    wide = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("keys"), F.min("first").alias("lo"), F.max("last").alias("hi"))
+    wide = materialize(wide.where((F.col("keys") > 1) & (F.col("hi") > F.col("lo"))).select("leaf"))
+    wanted = lines.where(F.col("n") > depth).join(_small(wide, F.lit(16)), "leaf")
+    behind = F.transform(F.slice(F.split("masked", " "), depth + 1, 1 << 30), lambda t: F.xxhash64(t))
+    # one row per different line: its tokens, and how many lines it stands for
+    one = wanted.groupBy("leaf", "key").agg(F.first("masked").alias("masked"), F.count(F.lit(1)).alias("held"))
+    cells = materialize(one.select("leaf", "key", "held", F.posexplode(behind).alias("pos", "token")))
+    support = cells.groupBy("leaf", "pos", "token").agg(F.sum("held").alias("support"), F.count(F.lit(1)).alias("keys")).where("keys > 1")
+    # positions that other lines of the leaf share; the others are fields of every candidate
+    size = cells.groupBy("leaf", "key").agg(F.count(F.lit(1)).alias("r"))
+    shared = cells.join(support.select("leaf", "pos", "token", "support"), ["leaf", "pos", "token"])
+    shared = materialize(shared.select("leaf", "key", "held", "pos", "support", F.xxhash64("pos", "token").alias("h")))
+    enough = shared.groupBy("leaf", "key").agg(F.count(F.lit(1)).alias("m")).join(size, ["leaf", "key"])
+    enough = enough.where(F.col("m") >= F.col("r") * similarity - 1e-9).select("leaf", "key", "r")
+    by_support = Window.partitionBy("leaf", "key").orderBy(F.desc("support"), "pos")
+    ranked = shared.join(enough, ["leaf", "key"]).select(
+        "leaf", "key", "held", "r", F.row_number().over(by_support).alias("kept"), F.bit_xor("h").over(by_support.rowsBetween(Window.unboundedPreceding, 0)).alias("x"),
     )
-    wide = materialize(wide.where((F.col("keys") > 1) & ((F.col("hi") > F.col("lo")) | (F.col("most") > 1))).select("leaf", "lines"))
-    wide = _broadcast_up_to(wide, WIDE_ROWS)
-    behind = F.slice(F.split("masked", " "), depth + 1, 1 << 30)
-    wanted = with_text.where(F.col("n") > depth).join(wide, "leaf")
-    candidates = wanted.select("key", "leaf", "lines", F.transform(behind, lambda t: F.xxhash64(t)).alias("tokens"))
-    # one row per different line: its tokens, and how many documents hold it
-    candidates = candidates.groupBy("leaf", "key").agg(F.first("lines").alias("lines"), F.first("tokens").alias("tokens")).join(distinct, ["leaf", "key"])
-    cells = materialize(candidates.select("leaf", "lines", "key", "docs", F.posexplode("tokens").alias("pos", "token")))
-    constant = (
-        cells.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("held"), F.first("lines").alias("lines"))
-        .where((F.col("held") >= 2) & (F.col("held") * 10 >= F.col("lines"))).select("leaf", "pos", "token", F.lit(1).alias("constant"))
-    )
-    marked = cells.join(constant, ["leaf", "pos", "token"], "left").groupBy("leaf", "key").agg(F.avg(F.coalesce("constant", F.lit(0))).alias("share"))
-    instances = marked.where(F.col("share") >= similarity).select("leaf", "key", F.lit(True).alias("generalised"))
-    family = F.when(F.col("generalised"), F.col("leaf")).otherwise(F.col("key"))
-    named = distinct.join(instances, ["leaf", "key"], "left").select("key", "docs", "first", family.alias("family"), F.coalesce("generalised", F.lit(False)).alias("generalised"))
-    # documents of a family: lines of one document may repeat a template, so first and last decide
-    kept = named.groupBy("family", "generalised").agg(
-        F.min("first").alias("keeper"), F.max("first").alias("last"), F.max("docs").alias("most"),
-    ).where((F.col("last") > F.col("keeper")) | (F.col("most") > 1)).select("family", "generalised", "keeper")
-    return lines.select("doc_id", "key"), named.join(kept, ["family", "generalised"]).select("key", "keeper")
+    candidates = ranked.where(F.col("kept") >= F.col("r") * similarity - 1e-9).select("leaf", "key", "held", "kept", F.xxhash64("leaf", "kept", "x").alias("family"))
+    candidates = materialize(candidates)
+    common = candidates.groupBy("family").agg(F.sum("held").alias("lines"), F.count(F.lit(1)).alias("keys")).where("keys > 1")
+    best = candidates.join(common, "family").groupBy("leaf", "key").agg(F.max_by("family", F.struct("lines", "kept")).alias("family"))
+    return best
 
 
-def dropped_lines(docs: DataFrame, **options) -> DataFrame:
-    """``_l_id, _l_drop``: hashes of the masked lines that a document loses."""
-    lines, templates = recurring(docs, **options)
-    lost = lines.join(materialize(templates), "key").where(F.col("doc_id") != F.col("keeper"))
-    return materialize(lost.groupBy(F.col("doc_id").alias("_l_id")).agg(F.sort_array(F.collect_set("key")).alias("_l_drop")))
+def recurring(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """(lines ``doc_id, key``, templates ``key, keeper``): what recurs, and the document that keeps it."""
+    lines = materialize(document_lines(docs.select("doc_id", "text"), depth, min_tokens))
+    distinct = materialize(lines.groupBy("leaf", "key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
+    named = distinct.join(templates(lines, distinct, depth, similarity), ["leaf", "key"], "left")
+    named = materialize(named.select("key", "first", "last", F.coalesce("family", "key").alias("family"), F.col("family").isNotNull().alias("generalised")))
+    kept = named.groupBy("family", "generalised").agg(F.min("first").alias("keeper"), F.max("last").alias("hi")).where("hi > keeper")
+    return lines.select("doc_id", "key"), materialize(named.join(kept.drop("hi"), ["family", "generalised"]).select("key", "keeper"))
 
 
-def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents with the lines of recurring templates taken out; adds ``_l_lines``, ``_l_dropped`` (line numbers from 0)."""
-    drops = dropped_lines(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), **options)
-    d = docs.join(_broadcast_up_to(drops, DROP_ROWS), F.col(id_col) == F.col("_l_id"), "left")
-    d = d.withColumn("_l_all", F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1))
+def dropped_lines(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id, drop``: hashes of the masked lines that a document loses."""
+    lines, keepers = recurring(docs, **options)
+    lost = lines.join(keepers, "key").where(F.col("doc_id") != F.col("keeper"))
+    return materialize(lost.groupBy("doc_id").agg(F.sort_array(F.collect_set("key")).alias("drop")))
+
+
+def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> tuple[DataFrame, str, str]:
+    """(documents with the lines of recurring templates taken out, names of two added columns).
+
+    The added columns: number of lines, numbers of the dropped ones (from 0).
+    """
+    own_id, own_text = F.col(quoted(id_col)), F.col(quoted(text_col))
+    drops = dropped_lines(docs.select(own_id.alias("doc_id"), own_text.alias("text")), **options)
+    key, drop, every, count, dropped = unused(docs.columns, "id", "drop", "all", "lines", "dropped")
+    drops = _small(drops, F.lit(32) + F.size("drop") * 8).select(F.col("doc_id").alias(key), F.col("drop").alias(drop))
+    d = docs.join(drops, own_id == F.col(key), "left")
+    d = d.withColumn(every, F.split(F.coalesce(own_text, F.lit("")), "\n", -1))
     hashes = lambda text: F.transform(masked_lines(text), lambda x, i: F.struct(_key(x).alias("h"), i.alias("i")))
-    lost = F.transform(F.filter(hashes(F.col(text_col)), lambda z: F.array_contains("_l_drop", z["h"])), lambda z: z["i"])
-    d = d.withColumn("_l_dropped", F.when(F.col("_l_drop").isNull(), F.array().cast("array<int>")).otherwise(lost))
-    left = F.filter("_l_all", lambda x, i: ~F.array_contains("_l_dropped", i))
-    text = F.when(F.size("_l_dropped") == 0, F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    return d.withColumn(text_col, text).withColumn("_l_lines", F.size("_l_all").cast("long")).drop("_l_id", "_l_drop", "_l_all")
+    lost = F.transform(F.filter(hashes(own_text), lambda z: F.array_contains(drop, z["h"])), lambda z: z["i"])
+    d = d.withColumn(dropped, F.when(F.col(drop).isNull(), F.array().cast("array<int>")).otherwise(lost))
+    left = F.filter(every, lambda x, i: ~F.array_contains(dropped, i))
+    text = F.when(F.size(dropped) == 0, own_text).otherwise(F.array_join(left, "\n"))
+    return d.withColumn(text_col, text).withColumn(count, F.size(every).cast("long")).drop(key, drop, every), count, dropped
 
 
 def line_dedup(docs: DataFrame, **options) -> DataFrame:
     """Per document: number of lines, numbers of the dropped ones (as text), characters and MD5 of what stays."""
-    d = without_recurring_lines(docs.select("doc_id", "text"), **options)
+    d, count, dropped = without_recurring_lines(docs.select("doc_id", "text"), **options)
     text = F.coalesce(F.col("text"), F.lit(""))
     return d.select(
-        "doc_id", F.col("_l_lines").alias("n_lines"), F.size("_l_dropped").cast("long").alias("n_dropped"),
-        F.array_join("_l_dropped", ",").alias("dropped"), F.length(text).cast("long").alias("n_chars_left"), F.md5(F.encode(text, "utf-8")).alias("text_md5"),
+        "doc_id", F.col(count).alias("n_lines"), F.size(dropped).cast("long").alias("n_dropped"),
+        F.array_join(dropped, ",").alias("dropped"), F.length(text).cast("long").alias("n_chars_left"), F.md5(F.encode(text, "utf-8")).alias("text_md5"),
     )
 
 
 def cleaned_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents with their own columns; ``n_chars`` follows the text where there is one."""
-    d = without_recurring_lines(docs, **options)
+    d, _, dropped = without_recurring_lines(docs, **options)
     if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.when(F.size("_l_dropped") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return d.select(docs.columns)
+        d = d.withColumn("n_chars", F.when(F.size(dropped) == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return d.select([quoted(c) for c in docs.columns])

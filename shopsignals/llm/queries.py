@@ -16,7 +16,7 @@ from shopsignals.llm import twins
 from shopsignals.llm.common import documents, labels
 
 QUERIES: dict = {}
-SQL: dict[str, str] = {"op1_quality_rules": twins.QUALITY_RULES, "op6_template_line_dedup": twins.LINE_DEDUP}
+SQL: dict[str, str] = {"op1_quality_rules": twins.QUALITY_RULES, "op6_template_line_dedup": twins.LINE_DEDUP, "op12_merkle_manifest": twins.MERKLE_MANIFEST}
 
 
 def query(fn):

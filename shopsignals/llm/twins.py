@@ -42,21 +42,22 @@ WITH line AS (
     regexp_replace(trim(regexp_replace(l[i + 1], '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m
   FROM (SELECT doc_id, l, unnest(range(len(l))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
 tok AS (SELECT doc_id, m, string_split(m, ' ') AS w FROM (SELECT DISTINCT doc_id, m FROM line WHERE m <> '')),
-keyed AS (SELECT doc_id, m, w, len(w) || ' ' || array_to_string(w[1:4], ' ') AS leaf FROM tok WHERE len(w) >= 3),
-keys AS (SELECT leaf, m, any_value(w) AS w, count(*) AS docs, min(doc_id) AS first FROM keyed GROUP BY leaf, m),
-wide AS (
-  SELECT leaf, sum(docs) AS lines FROM keys GROUP BY leaf HAVING count(*) > 1 AND (max(first) > min(first) OR max(docs) > 1)),
-cell AS (
-  SELECT leaf, m, docs, lines, p, w[p] AS token
-  FROM (SELECT leaf, m, w, docs, lines, unnest(range(5, len(w) + 1)) AS p FROM keys JOIN wide USING (leaf))),
-held AS (
-  SELECT *, sum(docs) OVER (PARTITION BY leaf, p, token) AS n FROM cell),
-shared AS (SELECT leaf, m FROM held GROUP BY leaf, m HAVING avg(CASE WHEN n >= 2 AND n * 10 >= lines THEN 1.0 ELSE 0.0 END) >= 0.8),
+keyed AS (SELECT doc_id, m, w, len(w) || ' ' || array_to_string(w[1:4], ' ') AS leaf FROM tok WHERE NOT regexp_matches(m, '^<[*]>( <[*]>)*$')),
+keys AS (SELECT leaf, m, any_value(w) AS w, count(*) AS held, min(doc_id) AS first, max(doc_id) AS last FROM keyed GROUP BY leaf, m),
+cell AS (SELECT leaf, m, held, len(w) - 4 AS r, p, w[p] AS token FROM (SELECT leaf, m, w, held, unnest(range(5, len(w) + 1)) AS p FROM keys)),
+support AS (SELECT leaf, p, token, sum(held) AS s FROM cell GROUP BY leaf, p, token HAVING count(*) > 1),
+ranked AS (
+  SELECT leaf, m, held, r, row_number() OVER o AS kept, list(p || ':' || token) OVER o AS tokens
+  FROM cell JOIN support USING (leaf, p, token)
+  WINDOW o AS (PARTITION BY leaf, m ORDER BY s DESC, p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+candidate AS (SELECT leaf, m, held, kept, leaf || '|' || array_to_string(list_sort(tokens), ' ') AS family FROM ranked WHERE kept * 10 >= r * 8),
+common AS (SELECT family, sum(held) AS n FROM candidate GROUP BY family HAVING count(*) > 1),
+best AS (SELECT leaf, m, family FROM candidate JOIN common USING (family) QUALIFY row_number() OVER (PARTITION BY leaf, m ORDER BY n DESC, kept DESC) = 1),
 named AS (
-  SELECT k.leaf, k.m, docs, first, s.m IS NOT NULL AS general, CASE WHEN s.m IS NOT NULL THEN k.leaf ELSE k.m END AS family
-  FROM keys k LEFT JOIN shared s ON k.leaf = s.leaf AND k.m = s.m),
+  SELECT k.leaf, k.m, first, last, b.m IS NOT NULL AS general, coalesce(b.family, k.m) AS family
+  FROM keys k LEFT JOIN best b ON k.leaf = b.leaf AND k.m = b.m),
 kept AS (
-  SELECT family, general, min(first) AS keeper FROM named GROUP BY family, general HAVING max(first) > min(first) OR max(docs) > 1),
+  SELECT family, general, min(first) AS keeper FROM named GROUP BY family, general HAVING max(last) > min(first)),
 drops AS (SELECT m, keeper FROM named JOIN kept USING (family, general)),
 flagged AS (SELECT line.*, coalesce(keeper <> doc_id, false) AS gone FROM line LEFT JOIN drops USING (m))
 SELECT doc_id, count(*) AS n_lines, count(CASE WHEN gone THEN 1 END) AS n_dropped,
@@ -64,3 +65,59 @@ SELECT doc_id, count(*) AS n_lines, count(CASE WHEN gone THEN 1 END) AS n_droppe
   CAST(length(coalesce(string_agg(CASE WHEN NOT gone THEN raw END, chr(10) ORDER BY i), '')) AS BIGINT) AS n_chars_left,
   md5(coalesce(string_agg(CASE WHEN NOT gone THEN raw END, chr(10) ORDER BY i), '')) AS text_md5
 FROM flagged GROUP BY doc_id"""
+
+
+def _field(name: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({name} AS VARCHAR)) AS VARCHAR) || ':' || CAST({name} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(f) for f in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+#: bit by bit CRC-32 of the ids, trees level by level, and each leaf's walk along its siblings
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE
+ids AS (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS s FROM documents WHERE doc_id IS NOT NULL),
+crc AS (
+  SELECT doc_id, s, 0 AS k, CAST(4294967295 AS BIGINT) AS c FROM ids
+  UNION ALL
+  SELECT doc_id, s, k + 1, xor(b >> 1, (b & 1) * CAST(3988292384 AS BIGINT))
+  FROM (SELECT doc_id, s, k, CASE WHEN k % 8 = 0 THEN xor(c, CAST(ascii(s[k // 8 + 1]) AS BIGINT)) ELSE c END AS b FROM crc WHERE k < 8 * length(s))),
+tampered AS (SELECT doc_id FROM crc WHERE k = 8 * length(s) AND xor(c, CAST(4294967295 AS BIGINT)) % 7 = 0),
+leaf AS (
+  SELECT d.doc_id, d.lang, {_leaf('n_chars')} AS leaf, CASE WHEN t.hit IS NOT NULL THEN {_leaf('(n_chars + 1)')} END AS claim
+  FROM documents d LEFT JOIN (SELECT doc_id AS hit FROM tampered) t ON d.doc_id = t.hit),
+placed AS (
+  SELECT *, row_number() OVER () AS rid, CAST(dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS BIGINT) AS tree,
+    CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS BIGINT) AS pos,
+    count(*) OVER (PARTITION BY lang) AS m
+  FROM leaf),
+node AS (
+  SELECT tree, 0 AS lvl, pos, leaf AS h, m FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (m + 1) // 2 FROM node WHERE m > 1 GROUP BY tree, lvl, m, pos // 2),
+depth AS (SELECT tree, max(lvl) AS lvl FROM node GROUP BY tree),
+sub AS (SELECT tree, h AS subroot, count(*) OVER () AS m FROM node WHERE m = 1),
+top AS (
+  SELECT 0 AS lvl, tree AS pos, subroot AS h, m FROM sub
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (m + 1) // 2 FROM top WHERE m > 1 GROUP BY lvl, m, pos // 2),
+walk AS (
+  SELECT rid, tree, 0 AS lvl, pos, '' AS proof, coalesce(claim, leaf) AS f FROM placed
+  UNION ALL
+  SELECT w.rid, w.tree, w.lvl + 1, w.pos // 2, w.proof || coalesce(s.h, ''),
+    sha256(CASE WHEN w.pos % 2 = 1 THEN coalesce(s.h, '') || w.f ELSE w.f || coalesce(s.h, '') END)
+  FROM walk w JOIN depth d ON w.tree = d.tree AND w.lvl < d.lvl
+  LEFT JOIN node s ON s.tree = w.tree AND s.lvl = w.lvl AND s.pos = xor(w.pos, CAST(1 AS BIGINT))),
+climb AS (
+  SELECT w.rid, 0 AS lvl, w.tree AS pos, w.proof, w.f FROM walk w JOIN depth d ON w.tree = d.tree AND w.lvl = d.lvl
+  UNION ALL
+  SELECT w.rid, w.lvl + 1, w.pos // 2, w.proof || coalesce(s.h, ''),
+    sha256(CASE WHEN w.pos % 2 = 1 THEN coalesce(s.h, '') || w.f ELSE w.f || coalesce(s.h, '') END)
+  FROM climb w JOIN (SELECT max(lvl) AS lvl FROM top) d ON w.lvl < d.lvl
+  LEFT JOIN top s ON s.lvl = w.lvl AND s.pos = xor(w.pos, CAST(1 AS BIGINT))),
+fin AS (SELECT c.* FROM climb c JOIN (SELECT max(lvl) AS lvl FROM top) d ON c.lvl = d.lvl),
+root AS (SELECT h FROM top WHERE m = 1)
+SELECT p.doc_id, p.leaf, sub.subroot, root.h AS root, sha256(fin.proof) AS proof_sha256, fin.f AS folded_root, fin.f = root.h AS verified
+FROM placed p JOIN sub USING (tree) JOIN fin ON fin.rid = p.rid, root"""

@@ -2,6 +2,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from shopsignals.llm import line_dedup as ld
 from tests.llm import helpers as h
 
@@ -18,32 +21,34 @@ def mask(line):
 
 def brute(docs):
     """Line numbers to drop per document, walking the tree in plain Python."""
-    tree = defaultdict(lambda: defaultdict(set))
+    tree = defaultdict(lambda: defaultdict(list))
     for r in docs:
         if r["doc_id"] is not None:
-            for line in (r["text"] or "").split("\n"):
-                m = mask(line)
+            for m in {mask(line) for line in (r["text"] or "").split("\n")}:
                 w = m.split(" ")
-                if m and len(w) >= 3:
-                    tree[len(w), tuple(w[:4])][m].add(r["doc_id"])
-    keeper = {}
-    for lines in tree.values():
-        seen = Counter()
+                if m and set(w) != {"<*>"}:
+                    tree[len(w), tuple(w[:4])][m].append(r["doc_id"])
+    ids_of = defaultdict(set)
+    family_of = {}
+    for leaf, lines in tree.items():
+        support, holders = Counter(), Counter()
+        for m, ids in lines.items():
+            for cell in enumerate(m.split(" ")[4:]):
+                support[cell] += len(ids)
+                holders[cell] += 1
+        held, candidates = Counter(), {}
         for m, ids in lines.items():
-            for at, w in enumerate(m.split(" ")[4:]):
-                seen[at, w] += len(ids)
-        total = sum(map(len, lines.values()))
-        family = []
+            cells = list(enumerate(m.split(" ")[4:]))
+            shared = sorted((c for c in cells if holders[c] > 1), key=lambda c: (-support[c], c[0]))
+            candidates[m] = [frozenset(shared[:k]) for k in range(1, len(shared) + 1) if 10 * k >= 8 * len(cells)]
+            for c in candidates[m]:
+                held[c] += len(ids)
+        takers = Counter(c for found in candidates.values() for c in found)
         for m, ids in lines.items():
-            rest = m.split(" ")[4:]
-            constant = sum(seen[c] >= 2 and 10 * seen[c] >= total for c in enumerate(rest))
-            if len(lines) > 1 and rest and constant >= 0.8 * len(rest):
-                family.append(m)
-            elif len(ids) > 1:
-                keeper[m] = min(ids)
-        docs_of = set().union(*[lines[m] for m in family]) if family else set()
-        if len(docs_of) > 1:
-            keeper.update((m, min(docs_of)) for m in family)
+            found = [c for c in candidates[m] if takers[c] > 1]
+            family_of[m] = (leaf, max(found, key=lambda c: (held[c], len(c)))) if found else m
+            ids_of[family_of[m]].update(ids)
+    keeper = {m: min(ids_of[f]) for m, f in family_of.items()}
     return [
         (r["doc_id"], [i for i, x in enumerate((r["text"] or "").split("\n")) if r["doc_id"] is not None and keeper.get(mask(x), r["doc_id"]) != r["doc_id"]])
         for r in docs
@@ -85,6 +90,38 @@ def test_passages_and_variable_fields_go_and_clean_lines_stay(spark):
     assert all(x in out[i]["text"].split("\n") for i, lines in unique.items() for x in lines)
 
 
+def left_over(spark, rows):
+    return {r["doc_id"]: r["text"] for r in ld.cleaned_documents(spark.createDataFrame(rows, h.DOCS_DDL).repartition(3)).collect()}
+
+
+def test_two_templates_of_one_leaf_have_their_own_first_documents(spark):
+    acme, zenith = "copyright notice of the acme books company rights reserved", "copyright notice of the zenith music house under licence"
+    out = left_over(spark, [h.row(1, acme), h.row(2, acme), h.row(3, zenith), h.row(4, zenith + "\nown line")])
+    assert out == {1: acme, 2: "", 3: zenith, 4: "own line"}
+
+
+@pytest.mark.parametrize("others", [0, 500])
+def test_other_lines_of_the_leaf_hide_no_template(spark, others):
+    rng = random.Random(3)
+    rows = [h.row(i, f"read the full story of {rng.choice(h.VOCAB)}{chr(97 + i % 26)} in our evening paper") for i in range(40)]
+    rows += [h.row(1000 + i, "read the full story " + " ".join(f"{rng.choice(h.VOCAB)}{chr(97 + rng.randrange(26))}" for _ in range(6))) for i in range(others)]
+    out = left_over(spark, rows)
+    assert [i for i in range(40) if out[i]] == [0]
+    assert sum(bool(out[1000 + i]) for i in range(others)) == others
+
+
+def test_short_lines_and_lines_of_fields(spark):
+    out = left_over(spark, [h.row(1, "Menu\n12 34\nlog in\n7"), h.row(2, "Menu\n56 78\nlog in\n8"), h.row(3, "Menu 3\nlog in")])
+    assert out == {1: "Menu\n12 34\nlog in\n7", 2: "56 78\n8", 3: "Menu 3"}
+
+
+def test_clashing_and_dotted_columns(spark):
+    df = spark.createDataFrame([h.row(1, "same words here"), h.row(2, "same words here\nand more")], h.DOCS_DDL)
+    odd = df.withColumns({c: F.lit("x") for c in ("_l_id", "_id", "_drop", "_all", "_lines", "_dropped", "a.b", "key", "drop")})
+    out = ld.cleaned_documents(odd)
+    assert out.columns == odd.columns and {r["doc_id"]: r["text"] for r in out.collect()} == {1: "same words here", 2: "and more"}
+
+
 def test_awkward_rows(spark):
     df = h.awkward(spark)
     rows = ld.line_dedup(df).collect()
