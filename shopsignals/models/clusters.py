@@ -20,12 +20,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsignals.functions import rules
@@ -121,8 +123,8 @@ def name_clusters(profiles: DataFrame) -> DataFrame:
 
 
 def silhouette(labelled: DataFrame) -> DataFrame:
-    """Silhouette of non-noise users in PCA space (Spark's squared-Euclidean
-    form; not numerically comparable with a plain-Euclidean silhouette)."""
+    """Silhouette of all non-noise users in PCA space, in Spark's squared-Euclidean
+    form (linear in the users; ``euclidean_silhouette`` is the plain one)."""
     core = labelled.filter(F.col("cluster") != NOISE_CLUSTER)
     if core.select("cluster").distinct().limit(2).count() < 2:
         return core.sparkSession.createDataFrame([(0.0,)], "silhouette double")
@@ -131,5 +133,59 @@ def silhouette(labelled: DataFrame) -> DataFrame:
     return core.sparkSession.createDataFrame([(round(float(value), 4),)], "silhouette double")
 
 
-def explained_variance(model: ClusterModel) -> float:
-    return float(sum(model.model.stages[2].explainedVariance.toArray()))
+#: points of the plain silhouette: it compares each with all others of the sample
+SILHOUETTE_SAMPLE = 10_000
+
+
+def euclidean_silhouette(labelled: DataFrame, sample: int = SILHOUETTE_SAMPLE, seed: int = SEED, key: str = "user_id") -> DataFrame:
+    """Mean plain Euclidean silhouette of a fixed-size sample of the non-noise users (lowest hashes).
+
+    The sample is the measure's parameter (its cost is quadratic); it goes to
+    all tasks, each of which compares its rows of the sample with all of it.
+    0 with fewer than two clusters; a cluster of one point has silhouette 0.
+    """
+    spark = labelled.sparkSession
+    core = labelled.filter(F.col("cluster") != NOISE_CLUSTER).select(key, F.col("cluster").cast("long").alias("cluster"), vector_to_array("pca").alias("x"))
+    taken = materialize(core.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(sample).select("cluster", "x"))
+    rows = taken.toArrow()
+    labels = rows.column("cluster").to_numpy() if rows.num_rows else np.zeros(0, np.int64)
+    names, group = np.unique(labels, return_inverse=True)
+    if len(names) < 2:
+        return spark.createDataFrame([(0.0,)], "silhouette double")
+    points = np.array(rows.column("x").to_pylist())
+    member = np.eye(len(names))[group]
+    sizes, number = member.sum(axis=0), {int(c): k for k, c in enumerate(names)}
+
+    def widths(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, own = np.array(b.column(1).to_pylist()), np.array([number[c] for c in b.column(0).to_pylist()])
+            # one cluster coordinate at a time keeps the block at rows x sample
+            d = np.sqrt(sum((x[:, [j]] - points[:, j]) ** 2 for j in range(x.shape[1])))
+            total, at = d @ member, np.arange(len(x))
+            inside = total[at, own] / np.maximum(sizes[own] - 1, 1)
+            mean = total / sizes
+            mean[at, own] = np.inf
+            outside = mean.min(axis=1)
+            top = np.maximum(inside, outside)
+            s = np.where((sizes[own] > 1) & (top > 0), (outside - inside) / np.where(top > 0, top, 1), 0.0)
+            yield pa.RecordBatch.from_arrays([pa.array(s)], names=["s"])
+
+    parts = max(1, -(-rows.num_rows // 500))
+    spread = taken.repartition(parts)
+    return spread.mapInArrow(widths, "s double").agg(F.round(F.avg("s"), 4).alias("silhouette"))
+
+
+def scaler_statistics(model: ClusterModel) -> DataFrame:
+    """``feature, mean, std`` as the fitted scaler holds them (one row per feature)."""
+    scaler = model.model.stages[1]
+    rows = [(c, float(m), float(d)) for c, m, d in zip(model.feature_cols, scaler.mean.toArray(), scaler.std.toArray())]
+    return SparkSession.getActiveSession().createDataFrame(rows, "feature string, mean double, std double")
+
+
+def explained_variance(model: ClusterModel) -> DataFrame:
+    """``component, share``: variance explained by each principal component, and by all as component 0."""
+    shares = [float(x) for x in model.model.stages[2].explainedVariance.toArray()]
+    rows = [(0, sum(shares)), *((i + 1, x) for i, x in enumerate(shares))]
+    return SparkSession.getActiveSession().createDataFrame(rows, "component int, share double")

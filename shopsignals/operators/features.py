@@ -96,9 +96,11 @@ def time_bounds(events: DataFrame) -> DataFrame:
     return events.agg(micros(F.min("event_time")).alias("t_min_us"), micros(F.max("event_time")).alias("t_max_us"))
 
 
-def with_bounds(df: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Attach the global bounds as scalar sub-queries (computed once per
-    query; Spark merges the two into one aggregate over the events)."""
+def with_bounds(df: DataFrame, bounds: DataFrame | tuple[int, int]) -> DataFrame:
+    """Attach the global bounds: known values, or scalar sub-queries (computed
+    once per query; Spark merges the two into one aggregate over the events)."""
+    if isinstance(bounds, tuple):
+        return df.withColumns({"t_min_us": F.lit(bounds[0]).cast("long"), "t_max_us": F.lit(bounds[1]).cast("long")})
     return df.withColumns(
         {"t_min_us": bounds.select("t_min_us").scalar(), "t_max_us": bounds.select("t_max_us").scalar()}
     )
@@ -141,7 +143,11 @@ def session_features(
 ) -> DataFrame:
     """Recency, frequency, money, depth, cart abandonment, conversion, label."""
     bounds = bounds if bounds is not None else time_bounds(events)
-    sess = session_aggregate(events)
+    return session_columns_of(session_aggregate(events), bounds, horizon_days)
+
+
+def session_columns_of(sess: DataFrame, bounds: DataFrame | tuple[int, int], horizon_days: float) -> DataFrame:
+    """The session family of a table of sessions."""
     real = F.col("user_session").isNotNull()
 
     def s(c):
@@ -298,23 +304,23 @@ def _brand_loyalty(view_counts: DataFrame) -> DataFrame:
     return counts.groupBy("user_id").agg((F.max(branded) / F.sum(branded)).alias("_loyalty"))
 
 
-#: one-hot columns are a projection list, so the vocabulary must stay small
+#: one-hot columns are a projection list, so the vocabulary must stay small;
+#: beyond it ``models.sparse`` encodes categories as one sparse vector column
 MAX_ONEHOT_CATEGORIES = 1000
 
 
 def onehot_categories(events: DataFrame, max_categories: int = MAX_ONEHOT_CATEGORIES) -> list[str]:
-    """Distinct top categories (sorted); a small, vocabulary-bounded list.
+    """Distinct top categories (sorted); a small, vocabulary-bounded list."""
+    return distinct_categories(events.select(top_category("category_code").alias("c")), max_categories)
+
+
+def distinct_categories(categories: DataFrame, max_categories: int = MAX_ONEHOT_CATEGORIES) -> list[str]:
+    """The values of column ``c``, sorted.
 
     At most ``max_categories + 1`` values reach the driver; a larger
-    vocabulary is an error (pass an explicit list instead) rather than a
-    silently truncated encoding."""
-    rows = (
-        events.select(top_category("category_code").alias("c"))
-        .distinct()
-        .orderBy("c")
-        .limit(max_categories + 1)
-        .collect()
-    )
+    vocabulary is an error (pass an explicit list, or encode it sparsely)
+    rather than a silently truncated encoding."""
+    rows = categories.distinct().orderBy("c").limit(max_categories + 1).collect()
     if len(rows) > max_categories:
         raise ValueError(
             f"more than {max_categories} top categories: pass the one-hot vocabulary explicitly"
@@ -364,9 +370,13 @@ def category_features(
 
 
 def _category_from(agg, events, affinity_categories, onehot, extra=()):
+    return category_columns_of(agg, _view_counts(events), affinity_categories, onehot, extra)
+
+
+def category_columns_of(agg, view_counts, affinity_categories, onehot, extra=()):
+    """The category family of a per-user aggregate and of views per (user, top category, brand)."""
     geo = agg.filter((F.col("_views") > 0) | (F.col("_purchases") > 0))
-    vc = _view_counts(events)
-    geo = geo.join(_view_entropy(vc), "user_id", "left").join(_brand_loyalty(vc), "user_id", "left")
+    geo = geo.join(_view_entropy(view_counts), "user_id", "left").join(_brand_loyalty(view_counts), "user_id", "left")
     return geo.select("user_id", *extra, *_category_columns(affinity_categories, onehot))
 
 
@@ -378,17 +388,12 @@ def user_features(
 ) -> DataFrame:
     """The merged modelling table: session ⋈ temporal ⋈ category (inner).
 
-    Temporal and category columns come from the same one-pass aggregate; the
-    session family joins it on ``user_id``.  Both sides are already hash
-    partitioned by ``user_id`` by their aggregates, so the join adds no
-    shuffle of its own.
+    All families roll up from one written table of partial aggregates
+    (``operators.cells``), so the events are read once.
     """
-    bounds = time_bounds(events)
-    onehot = list(onehot) if onehot is not None else onehot_categories(events)
-    agg = _activity_aggregate(events, bounds, affinity_categories)
-    geo_and_time = _category_from(agg, events, affinity_categories, onehot, extra=_temporal_columns())
-    sess = session_features(events, horizon_days, bounds)
-    return sess.join(geo_and_time, "user_id", "inner")
+    from shopsignals.operators.cells import merged_features
+
+    return merged_features(events, horizon_days, affinity_categories, onehot)
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = ("user_id", LABEL)) -> list[str]:

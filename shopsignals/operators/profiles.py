@@ -4,14 +4,16 @@ absolute attributions, stratified split and hash sampling."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopsignals.functions import rules
-from shopsignals.functions.numeric import exact_avg, round_half_even
-from shopsignals.operators.running import running_totals
+from shopsignals.functions.numeric import exact_avg, exact_sum, round_half_even
+from shopsignals.operators.running import ranged, totals_in_order, value_at
+from shopsignals.session import materialize
 
 # Behavioural signals used for clustering (not the label).
 CLUSTER_FEATURES = [
@@ -127,25 +129,25 @@ def _lerp(a, b, t):
 def describe(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, std, min, exact quartiles (linear), max per column.
 
-    Quartiles come from counts per distinct value and blocked running totals,
-    so no column's values are gathered into one task.
+    The input is evaluated once, into counts per distinct value written in
+    order; all figures come from them, so no column's values are gathered into
+    one task.
     """
     long = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot([], list(columns), "feature", "value")
         .filter(F.col("value").isNotNull())
     )
-    stats = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("count"),
-        exact_avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    counts = ranged(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), exact_sum(F.when(~F.isnan("value"), F.col("value"))).alias("s")), ["feature"], "value")
+    numbers = F.sum(F.when(F.isnan("value"), F.lit(0)).otherwise(F.col("n")))
+    stats = counts.groupBy("feature").agg(
+        F.sum("n").alias("count"),
+        F.try_divide(F.sum("s").cast("double"), numbers).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    cum = running_totals(counts, ["feature"], "value", ["n"]).join(
-        F.broadcast(stats.select("feature", "count")), "feature"
-    )  # one row per column
+    # one row per column
+    cum = totals_in_order(counts, ["feature"], "value", ["n"]).join(F.broadcast(stats.select("feature", "count", "mean")), "feature")
     aggs = []
     for i, q in enumerate(probs):
         pos = F.lit(q) * (F.col("count") - 1)
@@ -153,7 +155,8 @@ def describe(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.
         aggs.append(F.min(F.when(F.col("cum_n") >= lo_i + 1, F.col("value"))).alias(f"_lo_{i}"))
         aggs.append(F.min(F.when(F.col("cum_n") >= F.least(lo_i + 2, F.col("count")), F.col("value"))).alias(f"_hi_{i}"))
         aggs.append(F.first(pos - lo_i).alias(f"_t_{i}"))
-    qs = cum.groupBy("feature").agg(*aggs)
+    squares = F.sum(F.col("n") * (F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean")))
+    qs = cum.groupBy("feature").agg(F.sqrt(F.try_divide(squares, F.first("count") - 1)).alias("std"), *aggs)
     out = stats.join(qs, "feature")
     names = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
     return out.select(
@@ -163,7 +166,7 @@ def describe(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.
     )
 
 
-def mean_abs_attribution(attributions: DataFrame, exclude: Sequence[str] = ("churn_proba", "user_id"), top: int | None = None) -> DataFrame:
+def mean_abs_attribution(attributions: DataFrame, exclude: Sequence[str] = ("churn_proba", "user_id", "margin", "base_margin"), top: int | None = None) -> DataFrame:
     """Mean |attribution| per feature, long form, largest first (top-k optional)."""
     cols = [c for c in attributions.columns if c not in exclude]
     wide = attributions.agg(*[F.avg(F.abs(F.col(c))).alias(c) for c in cols])
@@ -176,11 +179,27 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``is_test``: per label, rows ranked by ``xxhash64(key, seed)`` (key
     breaks ties); the first ``floor(n_label · train_fraction)`` are training
-    rows.  Exact per-label counts, repeatable, no one-partition sort."""
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)).cast("double")).withColumn("_one", F.lit(1).cast("long"))
-    ranked = running_totals(h, [label_col], "_h", ["_one"], prefix="_rk", tiebreak_cols=[key])
-    sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n_label"))  # one row per label
-    out = ranked.join(F.broadcast(sizes), label_col)
-    return out.withColumn("is_test", F.col("_rk_one") > F.floor(F.col("_n_label") * F.lit(train_fraction))).drop(
-        "_h", "_one", "_rk_one", "_n_label"
-    )
+    rows.  Exact per-label counts, repeatable.
+
+    Only labels, hashes and keys are written and searched for the last training
+    row of each label (``value_at``); the table itself gets the flag by a plain
+    projection, without a shuffle or join of its columns.  The number of labels
+    is that of the classes; rows without a label are training rows.
+    """
+    hashed = F.xxhash64(F.col(key), F.lit(seed))
+    slim = materialize(df.select(F.col(label_col).alias("label"), hashed.alias("h"), F.col(key).alias("k")))
+    is_test = F.lit(False)
+    for label, rows in sorted(tuple(r) for r in slim.where("label IS NOT NULL").groupBy("label").agg(F.count(F.lit(1))).collect()):
+        own, last = slim.where(F.col("label") == F.lit(label)), math.floor(rows * train_fraction)
+        cut = value_at(own, "h", last)
+        if cut is None:  # no training row
+            behind = F.lit(True)
+        else:
+            ties = own.where(F.col("h") == F.lit(cut))
+            tied, before = ties.count(), own.where(F.col("h") < F.lit(cut)).count()
+            last_key = None if tied == 1 else ties.orderBy("k").offset(last - before - 1).limit(1).head()["k"]
+            behind = hashed > F.lit(cut)
+            if last_key is not None:
+                behind = behind | ((hashed == F.lit(cut)) & (F.col(key) > F.lit(last_key)))
+        is_test = F.when(F.col(label_col) == F.lit(label), behind).otherwise(is_test)
+    return df.withColumn("is_test", is_test)

@@ -1,147 +1,161 @@
-"""Running totals over an ordered value without a single-partition window.
+"""Running totals and selection by position, without a single-partition window.
 
 ``sum(x) over (partition by g order by v)`` sorts each group ``g`` in one
 task; for a KS statistic or a ROC sweep the group is a whole feature or the
-whole score table.  Here the ordered value is cut into blocks by an
-order-preserving function of the value itself (deterministic, no sampling,
-no partition ids):
-
-    block(v) = sign(v) · (floor(log2|v| · R) + offset),   block(0) = 0
-
-so ``v1 < v2`` implies ``block(v1) <= block(v2)``, with ``R`` blocks per
-doubling of |v|.  Values from a narrow range share few such blocks, so a block
-that holds more rows than ``target`` is cut again, into equal steps between
-its own smallest and largest value, as many as its count asks for
-(deterministic, from the counts).  Then
-
-1. a local running sum is taken per (group, block, part) — about ``target``
-   rows at most;
-2. their totals (one row per non-empty part) get an exclusive running sum per
-   group;
-3. an equi-join on (group, block, part) adds the offset to the local sums.
-
-The input must have one row per (group, value) — aggregate first — so the
-order is total and the result is deterministic.
+whole score table.  Here the input is evaluated once, dealt by ranges of
+(group, value) and written (``ranged``), so a large group lies in several
+parts and parts follow each other in order:
+
+1. a local running sum is taken per (group, part);
+2. the totals of the parts (one row per part and group in it) get an exclusive
+   running sum per group;
+3. an equi-join on (group, part) adds the offset to the local sums.
+
+Range borders come from a sample; they only decide how even the parts are, the
+totals do not depend on them.  The input must have one row per (group, value)
+or a complete order by ``tiebreak_cols``, so the result is deterministic.
+
+``value_at`` finds the value at a position by histograms: counts per block of an
+order-preserving cut of the value, held on the driver, choose the block with
+the position; a block with many rows is cut again between its own smallest and
+largest value; the last few rows are sorted.  The value returns as a plain
+Python value, so a split by it is a plain filter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_RESOLUTION = 256
-_EXP_OFFSET = 1100  # covers log2 of every finite non-zero double
-
+from shopsignals.session import materialize
 
-def order_block(value, resolution: int = DEFAULT_RESOLUTION) -> Column:
-    """Monotone non-decreasing block id of a double (NaN last, null stays null)."""
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    mag = F.floor(F.log2(F.abs(v)) * F.lit(resolution)) + F.lit(_EXP_OFFSET * resolution + 1)
-    return (
-        F.when(v.isNull(), F.lit(None).cast("long"))
-        .when(F.isnan(v), F.lit(4 * _EXP_OFFSET * resolution))
-        .when(v == 0, F.lit(0))
-        .when(v > 0, mag)
-        .otherwise(-mag)
-        .cast("long")
-    )
-
-
-#: rows of a block above which it is cut into parts
+#: blocks per doubling of |value|: at most about 35,000 counts reach the driver
+DEFAULT_RESOLUTION = 8
+_EXP_OFFSET = 1100  # covers log2 of every finite non-zero double
+#: rows of a block that are sorted instead of being cut again
 TARGET_ROWS = 100_000
+#: equal steps into which a block is cut
+STEPS = 4096
 
 
-def _part(value, lo, hi, rows, target: int) -> Column:
-    """Which of the equal steps between ``lo`` and ``hi`` a value falls into; as many as ``rows`` needs."""
-    parts = F.ceil(F.lit(2.0) * rows / F.lit(float(target)))
-    at = F.floor((value - lo) / (hi - lo) * parts)
-    return F.when((rows > target) & (hi > lo), F.least(at, parts - 1)).otherwise(F.lit(0)).cast("long")
+def ranged(df: DataFrame, group_cols: Sequence[str], order_col: str, descending: bool = False, tiebreak_cols: Sequence[str] = ()) -> DataFrame:
+    """The rows with a value, written once in ranges of (group, value); ``_part`` numbers the ranges in order."""
+    by = [*[F.col(c).asc() for c in group_cols], *_order(order_col, descending, tiebreak_cols)]
+    dealt = df.where(F.col(order_col).isNotNull()).repartitionByRange(*by)
+    return materialize(dealt.withColumn("_part", F.spark_partition_id()))
 
 
-def with_blocks(
-    df: DataFrame, group_cols: Sequence[str], order_col: str, resolution: int = DEFAULT_RESOLUTION, target: int = TARGET_ROWS
-) -> DataFrame:
-    """Adds ``_blk`` and ``_part``: an order-preserving cut with about ``target`` rows per part."""
-    keys = [*group_cols, "_blk"]
-    d = df.withColumn("_blk", order_block(order_col, resolution))
-    value = F.col(order_col).cast("double")
-    sizes = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    # null values have the null block: they join with nothing and stay in part 0
-    d = d.join(sizes, keys, "left")
-    part = F.coalesce(_part(value, F.col("_lo"), F.col("_hi"), F.col("_rows"), target), F.lit(0))
-    return d.withColumn("_part", part).drop("_rows", "_lo", "_hi")
+def _order(order_col: str, descending: bool, tiebreak_cols: Sequence[str]) -> list[Column]:
+    return [F.col(c).desc() if descending else F.col(c).asc() for c in (order_col, *tiebreak_cols)]
 
 
-def running_totals(
-    df: DataFrame,
+def totals_in_order(
+    table: DataFrame,
     group_cols: Sequence[str],
     order_col: str,
     sum_cols: Sequence[str],
     descending: bool = False,
     prefix: str = "cum_",
-    resolution: int = DEFAULT_RESOLUTION,
     tiebreak_cols: Sequence[str] = (),
-    target: int = TARGET_ROWS,
 ) -> DataFrame:
-    """Adds ``cum_<c>`` = sum of ``c`` over rows of the group with order value
-    <= (or >= when ``descending``) the row's, inclusive.  ``tiebreak_cols``
-    complete the order when ``order_col`` is not unique within a group."""
-    group_cols = list(group_cols)
-    cut = with_blocks(df, group_cols, order_col, resolution, target)
-    if descending:
-        cut = cut.withColumns({"_blk": -F.col("_blk"), "_part": -F.col("_part")})
-    order = [F.col(c).desc() if descending else F.col(c).asc() for c in [order_col, *tiebreak_cols]]
-
-    keys = [*group_cols, "_blk", "_part"]
-    local_w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = cut.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sum_cols])
-
-    blocks_w = Window.partitionBy(*group_cols).orderBy("_blk", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    """Running totals of a ``ranged`` table (of the same columns and direction)."""
+    keys = [*group_cols, "_part"]
+    local_w = Window.partitionBy(*keys).orderBy(*_order(order_col, descending, tiebreak_cols)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = table.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sum_cols])
+
+    parts_w = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        cut.groupBy(*keys)
+        table.groupBy(*keys)
         .agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
-        .select(*keys, *[F.coalesce(F.sum(f"_bt_{c}").over(blocks_w), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
+        .select(*[F.col(c).alias(f"_k_{c}") for c in keys], *[F.coalesce(F.sum(f"_bt_{c}").over(parts_w), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
     )
-    # offsets has one row per non-empty part; AQE broadcasts it when it is
+    # offsets has one row per part and group; AQE broadcasts it when it is
     # small at run time, otherwise it is a shuffle join
-    out = d.join(offsets, keys, "inner")
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    out = d.join(offsets, on, "inner")
     for c in sum_cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_loc_{c}") + F.col(f"_off_{c}"))
-    return out.drop("_blk", "_part", *[f"_loc_{c}" for c in sum_cols], *[f"_off_{c}" for c in sum_cols])
+    return out.drop("_part", *[f"_k_{c}" for c in keys], *[f"_loc_{c}" for c in sum_cols], *[f"_off_{c}" for c in sum_cols])
+
+
+def running_totals(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    order_col: str,
+    sum_cols: Sequence[str],
+    descending: bool = False,
+    prefix: str = "cum_",
+    tiebreak_cols: Sequence[str] = (),
+) -> DataFrame:
+    """Adds ``cum_<c>`` = sum of ``c`` over rows of the group with order value
+    <= (or >= when ``descending``) the row's, inclusive.  ``tiebreak_cols``
+    complete the order when ``order_col`` is not unique within a group.  Rows
+    without an order value are left out."""
+    table = ranged(df, group_cols, order_col, descending, tiebreak_cols)
+    return totals_in_order(table, group_cols, order_col, sum_cols, descending, prefix, tiebreak_cols)
 
 
-def global_rank(df: DataFrame, order_col: str, out_col: str = "row_pos", resolution: int = DEFAULT_RESOLUTION) -> DataFrame:
+def global_rank(df: DataFrame, order_col: str, out_col: str = "row_pos") -> DataFrame:
     """1-based position of each row when sorted by a unique ``order_col``."""
-    ones = df.withColumn("_one", F.lit(1).cast("long")).withColumn("_g", F.lit(0))
-    ranked = running_totals(ones, ["_g"], order_col, ["_one"], prefix="_cum", resolution=resolution)
-    return ranked.withColumnRenamed("_cum_one", out_col).drop("_one", "_g")
+    ones = df.withColumn("_one", F.lit(1).cast("long"))
+    return running_totals(ones, [], order_col, ["_one"], prefix="_cum").withColumnRenamed("_cum_one", out_col).drop("_one")
+
+
+# ---------------------------------------------------------------- selection
+
+
+def order_block(value, resolution: int = DEFAULT_RESOLUTION) -> Column:
+    """Monotone non-decreasing block id of a double (NaN last, null stays null):
+    ``sign(v) * (floor(log2|v| * resolution) + offset)``, 0 for 0."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    mag = F.floor(F.log2(F.abs(v)) * F.lit(resolution)) + F.lit(_EXP_OFFSET * resolution + 1)
+    return (
+        F.when(v.isNull(), F.lit(None).cast("long"))
+        .when(F.isnan(v), F.lit(4 * _EXP_OFFSET * resolution))
+        .when(v == 0, F.lit(0))
+        .when(v > 0, mag)
+        .otherwise(-mag)
+        .cast("long")
+    )
 
 
-def _holding(counts: DataFrame, key: str, k) -> DataFrame:
-    """The one row of ``key, _n`` whose span of positions holds ``k``, with the rows before it."""
-    before = F.coalesce(F.sum("_n").over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return counts.withColumn("_before", before).filter((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k))
+def _block_holding(df: DataFrame, block: Column, col: str, position: int | Callable[[int], int]):
+    """(position inside the block, smallest, largest value, rows) of the block that holds a position."""
+    counts = df.groupBy(block.alias("_blk")).agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi"))
+    rows = sorted(counts.collect(), key=lambda r: r["_blk"])
+    k = position(sum(r["n"] for r in rows)) if callable(position) else position
+    if k < 1:
+        return None
+    for r in rows:
+        if k <= r["n"]:
+            return k, r["lo"], r["hi"], r["n"]
+        k -= r["n"]
+    return None
 
 
-def kth_smallest(df: DataFrame, col: str, k, resolution: int = DEFAULT_RESOLUTION, target: int = TARGET_ROWS):
-    """The k-th smallest value (1-based) of a unique column, as a scalar
-    sub-query column; null when k < 1 or k > rows.
+def value_at(df: DataFrame, col: str, position: int | Callable[[int], int], target: int = TARGET_ROWS):
+    """The value at a position (from 1, ascending, nulls left out) of a numeric column; None outside 1 to the rows.
 
-    Distributed selection: count rows per order block (one row per non-empty
-    block), find the block holding position k with a running sum over the
-    block counts, do the same for the parts of that block, then rank only the
-    rows of one part, about ``target`` at most.
+    ``position`` may be a function of the number of rows.  Jobs: one histogram,
+    one more per 4096-fold excess of the block over ``target`` rows, one sort of
+    the rows left.
     """
-    k = F.lit(k) if isinstance(k, int) else k
-    value, blk = F.col(col).cast("double"), order_block(col, resolution)
-    blocks = df.groupBy(blk.alias("_blk")).agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    found = _holding(blocks, "_blk", k)
-    get = lambda c: found.select(c).scalar()
-    in_block = df.filter(blk == get("_blk")).select(col).withColumn("_part", _part(value, get("_lo"), get("_hi"), get("_n"), target))
-    k_in_block = k - get("_before")
-    part = _holding(in_block.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")), "_part", k_in_block)
-    in_part = in_block.filter(F.col("_part") == part.select("_part").scalar())
-    ranked = in_part.withColumn("_r", F.row_number().over(Window.orderBy(col)))
-    return ranked.filter(F.col("_r") == k_in_block - part.select("_before").scalar()).select(col).scalar()
+    df = df.select(col).where(F.col(col).isNotNull())
+    found = _block_holding(df, order_block(col), col, position)
+    while found is not None:
+        k, lo, hi, rows = found
+        if lo == hi:
+            return lo
+        inside = df.where(F.col(col).between(lo, hi))
+        width = float(hi) - float(lo)
+        if rows <= target or not 0 < width < math.inf:
+            return inside.orderBy(col).offset(k - 1).limit(1).head()[0]
+        step = F.floor((F.col(col).cast("double") - F.lit(float(lo))) / F.lit(width) * F.lit(float(STEPS)))
+        found = _block_holding(inside, F.least(step, F.lit(STEPS - 1)), col, k)
+    return None

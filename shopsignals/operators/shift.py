@@ -3,8 +3,8 @@
 Per feature: two-sample Kolmogorov–Smirnov statistic and p-value, means and
 relative mean shift; then a dataset verdict, an alert list and histogram
 overlays.  Both inputs are whole DataFrames (no sampling needed); the
-statistic is computed from counts per distinct (feature, value) with the
-blocked running totals of ``operators.running``.
+statistic is computed from counts per distinct (feature, value), written once
+in order, with the running totals of ``operators.running``.
 
 p-value, at every sample size: the asymptotic Kolmogorov series
 2·Σ(−1)^(k−1)·exp(−2k²λ²), λ = D·sqrt(n·m/(n+m)), 100 terms, as one column
@@ -14,13 +14,14 @@ Missing feature values count as 0, as in the feature table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopsignals.functions.numeric import exact_avg, relative_shift_pct, round_half_even
-from shopsignals.operators.running import kth_smallest, running_totals
+from shopsignals.functions.numeric import exact_sum, relative_shift_pct, round_half_even
+from shopsignals.operators.running import ranged, totals_in_order, value_at
 
 # Monitored features, test level, series length, overlay shape.
 MONITOR_FEATURES = [
@@ -80,6 +81,22 @@ def ks_pvalue(d, n, m):
     return F.when(lam < F.lit(KS_SMALL_LAMBDA), F.lit(1.0)).otherwise(p)
 
 
+def side_counts(baseline: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Rows per distinct (feature, value) and side, with exact sums of the values.
+
+    Both tables are evaluated once; the counts are written in ranges of
+    (feature, value), and statistic, means and histograms all start from them.
+    """
+    stacked = stack_sides(baseline, current, features)
+    is_ref, is_cur = F.col("side") == 0, F.col("side") == 1
+    count = lambda side: F.sum(F.when(side, F.lit(1)).otherwise(F.lit(0)).cast("long"))
+    counts = stacked.groupBy("feature", "value").agg(
+        count(is_ref).alias("n_ref"), count(is_cur).alias("n_cur"),
+        exact_sum(F.when(is_ref, F.col("value"))).alias("sum_ref"), exact_sum(F.when(is_cur, F.col("value"))).alias("sum_cur"),
+    )
+    return ranged(counts, ["feature"], "value")
+
+
 def ks_details(
     baseline: DataFrame,
     current: DataFrame,
@@ -88,17 +105,18 @@ def ks_details(
 ) -> DataFrame:
     """One row per feature: KS statistic, p-value, decision, means, mean shift."""
     features = list(features) if features is not None else available_features(baseline)
-    stacked = stack_sides(baseline, current, features)
-    is_ref = F.when(F.col("side") == 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
-    is_cur = F.when(F.col("side") == 1, F.lit(1)).otherwise(F.lit(0)).cast("long")
-    counts = stacked.groupBy("feature", "value").agg(F.sum(is_ref).alias("n_ref"), F.sum(is_cur).alias("n_cur"))
-    totals = stacked.groupBy("feature").agg(
-        F.sum(is_ref).alias("total_ref"),
-        F.sum(is_cur).alias("total_cur"),
-        exact_avg(F.when(F.col("side") == 0, F.col("value"))).alias("ref_mean_raw"),
-        exact_avg(F.when(F.col("side") == 1, F.col("value"))).alias("cur_mean_raw"),
+    return ks_from_counts(side_counts(baseline, current, features), features, alpha)
+
+
+def ks_from_counts(counts: DataFrame, features: Sequence[str], alpha: float = DEFAULT_ALPHA) -> DataFrame:
+    """``ks_details`` of ``side_counts``."""
+    totals = counts.groupBy("feature").agg(
+        F.sum("n_ref").alias("total_ref"),
+        F.sum("n_cur").alias("total_cur"),
+        F.try_divide(F.sum("sum_ref").cast("double"), F.sum("n_ref")).alias("ref_mean_raw"),
+        F.try_divide(F.sum("sum_cur").cast("double"), F.sum("n_cur")).alias("cur_mean_raw"),
     )
-    cum = running_totals(counts, ["feature"], "value", ["n_ref", "n_cur"])
+    cum = totals_in_order(counts, ["feature"], "value", ["n_ref", "n_cur"])
     # totals has one row per feature: a proven, tiny broadcast
     gaps = cum.join(F.broadcast(totals.select("feature", "total_ref", "total_cur")), "feature").select(
         "feature",
@@ -175,22 +193,26 @@ def distribution_overlay(
     baseline_density, current_density (bins without rows are omitted).
     ``wanted`` (a few feature names) limits the rows before they are binned.
     """
+    return overlay_from_counts(side_counts(baseline, current, features), n_edges, wanted)
+
+
+def overlay_from_counts(counts: DataFrame, n_edges: int = OVERLAY_EDGES, wanted: DataFrame | None = None) -> DataFrame:
+    """``distribution_overlay`` of ``side_counts``."""
     nb = n_edges - 1
-    stacked = stack_sides(baseline, current, features)
     if wanted is not None:
-        stacked = stacked.join(F.broadcast(wanted), "feature", "left_semi")
-    rng = stacked.groupBy("feature").agg(
+        counts = counts.join(F.broadcast(wanted), "feature", "left_semi")
+    rng = counts.groupBy("feature").agg(
         F.min("value").alias("lo"),
         F.max("value").alias("hi"),
-        F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("n0"),
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("n1"),
+        F.sum("n_ref").alias("n0"),
+        F.sum("n_cur").alias("n1"),
     )
     step = (F.col("hi") - F.col("lo")) / F.lit(float(nb))
 
     def edge(i):
         return F.when(i >= F.lit(nb), F.col("hi")).otherwise(F.col("lo") + i * step)
 
-    v = stacked.join(F.broadcast(rng), "feature")  # one row per feature
+    v = counts.join(F.broadcast(rng), "feature")  # one row per feature
     raw = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(nb))).cast("int")
     idx0 = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(F.least(raw, F.lit(nb - 1)))
     v = v.withColumn("_i", idx0)
@@ -199,12 +221,9 @@ def distribution_overlay(
         "_i",
         F.when((F.col("value") >= edge(F.col("_i") + 1)) & (F.col("_i") != nb - 1), F.col("_i") + 1).otherwise(F.col("_i")),
     )
-    counts = v.groupBy("feature", "_i", "lo", "hi", "n0", "n1").agg(
-        F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("c0"),
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("c1"),
-    )
+    bins = v.groupBy("feature", "_i", "lo", "hi", "n0", "n1").agg(F.sum("n_ref").alias("c0"), F.sum("n_cur").alias("c1"))
     width = edge(F.col("_i") + 1) - edge(F.col("_i"))
-    return counts.select(
+    return bins.select(
         "feature",
         F.col("_i").alias("bin"),
         edge(F.col("_i")).alias("lower"),
@@ -218,15 +237,15 @@ def distribution_overlay(
 def positional_split(df: DataFrame, order_col: str = "user_id", fraction: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """First ``fraction`` of rows by ``order_col`` vs the rest (order_col unique).
 
-    The cut key is found by distributed selection (``kth_smallest``), not a
-    one-partition ``row_number``; the cut is ``int(n * fraction)`` as in
-    slicing.  Both sides are then plain filters of the input.
+    The key of the last baseline row is found by ``value_at`` (two or three
+    small jobs), the cut is ``int(n * fraction)`` as in slicing, and both sides
+    are plain filters of the input.
     """
-    k = F.floor(df.agg(F.count(F.lit(1))).scalar() * F.lit(fraction)).cast("long")
-    cut = kth_smallest(df, order_col, k)  # the last baseline row's key
-    base = df.filter(F.col(order_col) <= cut)
-    cur = df.filter(F.coalesce(F.col(order_col) > cut, F.lit(True)))
-    return base, cur
+    cut = value_at(df, order_col, lambda n: math.floor(n * fraction))
+    if cut is None:
+        return df.filter(F.lit(False)), df
+    key = F.col(order_col)
+    return df.filter(key <= F.lit(cut)), df.filter((key > F.lit(cut)) | key.isNull())
 
 
 def hash_sample(df: DataFrame, n: int, seed: int = 42, key: str = "user_id") -> DataFrame:

@@ -1,10 +1,13 @@
 """End-to-end jobs: the stages a user runs, each one distributed job.
 
     ingest    raw CSV files → events (partitioned Parquet)
-    features  events (partitioned Parquet) → session / temporal / category
-              families and the merged table, written as Parquet
-    train     merged features → churn model, importances, attributions,
-              metrics appended to a run table
+    features  events (partitioned Parquet) → cells (partial aggregates) →
+              session / temporal / category families and the merged table;
+              with --update the cells are a state by month, and only the
+              events of --months are read
+    train     merged features → churn model, importances (of the trees and by
+              permutation), attributions, facts and metrics appended to a
+              run table
     cluster   merged features → cluster model, labels, profiles (JSON)
     score     merged features or an uploaded CSV → scored rows + summary
     monitor   merged features (or two time windows of the events) → KS
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from shopsignals.models import churn as churn_model
 from shopsignals.models import clusters as cluster_model
-from shopsignals.operators import shift, evaluation, features, profiles, scoring
+from shopsignals.operators import cells, evaluation, features, profiles, scoring, shift
 from shopsignals.session import build_session
 from shopsignals.sources import sinks
 from shopsignals.sources.events import in_window, ingest_csv, load_events, path_exists
@@ -43,19 +46,40 @@ def features_job(
     affinity_categories=features.DEFAULT_AFFINITY_CATEGORIES,
     onehot=None,
 ) -> None:
+    """Cells are written once from the events; the families and the merged table roll up from them."""
     ev = load_events(spark, events_root, months)
-    bounds = features.time_bounds(ev)
-    sinks.save_table(features.session_features(ev, horizon_days, bounds), f"{out}/features_session")
-    sinks.save_table(features.temporal_features(ev, bounds), f"{out}/features_temporal")
-    sinks.save_table(
-        features.category_features(ev, affinity_categories, onehot, bounds), f"{out}/features_category"
-    )
-    merged = (
-        sinks.read_features(spark, f"{out}/features_session")
-        .join(sinks.read_features(spark, f"{out}/features_temporal"), "user_id")
-        .join(sinks.read_features(spark, f"{out}/features_category"), "user_id")
-    )
+    sinks.save_table(cells.user_cells(ev), f"{out}/cells")
+    _write_features(ev, sinks.read_features(spark, f"{out}/cells"), out, horizon_days, affinity_categories, onehot)
+
+
+def update_features_job(
+    spark: SparkSession,
+    events_root: str,
+    out: str,
+    months: list[tuple[int, int]],
+    horizon_days: float = features.DEFAULT_HORIZON_DAYS,
+    affinity_categories=features.DEFAULT_AFFINITY_CATEGORIES,
+    onehot=None,
+) -> None:
+    """Features of all months so far, reading the events of ``months`` only.
+
+    The cells of these months are added to the state (``out/state``) or
+    replaced in it, so a run can be repeated; features roll up from the state.
+    The midpoint's hour is looked up in the events with folders pruned.
+    """
+    cells.write_cells(cells.user_cells(load_events(spark, events_root, months)), f"{out}/state")
+    _write_features(load_events(spark, events_root), cells.read_cells(spark, f"{out}/state"), out, horizon_days, affinity_categories, onehot)
+
+
+def _write_features(ev: DataFrame, state: DataFrame, out: str, horizon_days: float, affinity_categories, onehot) -> None:
+    merged = cells.features_from_cells(state, ev, horizon_days, affinity_categories, onehot)
     sinks.save_table(merged, f"{out}/features_merged")
+    bounds = cells.cell_bounds(state) or (0, 0)
+    sinks.save_table(features.session_columns_of(cells.cell_sessions(state), bounds, horizon_days), f"{out}/features_session")
+    activity = cells.cell_activity(state, ev, bounds, affinity_categories)
+    sinks.save_table(activity.select("user_id", *features._temporal_columns()), f"{out}/features_temporal")
+    wanted = onehot if onehot is not None else [c.removeprefix("topcategory_") for c in merged.columns if c.startswith("topcategory_")]
+    sinks.save_table(features.category_columns_of(activity, cells.cell_views(state), affinity_categories, wanted), f"{out}/features_category")
 
 
 def train_job(spark: SparkSession, out: str, params: dict | None = None) -> str:
@@ -63,8 +87,9 @@ def train_job(spark: SparkSession, out: str, params: dict | None = None) -> str:
     model, prepared = churn_model.train(feats, params=params)
     model.save(f"{out}/churn_model")
     sinks.save_table(churn_model.feature_importance(model, None), f"{out}/feature_importance")
-    attrs, _ = churn_model.linear_attributions(feats)
+    attrs, _ = churn_model.tree_attributions(model, feats)
     sinks.save_table(attrs, f"{out}/attributions")
+    sinks.save_table(churn_model.permutation_importance(model, prepared.filter("is_test")), f"{out}/permutation_importance")
     metrics = {}
     for split, cond in (("train", ~F.col("is_test")), ("test", F.col("is_test"))):
         s = churn_model.score(model, prepared.filter(cond)).select(
@@ -194,6 +219,7 @@ def main(argv=None):
     ap.add_argument("--csv", help="ingest: raw files; score: uploaded rows")
     ap.add_argument("--predictions", help="score: folder for the scored rows as CSV")
     ap.add_argument("--months", help="features: 2019-10,2019-11")
+    ap.add_argument("--update", action="store_true", help="features: add --months to the state")
     ap.add_argument("--horizon", type=float, default=features.DEFAULT_HORIZON_DAYS, help="days without a purchase")
     ap.add_argument("--baseline", type=_window, help="monitor: start,end of the first window")
     ap.add_argument("--current", type=_window, help="monitor: start,end of the second window")
@@ -202,6 +228,8 @@ def main(argv=None):
     spark = build_session("shopsignals-" + args.stage, master=args.master)
     if args.stage == "ingest":
         ingest_csv(spark, args.csv, args.events)
+    elif args.stage == "features" and args.update:
+        update_features_job(spark, args.events, args.out, _months(args.months), args.horizon)
     elif args.stage == "features":
         features_job(spark, args.events, args.out, _months(args.months), args.horizon)
     elif args.stage == "train":

@@ -824,16 +824,13 @@ def order_user_features(spark, sf) -> DataFrame:
     )
 
 
-_TRAINED: dict = {}
+ORDER_FEATURES_SQL = f"WITH {ORDER_CTE}, {tw.user_features_ctes(ad.ORDERS_HORIZON_DAYS, ad.CLICKSTREAM_CATEGORIES, CLICKSTREAM_ONEHOT)}"
 
 
 def _trained(spark, sf):
-    """Features, model and prepared rows; trained once per application and input folder."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _TRAINED:
-        feats = materialize(order_user_features(spark, sf))
-        _TRAINED[key] = (feats, *churn_model.train(feats))
-    return _TRAINED[key]
+    """Features, model and prepared rows; every query reads the tables and trains."""
+    feats = materialize(order_user_features(spark, sf))
+    return (feats, *churn_model.train(feats))
 
 
 @register("model_churn_scores", None, "M1 M2 M3 M4 M12")
@@ -871,13 +868,57 @@ def q_model_info(spark, sf):
     return churn_model.model_info(model)
 
 
-@register("model_attributions", None, "M11 A29 O4 (exact linear attributions)")
+@register("model_attributions", None, "M11a A29 O4 (Shapley values of the trees, all rows)")
 def q_model_attributions(spark, sf):
-    feats = materialize(order_user_features(spark, sf))
-    attrs, _cols = churn_model.linear_attributions(feats)
+    feats, model, _p = _trained(spark, sf)
+    attrs, _cols = churn_model.tree_attributions(model, feats)
     return profiles.mean_abs_attribution(attrs, top=15)
 
 
+@register(
+    "model_attribution_balance",
+    ORDER_FEATURES_SQL + " SELECT count(*) AS users, CAST(0 AS BIGINT) AS off_users, CAST(0 AS BIGINT) AS off_scores FROM user_features",
+    "M11a: base + attributions = margin, and the margin's probability = the score, for every user",
+)
+def q_model_attribution_balance(spark, sf):
+    feats, model, _p = _trained(spark, sf)
+    attrs, cols = churn_model.tree_attributions(model, feats)
+    total = F.col("base_margin")
+    for c in cols:
+        total = total + F.col(c)
+    scored = churn_model.score(model, feats, "scored").select("user_id", "scored")
+    return attrs.withColumn("_off", F.abs(total - F.col("margin")) > 1e-9).join(scored, "user_id").agg(
+        F.count(F.lit(1)).alias("users"), F.count(F.when(F.col("_off"), 1)).alias("off_users"),
+        F.count(F.when(F.abs(F.col("churn_proba") - F.col("scored")) > 1e-9, 1)).alias("off_scores"),
+    )
+
+
+@register("model_permutation_importance", None, "M11b (AUC lost when a column is shuffled, test rows)")
+def q_model_permutation_importance(spark, sf):
+    _f, model, prepared = _trained(spark, sf)
+    return churn_model.permutation_importance(model, prepared.filter("is_test"))
+
+
+@register(
+    "model_run_facts",
+    ORDER_FEATURES_SQL + """,
+    sizes AS (SELECT churned, count(*) AS n FROM user_features GROUP BY churned)
+    SELECT CAST(sum(floor(n * 0.8)) AS BIGINT) AS train_size, CAST(sum(n - floor(n * 0.8)) AS BIGINT) AS test_size,
+           (SELECT round_even(avg(churned), 4) FROM user_features) AS churn_rate,
+           round_even(max(CASE WHEN churned = 0 THEN floor(n * 0.8) END) / max(CASE WHEN churned = 1 THEN floor(n * 0.8) END), 2) AS scale_pos_weight
+    FROM sizes""",
+    "S19 M3",
+)
+def q_model_run_facts(spark, sf):
+    feats = order_user_features(spark, sf)
+    prepared = materialize(churn_model.prepare(feats))
+    facts = churn_model.run_facts(prepared, feat.feature_columns(feats))
+    return spark.createDataFrame(
+        [(facts["train_size"], facts["test_size"], facts["churn_rate"], facts["scale_pos_weight"])],
+        "train_size long, test_size long, churn_rate double, scale_pos_weight double",
+    )
+
+
 def _clustered(spark, sf):
     feats = materialize(clickstream_user_features(spark, sf))
     model, labelled = cluster_model.fit(feats)
@@ -892,6 +933,31 @@ def q_model_clusters(spark, sf):
     return labelled.join(F.broadcast(names), "cluster", "left").select("user_id", "cluster", "archetype")
 
 
+@register(
+    "model_scaler_stats",
+    USER_FEATURES_SQL + f""", long AS (
+      UNPIVOT (SELECT {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _CF)} FROM user_features WHERE total_sessions >= 2)
+      ON {", ".join(_CF)} INTO NAME feature VALUE value)
+    SELECT feature, round_even(avg(value), 6) AS mean, round_even(stddev_samp(value), 6) AS std FROM long GROUP BY feature""",
+    "M5 (the fitted scaler's means and deviations)",
+)
+def q_model_scaler_stats(spark, sf):
+    _f, model, _l = _clustered(spark, sf)
+    return _round_cols(cluster_model.scaler_statistics(model), ["mean", "std"], 6)
+
+
+@register("model_explained_variance", None, "M6")
+def q_model_explained_variance(spark, sf):
+    _f, model, _l = _clustered(spark, sf)
+    return cluster_model.explained_variance(model)
+
+
+@register("model_silhouette_euclidean", None, "E7 (plain Euclidean, sample of 10,000)")
+def q_model_silhouette_euclidean(spark, sf):
+    _f, _m, labelled = _clustered(spark, sf)
+    return cluster_model.euclidean_silhouette(labelled)
+
+
 @register("model_cluster_profiles", None, "A26 on model clusters")
 def q_model_cluster_profiles(spark, sf):
     _f, _m, labelled = _clustered(spark, sf)
@@ -970,6 +1036,54 @@ def q_stream_dau(spark, sf):
     return days.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd"))
 
 
+@register(
+    "stream_late_rows",
+    f"""WITH {CLICK_CTE} SELECT count(*) AS input_rows, true AS all_accounted, true AS some_late, true AS sessions_hold_the_rest FROM ev WHERE user_id IS NOT NULL""",
+    "T1 (rows later than the watermark are put aside: rows in sessions + late rows = input)",
+)
+def q_stream_late_rows(spark, sf):
+    """The clicks replayed by thirds of the ids, so that the last batches bring rows of the whole period again."""
+    import uuid
+
+    from shopsignals.session import checkpoint_dir
+    from shopsignals.streaming import sessions as st
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
+    clicks = _clicks(spark, sf).drop("user_session").select([f.name for f in st.STREAM_EVENT_SCHEMA.fields if f.name != "user_session"])
+    clicks = clicks.withColumn("user_session", F.lit(None).cast("string")).select(st.STREAM_EVENT_SCHEMA.names).where("user_id IS NOT NULL")
+    for part in range(3):
+        clicks.where(F.pmod(F.xxhash64("user_id", "event_time"), F.lit(3)) == part).coalesce(1).write.mode("append").parquet(f"{root}/source")
+    st.closing_event(clicks).write.mode("append").parquet(f"{root}/source")
+    source = st.read_event_stream(spark, f"{root}/source", max_files_per_trigger=1)
+    st.split_late(source, f"{root}/split", f"{root}/ck_split", delay="1 day", slack="12 hours").awaitTermination()
+    stream = st.session_stream(st.in_time_stream(spark, f"{root}/split"), watermark="1 day")
+    st.start_to_parquet(stream, f"{root}/sessions", f"{root}/ck_sessions").awaitTermination()
+    late = st.late_rows(spark, f"{root}/split").agg(F.count(F.lit(1)).alias("late"))
+    held = spark.read.parquet(f"{root}/sessions").agg(F.coalesce(F.sum("total_events"), F.lit(0)).alias("held"))
+    rows = clicks.agg(F.count(F.lit(1)).alias("input_rows"))
+    # three tables of one row
+    return rows.crossJoin(late).crossJoin(held).select(
+        "input_rows", (F.col("late") + F.col("held") == F.col("input_rows")).alias("all_accounted"), (F.col("late") > 0).alias("some_late"),
+        (F.col("held") == F.col("input_rows") - F.col("late")).alias("sessions_hold_the_rest"),
+    )
+
+
+@register(
+    "report_active_users_by_sketch",
+    f"""WITH {CLICK_CTE}
+    SELECT strftime(date_trunc('week', CAST(event_time AS DATE)), '%Y-%m-%d') AS week, count(DISTINCT user_id) AS exact_users, true AS sketch_within_error
+    FROM ev WHERE user_id IS NOT NULL GROUP BY 1""",
+    "A21 A22 (daily sketches united by week, three standard errors)",
+)
+def q_report_active_users_by_sketch(spark, sf):
+    clicks = _clicks(spark, sf).where("user_id IS NOT NULL")
+    week = F.date_format(F.date_trunc("week", "event_date"), "yyyy-MM-dd")
+    estimated = reports.active_users_from_sketches(reports.daily_user_sketches(clicks), week)
+    exact = clicks.withColumn("event_date", F.to_date("event_time")).groupBy(week.alias("period")).agg(F.countDistinct("user_id").alias("exact_users"))
+    error = F.abs(F.col("active_users") - F.col("exact_users")) / F.col("exact_users")
+    return exact.join(estimated, "period").select(F.col("period").alias("week"), "exact_users", (error <= 3 * 1.04 / 2 ** (reports.SKETCH_LG_K / 2)).alias("sketch_within_error"))
+
+
 @register(
     "report_feature_preview",
     USER_FEATURES_SQL + f" SELECT * REPLACE ({_sql_round(SESSION_FLOATS)}) FROM user_features ORDER BY user_id LIMIT 5",
@@ -994,7 +1108,7 @@ def ingested_order_events(spark, sf) -> DataFrame:
     """The order adapter's events written as raw monthly-style CSV into the
     shared checkpoint folder, then ingested the production way: CSV scan with
     the declared schema, UTC parse of the zone-suffixed text, float price,
-    ``year=/month=`` Parquet, partitioned read of all months."""
+    ``year=/month=/source=`` Parquet, partitioned read of all months."""
     import uuid
 
     from shopsignals.session import checkpoint_dir
@@ -1002,7 +1116,9 @@ def ingested_order_events(spark, sf) -> DataFrame:
 
     root = f"{checkpoint_dir(spark).rstrip('/')}/ingest/{uuid.uuid4().hex}"
     ev.write_events_csv(_orders(spark, sf), f"{root}/raw")
-    ev.ingest_csv(spark, f"{root}/raw/*.csv", f"{root}/events", mode="overwrite")
+    # the second run finds every file listed and takes none
+    ev.ingest_csv(spark, f"{root}/raw/*.csv", f"{root}/events")
+    ev.ingest_csv(spark, f"{root}/raw/*.csv", f"{root}/events")
     return ev.load_events(spark, f"{root}/events")
 
 

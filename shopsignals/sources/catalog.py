@@ -19,10 +19,11 @@ EVENT_TABLE_DDL = """CREATE TABLE IF NOT EXISTS {table} (
     user_id       BIGINT,
     user_session  STRING,
     year          INT,
-    month         INT
+    month         INT,
+    source        STRING
 )
 USING parquet
-PARTITIONED BY (year, month)
+PARTITIONED BY (year, month, source)
 LOCATION '{location}'
 OPTIONS ('compression' = 'snappy')"""
 
@@ -32,7 +33,7 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 
 def create_event_table(spark: SparkSession, qualified_name: str, location: str) -> None:
-    """External table over ``year=/month=`` folders written by ``write_events_parquet``."""
+    """External table over ``year=/month=/source=`` folders written by ``write_events_parquet``."""
     spark.sql(EVENT_TABLE_DDL.format(table=qualified_name, location=location))
 
 

@@ -1,8 +1,12 @@
 """Event table: schema, CSV ingest, partitioned Parquet, readers.
 
-Production layout: ``<root>/year=YYYY/month=M/part-*.parquet`` written with
-``partitionBy("year", "month")`` so that a month filter prunes whole folders
-and the partition values are not repeated inside the files.
+Production layout: ``<root>/year=YYYY/month=M/source=<file>/part-*.parquet``
+written with ``partitionBy`` so that a month filter prunes whole folders and
+the partition values are not repeated inside the files.
+
+Ingest can be repeated: ``<root>/_ingested`` lists the files taken so far (path,
+size, time of change).  Files listed there are not read again; a changed file
+replaces its own folders and no others.
 """
 
 from __future__ import annotations
@@ -48,8 +52,8 @@ def parse_event_time(c) -> "F.Column":
     return F.coalesce(F.try_to_timestamp(col, F.lit(EVENT_TIME_PATTERN)), col.cast("timestamp"))
 
 
-def typed_events(raw: DataFrame) -> DataFrame:
-    """Cast raw columns to the event types; price becomes double for sums."""
+def typed_events(raw: DataFrame, *more) -> DataFrame:
+    """Cast raw columns to the event types; price becomes double for sums.  ``more`` are further columns to keep."""
     return raw.select(
         parse_event_time("event_time").alias("event_time"),
         F.col("event_type").cast("string"),
@@ -60,6 +64,7 @@ def typed_events(raw: DataFrame) -> DataFrame:
         F.col("price").cast("double"),
         F.col("user_id").cast("bigint"),
         F.col("user_session").cast("string"),
+        *more,
     )
 
 
@@ -90,20 +95,74 @@ def read_events_csv(spark: SparkSession, path: str | Iterable[str]) -> DataFrame
     return typed_events(raw)
 
 
-def write_events_parquet(events: DataFrame, root: str, mode: str = "append") -> None:
-    """Partitioned Parquet sink: ``year=/month=`` folders, Snappy."""
+def write_events_parquet(events: DataFrame, root: str, mode: str = "append", source: str = "direct") -> None:
+    """Partitioned Parquet sink: ``year=/month=/source=`` folders, Snappy."""
+    if "source" not in events.columns:
+        events = events.withColumn("source", F.lit(source))
     (
         with_partition_columns(events)
-        .write.mode(mode)
+        .write.mode("overwrite" if mode == "replace" else mode)
+        .option("partitionOverwriteMode", "dynamic" if mode == "replace" else "static")
         .option("compression", "snappy")
-        .partitionBy("year", "month")
+        .partitionBy("year", "month", "source")
         .parquet(root)
     )
 
 
-def ingest_csv(spark: SparkSession, csv_glob: str, root: str, mode: str = "append") -> None:
-    """CSV → typed → partitioned Parquet in one distributed job."""
-    write_events_parquet(read_events_csv(spark, csv_glob), root, mode)
+def source_slug(path) -> "F.Column":
+    """Folder name of a raw file: its own name, and a hash of its whole path."""
+    name = F.lower(F.element_at(F.split(path, "/"), -1))
+    return F.concat(F.regexp_replace(name, "[^a-z0-9]+", "_"), F.lit("_"), F.lower(F.hex(F.xxhash64(path))))
+
+
+def raw_files(spark: SparkSession, csv_glob: str) -> DataFrame:
+    """``path, size, changed, source`` of the raw files; contents are not read."""
+    file = F.col("_metadata")
+    try:
+        files = spark.read.format("binaryFile").load(csv_glob)
+    except AnalysisException as exc:
+        raise MissingInputError(f"No event CSV found at {csv_glob}: download the monthly event files first.") from exc
+    return files.select(
+        file["file_path"].alias("path"), file["file_size"].alias("size"), file["file_modification_time"].alias("changed"), source_slug(file["file_path"]).alias("source")
+    )
+
+
+def ingest_csv(spark: SparkSession, csv_glob: str, root: str, mode: str = "append") -> int:
+    """CSV → typed → partitioned Parquet; returns the number of files taken.
+
+    Running it again takes only files that are new or have changed.  The list
+    of files is written last: after a failure the same files are taken again,
+    and their folders replaced.  ``overwrite`` starts an empty table.
+    """
+    listed = f"{root.rstrip('/')}/_ingested"
+    files = raw_files(spark, csv_glob)
+    fresh = mode == "overwrite" or not path_exists(spark, listed)
+    known = None if fresh else spark.read.parquet(listed)
+    todo = files if known is None else files.join(known, ["path", "size", "changed"], "left_anti")
+    # one row per raw file
+    rows = todo.collect()
+    if not rows:
+        if known is None:
+            raise MissingInputError(f"No event CSV found at {csv_glob}: download the monthly event files first.")
+        return 0
+    if known is not None:
+        changed = known.select("source").distinct().join(spark.createDataFrame([(r["source"],) for r in rows], "source string"), "source")
+        for r in changed.collect():
+            delete_paths(spark, f"{root.rstrip('/')}/year=*/month=*/source={r['source']}")
+    raw = spark.read.schema(EVENT_SCHEMA).option("header", True).csv([r["path"] for r in rows])
+    ensure_utc(spark)
+    events = typed_events(raw, source_slug(F.col("_metadata.file_path")).alias("source"))
+    write_events_parquet(events, root, "overwrite" if mode == "overwrite" else "replace")
+    spark.createDataFrame([tuple(r) for r in rows], files.schema).write.mode("append").parquet(listed)
+    return len(rows)
+
+
+def delete_paths(spark: SparkSession, pattern: str) -> None:
+    """Folders that match a pattern, in any store that Spark reads."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(jvm_path) or []:
+        fs.delete(found.getPath(), True)
 
 
 def load_events(
@@ -128,7 +187,7 @@ def load_events(
             c = (F.col("year") == y) & (F.col("month") == m)
             cond = c if cond is None else cond | c
         df = df.filter(cond)
-    return df
+    return df.drop("source")
 
 
 def in_window(events: DataFrame, start: str, end: str) -> DataFrame:

@@ -10,7 +10,12 @@
   moves the watermark past every open window, so the result is complete.  Its
   own window stays in state and is never written.
 
-Rows later than the watermark are dropped, as Structured Streaming does.
+Rows later than the watermark are dropped by Structured Streaming without a
+trace.  ``split_late`` puts them aside: a first query writes every micro-batch
+in two folders, rows in time and late rows, by a watermark of its own that it
+keeps per batch in the shared folder; ``in_time_stream`` reads the rows in time.
+A batch of the second query is a run of batches of the first, so its watermark
+is never ahead and it drops nothing: rows in sessions + late rows = input.
 """
 
 from __future__ import annotations
@@ -87,6 +92,40 @@ def closing_event(events: DataFrame, after: str = "3650 days") -> DataFrame:
     )
 
 
+def split_late(events: DataFrame, root: str, checkpoint: str, delay: str = "12 hours", slack: str = "0 seconds") -> StreamingQuery:
+    """Writes each micro-batch to ``root/batch=N/late=false|true`` (once, whatever is retried).
+
+    A row is late if its time plus ``slack`` is not after the watermark, which is
+    the latest time of all earlier batches less ``delay``.  With the session gap
+    as ``slack`` the rule is that of ``session_stream``: a session's window ends
+    a gap after its last row.  Rows without a time are late.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        earlier = spark.read.parquet(f"{root}_marks/batch={number - 1}").first()["mark"] if number else None
+        in_time = F.col("event_time").isNotNull()
+        if earlier is not None:
+            in_time = in_time & (F.col("event_time") + F.expr(f"INTERVAL {slack}") > F.lit(earlier) - F.expr(f"INTERVAL {delay}"))
+        batch.withColumn("late", ~in_time).write.mode("overwrite").partitionBy("late").parquet(f"{root}/batch={number}")
+        # the latest time so far, from what was written
+        mark = spark.read.schema(batch.schema).parquet(f"{root}/batch={number}").agg(F.greatest(F.max("event_time"), F.lit(earlier).cast("timestamp")).alias("mark"))
+        mark.write.mode("overwrite").parquet(f"{root}_marks/batch={number}")
+
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def in_time_stream(spark: SparkSession, root: str) -> DataFrame:
+    """The rows that ``split_late`` found in time, as a stream in the order of its batches."""
+    return spark.readStream.format("parquet").schema(STREAM_EVENT_SCHEMA).load(f"{root}/batch=*/late=false")
+
+
+def late_rows(spark: SparkSession, root: str) -> DataFrame:
+    """The rows put aside so far, with the number of their batch."""
+    schema = T.StructType([*STREAM_EVENT_SCHEMA.fields, T.StructField("batch", T.LongType()), T.StructField("late", T.BooleanType())])
+    return spark.read.schema(schema).parquet(root).where("late").drop("late")
+
+
 def start_to_parquet(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Append results to Parquet with a checkpoint in the shared folder, so a
     restarted query resumes where it stopped (exactly-once file sink)."""

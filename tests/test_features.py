@@ -17,14 +17,33 @@ TEMPORAL_COLS = [
 AFF = ["electronics", "apparel", "appliances", "furniture", "sport", "kids", "auto"]
 
 
-def test_temporal_features_shape_columns_ranges(sample_events, sample_events_pd):
-    t = feat.temporal_features(sample_events).toPandas()
-    assert len(t) == sample_events_pd["user_id"].nunique()
-    for c in TEMPORAL_COLS:
-        assert c in t.columns
-    for c in ["weekend_activity_ratio", "night_owl_score", "payday_activity_ratio"]:
-        assert t[c].between(0, 1).all()
-    assert t.isnull().sum().sum() == 0
+def test_merged_features_equal_the_three_families(spark):
+    """Roll-ups of the cells: rows without user, session, time or brand, and events on both sides of the midpoint's hour."""
+    from datetime import datetime, timedelta
+
+    from tests.conftest import events_df
+
+    t0 = datetime(2021, 5, 1, 8)
+    rows = [
+        {"event_time": t0 + timedelta(minutes=37 * k + 11 * u), "event_type": ("view", "cart", "purchase", "view", None)[(k + u) % 5], "price": 3.5 + (k * 7 + u) % 13 if k % 6 else None,
+         "category_code": ("toys.car", "food", None)[(k + u) % 3], "brand": ("x", "y", None)[k % 3], "user_id": u, "user_session": f"s{u}-{k // 4}" if k % 7 else None}
+        for u in range(6) for k in range(40)
+    ]
+    rows += [{"event_time": t0 - timedelta(days=3), "event_type": "view", "user_id": None, "user_session": "z"}, {"event_time": None, "event_type": "view", "user_id": 1, "user_session": "s1-0", "price": 2.0}]
+    # a crowd in the hour that holds the midpoint of the period
+    lo, hi = t0 - timedelta(days=3), max(r["event_time"] for r in rows if r["event_time"])
+    middle = lo + (hi - lo) / 2
+    rows += [{"event_time": middle + timedelta(seconds=s), "event_type": "view", "price": 1.25, "user_id": s % 4, "user_session": f"m{s}", "brand": "m", "category_code": "toys.doll"} for s in range(-9, 10)]
+    ev = events_df(spark, rows).repartition(5)
+    args = (["toys", "food"], ["toys", "unknown"])
+    want = feat.session_features(ev).join(feat.temporal_features(ev), "user_id").join(feat.category_features(ev, *args), "user_id")
+    got = feat.user_features(ev, affinity_categories=args[0], onehot=args[1])
+    assert set(got.columns) == set(want.columns)
+    w, g = (df.select(sorted(df.columns)).toPandas().sort_values("user_id").reset_index(drop=True) for df in (want, got))
+    assert len(g) == 6
+    pd.testing.assert_frame_equal(g, w, check_dtype=False, rtol=1e-12)
+    assert (g["activity_trend"].abs() < 0.9).any() and feat.user_features(ev.limit(0), onehot=["toys"]).count() == 0
+    assert [c for c in feat.user_features(ev, affinity_categories=["toys"]).columns if c.startswith("topcategory_")] == ["topcategory_food", "topcategory_toys", "topcategory_unknown"]
 
 
 def _brute_temporal(pdf):

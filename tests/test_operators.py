@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopsignals.operators import shift, evaluation, profiles
-from shopsignals.operators.running import global_rank, kth_smallest, order_block, running_totals
+from shopsignals.operators.running import global_rank, order_block, ranged, running_totals, value_at
 from shopsignals.operators.sessionize import sessionize_by_gap
 
 
@@ -70,7 +70,7 @@ def test_running_totals_match_cumsum(spark):
     pdf = pd.DataFrame(rows, columns=["g", "v", "n"])
     df = spark.createDataFrame(pdf)
     for desc in (False, True):
-        got = running_totals(df, ["g"], "v", ["n"], descending=desc, resolution=4).toPandas()
+        got = running_totals(df, ["g"], "v", ["n"], descending=desc).toPandas()
         exp = pdf.sort_values(["g", "v"], ascending=[True, not desc])
         exp["cum_n"] = exp.groupby("g")["n"].cumsum()
         m = got.merge(exp, on=["g", "v"], suffixes=("", "_e"))
@@ -213,35 +213,61 @@ def test_describe_quartiles_match_numpy(spark):
     assert r["std"] == pytest.approx(np.std(x, ddof=1))
 
 
-def test_kth_smallest_and_positional_split(spark):
+def test_running_totals_of_null_groups_and_ties(spark):
+    rows = [(None, 2.0, 1, 1), (None, 1.0, 2, 1), ("a", 5.0, 1, 10), ("a", 5.0, 2, 20), ("a", None, 3, 99), ("b", float("nan"), 1, 7), ("b", -1.0, 2, 1)]
+    df = spark.createDataFrame(rows, "g string, v double, k int, n long").repartition(3)
+    got = {(r["g"], r["k"]): r["cum_n"] for r in running_totals(df, ["g"], "v", ["n"], tiebreak_cols=["k"]).collect()}
+    assert got == {(None, 2): 1, (None, 1): 2, ("a", 1): 10, ("a", 2): 30, ("b", 2): 1, ("b", 1): 8}
+
+
+def test_value_at_and_positional_split(spark):
     ids = random.Random(12).sample(range(-5000, 10_000_000), 997)
-    df = spark.createDataFrame([(i,) for i in ids], "user_id long")
+    df = spark.createDataFrame([(i,) for i in [*ids, None]], "user_id long")
     srt = sorted(ids)
     for k in (1, 2, 500, 797, 997):
-        assert df.select(kth_smallest(df, "user_id", k).alias("v")).first()["v"] == srt[k - 1]
-    assert df.select(kth_smallest(df, "user_id", 0).alias("v")).first()["v"] is None
-    base, cur = shift.positional_split(df, "user_id", 0.8)
+        assert value_at(df, "user_id", k) == srt[k - 1] == value_at(df, "user_id", k, target=3)
+    assert value_at(df, "user_id", 0) is None and value_at(df, "user_id", 998) is None and value_at(df.limit(0), "user_id", 1) is None
+    base, cur = shift.positional_split(df.where("user_id IS NOT NULL"), "user_id", 0.8)
     cut = int(len(ids) * 0.8)
     assert sorted(r[0] for r in base.collect()) == srt[:cut]
     assert sorted(r[0] for r in cur.collect()) == srt[cut:]
+    # both sides are plain filters by a literal
+    assert "Subquery" not in base._jdf.queryExecution().toString()
+    none, all_rows = shift.positional_split(df, "user_id", 0.0)
+    assert none.count() == 0 and all_rows.count() == 998
+
 
+def test_value_at_of_repeated_and_large_values(spark):
+    values = [2**62 + k for k in range(40)] + [5] * 300 + [-(2**61)] * 3
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    for k in (1, 3, 4, 150, 303, 304, 320, 343):
+        assert value_at(df, "v", k, target=10) == sorted(values)[k - 1]
+    scores = spark.range(50_000).select((F.lit(0.9) + F.col("id") / 500_000).alias("v"))
+    assert value_at(scores, "v", lambda n: n // 2, target=100) == pytest.approx(0.9 + 24_999 / 500_000)
 
-def test_blocks_fit_narrow_ranges(spark):
-    """A million ids of one narrow range and scores in 0.9-1.0: no part above the target."""
-    from shopsignals.operators.running import with_blocks
 
+def test_ranges_fit_narrow_values(spark):
+    """A million ids of one narrow range: parts follow each other and hold about equal numbers."""
     ids = spark.range(1_000_000).select((F.col("id") * 7 + 512_000_000).alias("v"), F.lit(1).alias("n"))
-    scores = spark.range(200_000).select((F.lit(0.9) + F.col("id") / 2_000_000).alias("v"), F.lit(1).alias("n"))
-    for df, target in ((ids, 10_000), (scores, 5_000)):
-        cut = with_blocks(df, [], "v", target=target)
-        sizes = cut.groupBy("_blk", "_part").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        rows = sizes.orderBy("_blk", "_part").collect()
-        assert max(r["n"] for r in rows) <= target
-        assert all(a["hi"] < b["lo"] for a, b in zip(rows, rows[1:]))
-    total = running_totals(ids, [], "v", ["n"], target=10_000).agg(F.max("cum_n"), F.sum("cum_n")).first()
+    parts = ranged(ids, [], "v").groupBy("_part").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("_part").collect()
+    assert len(parts) > 1 and max(r["n"] for r in parts) <= 3_000_000 / len(parts)
+    assert all(a["hi"] < b["lo"] for a, b in zip(parts, parts[1:]))
+    total = running_totals(ids, [], "v", ["n"]).agg(F.max("cum_n"), F.sum("cum_n")).first()
     assert tuple(total) == (1_000_000, 1_000_000 * 1_000_001 // 2)
     for k in (1, 123_456, 1_000_000):
-        assert ids.select(kth_smallest(ids, "v", k, target=10_000).alias("x")).first()["x"] == (k - 1) * 7 + 512_000_000
+        assert value_at(ids, "v", k, target=10_000) == (k - 1) * 7 + 512_000_000
+
+
+def test_stratified_split_of_ties_and_missing_labels(spark):
+    """Equal hashes are told apart by the key; rows without a label are training rows."""
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i % 3 == 0) for i in range(400)], "user_id long, churned boolean")
+    df = df.withColumn("churned", F.col("churned").cast("int"))
+    got = profiles.stratified_split(df, "churned", 0.75, 7).collect()
+    for label in (0, 1):
+        own = [r for r in got if r["churned"] == label]
+        assert sum(not r["is_test"] for r in own) == int(len(own) * 0.75)
+    assert not any(r["is_test"] for r in got if r["churned"] is None)
+    assert {r["user_id"]: r["is_test"] for r in profiles.stratified_split(df.repartition(5), "churned", 0.75, 7).collect()} == {r["user_id"]: r["is_test"] for r in got}
 
 
 def test_degenerate_inputs_do_not_fail(spark):
