@@ -87,6 +87,11 @@ def _count_if(cond):
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
 
+def _exact_mean(c):
+    """Mean from an exact sum: a mean on a rounding tie rounds the same way whatever the grouping."""
+    return F.try_divide(exact_sum(c).cast("double"), F.count(c))
+
+
 def time_bounds(events: DataFrame) -> DataFrame:
     """One row: first and last event time over *all* rows, as epoch micros.
 
@@ -222,9 +227,9 @@ def _activity_aggregate(events: DataFrame, bounds: DataFrame, affinity_categorie
         # category / price family (views and purchases)
         _count_if(view).alias("_views"),
         _count_if(purchase).alias("_purchases"),
-        F.avg(F.when(purchase, F.col("price"))).alias("_avg_purchase_price"),
+        _exact_mean(F.when(purchase, F.col("price"))).alias("_avg_purchase_price"),
         F.stddev_samp(F.when(purchase, F.col("price"))).alias("_std_purchase_price"),
-        F.avg(F.when(view, F.col("price"))).alias("_avg_view_price"),
+        _exact_mean(F.when(view, F.col("price"))).alias("_avg_view_price"),
     ]
     aggs += [_count_if(view & (F.col("_top") == F.lit(c))).alias(f"_n_{i}") for i, c in enumerate(affinity_categories)]
     return (

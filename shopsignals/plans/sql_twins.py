@@ -129,9 +129,9 @@ def category_features_ctes(affinity: Sequence[str], onehot: Sequence[str]) -> st
       SELECT user_id,
              sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS views,
              sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS purchases,
-             avg(CASE WHEN event_type = 'purchase' THEN price END) AS avg_purchase_price,
+             CAST(sum(CAST(CASE WHEN event_type = 'purchase' THEN price END AS DECIMAL(38,12))) AS DOUBLE) / nullif(count(CASE WHEN event_type = 'purchase' THEN price END), 0) AS avg_purchase_price,
              stddev_samp(CASE WHEN event_type = 'purchase' THEN price END) AS std_purchase_price,
-             avg(CASE WHEN event_type = 'view' THEN price END) AS avg_view_price,
+             CAST(sum(CAST(CASE WHEN event_type = 'view' THEN price END AS DECIMAL(38,12))) AS DOUBLE) / nullif(count(CASE WHEN event_type = 'view' THEN price END), 0) AS avg_view_price,
              {aff_counts}
       FROM ctop GROUP BY user_id),
     top_mode AS (
