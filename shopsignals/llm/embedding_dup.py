@@ -10,17 +10,23 @@ Equal vectors are one class with a count; only classes go on.
    closest ``2 k``) are compared with each other; better ones enter the lists.
    Rounds go on until fewer than ``SETTLED`` of the entries change.
 3. *Enlarging*: a list is saturated when all its ``k`` entries reach the
-   threshold; others are then missing from it.  Such lists grow to everything
-   in their component of threshold edges: components are compared
+   threshold; others may be missing from it.  Such a list takes everything in
+   its component of threshold edges, and ``k`` further entries from outside of
+   that component: buckets (with new hyperplanes) and rounds are run again in
+   which a vector looks for others than those of its component.  Entries that
+   reach the threshold join components; lists whose further entries all reach
+   it are enlarged again, until the last entry of every list is below it.
+4. *Counting*: the list of a vector is then its component, which is compared
    completely, cut into blocks of ``BLOCK`` vectors whose pairs are spread over
    tasks; a pair of blocks emits counts per vector, not pairs.
-4. *Audit*: ``audit`` vectors (lowest hashes, more while fewer than
+5. *Audit*: ``audit`` vectors (lowest hashes, more while fewer than
    ``ENOUGH`` of them have one or two linked vectors, at most ``QUERIES``) are
-   compared with all rows.  Each has a share of its links that the graph found;
-   if the mean of the shares, of those with one or two linked vectors or of the
-   others, is below ``recall``, another start with new hyperplanes joins the
-   graph and 2 to 4 run again, at most ``RETRIES`` times.  If the audit still
-   fails, all vectors are compared with all, ``CHUNK`` at a time.
+   compared with all rows.  Each has a share of its links that the graph found.
+   Vectors are put in classes by their number of linked vectors (1 to 2, 3 to 5,
+   6 to 10, then doubling); if the mean share of any class is below ``recall``,
+   another start with new hyperplanes joins the graph and 2 to 5 run again, at
+   most ``RETRIES`` times.  If the audit still fails, all vectors are compared
+   with all, ``CHUNK`` at a time.
 
 Cosines are computed in double precision and every link that counts was
 computed so.  Defined results: vectors that are null, empty, zero, or hold null
@@ -39,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopsignals.llm.common import arrow_rows, materialize
+from shopsignals.llm.common import arrow_rows, materialize, stream_groups
 from shopsignals.llm.components import components
 
 TABLES = 10
@@ -71,28 +77,15 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
     return grouped.select(F.xxhash64("v").alias("cls"), "first_id", "n", "v")
 
 
-def _stream_groups(batches, make):
-    """Calls ``make(key, table)`` for each run of equal first columns of sorted batches."""
-    held, key = [], None
-    for b in batches:
-        keys = b.column(0).to_numpy()
-        cuts = np.r_[0, np.flatnonzero(np.diff(keys)) + 1, len(keys)] if len(keys) else [0]
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            if held and keys[lo] != key:
-                yield from make(pa.Table.from_batches(held).combine_chunks())
-                held = []
-            key = keys[lo]
-            held.append(b.slice(lo, hi - lo))
-    if held:
-        yield from make(pa.Table.from_batches(held).combine_chunks())
-
-
 def _sorted_by(df: DataFrame, key: str, *more: str) -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key, *more)
 
 
 def start_graph(classes: DataFrame, n: int, dim: int, k: int, seed: int) -> DataFrame:
-    """Edges ``id, nbr, sim`` from hyperplane buckets."""
+    """Edges ``id, nbr, sim`` from hyperplane buckets of ``cls, v, grp, seeks``.
+
+    Vectors that ``seeks`` marks look for the ``k`` closest of other ``grp``.
+    """
     bits = max(1, math.ceil(math.log2(max(2, n / 50))))
     planes = np.random.default_rng(seed).standard_normal((TABLES, bits + 24, dim))
 
@@ -120,23 +113,26 @@ def start_graph(classes: DataFrame, n: int, dim: int, k: int, seed: int) -> Data
 
     def pairs(batches):
         def best(table):
-            ids, x = table.column(1).to_numpy(), _matrix(table.column(2).combine_chunks())
-            for lo in range(0, len(ids), 2 * BUCKET):
-                i, m = ids[lo : lo + 2 * BUCKET], x[lo : lo + 2 * BUCKET]
-                if len(i) < 2:
+            every, x = table.column(1).to_numpy(), _matrix(table.column(4).combine_chunks())
+            groups, seeks = table.column(2).to_numpy(), np.asarray(table.column(3).to_numpy(), bool)
+            for lo in range(0, len(every), 2 * BUCKET):
+                cut = slice(lo, lo + 2 * BUCKET)
+                i, m, of = every[cut], x[cut], groups[cut]
+                who = np.flatnonzero(seeks[cut])
+                if len(i) < 2 or not len(who):
                     continue
-                sim = m @ m.T
-                np.fill_diagonal(sim, -2)
+                sim = m[who] @ m.T
+                sim[of[who][:, None] == of[None, :]] = -2
                 take = min(k, len(i) - 1)
                 near = np.argpartition(-sim, take - 1, axis=1)[:, :take]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(i, take)), pa.array(i[near.ravel()]), pa.array(np.take_along_axis(sim, near, 1).ravel())], schema=EDGES
-                )
+                best = np.take_along_axis(sim, near, 1).ravel()
+                real = best > -2
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(i[who], take)[real]), pa.array(i[near.ravel()][real]), pa.array(best[real])], schema=EDGES)
 
-        yield from _stream_groups(batches, best)
+        yield from stream_groups(batches, best)
 
     # a bucket still over the bound is sliced in an order of its own, so each table has other slices
-    rows = keyed.join(classes.select("cls", "v"), "cls").select("bucket", "cls", "v", F.xxhash64("cls", "bucket").alias("order"))
+    rows = keyed.join(classes.select("cls", "grp", "seeks", "v"), "cls").select("bucket", "cls", "grp", "seeks", "v", F.xxhash64("cls", "bucket").alias("order"))
     return _sorted_by(rows, "bucket", "order").mapInArrow(pairs, "id long, nbr long, sim double")
 
 
@@ -148,26 +144,26 @@ def _best(edges: DataFrame, k: int) -> DataFrame:
 
 
 def descend(graph: DataFrame, classes: DataFrame, k: int, rounds: int) -> DataFrame:
-    """NN-descent rounds on ``id, nbr, sim``."""
+    """NN-descent rounds on ``id, nbr, sim``; vectors of one ``grp`` are no neighbours of each other."""
     graph = materialize(_best(graph.withColumn("fresh", F.lit(0)), k))
     for _ in range(rounds):
         both = graph.select("id", "nbr", "sim").unionByName(graph.select(F.col("nbr").alias("id"), F.col("id").alias("nbr"), "sim"))
         near = _best(both.withColumn("fresh", F.lit(0)), 2 * k).select("id", "nbr")
         worst = graph.groupBy("id").agg(F.min("sim").alias("worst"), F.count(F.lit(1)).alias("m"))
         worst = worst.select(F.col("id").alias("nbr"), F.when(F.col("m") < k, F.lit(-2.0)).otherwise(F.col("worst")).alias("worst"))
-        vectors = classes.select(F.col("cls").alias("nbr"), "v").join(worst, "nbr", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0)))
-        rows = near.join(vectors, "nbr").select("id", "nbr", "worst", "v")
+        vectors = classes.select(F.col("cls").alias("nbr"), "grp", "v").join(worst, "nbr", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0)))
+        rows = near.join(vectors, "nbr").select("id", "nbr", "worst", "grp", "v")
 
         def compare(batches):
             def local(table):
-                ids, worst, x = table.column(1).to_numpy(), table.column(2).to_numpy(), _matrix(table.column(3).combine_chunks())
+                ids, worst, of, x = *(table.column(c).to_numpy() for c in (1, 2, 3)), _matrix(table.column(4).combine_chunks())
                 sim = x @ x.T
-                np.fill_diagonal(sim, -3)
+                sim[of[:, None] == of[None, :]] = -3
                 a, b = np.nonzero(sim > worst[:, None])
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(sim[a, b])], schema=EDGES)
 
-            yield from _stream_groups(batches, local)
+            yield from stream_groups(batches, local)
 
         found = _sorted_by(rows, "id", "nbr").mapInArrow(compare, "id long, nbr long, sim double")
         merged = graph.withColumn("fresh", F.lit(0)).unionByName(found.withColumn("fresh", F.lit(1)))
@@ -205,7 +201,7 @@ def complete(members: DataFrame, threshold: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[low]), pa.array(link @ n[~low])], schema=COUNTS)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[~low]), pa.array(link.T @ n[low])], schema=COUNTS)
 
-        yield from _stream_groups(batches, unit)
+        yield from stream_groups(batches, unit)
 
     return _sorted_by(m, "unit", "low", "cls").mapInArrow(count, "cls long, links long").groupBy("cls").agg(F.sum("links").alias("links"))
 
@@ -244,15 +240,22 @@ def audit_set(classes: DataFrame, n: int, threshold: float, queries: int) -> lis
         first, last = last, min(3 * last, QUERIES)
 
 
+def size_class(others: int) -> int:
+    """1 to 2, 3 to 5, 6 to 10 linked vectors, then doubling."""
+    return 0 if others <= 2 else 1 if others <= 5 else 2 + max(0, math.ceil(math.log2(others / 10)))
+
+
 def recall_of(truth: list, counted: DataFrame) -> float:
-    """Mean share of a vector's links that the counts have: of vectors in small or in larger groups, whichever is lower."""
+    """Mean share of a vector's links that the counts have, of the size class of groups where it is lowest."""
     if not truth:
         return 1.0
     want = counted.sparkSession.createDataFrame([tuple(r) for r in truth], "cls long, true long, others long")
     both = F.broadcast(want).join(counted, "cls").select("cls", "links").collect()
     found = {r["cls"]: r["links"] for r in both}
-    small, large = ([found.get(r["cls"], 0) / r["links"] for r in truth if (r["others"] <= 2) == s] for s in (True, False))
-    return min(float(np.mean(x)) for x in (small, large) if x)
+    shares: dict[int, list[float]] = {}
+    for r in truth:
+        shares.setdefault(size_class(r["others"]), []).append(found.get(r["cls"], 0) / r["links"])
+    return min(float(np.mean(x)) for x in shares.values())
 
 
 def all_pairs(classes: DataFrame, n: int, threshold: float) -> DataFrame:
@@ -289,6 +292,26 @@ def all_pairs(classes: DataFrame, n: int, threshold: float) -> DataFrame:
     return edges
 
 
+def enlarged(graph: DataFrame, classes: DataFrame, n: int, dim: int, k: int, rounds: int, threshold: float, seed: int) -> DataFrame:
+    """Links ``id, nbr`` of a graph whose saturated lists were enlarged until their last entries are below the threshold."""
+    is_link = F.col("sim") >= threshold - 1e-12
+    near = materialize(graph.where(is_link).select("id", "nbr"))
+    while True:
+        full = graph.groupBy("id").agg(F.count(F.lit(1)).alias("m"), F.min("sim").alias("last")).where((F.col("m") >= k) & (F.col("last") >= threshold))
+        full = materialize(full.select(F.col("id").alias("cls"), F.lit(True).alias("full")))
+        if not full.limit(1).count():
+            return near
+        seed += 1000
+        comps = components(near, "id", "nbr").withColumnRenamed("id", "cls")
+        labelled = classes.select("cls", "v").join(comps, "cls", "left").join(full, "cls", "left")
+        labelled = materialize(labelled.select("cls", "v", F.coalesce("component", "cls").alias("grp"), F.coalesce("full", F.lit(False)).alias("seeks")))
+        graph = descend(start_graph(labelled, n, dim, k, seed), labelled, k, rounds)
+        further = materialize(graph.where(is_link).select("id", "nbr"))
+        if not further.limit(1).count():
+            return near
+        near = near.unionByName(further)
+
+
 def _counted(near: DataFrame, classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(components ``id, component``; ``cls, links`` inside them) of a graph's links."""
     comps = materialize(components(near, "id", "nbr"))
@@ -305,10 +328,12 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, k: int =
     counted = comps = None
     if n > 1:
         graph, truth = None, audit_set(classes, n, threshold, audit)
+        alone = classes.withColumns({"grp": F.col("cls"), "seeks": F.lit(True)})
         for attempt in range(RETRIES + 1):
-            fresh = start_graph(classes, n, len(first["v"]), k, seed=101 + attempt)
-            graph = descend(fresh if graph is None else graph.unionByName(fresh), classes, k, rounds)
-            comps, counted = _counted(graph.where(F.col("sim") >= threshold - 1e-12), classes, threshold)
+            fresh = start_graph(alone, n, len(first["v"]), k, seed=101 + attempt)
+            graph = descend(fresh if graph is None else graph.unionByName(fresh), alone, k, rounds)
+            near = enlarged(graph, classes, n, len(first["v"]), k, rounds, threshold, seed=101 + attempt)
+            comps, counted = _counted(near, classes, threshold)
             if recall_of(truth, counted) >= recall:
                 break
         else:

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import Row
 
 from shopsignals.llm import embedding_dup as ed
 
@@ -76,7 +77,41 @@ def test_missed_pairs_are_noticed_and_found(spark, monkeypatch):
     monkeypatch.setattr(ed, "CHUNK", 100)
     monkeypatch.setattr(ed, "ENOUGH", 30)
     assert got(df) == brute(rows)
-    assert len(starts) == 2
+    assert len(starts) >= 2
+
+
+def test_full_lists_hide_no_group(spark):
+    """Two groups of 14 that are all linked across: ten nearer neighbours fill every list."""
+    rng = np.random.default_rng(2)
+    rows, i = [], 0
+    for _ in range(400):
+        centre = rng.standard_normal(16)
+        rows += [(i + k, (centre + 0.05 * rng.standard_normal(16)).astype(np.float32).tolist(), 0) for k in range(5)]
+        i += 5
+    centre, step = rng.standard_normal(16), rng.standard_normal(16)
+    centre, step = centre / np.linalg.norm(centre), step / np.linalg.norm(step)
+    for side in (-0.1, 0.1):
+        rows += [(i + k, (centre + side * step + 0.005 * rng.standard_normal(16)).astype(np.float32).tolist(), 0) for k in range(14)]
+        i += 14
+    want = brute(rows)
+    assert {n for v, n, _ in want if v >= 2000} == {27}
+    assert got(spark.createDataFrame(rows, DDL).repartition(4)) == want
+
+
+def test_the_audit_sees_every_size_of_group(spark):
+    truth = [(1, 1, 1)] * 50 + [(2, 4000, 4000)] * 50 + [(3, 27, 27)]
+    counted = spark.createDataFrame([(1, 1), (2, 4000), (3, 13)], "cls long, links long")
+    rows = [Row("cls", "links", "others")(*t) for t in truth]
+    assert abs(ed.recall_of(rows, counted) - 13 / 27) < 1e-12
+    assert [ed.size_class(n) for n in (1, 2, 3, 5, 6, 10, 11, 20, 21)] == [0, 0, 1, 1, 2, 2, 3, 3, 4]
+
+
+def test_other_columns_are_not_read(spark):
+    from tests.llm import helpers as h
+
+    rows = corpus(7)[:80]
+    df = h.clashing(spark.createDataFrame(rows, DDL)).withColumnRenamed("value", "a.b").withColumnRenamed("class", "cls")
+    assert got(df) == brute(rows)
 
 
 def test_awkward_rows(spark):
