@@ -8,6 +8,9 @@ On Spark the same outcome is built from distributed pieces:
     ``noise_quantile`` distance, or the cluster holds fewer than
     ``min_cluster_share`` of the users.
 
+``fit_density`` finds the clusters and the noise by density in the same space;
+the k-means model is the one that is saved and assigns new users.
+
 Scaling note: Spark's ``StandardScaler`` divides by the sample standard
 deviation (scikit-learn by the population one); the difference is a constant
 factor per column, which PCA directions and k-means assignments do not
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsignals.functions import rules
+from shopsignals.models.density import density_clusters
 from shopsignals.operators.profiles import NOISE_CLUSTER, clustering_input
 from shopsignals.session import materialize
 
@@ -40,6 +44,7 @@ N_CLUSTERS = 7
 NOISE_QUANTILE = 0.95
 MIN_CLUSTER_SHARE = 0.01  # 2,000 of a 200,000-user sample
 SEED = 42
+MIN_SAMPLES = 50
 
 
 @dataclass
@@ -98,6 +103,26 @@ def fit(
     return cm, assign(cm, df, transformed=scored)
 
 
+def fit_density(
+    features: DataFrame,
+    components: int = PCA_COMPONENTS,
+    min_cluster_share: float = MIN_CLUSTER_SHARE,
+    min_samples: int = MIN_SAMPLES,
+) -> DataFrame:
+    """``user_id, cluster`` by density (``models.density``) in the same scaled PCA space, -1 for noise.
+
+    The smallest cluster is the same share of the users as in ``fit``; small
+    tables take fewer neighbours for the core distance.
+    """
+    df, cols, _missing = clustering_input(features)
+    stages = _pipeline(cols, 2, components).getStages()[:-1]
+    space = materialize(Pipeline(stages=stages).fit(df).transform(df).select("user_id", vector_to_array("pca").alias("x")))
+    users = space.count()
+    least = max(5, round(min_cluster_share * users))
+    found = density_clusters(space, least, min(min_samples, least), "user_id", "x")
+    return found.select(F.col("id").alias("user_id"), F.col("label").alias("cluster"))
+
+
 def assign(model: ClusterModel, df: DataFrame, transformed: DataFrame | None = None) -> DataFrame:
     """Cluster id per user (−1 for noise) using the stored centres and limits.
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsignals.functions.numeric import round_half_even
-from shopsignals.session import materialize
+from shopsignals.session import materialize, scratch_path
 from shopsignals.operators import features as feat
 from shopsignals.operators import reports
 from shopsignals.plans import sql_twins as tw
@@ -946,6 +946,11 @@ def q_model_scaler_stats(spark, sf):
     return _round_cols(cluster_model.scaler_statistics(model), ["mean", "std"], 6)
 
 
+@register("model_density_clusters", None, "M7 (density clusters with noise)")
+def q_model_density_clusters(spark, sf):
+    return cluster_model.fit_density(clickstream_user_features(spark, sf))
+
+
 @register("model_explained_variance", None, "M6")
 def q_model_explained_variance(spark, sf):
     _f, model, _l = _clustered(spark, sf)
@@ -992,12 +997,9 @@ def _replayed_stream(spark, sf, build, name):
     """Replay the clickstream events as a file stream into the shared
     checkpoint folder, run the streaming plan to completion (availableNow),
     and read the appended result back as a table."""
-    import uuid
-
-    from shopsignals.session import checkpoint_dir
     from shopsignals.streaming import sessions as st
 
-    root = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "streams")
     ev = ad.clickstream_events(spark, sf, sessionize=False).drop("event_id")
     ev.write.mode("overwrite").parquet(f"{root}/source")
     st.closing_event(ev).write.mode("append").parquet(f"{root}/source")
@@ -1043,12 +1045,9 @@ def q_stream_dau(spark, sf):
 )
 def q_stream_late_rows(spark, sf):
     """The clicks replayed by thirds of the ids, so that the last batches bring rows of the whole period again."""
-    import uuid
-
-    from shopsignals.session import checkpoint_dir
     from shopsignals.streaming import sessions as st
 
-    root = f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
+    root = scratch_path(spark, "streams")
     clicks = _clicks(spark, sf).drop("user_session").select([f.name for f in st.STREAM_EVENT_SCHEMA.fields if f.name != "user_session"])
     clicks = clicks.withColumn("user_session", F.lit(None).cast("string")).select(st.STREAM_EVENT_SCHEMA.names).where("user_id IS NOT NULL")
     for part in range(3):
@@ -1109,12 +1108,9 @@ def ingested_order_events(spark, sf) -> DataFrame:
     shared checkpoint folder, then ingested the production way: CSV scan with
     the declared schema, UTC parse of the zone-suffixed text, float price,
     ``year=/month=/source=`` Parquet, partitioned read of all months."""
-    import uuid
-
-    from shopsignals.session import checkpoint_dir
     from shopsignals.sources import events as ev
 
-    root = f"{checkpoint_dir(spark).rstrip('/')}/ingest/{uuid.uuid4().hex}"
+    root = scratch_path(spark, "ingest")
     ev.write_events_csv(_orders(spark, sf), f"{root}/raw")
     # the second run finds every file listed and takes none
     ev.ingest_csv(spark, f"{root}/raw/*.csv", f"{root}/events")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -109,9 +110,19 @@ def materialize(df):
     unpersisted plan would compute it twice: once for the count, once for
     the checkpoint write.)
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = scratch_path(spark, "tables")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A fresh path for intermediate data, under the shared checkpoint folder.
+
+    All of an application's paths lie in one folder, which its file system
+    removes when the application ends.
+    """
+    own = f"{checkpoint_dir(spark).rstrip('/')}/shopsignals/{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return f"{own}/{kind}/{uuid.uuid4().hex}"
