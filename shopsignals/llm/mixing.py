@@ -5,32 +5,42 @@ taken ``target / source_size`` times.  Whole copies are certain; the fraction
 is rounded by pivotal pairing: two fractional partners exchange words (the
 one's probability times size rises by what the other's falls) until one of
 them is taken or not taken for certain.  The direction is drawn so that
-expectations stay, and every exchange keeps the sum of words, so a source ends
-within half a document of its target, mostly a short one.
+the expected words of both stay, and every exchange keeps the sum of words, so a source ends
+within one document of its target, mostly a short one.
 
 The pairing runs as a distributed reduction tree.  Documents are hashed into
 small buckets of a source; a fold over each bucket's array pairs each document
-with the pool of the shorter ones behind it and settles all but one; those left form the next level's buckets, until one per source is
-left, which is rounded to the nearer side.  All levels are DataFrame functions; a bucket holds
-about ``fan_in`` documents whatever the source's size, so a source with a third
-of all rows has just more buckets.  The draws are hashes of id, copy number and
-seed, so reruns agree.
+with the pool of the shorter ones behind it and settles all but one; those left
+form the next level's buckets, until one per source is left, which is drawn.
+All levels are DataFrame functions; a bucket holds about ``fan_in`` documents
+whatever the source's size, so a source with a third of all rows has just more
+buckets.  The draws are hashes of row, copy number and seed, so reruns agree.
 
 Defined results: null or empty texts have size 0 and are taken 0 times; a null
 source is a source of its own, last in order; with no words at all every target
 is 0; a null id is treated as an id of its own; rows that repeat an id are
-documents of their own.  Other columns are ignored, or
-returned unchanged by ``mixed_documents``; ``_m_`` prefixes the work columns.
+documents of their own.  Rows are told apart by a hash of all their columns, so
+equal rows are interchangeable and the result does not depend on their order.
+Other columns, whatever their names, are ignored, or returned unchanged by
+``mixed_documents``.
+
+A document's partner is the pool of the shorter documents behind it, whose
+probabilities move together; where they are equal, as those of a source are at
+first, each document's own expectation stays too.  It is not one of them alone:
+in a pair of unequal sizes the shorter one always settles first, so a fold
+over pairs would leave the longest document of a source to the last rounding,
+and a source off its target by as much.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsignals.llm.common import materialize
+from shopsignals.llm.common import materialize, quoted, unused
+from shopsignals.operators.running import global_rank
 
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -43,32 +53,30 @@ def word_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(text, " ", -1), "")).cast("long")
 
 
-def targets(sources: DataFrame, weights=WEIGHTS, max_repeat: float = 3.0, rounds: int | None = None) -> DataFrame:
+def targets(sources: DataFrame, weights=WEIGHTS, max_repeat: float = 3.0) -> DataFrame:
     """``source, source_size`` plus ``target``: shares by weight, at most ``max_repeat`` times the size.
 
-    Sources at their limit keep it and the rest is shared anew by weight.  A
-    source with limit ``c`` and weight ``w`` is full exactly when the level
-    ``target per weight`` reaches ``c / w``; sorted by that ratio, the level is
-    found by one running sum over the table of sources, without a loop.
+    Sources at their limit keep it and the rest is shared anew by weight, until
+    no share is above its limit.  Each round is one aggregate over the table of
+    sources; sources are ranked by distributed running totals, so their number
+    does not matter.
     """
-    by_name = Window.orderBy(F.col("source").isNull(), F.encode("source", "utf-8"))
-    w = F.array(*[F.lit(float(x)) for x in weights])
-    d = sources.withColumn("_m_w", F.element_at(w, ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")))
-    d = d.withColumn("_m_cap", F.col("source_size") * F.lit(float(max_repeat)))
-    ratio = F.col("_m_cap") / F.col("_m_w")
-    order = Window.orderBy(ratio, F.col("source").isNull(), F.encode("source", "utf-8"))
-    upto = order.rowsBetween(Window.unboundedPreceding, -1)
-    all_rows = Window.partitionBy()
-    filled = F.coalesce(F.sum("_m_cap").over(upto), F.lit(0.0))
-    weight_left = F.sum("_m_w").over(all_rows) - F.coalesce(F.sum("_m_w").over(upto), F.lit(0.0))
-    # the level if exactly the sources before this one are full
-    level = (F.sum("source_size").over(all_rows) - filled) / weight_left
-    d = d.withColumns({"_m_at": F.row_number().over(order), "_m_level": level, "_m_ratio": ratio})
-    # the first source that is not full fixes the level
-    is_open = F.col("_m_level") < F.col("_m_ratio")
-    first_open = F.min(F.when(is_open, F.struct("_m_at", "_m_level"))).over(all_rows)["_m_level"]
-    first_open = F.coalesce(first_open, F.lit(float("inf")))
-    return d.select("source", "source_size", F.least(F.col("_m_cap"), first_open * F.col("_m_w")).alias("target"))
+    named = materialize(sources.select("source", "source_size"))
+    ranked = global_rank(named.where("source IS NOT NULL").select("source"), "source", "at")
+    some = named.where("source IS NOT NULL").join(ranked, "source").select("source", "source_size", "at")
+    last = named.where("source IS NULL").select("source", "source_size", F.lit(named.count()).cast("long").alias("at"))
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.pmod(F.col("at") - 1, F.lit(len(weights))) + 1).cast("int"))
+    d = materialize(some.unionByName(last).select("source", "source_size", w.alias("w"), (F.col("source_size") * F.lit(float(max_repeat))).alias("cap")))
+    total, weight = d.agg(F.sum("source_size"), F.sum("w")).head()
+    left, open_weight, full = float(total or 0), weight or 0.0, 0
+    while open_weight:
+        over = F.lit(left) * F.col("w") / F.lit(open_weight) > F.col("cap")
+        filled, n, rest = d.agg(F.sum(F.when(over, F.col("cap"))), F.count(F.when(over, 1)), F.sum(F.when(~over, F.col("w")))).head()
+        if n == full:
+            break
+        full, left, open_weight = n, float(total) - (filled or 0.0), rest or 0.0
+    share = F.lit(left) * F.col("w") / F.lit(open_weight) if open_weight else F.lit(float("inf"))
+    return d.select("source", "source_size", F.least(F.col("cap"), share).alias("target"))
 
 
 def _uniform(seed: int, *cols: Column) -> Column:
@@ -142,38 +150,52 @@ def pivotal(items: DataFrame, largest: int, fan_in: int = 64, seed: int = 0) ->
         done = folded.select("group", F.explode("done").alias("d")).select("group", "d.key", "d.up")
         settled = done if settled is None else settled.unionByName(done)
         rest = folded.where("left.key IS NOT NULL").select("group", "left.key", "left.size", "left.p")
-    # the last one goes to the nearer side: half a document off at most
-    last = rest.select("group", "key", (F.col("p") >= 0.5).alias("up"))
+    # the last one has no partner: it is drawn by its probability, so expectations stay
+    last = rest.select("group", "key", (_uniform(seed, F.col("key"), F.lit("last")) < F.col("p")).alias("up"))
     return settled.unionByName(last)
 
 
-def copies(docs: DataFrame, weights=WEIGHTS, max_repeat: float = 3.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep=()) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies`` per row (plus the columns ``keep``)."""
+#: equal rows that one step numbers
+RUN = 4096
+
+
+def _numbered(rows: DataFrame, counted: str) -> DataFrame:
+    """Each row as often as ``counted`` says, with ``n`` from 0; a large count is spread over tasks in runs."""
+    runs = rows.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(counted) - 1) / RUN))))
+    many = runs.where(F.col(counted) > RUN).repartition("h", "run").unionByName(runs.where(F.col(counted) <= RUN))
+    inside = F.sequence(F.col("run") * RUN, F.least(F.col("run") * RUN + RUN, F.col(counted)) - 1)
+    return many.withColumn("n", F.explode(inside)).drop("run")
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of a whole row: rows that share it are taken for equal."""
+    return F.xxhash64(*[F.col(quoted(f.name)) for f in docs.schema if f.dataType.typeName() not in ("map", "variant")])
+
+
+def copies(docs: DataFrame, weights=WEIGHTS, max_repeat: float = 3.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``h, doc_id, source, size, source_size, target, copies`` per row; ``h`` is the row's hash.
+
+    Equal rows are counted once and numbered afterwards, so a hot id or text is
+    never sorted, and what is taken does not depend on the partitioning.
+    """
     sized = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        *[F.col(c).alias(f"_m_keep_{i}") for i, c in enumerate(keep)],
-    )
-    # a key per row: rows that repeat an id are documents of their own
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("size", F.xxhash64("source")))
-    rows = materialize(sized.withColumn("key", F.xxhash64("doc_id", nth)))
-    by_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_m_rows"))
-    per_source = materialize(
-        targets(by_source.drop("_m_rows"), weights, max_repeat)
-        .withColumnRenamed("source", "_m_source")
-        .join(by_source.select(F.col("source").alias("_m_s2"), "_m_rows"), F.col("_m_source").eqNullSafe(F.col("_m_s2")))
-        .drop("_m_s2")
+        F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(source_col)).alias("source"), word_count(F.col(quoted(text_col))).alias("size"), _row_hash(docs).alias("h"),
     )
-    largest = per_source.agg(F.max("_m_rows")).head()[0] or 0
+    kinds = materialize(sized.groupBy("h", "doc_id", "source", "size").agg(F.count(F.lit(1)).alias("m")))
+    by_source = kinds.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("source_size"), F.sum("m").alias("rows"))
+    by_source = materialize(by_source)
+    per_source = targets(by_source, weights, max_repeat).withColumnRenamed("source", "of")
+    largest = by_source.agg(F.max("rows")).head()[0] or 0
+    rows = materialize(_numbered(kinds, "m").select("h", "doc_id", "source", "size", F.xxhash64("h", "doc_id", "source", "size", "n").alias("key")))
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    joined = rows.join(per_source, F.col("source").eqNullSafe(F.col("_m_source"))).drop("_m_source", "_m_rows")
+    joined = rows.join(per_source, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     joined = joined.withColumns({"whole": F.floor(share + 1e-9).cast("long"), "p": share - F.floor(share + 1e-9)})
     fractional = joined.where((F.col("size") > 0) & (F.col("p") > 1e-9))
     chosen = pivotal(fractional.select(F.struct("source").alias("group"), "key", "size", "p"), largest, seed=seed)
     up = joined.join(chosen.where("up").select("key", F.lit(1).cast("long").alias("extra")), "key", "left")
     return up.select(
-        "doc_id", "source", "size", "source_size", "target",
+        "h", "doc_id", "source", "size", "source_size", "target",
         F.when(F.col("size") > 0, F.col("whole") + F.coalesce("extra", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long")).alias("copies"),
-        *[F.col(f"_m_keep_{i}").alias(c) for i, c in enumerate(keep)],
     )
 
 
@@ -185,12 +207,20 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document repeated as often as it is taken, with its columns."""
-    columns = docs.columns
-    packed = docs.select(
-        F.col(options.get("id_col", "doc_id")).alias("_m_id"), F.col(options.get("text_col", "text")).alias("_m_text"),
-        F.col(options.get("source_col", "source")).alias("_m_src"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_m_row"),
-    )
-    names = {"id_col": "_m_id", "text_col": "_m_text", "source_col": "_m_src"}
-    taken = copies(packed, **{**options, **names}, keep=("_m_row",)).where("copies > 0")
-    return taken.select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))), "_m_row").select("_m_row.*")
+    """The mix itself: each document repeated as often as it is taken, with its columns.
+
+    Only hashes and sizes take part in the mixing; texts join the result once.
+    """
+    names = [quoted(c) for c in docs.columns]
+    h, times, n = unused(docs.columns, "h", "times", "n")
+    taken = materialize(copies(docs, **options).groupBy("h").agg(F.sum("copies").alias("times"), F.count(F.lit(1)).alias("m")).where("times > 0"))
+    whole = docs.withColumn(h, _row_hash(docs))
+    single = whole.join(taken.where("m = 1").select(F.col("h").alias(h), F.col("times").alias(times)), h)
+    out = single.withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(names)
+    repeated = taken.where("m > 1").select("h", "times")
+    if not repeated.limit(1).count():
+        return out
+    # of equal rows one is kept and repeated
+    row = F.struct(*[F.col(c) for c in names])
+    kept = whole.join(repeated.select(F.col("h").alias(h)), h, "left_semi").groupBy(F.col(h).alias("h")).agg(F.first(row).alias("row"))
+    return out.unionByName(_numbered(kept.join(repeated, "h"), "times").select("row.*"))

@@ -16,6 +16,12 @@
    gives sequence and offset.  A hot length is spread over tasks like any
    other row: nothing is grouped by length but counts.
 
+By default only tokens are limited: a limit on documents or attention cost can
+only raise the number of sequences, and as few as possible are asked for.  The
+two other demands then steer the choice of a bin through the score's weights
+(short pieces go where documents and attention are left), and limit it as soon
+as a capacity is given.
+
 Defined results: a null or empty text is the closing id alone; null ids pass
 through; repeated rows are packed once each; an empty table gives an empty
 result.  Only the named id and text columns are read.

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from shopsignals.llm import mixing
@@ -63,21 +64,48 @@ def test_reruns_agree_whatever_the_partitions(spark):
     assert take(df) == take(df.repartition(2)) == take(df.coalesce(1))
 
 
-def test_expectations_are_kept(spark):
-    """Over many seeds a document is taken about as often as its probability says."""
-    items = spark.range(12).select(F.lit("g").alias("group"), F.col("id").alias("key"), (F.col("id") * 3 + 1).alias("size"), (F.lit(0.1) + F.col("id") * 0.06).alias("p"))
-    items = items.cache()
-    seeds, hits, totals = 12, {}, []
-    for seed in range(seeds):
-        rows = mixing.pivotal(items, 12, fan_in=4, seed=seed).collect()
-        assert len(rows) == 12 and len({r["key"] for r in rows}) == 12
-        for r in rows:
-            hits[r["key"]] = hits.get(r["key"], 0) + r["up"]
-        totals.append(sum((3 * r["key"] + 1) for r in rows if r["up"]))
-    want = sum((3 * k + 1) * (0.1 + 0.06 * k) for k in range(12))
-    assert abs(sum(totals) / seeds - want) < 0.1 * want
-    assert sum(abs(t - want) for t in totals) / seeds < 12
-    assert abs(sum(hits.values()) / seeds - sum(0.1 + 0.06 * k for k in range(12))) < 1.2
+@pytest.mark.parametrize("fan_in", [64, 4])
+def test_expectations_are_kept(spark, fan_in):
+    """Over 800 groups of the same twelve documents of one probability, each is taken as often as it says."""
+    groups, p = 800, 0.37
+    items = spark.range(12 * groups).select(
+        F.struct((F.col("id") % groups).alias("g")).alias("group"), F.col("id").alias("key"), (F.floor(F.col("id") / groups) * 3 + 1).alias("size"), F.lit(p).alias("p"),
+    )
+    rows = mixing.pivotal(items, 12, fan_in=fan_in, seed=3).collect()
+    assert len(rows) == 12 * groups
+    hits, totals = [0] * 12, [0] * groups
+    for r in rows:
+        if r["up"]:
+            hits[r["key"] // groups] += 1
+            totals[r["key"] % groups] += 3 * (r["key"] // groups) + 1
+    want = p * sum(3 * k + 1 for k in range(12))
+    # five standard errors; at the second level the probabilities left differ, and only expected words stay
+    error = 5 * (p * (1 - p) / groups) ** 0.5
+    assert all(abs(n / groups - p) < (error if fan_in == 64 else 2 * error) for n in hits), hits
+    assert abs(sum(totals) / groups - want) < 0.01 * want and max(abs(t - want) for t in totals) < 34
+
+
+def test_repeated_rows_and_ids_do_not_depend_on_the_partitions(spark):
+    """One id names many texts, one row is a third of all, ids are null."""
+    rng = random.Random(8)
+    rows = [h.row(rng.choice([None, 1, 2]), h.sentence(rng, rng.randrange(1, 30)), rng.choice("ab"), rng.choice(["en", "de"])) for _ in range(200)]
+    rows += [h.row(5, "always the same words", "a")] * 100
+    df = spark.createDataFrame(rows, h.DOCS_DDL)
+    got = [sorted(map(str, mixing.mixed_documents(df.repartition(n)).collect())) for n in (2, 7)]
+    assert got[0] == got[1] and len(got[0]) > 50
+    mixed = mixing.mix(df).collect()
+    assert len(mixed) == 300
+    words = sum(r["taken"] for r in mixed)
+    assert words == sum(len(W.findall(r["text"])) for r in mixing.mixed_documents(df).collect())
+
+
+def test_numbers_of_hot_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 7)
+    rows = spark.createDataFrame([(1, 1), (2, 7), (3, 50), (4, 8)], "h long, m long")
+    got = {}
+    for r in mixing._numbered(rows, "m").collect():
+        got.setdefault(r["h"], []).append(r["n"])
+    assert {k: sorted(v) for k, v in got.items()} == {1: [0], 2: list(range(7)), 3: list(range(50)), 4: list(range(8))}
 
 
 def test_awkward_rows(spark):

@@ -89,6 +89,26 @@ def test_packing_many_tasks(spark):
     assert used <= len(first_fit)
 
 
+@pytest.mark.parametrize(("documents", "attention"), [(3, None), (None, 1200), (4, 1500)])
+def test_packing_under_binding_capacities(spark, documents, attention):
+    """The table-level operator with limits that bind: each holds in every sequence, and few sequences are used."""
+    rng = random.Random(7)
+    rows = [h.row(i, h.sentence(rng, rng.choice([2, 4, 9, 20]))) for i in range(400)]
+    df = spark.createDataFrame(rows, h.DOCS_DDL).repartition(5)
+    packed = packing.pack(df, capacities=packing.Capacities(tokens=64, documents=documents, attention=attention)).collect()
+    used = check_packed(packed, df.collect(), 64)
+    bins = {}
+    for r in packed:
+        bins.setdefault(r["sequence_id"], []).append(r["length"])
+    assert documents is None or max(map(len, bins.values())) == documents
+    costs = [sum(n * n for n in parts) for parts in bins.values() if len(parts) > 1]
+    assert attention is None or max(costs) <= attention
+    free = len({r["sequence_id"] for r in packing.pack(df, capacities=packing.Capacities(tokens=64)).collect()})
+    total = [r["length"] for r in packed]
+    least = max(-(-sum(total) // 64), -(-len(total) // documents) if documents else 0, -(-sum(n * n for n in total) // attention) if attention else 0)
+    assert used > free and used <= 1.15 * least + 2
+
+
 @pytest.mark.parametrize("score", ["norm", "dot"])
 @pytest.mark.parametrize("limits", [(100, None, None), (100, 3, None), (100, None, 2500), (100, 4, 3000)])
 def test_every_capacity_holds(score, limits):
