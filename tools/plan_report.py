@@ -130,10 +130,9 @@ NOTES = """
   balance: rows were partially aggregated per task before the exchange, so
   one row per task crosses it) or a `Window` over rows that are already
   grouped (event types, clusters, archetypes: a handful of rows).
-* **window w/o key** — the offset windows of the blocked running totals and
-  of the k-th selection run over the *block* table (one row per non-empty
-  order block, bounded by the dynamic range of the values), and the share
-  windows run over grouped rows.  No window without a key sees raw rows.
+* **window w/o key** — the offset windows of running totals without a group
+  run over the table of range parts (one row per part), and the share windows
+  run over grouped rows.  No window without a key sees raw rows.
 * **broadcast** — explicit broadcasts carry tables with a proven bound (one
   row per feature, cluster, label or the one-row bounds); the rest are AQE's
   run-time choices for sides that are small *at this scale* (the part
@@ -147,11 +146,13 @@ NOTES = """
 * Model queries show few exchanges because training runs in Spark ML jobs
   outside the returned DataFrame's plan; streaming queries read their
   appended output table.
-* **materialised** scans read an intermediate that several branches share
-  (the monitored feature table, model inputs, cluster thresholds), written
-  once as Parquet into `spark.checkpoint.dir`: lineage is cut, and the
-  branches read it with column pruning and pushed filters (the positional
-  cut `user_id <= k-th key`, the activity filter `total_sessions >= 2`).
+* **materialised** scans read an intermediate that several branches share,
+  written once as Parquet into `spark.checkpoint.dir`: lineage is cut, and the
+  branches read it with column pruning and pushed filters.  For the merged
+  features it is the table of cells, written by the one job that reads the
+  events whole (not part of the plan below); the scan of `events` that is left
+  is the hour with the period's midpoint, by a pushed filter on the event time.
+  For KS, ROC / PR and quartiles it is the table of counts in range order.
   **ingested** is the partitioned table written by the CSV ingest query.
 """
 
