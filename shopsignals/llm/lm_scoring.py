@@ -14,6 +14,10 @@ its own part of the corpus, and the tasks' parameters are averaged by Spark,
 weighted by positions, after each of ``PASSES`` passes.  Every pass takes the
 whole texts of all training documents.
 
+Texts are split twice: once to count words, once to write each document as the
+array of its outcomes (two bytes a token) with its counted words; training
+passes and scoring read the arrays.
+
 Scoring: a score is a sum of one product per preceding outcome, so two matrix
 products give all of them, and a third (of their exponentials) the normaliser
 of every pair of preceding outcomes; a token's normalised log-probability is
@@ -35,6 +39,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +55,6 @@ FREQUENT = 100_000
 TOP_TASKS = 4
 DIM = 24
 NOISE = 12
-STRIDE = 1  # not read: a pass takes every training document (a test sets this name)
 BLOCK = 2048
 PASSES = 2
 #: the end token; a space can be no word
@@ -216,21 +220,21 @@ def _contexts(ids: np.ndarray, start: int) -> np.ndarray:
 PARAMS = pa.schema([("row", pa.int32()), ("weight", pa.float64()), ("values", pa.list_(pa.float32()))])
 
 
-def train(training: DataFrame, top: list[str], noise: np.ndarray) -> LogBilinear:
-    """Parameter averaging over the tasks' noise-contrastive training."""
+def train(coded: DataFrame, noise: np.ndarray) -> LogBilinear:
+    """Parameter averaging over the tasks' noise-contrastive training on the arrays ``ids``."""
     model = LogBilinear(noise)
     for epoch in range(PASSES):
         start = model.rows()
 
         def run(batches, start=start, epoch=epoch):
-            own, outcomes = LogBilinear(noise), Outcomes(top)
+            own = LogBilinear(noise)
             own.load(start)
             rng = np.random.default_rng([epoch, TaskContext.get().partitionId()])
             state: dict = {}
             seen, held, size = 0, [], 0
             for b in batches:
-                for text in b.column(0).to_pylist():
-                    ids = outcomes.ids(tokens_of(text))
+                for raw in b.column(0).to_pylist():
+                    ids = np.frombuffer(raw, "<i2").astype(np.int32)
                     held.append((_contexts(ids, len(noise)), ids))
                     size += len(ids)
                     if size >= BLOCK:
@@ -246,7 +250,7 @@ def train(training: DataFrame, top: list[str], noise: np.ndarray) -> LogBilinear
                 rows = own.rows()
                 yield arrow_rows(PARAMS, {"row": np.arange(len(rows)), "weight": np.full(len(rows), float(seen)), "values": list(rows)})
 
-        told = training.select("text").mapInArrow(run, "row int, weight double, values array<float>")
+        told = coded.where("trains").select("ids").mapInArrow(run, "row int, weight double, values array<float>")
         each = told.select("row", "weight", F.posexplode("values").alias("col", "x"))
         mean = each.groupBy("row", "col").agg((F.sum(F.col("x") * F.col("weight")) / F.sum("weight")).alias("x"))
         rows = mean.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("col", "x"))).alias("values")).select("row", "values.x").collect()
@@ -259,56 +263,34 @@ def train(training: DataFrame, top: list[str], noise: np.ndarray) -> LogBilinear
     return model
 
 
-SCORED = pa.schema([
-    ("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()),
-    ("rare", pa.list_(pa.string())), ("times", pa.list_(pa.int32())),
+CODED = pa.schema([
+    ("row", pa.int64()), ("doc_id", pa.int64()), ("trains", pa.bool_()), ("ids", pa.binary()), ("n_tokens", pa.int64()), ("known", pa.int64()),
+    ("base", pa.float64()), ("inner", pa.float64()), ("rare", pa.list_(pa.string())), ("times", pa.list_(pa.int32())),
 ])
+CODED_DDL = "row long, doc_id long, trains boolean, ids binary, n_tokens long, known long, base double, inner double, rare array<string>, times array<int>"
 
 
-def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row."""
-    spark = docs.sparkSession
-    small_batches(spark, 512)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    training = slim.where(bucket_of(F.col("doc_id"), fold) != held_out)
-    counts = materialize(word_counts(training))
-    totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).head()
-    n_all, v_all = int(totals["n"] or 0), int(totals["v"])
-    frequent = most_frequent(counts, FREQUENT)
-    top = [w for w, _ in frequent[:TOP]]
-    rest = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in top], "word string")), "word", "left_anti")
-    per_class = {r["k"]: (r["n"], r["v"]) for r in rest.groupBy(class_column(F.col("word")).alias("k")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    class_n = np.array([per_class.get(k, (0, 0))[0] for k in range(CLASSES)], float)
-    class_v = np.array([per_class.get(k, (0, 0))[1] for k in range(CLASSES)], float)
-    shares = np.r_[[c for _, c in frequent[:TOP]], class_n] + 1.0
-    noise = shares / shares.sum()
-    model = train(training, top, noise)
-    shared = spark.sparkContext.broadcast((dict(frequent), *model.tables()))
-    class_size = np.log10(class_n + class_v + 1)
+def coded_documents(docs: DataFrame, top: list[str], common) -> DataFrame:
+    """Documents as outcome arrays, with what their words' counts add to the scores.
+
+    ``common`` broadcasts the counts of the most frequent words; other words are
+    listed (``rare, times``) for a join with the table of counts.  ``base`` is
+    the sum of log10(c + 1) over the frequent words, ``inner`` that over those
+    among them that are no outcome of their own.
+    """
 
     def run(batches):
-        common, near, far, log_z = shared.value
-        outcomes, start = Outcomes(top), len(noise)
-        log_common = {w: np.log10(c + 1) for w, c in common.items()}
+        outcomes = Outcomes(top)
+        log_common = {w: np.log10(c + 1) for w, c in common.value.items()}
         row = TaskContext.get().partitionId() << 40
         for b in batches:
-            tokens = [tokens_of(t) for t in b.column(1).to_pylist()]
-            ids = [outcomes.ids(t) for t in tokens]
-            before = np.concatenate([_contexts(i, start) for i in ids])
-            flat = np.concatenate(ids)
-            log_p = near[before[:, 0], flat] + far[before[:, 1], flat] - log_z[before[:, 0], before[:, 1]]
-            log_p /= np.log(10)
-            in_class = flat >= len(top)
-            log_p[in_class] -= class_size[flat[in_class] - len(top)]
-            ends = np.cumsum([len(i) for i in ids])
-            sums = np.add.reduceat(log_p, np.r_[0, ends[:-1]]) if len(ends) else []
-            out = {f.name: [] for f in SCORED}
-            out["doc_id"] = b.column(0)
-            for t, i, total in zip(tokens, ids, sums):
-                seen = Counter(t)
+            out = {f.name: [] for f in CODED}
+            out["doc_id"], out["trains"] = b.column(0), b.column(2)
+            for text in b.column(1).to_pylist():
+                tokens = tokens_of(text)
                 base = known = inner = 0
                 rare, times = [], []
-                for w, c in seen.items():
+                for w, c in Counter(tokens).items():
                     logged = log_common.get(w)
                     if logged is None:
                         rare.append(w)
@@ -318,22 +300,93 @@ def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2, id_col: str = "
                         known += c
                         if w not in outcomes.index:
                             inner += c * logged
-                for name, value in (("row", row), ("n_tokens", len(t)), ("known", known), ("base", base), ("model", total + inner), ("rare", rare), ("times", times)):
+                ids = outcomes.ids(tokens).astype("<i2").tobytes()
+                for name, value in (("row", row), ("ids", ids), ("n_tokens", len(tokens)), ("known", known), ("base", base), ("inner", inner), ("rare", rare), ("times", times)):
                     out[name].append(value)
                 row += 1
-            yield arrow_rows(SCORED, out)
+            yield arrow_rows(CODED, out)
+
+    return docs.mapInArrow(run, CODED_DDL)
+
+
+SCORED = pa.schema([("row", pa.int64()), ("model", pa.float64())])
+
+
+def model_scores(coded: DataFrame, tables, class_size: np.ndarray, n_top: int) -> DataFrame:
+    """``row, model``: log10 probability of each array of outcomes, less the sizes of their classes."""
+
+    def run(batches):
+        near, far, log_z = tables.value
+        start = len(log_z) - 1
+        for b in batches:
+            ids = [np.frombuffer(raw, "<i2").astype(np.int32) for raw in b.column(1).to_pylist()]
+            if not ids:
+                continue
+            before = np.concatenate([_contexts(i, start) for i in ids])
+            flat = np.concatenate(ids)
+            log_p = near[before[:, 0], flat] + far[before[:, 1], flat] - log_z[before[:, 0], before[:, 1]]
+            log_p /= np.log(10)
+            in_class = flat >= n_top
+            log_p[in_class] -= class_size[flat[in_class] - n_top]
+            ends = np.cumsum([len(i) for i in ids])
+            yield arrow_rows(SCORED, {"row": b.column(0), "model": np.add.reduceat(log_p, np.r_[0, ends[:-1]])})
+
+    return coded.select("row", "ids").mapInArrow(run, "row long, model double")
+
+
+@dataclass
+class Fitted:
+    """What was learnt from the training documents, and all documents as arrays."""
+
+    coded: DataFrame
+    counts: DataFrame
+    n_all: int
+    v_all: int
+    top: list[str]
+    class_n: np.ndarray
+    class_v: np.ndarray
+    model: LogBilinear
+
+
+def fit(slim: DataFrame, fold: int, held_out: int) -> Fitted:
+    """``slim``: doc_id, text."""
+    spark = slim.sparkSession
+    trains = F.coalesce(bucket_of(F.col("doc_id"), fold) != held_out, F.lit(False))
+    counts = materialize(word_counts(slim.where(trains)))
+    totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).head()
+    frequent = most_frequent(counts, FREQUENT)
+    top = [w for w, _ in frequent[:TOP]]
+    rest = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in top], "word string")), "word", "left_anti")
+    per_class = {r["k"]: (r["n"], r["v"]) for r in rest.groupBy(class_column(F.col("word")).alias("k")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
+    class_n = np.array([per_class.get(k, (0, 0))[0] for k in range(CLASSES)], float)
+    class_v = np.array([per_class.get(k, (0, 0))[1] for k in range(CLASSES)], float)
+    common = spark.sparkContext.broadcast(dict(frequent))
+    coded = materialize(coded_documents(slim.select("doc_id", "text", trains.alias("trains")), top, common))
+    shares = np.r_[[c for _, c in frequent[:TOP]], class_n] + 1.0
+    model = train(coded, shares / shares.sum())
+    return Fitted(coded, counts, int(totals["n"] or 0), int(totals["v"]), top, class_n, class_v, model)
+
+
+def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row."""
+    small_batches(docs.sparkSession, 512)
+    return scores_of(fit(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), fold, held_out), fold, held_out)
+
 
-    scored = materialize(slim.mapInArrow(run, "row long, doc_id long, n_tokens long, known long, base double, model double, rare array<string>, times array<int>"))
-    pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("p")).select("row", F.col("p.rare").alias("word"), F.col("p.times").alias("times"))
-    rarer = pairs.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"), F.sum("times").alias("also"))
-    joined = scored.drop("rare", "times").join(rarer, "row", "left")
+def scores_of(fitted: Fitted, fold: int, held_out: int) -> DataFrame:
+    coded = fitted.coded
+    tables = coded.sparkSession.sparkContext.broadcast(fitted.model.tables())
+    scored = model_scores(coded, tables, np.log10(fitted.class_n + fitted.class_v + 1), len(fitted.top))
+    pairs = coded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("p")).select("row", F.col("p.rare").alias("word"), F.col("p.times").alias("times"))
+    rarer = pairs.join(fitted.counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"), F.sum("times").alias("also"))
+    joined = coded.select("row", "doc_id", "n_tokens", "known", "base", "inner").join(scored, "row").join(rarer, "row", "left")
     more, also = F.coalesce("more", F.lit(0.0)), F.coalesce("also", F.lit(0))
     return joined.select(
         "doc_id",
         F.coalesce(bucket_of(F.col("doc_id"), fold) == held_out, F.lit(False)).alias("held_out"),
         "n_tokens",
         (F.col("known") + also).cast("long").alias("n_known"),
-        F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("base") + more - F.col("n_tokens") * F.log10(F.lit(float(n_all + v_all + 1)))).alias("base_score"),
-        (F.col("model") + more).alias("score"),
+        F.lit(fitted.n_all).cast("long").alias("train_tokens"),
+        (F.col("base") + more - F.col("n_tokens") * F.log10(F.lit(float(fitted.n_all + fitted.v_all + 1)))).alias("base_score"),
+        (F.col("model") + F.col("inner") + more).alias("score"),
     )

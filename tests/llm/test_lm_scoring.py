@@ -39,7 +39,6 @@ def compare(df):
 def test_base_scores_and_held_out_gain(spark, monkeypatch):
     monkeypatch.setattr(lm, "FREQUENT", 30)  # most counts come from the join
     monkeypatch.setattr(lm, "TOP", 24)
-    monkeypatch.setattr(lm, "STRIDE", 1)
     monkeypatch.setattr(lm, "BLOCK", 256)
     rows = compare(spark.createDataFrame(corpus(), h.DOCS_DDL).repartition(3))
     held = [r for r in rows if r["held_out"]]
@@ -47,6 +46,36 @@ def test_base_scores_and_held_out_gain(spark, monkeypatch):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 0.05 * sum(r["n_tokens"] for r in held)
 
 
+def test_whole_scores_equal_brute_force(spark, monkeypatch):
+    """Scores from the model's parameters token by token: softmax over outcomes, and counts inside a class."""
+    monkeypatch.setattr(lm, "FREQUENT", 30)
+    monkeypatch.setattr(lm, "TOP", 24)
+    df = h.awkward(spark, corpus(120)).select("doc_id", "text")
+    fitted = lm.fit(df, 7, 2)
+    model, top = fitted.model, {w: i for i, w in enumerate(fitted.top)}
+    counts = {r["word"]: r["c"] for r in fitted.counts.collect()}
+
+    def brute_score(text):
+        total, start = 0.0, len(model.noise)
+        before = [start, start]
+        for w in lm.tokens_of(text):
+            k = top.get(w, len(top) + lm.class_of(w))
+            z = model.predicted(np.array([before]))[0].astype(float) @ model.q.T.astype(float) + model.bias
+            total += (z[k] - np.log(np.exp(z - z.max()).sum()) - z.max()) / math.log(10)
+            if w not in top:
+                c = k - len(top)
+                total += math.log10((counts.get(w, 0) + 1) / (fitted.class_n[c] + fitted.class_v[c] + 1))
+            before = [k, before[0]]
+        return total
+
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in lm.scores_of(fitted, 7, 2).collect())
+    want = sorted((str(r["doc_id"]), len(lm.tokens_of(r["text"])), brute_score(r["text"])) for r in df.collect())
+    for a, b in zip(got, want, strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-5 * max(1, abs(b[2]))
+    # equally frequent words: the cut between outcomes and classes is by the word
+    assert fitted.top == [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:24]]
+
+
 def test_every_hash_class_is_trained_on(spark):
     """Production parameters; the ids are such that a sample by hash class 0 or 1 of 8 is empty."""
     ids = spark.range(8000).where("pmod(xxhash64(id), 8) >= 2").orderBy("id").collect()
