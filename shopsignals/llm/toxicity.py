@@ -28,14 +28,16 @@ rows; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from shopsignals.llm.common import arrow_rows, bucket_of, materialize, small_batches
+from shopsignals.llm.common import arrow_rows, bucket_of, materialize, small_batches, unused
 
 THRESHOLD = 0.3
 PREFIXES = (3, 4, 5, 6, 7)
@@ -146,8 +148,12 @@ FEATURE_ROWS = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("cle
 ROWS = pa.schema([("toxic", pa.int32()), ("features", pa.list_(pa.int32())), ("pairs", pa.list_(pa.list_(pa.list_(pa.int32()))))])
 
 
-def train(docs: DataFrame, label_rows: DataFrame, fold: int = 4, held_out: int = 2, max_train: int = 12_000, max_features: int = 4_000, min_count: int = 4, fairness: float = 5.0, identity_terms=None) -> Model:
-    """``docs``: doc_id, text.  ``label_rows``: doc_id, toxic.  At most ``max_train`` rows are used."""
+def train(docs: DataFrame, label_rows: DataFrame, fold: int = 4, held_out: int = 2, max_train: int = 12_000, max_features: int = 4_000, min_count: int = 4, fairness: float = 5.0, identity_terms=None, max_pairs: int = 256) -> Model:
+    """``docs``: doc_id, text.  ``label_rows``: doc_id, toxic.
+
+    At most ``max_train`` rows are used, and of each at most ``max_pairs`` swapped
+    sentences (lowest hashes), so a very long text stays small on the driver.
+    """
     categories = {k: v.split() if isinstance(v, str) else list(v) for k, v in (identity_terms or IDENTITY_TERMS).items()}
     usable = label_rows.where((F.col("toxic").isin(0, 1)) & (bucket_of(F.col("doc_id"), fold) != held_out))
     sample = (
@@ -192,7 +198,8 @@ def train(docs: DataFrame, label_rows: DataFrame, fold: int = 4, held_out: int =
             out = {"toxic": b.column(1), "features": [], "pairs": []}
             for text in b.column(0).to_pylist():
                 out["features"].append(sorted(index[f] for f in features_of(words_of(text)) if f in index))
-                out["pairs"].append([[sorted(index[f] for f in side if f in index) for side in pair] for pair in swaps(text, categories)])
+                pairs = [[sorted(index[f] for f in side if f in index) for side in pair] for pair in swaps(text, categories)]
+                out["pairs"].append(pairs if len(pairs) <= max_pairs else sorted(pairs, key=lambda p: zlib.crc32(repr(p).encode()))[:max_pairs])
             yield arrow_rows(ROWS, out)
 
     rows = taken.mapInArrow(vectors, "toxic int, features array<int>, pairs array<array<array<int>>>").collect()
@@ -204,25 +211,27 @@ def train(docs: DataFrame, label_rows: DataFrame, fold: int = 4, held_out: int =
 SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
-def score(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
-    """``doc_id, score`` per row; with ``keep`` every column of ``docs`` and ``_t_score``."""
+def score(docs: DataFrame, model: Model, keep: str | None = None) -> DataFrame:
+    """``doc_id, score`` per row; with ``keep`` every column of ``docs`` and the score under this name."""
     small_batches(docs.sparkSession)
+    text_at = docs.columns.index("text")
 
     def run(batches):
         cache: dict = {}
         for b in batches:
             if len(cache) > 400_000:
                 cache.clear()
-            scores = [model.score(t, cache) for t in b.column(b.schema.get_field_index("text")).to_pylist()]
+            scores = [model.score(t, cache) for t in b.column(text_at).to_pylist()]
             if keep:
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, "_t_score"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, "score"])
             else:
                 yield arrow_rows(SCORED, {"doc_id": b.column(0), "score": scores})
 
-    if keep:
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-        return docs.mapInArrow(run, f"{fields}, _t_score double")
-    return docs.mapInArrow(run, "doc_id long, score double")
+    if not keep:
+        return docs.mapInArrow(run, "doc_id long, score double")
+    # columns go to the tasks by number: any name is allowed
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(run, StructType([*plain.schema.fields, StructField("score", DoubleType())])).toDF(*docs.columns, keep)
 
 
 def toxicity(docs: DataFrame, label_rows: DataFrame, fold: int = 4, held_out: int = 2, **options) -> DataFrame:
@@ -243,4 +252,5 @@ def without_toxic(docs: DataFrame, label_rows: DataFrame, **options) -> DataFram
     small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = train(slim, label_rows.select("doc_id", "toxic"), **options)
-    return score(docs, model, keep=True).where(F.col("_t_score") < THRESHOLD).drop("_t_score")
+    (name,) = unused(docs.columns, "score")
+    return score(docs, model, keep=name).where(F.col(name) < THRESHOLD).drop(name)
