@@ -203,8 +203,12 @@ def scores(model: Crf, texts: list[str | None]) -> np.ndarray:
 SAMPLE = pa.schema([("good", pa.int32()), ("n", pa.int32()), ("features", pa.list_(pa.float32()))])
 
 
-def train(docs: DataFrame, label_rows: DataFrame, fold: int = 5, held_out: int = 0, max_train: int = 3_000) -> Crf:
-    """``docs``: doc_id, text.  ``label_rows``: doc_id, quality.  At most ``max_train`` rows are used."""
+def train(docs: DataFrame, label_rows: DataFrame, fold: int = 5, held_out: int = 0, max_train: int = 3_000, max_lines: int = 5_000) -> Crf:
+    """``docs``: doc_id, text.  ``label_rows``: doc_id, quality.
+
+    At most ``max_train`` rows are used; texts of more than ``max_lines`` lines are
+    scored but not learnt from, so that no text is too large for the driver.
+    """
     usable = label_rows.where(F.col("quality").isin(0, 1) & (bucket_of(F.col("doc_id"), fold) != held_out))
     sample = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("good")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     # bounded by max_train, so it can be broadcast
@@ -212,8 +216,9 @@ def train(docs: DataFrame, label_rows: DataFrame, fold: int = 5, held_out: int =
 
     def run(batches):
         for b in batches:
-            parts = [line_features(lines_of(t)) for t in b.column(0).to_pylist()]
-            yield arrow_rows(SAMPLE, {"good": b.column(1), "n": [len(p) for p in parts], "features": [p.ravel() for p in parts]})
+            lines = [lines_of(t) for t in b.column(0).to_pylist()]
+            taken = [(g, line_features(x)) for g, x in zip(b.column(1).to_pylist(), lines) if len(x) <= max_lines]
+            yield arrow_rows(SAMPLE, {"good": [g for g, _ in taken], "n": [len(p) for _, p in taken], "features": [p.ravel() for _, p in taken]})
 
     rows = taken.mapInArrow(run, "good int, n int, features array<float>").collect()
     good = np.array([r["good"] for r in rows], float)
