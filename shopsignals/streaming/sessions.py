@@ -20,6 +20,8 @@ is never ahead and it drops nothing: rows in sessions + late rows = input.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -115,6 +117,18 @@ def split_late(events: DataFrame, root: str, checkpoint: str, delay: str = "12 h
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def split_arrivals(arrivals: Iterable[DataFrame], root: str, delay: str = "12 hours", slack: str = "0 seconds") -> None:
+    """Each table in turn arrives in ``root/source`` as one micro-batch of ``split_late`` (to ``root/split``).
+
+    A table is written by as many tasks as it has, and the split resumes from its
+    checkpoint after each, so no batch has to be one file written by one task.
+    """
+    for rows in arrivals:
+        rows.write.mode("append").parquet(f"{root}/source")
+        source = read_event_stream(rows.sparkSession, f"{root}/source")
+        split_late(source, f"{root}/split", f"{root}/ck_split", delay, slack).awaitTermination()
+
+
 def in_time_stream(spark: SparkSession, root: str) -> DataFrame:
     """The rows that ``split_late`` found in time, as a stream in the order of its batches."""
     return spark.readStream.format("parquet").schema(STREAM_EVENT_SCHEMA).load(f"{root}/batch=*/late=false")

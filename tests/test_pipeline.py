@@ -172,6 +172,22 @@ def test_late_rows_are_put_aside(spark, scratch):
     assert held[1, 40.0] == 2
 
 
+def test_arrivals_are_written_by_many_tasks(spark, scratch, monkeypatch):
+    """One micro-batch per arrival, though an arrival is many files (it was one file, written by one task)."""
+    from shopsignals.plans import registry
+    from shopsignals.streaming import sessions as st
+
+    columns = [f"cast(null AS {f.dataType.simpleString()}) AS {f.name}" for f in st.STREAM_EVENT_SCHEMA.fields if f.name not in ("event_time", "user_id", "user_session")]
+    rows = spark.range(0, 4000, 1, 6).selectExpr("timestamp_seconds(1650000000 + id * 600) AS event_time", "id % 40 AS user_id", *columns)
+    monkeypatch.setattr(registry.ad, "clickstream_events", lambda *_args, **_named: rows)
+    monkeypatch.setattr(registry, "scratch_path", lambda *_args: f"{scratch}/arrivals")
+    assert tuple(registry.q_stream_late_rows(spark, SF_SMALL).first()) == (4000, True, True, True)
+    files = spark.read.parquet(f"{scratch}/arrivals/source").select("user_id", F.input_file_name().alias("file")).where("user_id >= 0")
+    assert files.select("file").distinct().count() >= 9
+    batches = spark.read.parquet(f"{scratch}/arrivals/split").groupBy("batch").count().collect()
+    assert len(batches) == 4 and sum(r["count"] for r in batches) == 4001
+
+
 def test_sketches_of_days_unite(spark):
     from datetime import datetime, timedelta
 
