@@ -15,7 +15,9 @@ Everything is exact:
    ``LEAVES`` leaves, cut on the driver from a sample of ``SAMPLE`` points (it
    only decides how even and compact the boxes are).
 2. Core distances: each box with itself gives an upper bound for its points;
-   only pairs of boxes nearer than that are compared further.
+   only pairs of boxes nearer than that are compared further.  A task compares
+   two groups of up to ``GROUP`` boxes, a pair of boxes at a time, so a point is
+   sent once per group of boxes near its own.
 3. The spanning tree grows by Borůvka rounds: in each, every part takes its
    smallest outgoing edge (ties by the ids of its ends, so no cycle arises).  The
    best edge inside the boxes bounds which pairs of boxes are compared.  Parts
@@ -28,7 +30,7 @@ Everything is exact:
    valued on the driver from sums per cluster.
 
 Work grows with the pairs of boxes that are near each other; no task holds more
-than two boxes or one run.
+than two groups of boxes or one run.
 
 Defined results: ids must be unique; points with a null or non-finite entry are
 noise and not compared; fewer than two points, or no split into two clusters,
@@ -48,6 +50,9 @@ from shopsignals.session import materialize
 
 BLOCK = 1024
 LEAVES = 2048
+#: boxes of a group at most, and groups aimed at while there are fewer boxes than that many groups hold
+GROUP = 16
+GROUPS = 32
 SAMPLE = 20_000
 RUN = 500_000
 #: reachability below this counts as this: copies of a point have distance 0
@@ -105,12 +110,26 @@ def box_distances(points: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return blocks, np.sqrt(total)
 
 
-def _units(points: DataFrame, pairs: list[tuple[int, int]], columns: list[str]) -> DataFrame:
-    """Rows ``a, b, first`` and columns: the points of both boxes of every pair."""
-    table = F.broadcast(points.sparkSession.createDataFrame(pairs or [(-1, -1)], "a long, b long"))
-    first = points.select(*columns, F.col("block").alias("a")).join(table, "a").select("a", "b", F.lit(True).alias("first"), *columns)
-    second = points.select(*columns, F.col("block").alias("b")).join(table.where("a <> b"), "b").select("a", "b", F.lit(False).alias("first"), *columns)
-    return first.unionByName(second)
+def _units(points: DataFrame, pairs: list[tuple[int, int]], columns: list[str]) -> tuple[DataFrame, dict[tuple[int, int], list[tuple[int, int]]]]:
+    """(rows ``a, b, block`` and columns: the points of every unit, pairs of boxes per unit).
+
+    A unit compares two groups of boxes that follow each other in the tree, and
+    holds each point of the boxes that it needs once, whatever number of pairs
+    they are in: a point travels to one unit per group near it, not per box.
+    """
+    size = max(1, min(GROUP, -(-(1 + max(map(max, pairs), default=0)) // GROUPS)))
+    within: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for a, b in pairs:
+        within.setdefault((min(a, b) // size, max(a, b) // size), []).append((a, b))
+    needed = sorted({(box, *unit) for unit, own in within.items() for pair in own for box in pair})
+    # at most two groups of boxes per unit
+    table = F.broadcast(points.sparkSession.createDataFrame(needed or [(-1, -1, -1)], "block long, a long, b long"))
+    return points.select("block", *columns).join(table, "block"), within
+
+
+def _boxes(rows: pd.DataFrame) -> dict[int, pd.DataFrame]:
+    """The boxes of a unit, ascending by id."""
+    return {int(box): own for box, own in rows.sort_values("id").groupby("block")}
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -124,18 +143,23 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _nearest(points: DataFrame, pairs: list[tuple[int, int]], k: int) -> DataFrame:
     """``id, near``: the ``k`` smallest distances of the points of box ``a`` to others in box ``b``."""
 
-    def near(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        own = rows[rows["first"]]
-        other = own if key[0] == key[1] else rows[~rows["first"]]
-        if own.empty or other.empty:
-            return pd.DataFrame({"id": pd.Series(dtype="int64"), "near": pd.Series(dtype=object)})
-        d = _distances(_points(own["x"]), _points(other["x"]))
-        if key[0] == key[1]:
-            np.fill_diagonal(d, np.inf)
-        d = np.sort(np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k], axis=1)
-        return pd.DataFrame({"id": own["id"].to_numpy(), "near": [r[np.isfinite(r)].tolist() for r in d]})
+    units, within = _units(points, pairs, ["id", "x"])
 
-    return _units(points, pairs, ["id", "x"]).groupBy("a", "b").applyInPandas(near, "id long, near array<double>")
+    def near(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        boxes = {box: (own["id"].to_numpy(), _points(own["x"])) for box, own in _boxes(rows).items()}
+        found: dict[int, np.ndarray] = {}
+        for a, b in within[key[0], key[1]]:
+            if a not in boxes or b not in boxes:
+                continue
+            d = _distances(boxes[a][1], boxes[b][1])
+            if a == b:
+                np.fill_diagonal(d, np.inf)
+            d = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k]
+            found[a] = np.sort(np.hstack([found[a], d]) if a in found else d, axis=1)[:, :k]
+        ids = np.concatenate([boxes[a][0] for a in found]) if found else np.zeros(0, np.int64)
+        return pd.DataFrame({"id": ids, "near": [r[np.isfinite(r)].tolist() for d in found.values() for r in d]})
+
+    return units.groupBy("a", "b").applyInPandas(near, "id long, near array<double>")
 
 
 def with_core_distance(points: DataFrame, k: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
@@ -157,27 +181,28 @@ def with_core_distance(points: DataFrame, k: int) -> tuple[DataFrame, np.ndarray
 def _outgoing(points: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
     """``part, w, lo, hi, other``: per unit the smallest edge that leaves each part."""
 
+    units, within = _units(points, pairs, ["id", "x", "core", "part"])
+
     def best(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        own = rows[rows["first"]].sort_values("id")
-        other = own if key[0] == key[1] else rows[~rows["first"]].sort_values("id")
-        found = []
-        if len(own) and len(other):
-            w = np.maximum(_distances(_points(own["x"]), _points(other["x"])), np.maximum(own["core"].to_numpy()[:, None], other["core"].to_numpy()[None, :]))
-            w[own["part"].to_numpy()[:, None] == other["part"].to_numpy()[None, :]] = np.inf
-            for p, q, m in ((own, other, w), (other, own, w.T)):
+        boxes = {box: (own["id"].to_numpy(), own["part"].to_numpy(), own["core"].to_numpy(), _points(own["x"])) for box, own in _boxes(rows).items()}
+        found = [pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("part", "int64"), ("w", float), ("lo", "int64"), ("hi", "int64"), ("other", "int64"))})]
+        for a, b in within[key[0], key[1]]:
+            if a not in boxes or b not in boxes:
+                continue
+            own, other = boxes[a], boxes[b]
+            w = np.maximum(_distances(own[3], other[3]), np.maximum(own[2][:, None], other[2][None, :]))
+            w[own[1][:, None] == other[1][None, :]] = np.inf
+            for (p_ids, p_parts, *_), (q_ids, q_parts, *_), m in ((own, other, w), (other, own, w.T)):
                 # both sides ascend by id: the first smallest weight is the edge of the smallest ids
                 at = np.argmin(m, axis=1)
-                ids, ends = p["id"].to_numpy(), q["id"].to_numpy()[at]
-                found.append(pd.DataFrame({
-                    "part": p["part"].to_numpy(), "w": m[np.arange(len(p)), at], "lo": np.minimum(ids, ends), "hi": np.maximum(ids, ends), "other": q["part"].to_numpy()[at],
-                }))
-        if not found:
-            return pd.DataFrame({"part": pd.Series(dtype="int64"), "w": pd.Series(dtype=float), "lo": pd.Series(dtype="int64"), "hi": pd.Series(dtype="int64"), "other": pd.Series(dtype="int64")})
-        out = pd.concat(found)
-        out = out[np.isfinite(out["w"])].sort_values(["part", "w", "lo", "hi"])
+                weight, ends = m[np.arange(len(p_ids)), at], q_ids[at]
+                leaves = np.isfinite(weight)
+                edge = {"part": p_parts, "w": weight, "lo": np.minimum(p_ids, ends), "hi": np.maximum(p_ids, ends), "other": q_parts[at]}
+                found.append(pd.DataFrame({c: v[leaves] for c, v in edge.items()}))
+        out = pd.concat(found[1:] or found).sort_values(["part", "w", "lo", "hi"])
         return out.groupby("part", as_index=False).first()
 
-    return _units(points, pairs, ["id", "x", "core", "part"]).groupBy("a", "b").applyInPandas(best, "part long, w double, lo long, hi long, other long")
+    return units.groupBy("a", "b").applyInPandas(best, "part long, w double, lo long, hi long, other long")
 
 
 def _least(edges: DataFrame) -> DataFrame:

@@ -131,3 +131,13 @@ def test_missing_entries_and_small_tables(spark):
     assert density.density_clusters(spark.createDataFrame([], DDL), 2, 1).count() == 0
     pair = density.density_clusters(spark.createDataFrame([(1, [0.0]), (2, [1.0])], DDL), 2, 1).collect()
     assert [r["label"] for r in pair] == [-1, -1]
+
+
+def test_a_point_travels_once_per_group_of_boxes(spark):
+    """All pairs of 64 boxes: 32 groups of two, so 32 rows a point (it was one row per pair of boxes)."""
+    points = spark.range(640).selectExpr("id", "array(cast(id AS double)) AS x", "id % 64 AS block")
+    pairs = [(a, b) for a in range(64) for b in range(64) if a != b]
+    units, within = density._units(points, pairs, ["id", "x"])
+    assert {r["count"] for r in units.groupBy("id").count().collect()} == {32}
+    assert sorted(p for own in within.values() for p in own) == pairs
+    assert units.groupBy("a", "b", "id").count().where("count > 1").isEmpty()
