@@ -12,7 +12,8 @@
 3. *Eigenvectors* (``eigenpairs``): LAPACK on the covariance in float32, then
    Ogita and Aishima's iteration in float64, which needs matrix products only:
    from ``R = I - X'X`` and ``S = X'AX`` it corrects all vectors at once, with
-   quadratic convergence, as long as eigenvalues are apart.  Eigenvalues closer
+   quadratic convergence, as long as eigenvalues are apart; Newton's iteration
+   makes the vectors orthonormal again after each correction.  Eigenvalues closer
    than the error bound form clusters.  A cluster gets a sub-solve: the matrix
    projected on the cluster's subspace, less its mean eigenvalue and scaled up,
    is solved in the same way (float32, refined) and rotates the cluster's
@@ -56,17 +57,37 @@ _EXACT = 1 << 53
 ROUNDS = 12
 
 
+def _floor(a: np.ndarray, norm: float) -> float:
+    """The distance up to which eigenvalues are equal to rounding."""
+    return 4 * len(a) * np.finfo(np.float64).eps * norm
+
+
+def _orthonormal(x: np.ndarray) -> np.ndarray:
+    """The nearest orthonormal columns, by Newton's iteration (quadratic) until only rounding is left."""
+    for _ in range(ROUNDS):
+        r = np.eye(x.shape[1]) - x.T @ x
+        x = x + x @ r / 2
+        if np.max(np.abs(r)) <= 1e-9:  # its square is below rounding
+            break
+    return x
+
+
 def _refine(a: np.ndarray, x: np.ndarray, norm: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """One correction of all vectors: (vectors, eigenvalues, distance below which two eigenvalues are a cluster)."""
+    """One correction of all vectors: (vectors, eigenvalues, distance below which two eigenvalues are a cluster).
+
+    The correction of two close eigenvalues can be large; left as it is, its
+    square would spoil the angles of all vectors in the next round.
+    """
     r = np.eye(len(a)) - x.T @ x
     s = x.T @ (a @ x)
     values = np.diag(s) / (1 - np.diag(r))
     off = s - np.diag(values)
-    delta = 2 * (np.linalg.norm(off, 2) + norm * np.linalg.norm(r, 2))
+    # a gap within rounding says nothing: divided by it, rounding would turn the vectors
+    delta = max(2 * (np.linalg.norm(off, 2) + norm * np.linalg.norm(r, 2)), _floor(a, norm))
     gap = values[None, :] - values[:, None]
     apart = np.abs(gap) > delta
     e = np.where(apart, (s + values[None, :] * r) / np.where(apart, gap, 1.0), r / 2)
-    return x + x @ e, values, delta
+    return _orthonormal(x + x @ e), values, delta
 
 
 def _clusters(values: np.ndarray, delta: float) -> list[np.ndarray]:
@@ -98,21 +119,22 @@ def eigenpairs(a: np.ndarray, depth: int = 8) -> tuple[np.ndarray, np.ndarray]:
             if np.max(np.abs(x - before)) <= 8 * eps:
                 break
         # what the iteration cannot tell apart: clusters, solved in their own subspace
-        groups = _clusters(values, max(delta, 4 * len(a) * eps * norm))
-        if settled or not groups:
+        groups = _clusters(values, delta)
+        done = delta <= _floor(a, norm)
+        if settled or (done and not groups):
             break
-        settled = True
+        settled = done
         for j in groups:
             inside = x[:, j]
             centre = float(np.mean(values[j]))
             small = inside.T @ (a @ inside - centre * inside)
             small = (small + small.T) / 2
-            if np.max(np.abs(small)) <= 4 * len(a) * eps * norm:
+            if np.max(np.abs(small)) <= _floor(a, norm):
                 continue  # equal to rounding: any basis of the subspace is right
             x[:, j] = inside @ eigenpairs(small, depth - 1)[1]
             settled = False
     # last step: orthonormal to rounding, values as Rayleigh quotients
-    x = x + x @ ((np.eye(len(a)) - x.T @ x) / 2)
+    x = _orthonormal(x)
     values = np.einsum("ij,ij->j", x, a @ x) / np.einsum("ij,ij->j", x, x)
     order = np.argsort(-values, kind="stable")
     return values[order] * scale, x[:, order]

@@ -31,6 +31,24 @@ def test_eigenpairs_reach_double_precision(values):
     assert np.abs(a @ x - x * e).max() < 2e-14 * scale * len(values)
 
 
+@pytest.mark.parametrize("values", [
+    np.r_[3.0, 3.0 + 1e-9, 3.0 - 2e-9, 3.0 + 5e-8, np.linspace(0.1, 2, 20)],
+    np.r_[1e9, 1e9 + 1e-3, 1.0, 1.0 + 1e-9, 1e-6],
+    np.repeat([1.0, 1.0 + 1e-14, 1.0 + 1e-12, 2.0], 3),  # gaps within rounding and just above it
+    np.r_[1.0, np.logspace(-18, -12, 12)],
+    np.ones(6),
+])
+def test_eigenpairs_settle_whatever_the_rounding(values):
+    """Many bases of the same eigenvalues, so that rounding falls on either side of every bound."""
+    scale, n = np.abs(values).max(), len(values)
+    for seed in [*range(40), 62, 199, 382]:
+        a, _ = symmetric(values, seed)
+        e, x = wh.eigenpairs(a)
+        assert np.allclose(e, np.sort(values)[::-1], rtol=0, atol=2e-14 * scale * n)
+        assert np.abs(x.T @ x - np.eye(n)).max() < 1e-14 * n
+        assert np.abs(a @ x - x * e).max() < 2e-14 * scale * n
+
+
 def test_close_eigenvalues_need_the_sub_solve():
     """Eigenvectors of a gap of 1e-9: float32 mixes them, and so does the iteration without clusters."""
     a, q = symmetric(np.r_[5.0, 5.0 - 1e-9, 1.0, 0.5])
