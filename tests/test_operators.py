@@ -173,6 +173,21 @@ def _ap_brute(y, s):
     return ap
 
 
+def test_auc_by_position_equals_brute_force(spark):
+    """Arrays of scores with ties, null labels and several ranges per score, without a row per score."""
+    rng = np.random.default_rng(8)
+    y, scores = rng.integers(0, 2, 700), np.column_stack([rng.integers(0, 5, 700), rng.normal(size=700), np.zeros(700), rng.integers(0, 90, 700) / 7])
+    df = spark.createDataFrame([(None if k % 50 == 0 else int(a), [float(v) for v in b]) for k, (a, b) in enumerate(zip(y, scores))], "label int, scores array<double>").repartition(5)
+    y = np.where(np.arange(700) % 50 == 0, 0, y)
+    for part_rows in (1000, 100, 9):
+        got = {r["position"]: r["roc_auc"] for r in evaluation.auc_by_position(df, lambda rows: rows, part_rows=part_rows).collect()}
+        assert sorted(got) == [0, 1, 2, 3]
+        for k in range(4):
+            assert got[k] == pytest.approx(_auc_brute(y, scores[:, k]), abs=1e-12)
+    assert [r["roc_auc"] for r in evaluation.auc_by_position(df.where("label = 1"), lambda rows: rows).collect()] == [None] * 4
+    assert evaluation.auc_by_position(df.limit(0), lambda rows: rows).count() == 0
+
+
 def test_roc_auc_and_average_precision(spark):
     rng = np.random.default_rng(2)
     y = rng.integers(0, 2, 400)
